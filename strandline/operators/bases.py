@@ -36,18 +36,21 @@ def explode_cigar(reads: DataFrame, keep=("read_id", "ref_idx", "pos")) -> DataF
 
 def aligned_bases(reads: DataFrame, keep=("read_id", "ref_idx")) -> DataFrame:
     """One row per read base aligned to the reference (inside M, = or X):
-    ``ref_pos, cyc`` (0-based read offset), ``base`` and its quality ``q``."""
-    ops = C.cigar_with_offsets("cigar")
-    pts = F.flatten(F.transform(
-        F.filter(ops, lambda o: o["op"].isin(C.ALIGNED)),
-        lambda o: F.transform(F.sequence(F.lit(0).cast("long"), o["n"] - 1),
-                              lambda j: F.struct(
-                                  (F.col("pos") + o["ref_off"] + j).alias("ref_pos"),
-                                  (o["read_off"] + j).cast("int").alias("cyc")))))
-    x = reads.select(*keep, "seq", "qual", F.explode(pts).alias("_b"))
-    return x.select(*keep, F.col("_b.ref_pos").alias("ref_pos"), F.col("_b.cyc").alias("cyc"),
-                    F.col("seq").substr(F.col("_b.cyc") + 1, F.lit(1)).alias("base"),
-                    (F.ascii(F.col("qual").substr(F.col("_b.cyc") + 1, F.lit(1)))
+    ``ref_pos, cyc`` (0-based read offset), ``base`` and its quality ``q``.
+
+    Two generator steps: the aligned operations of a read (with their offsets), then
+    the bases of each operation; both are map-side and keep the base columns simple
+    expressions inside generated code."""
+    ops = F.filter(C.cigar_with_offsets("cigar"), lambda o: o["op"].isin(C.ALIGNED))
+    x = reads.select(*keep, "pos", "seq", "qual", F.explode(ops).alias("_o"))
+    x = x.select(*keep, "seq", "qual",
+                 (F.col("pos") + F.col("_o.ref_off")).alias("_r0"),
+                 F.col("_o.read_off").cast("int").alias("_q0"),
+                 F.explode(F.sequence(F.lit(0), F.col("_o.n").cast("int") - 1)).alias("_j"))
+    cyc = F.col("_q0") + F.col("_j")
+    return x.select(*keep, (F.col("_r0") + F.col("_j")).alias("ref_pos"), cyc.alias("cyc"),
+                    F.col("seq").substr(cyc + 1, F.lit(1)).alias("base"),
+                    (F.ascii(F.col("qual").substr(cyc + 1, F.lit(1)))
                      - F.lit(Q.PHRED_OFFSET)).cast("int").alias("q"))
 
 

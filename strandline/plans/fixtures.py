@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.quality import shift_quality_text
 from ..operators import reads as R
+from ..session import spread
 
 # Fixed values of the fixture definitions (FIXTURES.md part B).
 NUM_CONTIGS = 26
@@ -30,13 +31,18 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def read_table(spark: SparkSession, d: str, name: str, *cols: str) -> DataFrame:
+    """Scan ``name`` (pruned to ``cols``) spread over all cores (see :func:`spread`)."""
+    return spread(table(spark, d, name).select(*cols))
+
+
 def _md5_text(salt: str, key: Column, letters: str) -> Column:
     return F.translate(F.md5(F.concat(F.lit(salt), key.cast("string"))), SEQ_DIGITS, letters)
 
 
 def aln(spark: SparkSession, d: str, seq_salt: str = "s", qual_salt: str = "q") -> DataFrame:
     """All reads: ``read_id, qname, flag, ref_idx, pos, mapq, cigar, ref_len, seq, qual``."""
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     m8 = k % 8
     return o.select(
@@ -96,15 +102,23 @@ def dense(spark: SparkSession, d: str) -> DataFrame:
     p = (1 + (F.col("read_id") * 37) % DENSE_SPAN).cast("long")
     d0 = a.select("read_id", "qname", "flag", "ref_idx", p.alias("pos"), "mapq", "cigar",
                   "ref_len", "qual", (p + F.col("ref_len") - 1).alias("end_pos"))
-    seq = F.expr(
-        "array_join(transform(transform(sequence(0,31), i -> named_struct('i', i, 'p', "
-        "CASE cigar WHEN '10M2I20M' THEN CASE WHEN i<12 THEN pos+i ELSE pos+i-2 END "
-        "WHEN '10M2D22M' THEN CASE WHEN i<10 THEN pos+i ELSE pos+i+2 END "
-        "WHEN '4S28M' THEN pos+i-4 ELSE pos+i END)), "
-        "s -> substr('ACGT', CAST(1 + (((s.p*s.p + 3*s.p + ref_idx) % 7 + s.p) % 4 "
-        "+ CASE WHEN (read_id*31+s.i*17) % 53 = 0 THEN 2 "
-        "WHEN s.p % 100 = 17 AND read_id % 2 = 0 THEN 1 ELSE 0 END) % 4 AS INT), 1)), '')")
-    return d0.withColumn("seq", seq)
+    return d0.withColumn("seq", F.concat(*[_dense_base(i) for i in range(32)]))
+
+
+def _dense_base(i: int) -> Column:
+    """Read base ``i`` of a ``dense`` read, unrolled (one plain column expression per
+    offset, so the whole read stays in generated code): the genome base at the aligned
+    position ``P(i)``, plus a planted error or SNP."""
+    pos, cig = F.col("pos"), F.col("cigar")
+    p = (F.when(cig == "10M2I20M", pos + (i if i < 12 else i - 2))
+         .when(cig == "10M2D22M", pos + (i if i < 10 else i + 2))
+         .when(cig == "4S28M", pos + (i - 4))
+         .otherwise(pos + i))
+    rid, ref_idx = F.col("read_id"), F.col("ref_idx")
+    bump = (F.when((rid * 31 + i * 17) % 53 == 0, 2)
+            .when((p % 100 == 17) & (rid % 2 == 0), 1).otherwise(0))
+    idx = (1 + (((p * p + 3 * p + ref_idx) % 7 + p) % 4 + bump) % 4).cast("int")
+    return F.substr(F.lit(GENOME_ALPHABET), idx, F.lit(1))
 
 
 def bases_with_ref(bases: DataFrame) -> DataFrame:

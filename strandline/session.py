@@ -84,3 +84,18 @@ def collect_checked(df: DataFrame, max_rows: int, what: str) -> list:
     if n > max_rows:
         raise ValueError(f"{what}: {n} rows exceed the bound of {max_rows}; refusing to collect")
     return m.collect()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Make sure a scan feeds every core.
+
+    A table stored as one row group scans as one task, and every per-row stage after it
+    (fan-out of reads into bases, string rebuilding) would then run on one core.  When
+    the scan has fewer splits than the default parallelism, rows are spread round-robin
+    over that many partitions; a scan with at least that many splits (any large table)
+    is returned untouched, so at scale this adds no shuffle."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
