@@ -162,3 +162,14 @@ def vcf_line(chrom_name: Column) -> Column:
                        F.lit("PASS"), F.concat(F.lit("DP="), F.col("dp").cast("string")),
                        F.lit("GT:AD"),
                        F.concat(F.col("gt"), F.lit(":"), F.col("ad").cast("string")))
+
+
+def merge_variants(*parts: DataFrame) -> DataFrame:
+    """U1 + A4/U2 + O4: concatenate per-region variant outputs (``chrom, pos, line``),
+    drop repeated lines, order by ``(chrom, pos, line)``.  ``distinct`` is a hash
+    aggregation (combined map-side); the order is a range-partitioned global sort, so
+    the ordered output is written in parallel (see :func:`strandline.sinks.write_vcf`)."""
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.distinct().orderBy("chrom", "pos", "line")

@@ -180,6 +180,28 @@ def dict_lines(spark: SparkSession, d: str) -> DataFrame:
     return hd.unionByName(body)
 
 
+def bed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """BED text of the targets: a ``track`` line, then ``chrom  start  end  name``."""
+    names = F.broadcast(seq_dict(spark, d).select("ref_idx", "ref_name"))  # <= 26 rows
+    b = bed(spark, d).join(names, "ref_idx", "inner")
+    body = b.select(F.concat_ws("\t", "ref_name", F.col("bstart").cast("string"),
+                                F.col("bend").cast("string"),
+                                F.concat(F.lit("t"), F.col("bed_id").cast("string")))
+                    .alias("value"))
+    hdr = b.agg(F.first(F.lit("track name=targets")).alias("value"))
+    return hdr.unionByName(body)
+
+
+def known_sites_lines(spark: SparkSession, d: str, sites: DataFrame) -> DataFrame:
+    """VCF text of known sites: a header line, then ``chrom  pos  .  N  .``."""
+    names = F.broadcast(seq_dict(spark, d).select("ref_idx", "ref_name"))  # <= 26 rows
+    s = sites.join(names, "ref_idx", "inner")
+    body = s.select(F.concat_ws("\t", "ref_name", F.col("ref_pos").cast("string"), F.lit("."),
+                                F.lit("N"), F.lit(".")).alias("value"))
+    hdr = s.agg(F.first(F.lit("##fileformat=VCFv4.2")).alias("value"))
+    return hdr.unionByName(body)
+
+
 def shifted_qualities(reads: DataFrame) -> DataFrame:
     """Illumina-1.3 input: every read's qualities +31, except reads with
     ``read_id % 7 = 3`` (left in Phred+33, so fixing them fails)."""

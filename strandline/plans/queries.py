@@ -20,6 +20,7 @@ from ..operators import intervals as I
 from ..operators import pairing as P
 from ..operators import reads as R
 from ..operators import regions as G
+from ..session import materialize
 from ..sinks import to_bed, to_region_strings
 from ..sources import text_formats as TF
 from . import fixtures as X
@@ -133,7 +134,8 @@ def interval_intersect(spark, d):
 def interval_restrict(spark, d):
     k = X.kept(spark, d).select("read_id", "ref_idx", "pos", "end_pos",
                                 (F.col("pos") - 1).alias("start0"), F.col("end_pos").alias("end0"))
-    r = I.interval_restrict(k, X.bed(spark, d), "ref_idx", ("start0", "end0"), ("bstart", "bend"))
+    targets = TF.bed_with_ref_idx(TF.parse_bed(X.bed_lines(spark, d)), X.seq_dict(spark, d))
+    r = I.interval_restrict(k, targets, "ref_idx", ("start0", "end0"), ("bstart", "bend"))
     return r.select("read_id", "ref_idx", "pos", "end_pos")
 
 
@@ -232,7 +234,8 @@ def pileup(spark, d):
 
 def _recal(spark, d):
     b = _bases(spark, d)
-    return B.recal_table(b, X.known_sites(b))
+    sites_vcf = X.known_sites_lines(spark, d, X.known_sites(b))
+    return B.recal_table(b, TF.read_known_sites(sites_vcf, X.seq_dict(spark, d)))
 
 
 def recal_table(spark, d):
@@ -248,10 +251,10 @@ def call_variants(spark, d):
 
 
 def merge_variants(spark, d):
-    v = _calls_vcf(spark, d)
+    # per-region outputs are written once (the original writes one VCF per region)
+    v = materialize(_calls_vcf(spark, d), "region_vcf")
     dup = v.filter(F.col("ref_pos") % 2 == 0)        # a second region emitting half again
-    parts = TF.parse_vcf(v.select("value")).unionByName(TF.parse_vcf(dup.select("value")))
-    return parts.distinct().orderBy("chrom", "pos", "line")
+    return B.merge_variants(TF.parse_vcf(v.select("value")), TF.parse_vcf(dup.select("value")))
 
 
 def _count_chunks(pdf: pd.DataFrame) -> pd.DataFrame:

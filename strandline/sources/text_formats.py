@@ -132,3 +132,11 @@ def parse_bed(lines: DataFrame) -> DataFrame:
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
     """S6 from files."""
     return parse_bed(spark.read.text(path))
+
+
+def bed_with_ref_idx(bed: DataFrame, seq_dict: DataFrame) -> DataFrame:
+    """BED rows with the contig's ``ref_idx`` (names not in the dictionary dropped);
+    the dictionary is broadcast after a size check."""
+    d = broadcast_checked(seq_dict.select(F.col("ref_name").alias("chrom"), "ref_idx"),
+                          MAX_CONTIGS, "seq_dict")
+    return bed.join(d, "chrom", "inner")
