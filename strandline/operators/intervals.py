@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 DEFAULT_MERGE_BIN = 1 << 16
 DEFAULT_JOIN_BIN = 1 << 10
 
@@ -105,7 +107,9 @@ def merge_intervals(df: DataFrame, keys: Sequence[str] = ("ref_idx",), start: st
     given, else counts rows)."""
     keys = list(keys)
     if local:
-        li = local_merge(df, keys, start, end, gap, count)
+        # written once: the bin table, the carries and the island offsets all read it,
+        # and the pandas pass must not run once per consumer
+        li = materialize(local_merge(df, keys, start, end, gap, count), "local_islands")
     else:
         n = F.col(count).cast("long") if count else F.lit(1).cast("long")
         li = df.select(*keys, F.col(start).cast("long").alias("_s"),
