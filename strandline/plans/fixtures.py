@@ -27,8 +27,16 @@ SEQ_LETTERS = "ACGTACGTACGTACGT"
 QUAL_LETTERS = "#+05:;<=>?@ACEGI"
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A driver table.  Its schema is inferred once per path and then given to the
+    reader, so repeated reads of the same table run no footer-inference job."""
+    path = f"{d}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def read_table(spark: SparkSession, d: str, name: str, *cols: str) -> DataFrame:
@@ -102,18 +110,28 @@ def dense(spark: SparkSession, d: str) -> DataFrame:
     p = (1 + (F.col("read_id") * 37) % DENSE_SPAN).cast("long")
     d0 = a.select("read_id", "qname", "flag", "ref_idx", p.alias("pos"), "mapq", "cigar",
                   "ref_len", "qual", (p + F.col("ref_len") - 1).alias("end_pos"))
-    return d0.withColumn("seq", F.concat(*[_dense_base(i) for i in range(32)]))
-
-
-def _dense_base(i: int) -> Column:
-    """Read base ``i`` of a ``dense`` read, unrolled (one plain column expression per
-    offset, so the whole read stays in generated code): the genome base at the aligned
-    position ``P(i)``, plus a planted error or SNP."""
-    pos, cig = F.col("pos"), F.col("cigar")
-    p = (F.when(cig == "10M2I20M", pos + (i if i < 12 else i - 2))
-         .when(cig == "10M2D22M", pos + (i if i < 10 else i + 2))
-         .when(cig == "4S28M", pos + (i - 4))
-         .otherwise(pos + i))
+    # the CIGAR class once, then the 32 aligned positions, then the bases: each step a
+    # separate projection, so no position expression is re-evaluated per use
+    cls = (F.when(F.col("cigar") == "10M2I20M", 1).when(F.col("cigar") == "10M2D22M", 2)
+           .when(F.col("cigar") == "4S28M", 3).otherwise(0))
+    d1 = d0.withColumn("_c", cls)
+    d2 = d1.select("*", *[_dense_pos(i).alias(f"_p{i}") for i in range(32)])
+    seq = F.concat(*[_dense_base(i, F.col(f"_p{i}")) for i in range(32)])
+    return d2.select(*d0.columns, seq.alias("seq"))
+
+
+def _dense_pos(i: int) -> Column:
+    """``P(i)``: the reference position aligned to read offset ``i``."""
+    pos, c = F.col("pos"), F.col("_c")
+    return (F.when(c == 1, pos + (i if i < 12 else i - 2))
+            .when(c == 2, pos + (i if i < 10 else i + 2))
+            .when(c == 3, pos + (i - 4))
+            .otherwise(pos + i))
+
+
+def _dense_base(i: int, p: Column) -> Column:
+    """Read base ``i`` of a ``dense`` read: the genome base at ``p = P(i)``, plus a
+    planted error or SNP."""
     rid, ref_idx = F.col("read_id"), F.col("ref_idx")
     bump = (F.when((rid * 31 + i * 17) % 53 == 0, 2)
             .when((p % 100 == 17) & (rid % 2 == 0), 1).otherwise(0))
@@ -131,6 +149,23 @@ def known_sites(bases: DataFrame) -> DataFrame:
     return bases.filter(F.col("ref_pos") % 200 == 17).select("ref_idx", "ref_pos").distinct()
 
 
+def known_sites_from_reads(reads: DataFrame) -> DataFrame:
+    """The same sites as :func:`known_sites`, from the reads' aligned operations
+    without fanning out to bases: the sites of an operation covering
+    ``[r0, r0 + n)`` are ``first, first + 200, ...`` with
+    ``first = r0 + (17 - r0) mod 200``."""
+    from ..functions import cigar as C
+    ops = F.filter(C.cigar_with_offsets("cigar"), lambda o: o["op"].isin(C.ALIGNED))
+    x = reads.select("ref_idx", "pos", F.explode(ops).alias("_o"))
+    r0 = F.col("pos") + F.col("_o.ref_off")
+    first = r0 + F.pmod(F.lit(17) - r0, F.lit(200))
+    last = r0 + F.col("_o.n") - 1
+    sites = x.select("ref_idx", F.explode(F.sequence(first, F.greatest(first, last), F.lit(200)
+                                                     .cast("long"))).alias("ref_pos"),
+                     last.alias("_last"))
+    return sites.filter(F.col("ref_pos") <= F.col("_last")).select("ref_idx", "ref_pos").distinct()
+
+
 # ---- text renderings -------------------------------------------------------------
 
 def fastq_lines(reads: DataFrame, mate: int) -> DataFrame:

@@ -12,7 +12,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.quality import shift_quality_text  # noqa: F401  (re-exported for users)
 from ..operators import bases as B
 from ..operators import duplicates as D
 from ..operators import hooks as H
@@ -234,7 +233,7 @@ def pileup(spark, d):
 
 def _recal(spark, d):
     b = _bases(spark, d)
-    sites_vcf = X.known_sites_lines(spark, d, X.known_sites(b))
+    sites_vcf = X.known_sites_lines(spark, d, X.known_sites_from_reads(X.dense(spark, d)))
     return B.recal_table(b, TF.read_known_sites(sites_vcf, X.seq_dict(spark, d)))
 
 

@@ -21,11 +21,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     UI off, UTC, Arrow for the pandas hooks."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         # a stage whose generated method exceeds the JVM's JIT limit (8000 bytes) would
+         # run as interpreted bytecode; past this limit Spark uses per-operator generated
+         # projections instead, which it splits into small, compiled methods
+         .config("spark.sql.codegen.hugeMethodLimit", "8000")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
