@@ -51,6 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a "
+                             "shared folder; a machine-local folder would not survive a "
+                             "lost executor")
         d = tempfile.mkdtemp(prefix="strandline-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
