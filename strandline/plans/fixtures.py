@@ -28,6 +28,25 @@ QUAL_LETTERS = "#+05:;<=>?@ACEGI"
 
 
 _SCHEMAS: dict[str, object] = {}
+_BUILT: dict[tuple, DataFrame] = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """One DataFrame per (session, fixture, folder): DataFrames are immutable, and
+    building the wide ``dense`` projection and analysing it costs more than running
+    it at small scale."""
+    k = (id(spark), *key)
+    df = _BUILT.get(k)
+    if df is None or df.sparkSession is not spark:
+        df = _BUILT[k] = build()
+    return df
+
+
+def _memoized(fn):
+    def wrapper(spark: SparkSession, d: str, **kw) -> DataFrame:
+        return _memo(spark, (fn.__name__, d, *sorted(kw.items())), lambda: fn(spark, d, **kw))
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -48,6 +67,7 @@ def _md5_text(salt: str, key: Column, letters: str) -> Column:
     return F.translate(F.md5(F.concat(F.lit(salt), key.cast("string"))), SEQ_DIGITS, letters)
 
 
+@_memoized
 def aln(spark: SparkSession, d: str, seq_salt: str = "s", qual_salt: str = "q") -> DataFrame:
     """All reads: ``read_id, qname, flag, ref_idx, pos, mapq, cigar, ref_len, seq, qual``."""
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
@@ -70,12 +90,14 @@ def aln(spark: SparkSession, d: str, seq_salt: str = "s", qual_salt: str = "q")
         _md5_text(qual_salt, k, QUAL_LETTERS).alias("qual"))
 
 
+@_memoized
 def kept(spark: SparkSession, d: str) -> DataFrame:
     """P2 applied to ``aln``, with the inclusive end."""
     return R.primary_mapped(aln(spark, d)).withColumn(
         "end_pos", F.col("pos") + F.col("ref_len") - 1)
 
 
+@_memoized
 def seq_dict(spark: SparkSession, d: str) -> DataFrame:
     """``ref_idx, ref_name, ref_length``: one row per contig seen in ``orders``."""
     i = (F.col("o_custkey") % NUM_CONTIGS).cast("int")
@@ -87,6 +109,7 @@ def seq_dict(spark: SparkSession, d: str) -> DataFrame:
                       (200000 + r * 1000).cast("int").alias("ref_length"))
 
 
+@_memoized
 def bed(spark: SparkSession, d: str) -> DataFrame:
     """Target intervals, 0-based half-open: ``bed_id, ref_idx, bstart, bend``."""
     p = table(spark, d, "part").select("p_partkey", "p_size")
@@ -102,6 +125,7 @@ def genome_base(p: Column, ref_idx: Column) -> Column:
                     (1 + ((p * p + 3 * p + ref_idx) % 7 + p) % 4).cast("int"), F.lit(1))
 
 
+@_memoized
 def dense(spark: SparkSession, d: str) -> DataFrame:
     """Kept reads moved onto 3,000 positions; ``seq`` follows the synthetic genome
     along the CIGAR, with planted errors and SNPs (``ref_pos % 100 = 17``, carried by

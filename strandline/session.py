@@ -68,7 +68,8 @@ def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "strandline", f"{tag}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: reading back runs no footer-inference job
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
