@@ -8,10 +8,13 @@ when its start is past the largest end seen so far plus ``gap``).  The textbook
 a window per chromosome: one task per chromosome, and one task for any hot locus.  Here
 it runs in two phases:
 
-1. **map-side local merge** - every input partition is sorted on its own and merged by
-   a streaming pandas function (``mapInPandas``), like a partial aggregation: a locus
-   that holds a third of all reads leaves each map task as one row.  No shuffle.
-2. **binned global merge** of the local islands: the largest end per ``(key, bin)``
+1. **exact pre-aggregation by start** - intervals with the same start are always in
+   the same island, so ``groupBy(key, start).agg(max(end), count)`` is exact; it is
+   combined map-side, so a locus holding a third of all reads costs a few rows per map
+   task, and afterwards a bin of width ``B`` holds at most ``B`` rows.  (For inputs
+   stored sorted by position, ``presorted=True`` instead merges every input partition
+   with a streaming pandas function, which also folds overlapping starts.)
+2. **binned global merge** of those rows: the largest end per ``(key, bin)``
    goes into a small bin table; a window over that table gives each bin the running
    maximum of all earlier bins (its *carry*); islands are then windowed only inside
    their bin, break counts per bin give island offsets, and a final ``groupBy`` folds
@@ -99,21 +102,31 @@ def local_merge(df: DataFrame, keys: Sequence[str], start: str, end: str, gap: i
 def merge_intervals(df: DataFrame, keys: Sequence[str] = ("ref_idx",), start: str = "pos",
                     end: str = "end_pos", gap: int = INTERVAL_OVERLAP,
                     count: str | None = None, bin_size: int = DEFAULT_MERGE_BIN,
-                    local: bool = True) -> DataFrame:
+                    presorted: bool = False) -> DataFrame:
     """Islands of intervals (1-based inclusive ``start``..``end``) per ``keys``: sorted by
     start, a row joins the current island when ``start <= max(end so far) + gap``.
 
-    Returns ``keys, start_pos, end_pos, n_reads`` (``n_reads`` sums ``count`` when
-    given, else counts rows)."""
+    Phase 1 reduces the rows before any window:
+
+    * default - an exact aggregation by start: intervals sharing a start always share
+      an island, so ``groupBy(keys, start).agg(max(end), count)`` loses nothing; it is
+      combined map-side (a hot locus leaves each map task as a few rows), and it bounds
+      every window partition of phase 2 by ``bin_size`` rows (distinct starts per bin);
+    * ``presorted=True`` - for input partitions already sorted by position (stored
+      alignments), the streaming pandas merge of each partition, which also folds
+      overlapping reads with different starts.
+
+    The phase-1 table is written once (the bin table, the carries and the offsets all
+    read it).  Returns ``keys, start_pos, end_pos, n_reads`` (``n_reads`` sums
+    ``count`` when given, else counts rows)."""
     keys = list(keys)
-    if local:
-        # written once: the bin table, the carries and the island offsets all read it,
-        # and the pandas pass must not run once per consumer
-        li = materialize(local_merge(df, keys, start, end, gap, count), "local_islands")
+    if presorted:
+        li = local_merge(df, keys, start, end, gap, count)
     else:
-        n = F.col(count).cast("long") if count else F.lit(1).cast("long")
-        li = df.select(*keys, F.col(start).cast("long").alias("_s"),
-                       F.col(end).cast("long").alias("_e"), n.alias("_n"))
+        n = F.sum(F.col(count)) if count else F.count(F.lit(1))
+        li = (df.groupBy(*keys, F.col(start).cast("long").alias("_s"))
+              .agg(F.max(F.col(end).cast("long")).alias("_e"), n.cast("long").alias("_n")))
+    li = materialize(li, "islands_phase1")
     li = li.withColumn("_b", F.floor(F.col("_s") / F.lit(bin_size)).cast("long"))
 
     # bin table: largest end per bin, and the carry of all earlier bins

@@ -25,11 +25,12 @@ def plain_merge(df, gap):
                                            F.count(F.lit(1)).alias("n_reads")).drop("isl")
 
 
-@pytest.mark.parametrize("bin_size,local", [(1 << 16, True), (512, True), (512, False), (37, True)])
-def test_two_phase_merge_equals_plain_window(spark, bin_size, local):
+@pytest.mark.parametrize("bin_size,presorted", [(1 << 16, False), (512, False), (512, True),
+                                                (37, False), (37, True)])
+def test_two_phase_merge_equals_plain_window(spark, bin_size, presorted):
     kept = X.kept(spark, SF01).repartition(5)          # several map-side partitions
     want = rows(plain_merge(kept, 51))
-    got = rows(I.merge_intervals(kept, bin_size=bin_size, local=local),
+    got = rows(I.merge_intervals(kept, bin_size=bin_size, presorted=presorted),
                ["ref_idx", "start_pos", "end_pos", "n_reads"])
     assert got == want
     assert len(want) == 9742
