@@ -49,6 +49,7 @@ def assign_chunks(pairs: DataFrame, n: int) -> DataFrame:
     ``n`` contiguous, equal (+-1) runs of the ordinal.  ``total`` is a scalar subquery,
     planned with the query instead of collected by hand."""
     total = pairs.agg(F.count(F.lit(1))).scalar()
-    return pairs.select(
-        (F.col("record_id") * F.lit(n) / total).cast("long").cast("int").alias("chunk"),
-        "record_id", interleaved_text(pairs).alias("value"))
+    scaled = F.col("record_id") * F.lit(n)
+    # integer division: (a - a mod total) / total is an exact multiple, so no rounding
+    chunk = ((scaled - F.pmod(scaled, total)) / total).cast("long").cast("int")
+    return pairs.select(chunk.alias("chunk"), "record_id", interleaved_text(pairs).alias("value"))

@@ -164,22 +164,22 @@ FROM isl i JOIN seq_dict s USING (ref_idx)""")
 FROM isl i JOIN seq_dict s USING (ref_idx)""")
     q["interval_intersect"] = W(["x_intersect"], "SELECT bed_id, ref_idx, istart, iend FROM x_intersect")
     q["interval_restrict"] = W(["x_restrict"], "SELECT read_id, ref_idx, pos, end_pos FROM x_restrict")
-    q["parse_sam"] = W(["aln", "seq_dict"], """SELECT
- CASE WHEN ok THEN qname END AS qname, CASE WHEN ok THEN flag END AS flag,
- CASE WHEN ok THEN ref_name END AS ref_name, CASE WHEN ok THEN ref_idx END AS ref_idx,
- CASE WHEN ok THEN pos END AS pos, CASE WHEN ok THEN mapq END AS mapq,
- CASE WHEN ok THEN cigar END AS cigar, CASE WHEN ok THEN seq END AS seq, CASE WHEN ok THEN qual END AS qual,
+    q["parse_sam"] = W(["aln", "seq_dict"], """SELECT a.qname, a.flag, s.ref_name, a.ref_idx, a.pos, a.mapq, a.cigar, a.seq, a.qual
+FROM aln a LEFT JOIN seq_dict s USING (ref_idx) WHERE a.read_id % 50 NOT IN (7, 13)""")
+    q["sam_rejects"] = W(["aln", "seq_dict"], """SELECT
  CASE WHEN read_id % 50 = 7 THEN concat_ws(chr(9), qname, CAST(flag AS VARCHAR), ref_name, CAST(pos AS VARCHAR), CAST(mapq AS VARCHAR), cigar)
-      WHEN read_id % 50 = 13 THEN concat_ws(chr(9), qname, 'X', ref_name, CAST(pos AS VARCHAR), CAST(mapq AS VARCHAR), cigar, '*', '0', '0', seq, qual)
+      ELSE concat_ws(chr(9), qname, 'X', ref_name, CAST(pos AS VARCHAR), CAST(mapq AS VARCHAR), cigar, '*', '0', '0', seq, qual)
  END AS corrupt_line
-FROM (SELECT a.*, s.ref_name, read_id % 50 NOT IN (7, 13) AS ok FROM aln a LEFT JOIN seq_dict s USING (ref_idx)) t""")
+FROM aln a LEFT JOIN seq_dict s USING (ref_idx) WHERE read_id % 50 IN (7, 13)""")
     q["parse_dict"] = W(["seq_dict"], """SELECT ref_idx, ref_name, CASE WHEN ref_name = 'chrUn' THEN 0 ELSE ref_length END AS ref_length
 FROM seq_dict""")
-    q["parse_vcf"] = W(["calls_vcf", "seq_dict"], """SELECT CAST(ref_idx AS INT) AS chrom, CAST(ref_pos AS INT) AS pos, line FROM calls_vcf
-UNION ALL
-SELECT CASE WHEN ref_name = 'chrX' THEN 23 WHEN ref_name = 'chrY' THEN 24
+    vcf_contigs = """SELECT CASE WHEN ref_name = 'chrX' THEN 23 WHEN ref_name = 'chrY' THEN 24
   ELSE TRY_CAST(substr(ref_name, 4) AS INT) END AS chrom, 1 AS pos,
- concat_ws(chr(9), ref_name, '1', '.', 'N', '.', '0', 'PASS', '.') AS line FROM seq_dict""")
+ concat_ws(chr(9), ref_name, '1', '.', 'N', '.', '0', 'PASS', '.') AS line FROM seq_dict"""
+    q["parse_vcf"] = W(["calls_vcf", "seq_dict"], f"""SELECT CAST(ref_idx AS INT) AS chrom, CAST(ref_pos AS INT) AS pos, line FROM calls_vcf
+UNION ALL
+SELECT * FROM ({vcf_contigs}) c WHERE chrom IS NOT NULL""")
+    q["vcf_rejects"] = W(["seq_dict"], f"SELECT line FROM ({vcf_contigs}) c WHERE chrom IS NULL")
     q["quality_encoding"] = W(["x_encoding"], "SELECT ref_idx, first_read_id, max_q, encoding FROM x_encoding")
     q["fix_qualities"] = W(["squal", "x_encoding"], """SELECT read_id, ref_idx,
  CASE WHEN e.encoding <> 'ILLUMINA' THEN squal WHEN bad THEN NULL ELSE
@@ -205,7 +205,7 @@ FROM x_dup d JOIN kept k USING (read_id) JOIN x_regions r USING (ref_idx) GROUP
     q["cigar_ops"] = W(["ops"], "SELECT read_id, ref_idx, pos, k, op, n, ref_start, read_off FROM ops")
     q["clean_alignments"] = W(["ops", "dense"], """SELECT read_id, pos, mapq,
  CASE WHEN clipped > 0 THEN body || CAST(clipped AS VARCHAR) || 'S' ELSE cigar END AS cigar,
- CASE WHEN clipped > 0 THEN pos + body_ref - 1 ELSE end_pos END AS end_pos
+ CAST(CASE WHEN clipped > 0 THEN pos + body_ref - 1 ELSE end_pos END AS BIGINT) AS end_pos
 FROM (
  SELECT c.read_id, d.pos, d.mapq, d.cigar, d.end_pos,
   sum(CASE WHEN op IN ('M','I','S','=','X') THEN n - kn ELSE 0 END) AS clipped,

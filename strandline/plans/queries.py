@@ -138,9 +138,19 @@ def interval_restrict(spark, d):
     return r.select("read_id", "ref_idx", "pos", "end_pos")
 
 
+def _sam(spark, d):
+    return TF.parse_sam(X.sam_lines(spark, d), X.seq_dict(spark, d))
+
+
 def parse_sam(spark, d):
-    p = TF.parse_sam(X.sam_lines(spark, d), X.seq_dict(spark, d))
-    return p.withColumnRenamed("_corrupt", "corrupt_line")
+    """S3, the alignments parsed from well-formed lines."""
+    return _sam(spark, d).filter(F.col("_corrupt").isNull()).drop("_corrupt")
+
+
+def sam_rejects(spark, d):
+    """S3, the malformed lines, kept (the scan did not stop at them)."""
+    return _sam(spark, d).filter(F.col("_corrupt").isNotNull()).select(
+        F.col("_corrupt").alias("corrupt_line"))
 
 
 def parse_dict(spark, d):
@@ -159,7 +169,14 @@ def _vcf_lines(spark, d) -> DataFrame:
 
 
 def parse_vcf(spark, d):
-    return TF.parse_vcf(_vcf_lines(spark, d))
+    """S5 + P4, lines whose chromosome has a number."""
+    return TF.parse_vcf(_vcf_lines(spark, d)).filter(F.col("chrom").isNotNull())
+
+
+def vcf_rejects(spark, d):
+    """S5 + P4, lines whose chromosome has no number (``chrM``, ``chrUn``): the
+    original throws on them; here they go to a reject output."""
+    return TF.parse_vcf(_vcf_lines(spark, d)).filter(F.col("chrom").isNull()).select("line")
 
 
 def _shifted(spark, d):
@@ -291,7 +308,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     fastq_records, mate_pairs, fastq_chunks,
     alignment_end, covered_ranges, padded_ranges, range_span, ranges_bed, ranges_region_strings,
     interval_intersect, interval_restrict,
-    parse_sam, parse_dict, parse_vcf, quality_encoding, fix_qualities, with_reference,
+    parse_sam, sam_rejects, parse_dict, parse_vcf, vcf_rejects,
+    quality_encoding, fix_qualities, with_reference,
     read_groups, kept_per_chunk, coordinate_sort,
     mark_duplicates, duplicate_metrics,
     cigar_ops, clean_alignments, indel_targets, pileup,
