@@ -58,6 +58,69 @@ def mark_duplicates(aln: DataFrame) -> DataFrame:
             .drop("_strand", "_p5", "_best"))
 
 
+# SAM flag bits of paired reads.
+FLAG_PAIRED = 1
+FLAG_MATE_UNMAPPED = 8
+FLAG_SECONDARY_OR_SUPPLEMENTARY = 0x900
+
+
+def mark_duplicates_paired(aln: DataFrame) -> DataFrame:
+    """W2, paired form: a template (both primary ends of a read name) is a duplicate
+    of another when both ends match - chromosome, strand and unclipped 5' position of
+    each end; in each group the template with the highest summed score is kept (ties
+    by name) and both ends of every other one are flagged.  A fragment (unpaired, or
+    its mate unmapped) is a duplicate when a paired end has the same end, else by the
+    unpaired rule among fragments.  Secondary / supplementary records are left as
+    they are (``dup = 0``).
+
+    Pairing is one ``groupBy(qname)``: ``min`` / ``max`` of the end struct give the two
+    ends in a fixed order, so no self-join is needed; the best template per two-end
+    key is an aggregate combined map-side; flags return through joins on the name
+    and read id.  Needs ``read_id, qname, flag, ref_idx, pos, end_pos, cigar, qual``."""
+    flag = F.col("flag")
+    x = aln.select("*", unclipped_five_prime().alias("_p5"), duplicate_score().alias("score"))
+    end = F.struct(F.col("ref_idx").alias("r"), F.col("_p5").alias("p"),
+                   flag.bitwiseAND(FLAG_REVERSE).alias("s"))
+    primary = x.filter(flag.bitwiseAND(FLAG_SECONDARY_OR_SUPPLEMENTARY) == 0)
+    is_pair_end = ((flag.bitwiseAND(FLAG_PAIRED) != 0) & (flag.bitwiseAND(4) == 0)
+                   & (flag.bitwiseAND(FLAG_MATE_UNMAPPED) == 0))
+    ends = primary.filter(is_pair_end).select("qname", "read_id", "score", end.alias("_end"))
+
+    tmpl = ends.groupBy("qname").agg(
+        F.min(F.struct("_end", "read_id")).alias("_lo"),
+        F.max(F.struct("_end", "read_id")).alias("_hi"),
+        F.sum("score").alias("_score"), F.count(F.lit(1)).alias("_n"))
+    tmpl = tmpl.filter(F.col("_n") == 2).select(
+        "qname", "_score", F.col("_lo._end").alias("_e1"), F.col("_hi._end").alias("_e2"),
+        F.col("_lo.read_id").alias("_r1"), F.col("_hi.read_id").alias("_r2"))
+    best = tmpl.groupBy("_e1", "_e2").agg(
+        F.min(F.struct((-F.col("_score")).alias("s"), F.col("qname").alias("q")))["q"]
+        .alias("_best"))
+    flagged_t = tmpl.join(best, ["_e1", "_e2"], "inner").select(
+        F.explode(F.array("_r1", "_r2")).alias("read_id"),
+        (F.col("qname") != F.col("_best")).cast("int").alias("_dup_t"))
+
+    # fragments: primary, mapped, not part of a complete template
+    frag = primary.filter(flag.bitwiseAND(4) == 0).join(
+        flagged_t.select("read_id"), "read_id", "left_anti").select(
+        "read_id", "qname", "score", end.alias("_end"))
+    paired_ends = tmpl.select(F.explode(F.array("_e1", "_e2")).alias("_end")).distinct()
+    frag_best = frag.groupBy("_end").agg(
+        F.min(F.struct((-F.col("score")).alias("s"), F.col("qname").alias("q"),
+                       F.col("read_id").alias("r")))["r"].alias("_bestf"))
+    frag_f = (frag.join(frag_best, "_end", "inner")
+              .join(paired_ends.withColumn("_hit", F.lit(1)), "_end", "left")
+              .select("read_id", F.when(F.col("_hit") == 1, 1)
+                      .when(F.col("read_id") != F.col("_bestf"), 1).otherwise(0)
+                      .alias("_dup_f")))
+
+    out = (x.join(flagged_t, "read_id", "left").join(frag_f, "read_id", "left")
+           .withColumn("dup", F.coalesce("_dup_t", "_dup_f", F.lit(0)).cast("int")))
+    return (out.withColumn("flag", F.when(F.col("dup") == 1, flag.bitwiseOR(FLAG_DUPLICATE))
+                           .otherwise(flag))
+            .drop("_p5", "_dup_t", "_dup_f"))
+
+
 def duplicate_metrics(flagged: DataFrame, by=("library",)) -> DataFrame:
     """Per group (library, or region and library): reads examined, duplicates,
     and the duplicate share in per mille, rounded half up in integer arithmetic."""

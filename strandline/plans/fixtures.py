@@ -119,6 +119,42 @@ def bed(spark: SparkSession, d: str) -> DataFrame:
                     ((k * 4793) % 190000 + 50 + F.col("p_size") * 20).cast("long").alias("bend"))
 
 
+MATE_ID_OFFSET = 1_000_000_000
+
+
+@_memoized
+def paired(spark: SparkSession, d: str) -> DataFrame:
+    """Paired-end alignments: every kept read is end 1 of a template (same name);
+    end 2 is ``32M`` on the other strand, ``150 + (read_id % 7) * 10`` bases further,
+    with reversed sequence and qualities.  Templates with ``read_id % 11 = 0`` have
+    their mate unmapped; reads with ``read_id % 13 = 0`` also have a secondary
+    alignment 5,000 bases on."""
+    k = kept(spark, d)
+    rid = F.col("read_id")
+    s1 = F.col("flag").bitwiseAND(16)
+    s2 = F.lit(16) - s1
+    lost = rid % 11 == 0
+    mate_rev_1 = F.when(s2 == 16, 32).otherwise(0)
+    mate_rev_2 = F.when(s1 == 16, 32).otherwise(0)
+    cols = ["read_id", "qname", "flag", "ref_idx", "pos", "mapq", "cigar", "ref_len", "seq",
+            "qual", "end_pos"]
+    e1 = k.withColumn("flag", (F.lit(1 + 64) + s1 + mate_rev_1 + F.when(lost, 8).otherwise(0))
+                      .cast("int")).select(*cols)
+    pos2 = F.col("pos") + 150 + (rid % 7) * 10
+    e2 = k.select((rid + MATE_ID_OFFSET).alias("read_id"), "qname",
+                  (F.lit(1 + 128) + s2 + mate_rev_2 + F.when(lost, 4).otherwise(0))
+                  .cast("int").alias("flag"),
+                  "ref_idx", pos2.alias("pos"), "mapq", F.lit("32M").alias("cigar"),
+                  F.lit(32).cast("long").alias("ref_len"), F.reverse("seq").alias("seq"),
+                  F.reverse("qual").alias("qual"), (pos2 + 31).alias("end_pos"))
+    sec = k.filter(rid % 13 == 0).select(
+        (rid + 2 * MATE_ID_OFFSET).alias("read_id"), "qname",
+        (F.lit(1 + 64 + 256) + s1 + mate_rev_1).cast("int").alias("flag"), "ref_idx",
+        (F.col("pos") + 5000).alias("pos"), "mapq", "cigar", "ref_len", "seq", "qual",
+        (F.col("end_pos") + 5000).alias("end_pos"))
+    return e1.unionByName(e2).unionByName(sec)
+
+
 def genome_base(p: Column, ref_idx: Column) -> Column:
     """The synthetic genome's base at position ``p`` of contig ``ref_idx``."""
     return F.substr(F.lit(GENOME_ALPHABET),

@@ -89,6 +89,42 @@ _v("x_dup", ["scored"], """SELECT read_id, CAST(CASE WHEN row_number() OVER (PAR
   CASE WHEN (flag & 16)=0 THEN pos - lead_clip ELSE end_pos + trail_clip END ORDER BY score DESC, qname) > 1 THEN 1 ELSE 0 END AS INT) AS dup
 FROM (SELECT *, CAST(coalesce(nullif(regexp_extract(cigar,'^([0-9]+)[SH]',1),''),'0') AS BIGINT) AS lead_clip,
  CAST(coalesce(nullif(regexp_extract(cigar,'([0-9]+)[SH]$',1),''),'0') AS BIGINT) AS trail_clip FROM scored) z""")
+_v("paired", ["kept"], """SELECT read_id, qname,
+  CAST(1 + 64 + (flag & 16) + CASE WHEN (flag & 16) = 0 THEN 32 ELSE 0 END + CASE WHEN read_id % 11 = 0 THEN 8 ELSE 0 END AS INT) AS flag,
+  ref_idx, pos, mapq, cigar, ref_len, seq, qual, end_pos FROM kept
+UNION ALL
+SELECT read_id + 1000000000, qname,
+  CAST(1 + 128 + (16 - (flag & 16)) + CASE WHEN (flag & 16) = 16 THEN 32 ELSE 0 END + CASE WHEN read_id % 11 = 0 THEN 4 ELSE 0 END AS INT),
+  ref_idx, pos + 150 + (read_id % 7) * 10, mapq, '32M', CAST(32 AS BIGINT), reverse(seq), reverse(qual),
+  pos + 150 + (read_id % 7) * 10 + 31 FROM kept
+UNION ALL
+SELECT read_id + 2000000000, qname,
+  CAST(1 + 64 + 256 + (flag & 16) + CASE WHEN (flag & 16) = 0 THEN 32 ELSE 0 END AS INT),
+  ref_idx, pos + 5000, mapq, cigar, ref_len, seq, qual, end_pos + 5000 FROM kept WHERE read_id % 13 = 0""")
+_v("x_dup_paired", ["paired"], """WITH x AS (
+ SELECT *, CASE WHEN (flag & 16) = 0 THEN pos - CAST(coalesce(nullif(regexp_extract(cigar,'^([0-9]+)[SH]',1),''),'0') AS BIGINT)
+   ELSE end_pos + CAST(coalesce(nullif(regexp_extract(cigar,'([0-9]+)[SH]$',1),''),'0') AS BIGINT) END AS p5,
+  CAST(list_sum(list_transform(list_transform(string_split(qual,''), lambda c: ascii(c)-33), lambda v: CASE WHEN v>=15 THEN v ELSE 0 END)) AS BIGINT) AS score
+ FROM paired),
+prim AS (SELECT * FROM x WHERE (flag & 2304) = 0),
+e AS (SELECT qname, read_id, score, ref_idx AS r, p5 AS p, flag & 16 AS s,
+  row_number() OVER (PARTITION BY qname ORDER BY ref_idx, p5, flag & 16, read_id) AS rn,
+  count(*) OVER (PARTITION BY qname) AS n
+ FROM prim WHERE (flag & 1) <> 0 AND (flag & 4) = 0 AND (flag & 8) = 0),
+t AS (SELECT qname, sum(score) AS sc,
+  max(CASE WHEN rn = 1 THEN r END) AS r1, max(CASE WHEN rn = 1 THEN p END) AS p1, max(CASE WHEN rn = 1 THEN s END) AS s1,
+  max(CASE WHEN rn = 2 THEN r END) AS r2, max(CASE WHEN rn = 2 THEN p END) AS p2, max(CASE WHEN rn = 2 THEN s END) AS s2,
+  max(CASE WHEN rn = 1 THEN read_id END) AS id1, max(CASE WHEN rn = 2 THEN read_id END) AS id2
+ FROM e WHERE n = 2 GROUP BY qname),
+tr AS (SELECT *, row_number() OVER (PARTITION BY r1, p1, s1, r2, p2, s2 ORDER BY sc DESC, qname) AS k FROM t),
+td AS (SELECT id1 AS read_id, CASE WHEN k > 1 THEN 1 ELSE 0 END AS dup FROM tr
+       UNION ALL SELECT id2, CASE WHEN k > 1 THEN 1 ELSE 0 END FROM tr),
+pe AS (SELECT r1 AS r, p1 AS p, s1 AS s FROM t UNION SELECT r2, p2, s2 FROM t),
+fr AS (SELECT * FROM prim WHERE (flag & 4) = 0 AND read_id NOT IN (SELECT read_id FROM td)),
+fd AS (SELECT read_id, CASE WHEN EXISTS (SELECT 1 FROM pe WHERE pe.r = fr.ref_idx AND pe.p = fr.p5 AND pe.s = (fr.flag & 16)) THEN 1
+   WHEN row_number() OVER (PARTITION BY ref_idx, p5, flag & 16 ORDER BY score DESC, qname, read_id) > 1 THEN 1 ELSE 0 END AS dup FROM fr)
+SELECT x.read_id, CAST(coalesce(td.dup, fd.dup, 0) AS INT) AS dup
+FROM x LEFT JOIN td USING (read_id) LEFT JOIN fd USING (read_id)""")
 _v("x_indel", ["ops"], """SELECT ref_idx, ref_start-1 AS start0, CAST(ref_start-1+CASE WHEN op='D' THEN n ELSE 1 END AS BIGINT) AS end0, op, count(*) AS support
 FROM ops WHERE op IN ('I','D') GROUP BY ref_idx, ref_start, op, n""")
 _v("x_pileup", ["bases"], """SELECT ref_idx, ref_pos, ref_base, base, count(*) AS depth, CAST(sum(q) AS BIGINT) AS qsum
@@ -198,6 +234,7 @@ FROM aln GROUP BY 1""")
  CAST(row_number() OVER (PARTITION BY r.region ORDER BY k.ref_idx, k.pos, k.qname) AS BIGINT) AS rank
 FROM kept k JOIN x_regions r USING (ref_idx)""")
     q["mark_duplicates"] = W(["x_dup"], "SELECT read_id, dup FROM x_dup")
+    q["mark_duplicates_paired"] = W(["x_dup_paired"], "SELECT read_id, dup FROM x_dup_paired")
     q["duplicate_metrics"] = W(["x_dup", "kept", "x_regions"], """SELECT r.region, 'LIB1' AS library, count(*) AS reads,
  CAST(sum(d.dup) AS BIGINT) AS duplicates,
  CAST((sum(d.dup) * 2000 + count(*)) // (count(*) * 2) AS BIGINT) AS dup_permille

@@ -218,6 +218,10 @@ def mark_duplicates(spark, d):
     return D.mark_duplicates(X.kept(spark, d)).select("read_id", "dup")
 
 
+def mark_duplicates_paired(spark, d):
+    return D.mark_duplicates_paired(X.paired(spark, d)).select("read_id", "dup")
+
+
 def duplicate_metrics(spark, d):
     k = X.kept(spark, d)
     flagged = G.assign_regions(R.with_read_group(D.mark_duplicates(k)), _regions(spark, d))
@@ -311,7 +315,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     parse_sam, sam_rejects, parse_dict, parse_vcf, vcf_rejects,
     quality_encoding, fix_qualities, with_reference,
     read_groups, kept_per_chunk, coordinate_sort,
-    mark_duplicates, duplicate_metrics,
+    mark_duplicates, mark_duplicates_paired, duplicate_metrics,
     cigar_ops, clean_alignments, indel_targets, pileup,
     recal_table, recal_apply, call_variants, merge_variants,
     map_chunks, map_regions,

@@ -121,6 +121,30 @@ def test_duplicate_on_reverse_strand_with_trailing_clip(spark):
     assert got == {1: 1, 2: 0, 3: 0, 4: 0, 5: 1}          # tie broken by name: d < e
 
 
+def test_paired_duplicates_use_both_ends(spark):
+    hi, lo = "I" * 32, "5" * 32
+    df = reads(spark, [
+        # template a: ends at 100 (+) and 400 (-);  template b: same two ends, higher score
+        (1, "a", 1 + 64 + 32, 1, 100, 60, "32M", "A" * 32, lo),
+        (2, "a", 1 + 128 + 16, 1, 369, 60, "32M", "A" * 32, lo),     # 5' end = 400
+        (3, "b", 1 + 64 + 32, 1, 100, 60, "32M", "A" * 32, hi),
+        (4, "b", 1 + 128 + 16, 1, 369, 60, "32M", "A" * 32, hi),
+        # template c: same first end, other second end -> not a duplicate
+        (5, "c", 1 + 64 + 32, 1, 100, 60, "32M", "A" * 32, lo),
+        (6, "c", 1 + 128 + 16, 1, 379, 60, "32M", "A" * 32, lo),
+        # fragment (mate unmapped) on a paired end -> duplicate
+        (7, "d", 1 + 64 + 8, 1, 100, 60, "32M", "A" * 32, hi),
+        (8, "d", 1 + 128 + 4, 1, 100, 0, "*", "A" * 32, hi),
+        # two fragments elsewhere: the better one is kept
+        (9, "e", 0, 1, 900, 60, "32M", "A" * 32, lo),
+        (10, "f", 0, 1, 900, 60, "32M", "A" * 32, hi),
+        # secondary record of b: left alone
+        (11, "b", 1 + 64 + 256, 1, 100, 60, "32M", "A" * 32, lo),
+    ])
+    got = {r.read_id: r.dup for r in D.mark_duplicates_paired(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0, 6: 0, 7: 1, 8: 0, 9: 1, 10: 0, 11: 0}
+
+
 def test_score_counts_only_qualities_from_15(spark):
     df = spark.createDataFrame([("#0I",)], "qual string")  # 2, 15, 40
     assert df.select(D.duplicate_score("qual")).collect()[0][0] == 55
