@@ -11,8 +11,8 @@ from ..session import broadcast_checked
 MAX_SPLITS = 5_000_000
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """FASTQ text as ``idx, line`` with the 0-based line ordinal over the file(s),
+def read_indexed_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Text lines as ``idx, value`` with the 0-based line ordinal over the file(s),
     files taken in path order.
 
     A text scan packs file splits into partitions by size, so partition order is not
@@ -22,8 +22,9 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     Per-split line counts (one row per split) give the offsets through a running sum,
     and are joined back by broadcast after a size check.  All JVM-side; the scan is
     deterministic, so re-running a lost task reproduces the same ids."""
-    lines = spark.read.text(path).select(
-        F.col("value").alias("line"),
+    r = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    lines = r.text(path).select(
+        "value",
         F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_mid"))
@@ -32,9 +33,14 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = splits.select("_f", "_b", "_m0",
                          F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    offs = broadcast_checked(offs, MAX_SPLITS, "fastq_splits")
+    offs = broadcast_checked(offs, MAX_SPLITS, "line_splits")
     return (lines.join(offs, ["_f", "_b"], "inner")
-            .select((F.col("_off") + F.col("_mid") - F.col("_m0")).alias("idx"), "line"))
+            .select((F.col("_off") + F.col("_mid") - F.col("_m0")).alias("idx"), "value"))
+
+
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """FASTQ text as ``idx, line`` (see :func:`read_indexed_lines`)."""
+    return read_indexed_lines(spark, path).withColumnRenamed("value", "line")
 
 
 def read_chunks(spark: SparkSession, folder: str, glob: str = "*.fq.gz") -> DataFrame:

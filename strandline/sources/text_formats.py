@@ -38,11 +38,17 @@ def parse_sam(lines: DataFrame, seq_dict: DataFrame | None = None) -> DataFrame:
     a non-integer FLAG / POS / MAPQ is kept as a corrupt row: all fields null, the text
     in ``_corrupt``.  With a dictionary, ``ref_idx`` is the contig's index (``-1`` for
     ``*``, null for a name not in the dictionary); the dictionary is broadcast after a
-    size check."""
+    size check.
+
+    SAM has no unique read key (a name is shared by mates, secondary and supplementary
+    records), so one is assigned at ingestion: when ``lines`` carries the line ordinal
+    ``idx`` (:func:`strandline.sources.fastq.read_indexed_lines`), it becomes
+    ``read_id``."""
+    rid = [F.col("idx").alias("read_id")] if "idx" in lines.columns else []
     body = lines.filter(~F.col("value").startswith("@"))
     f = F.split(F.col("value"), "\t")
     parsed = body.select(
-        F.col("value"),
+        *rid, F.col("value"),
         F.size(f).alias("_nf"),
         *[F.try_element_at(f, F.lit(i + 1)).alias(f"_{n}") for i, n in enumerate(SAM_FIELDS)])
     flag = F.col("_flag").try_cast("int")
@@ -54,6 +60,7 @@ def parse_sam(lines: DataFrame, seq_dict: DataFrame | None = None) -> DataFrame:
         return F.when(ok, c)
 
     out = parsed.select(
+        *[F.col("read_id")] * bool(rid),
         keep(F.col("_qname")).alias("qname"), keep(flag).alias("flag"),
         keep(F.col("_rname")).alias("ref_name"), keep(pos).alias("pos"),
         keep(mapq).alias("mapq"), keep(F.col("_cigar")).alias("cigar"),
@@ -67,8 +74,8 @@ def parse_sam(lines: DataFrame, seq_dict: DataFrame | None = None) -> DataFrame:
     j = out.join(d, out["ref_name"] == d["_rn"], "left")
     ref_idx = (F.when(F.col("ref_name") == "*", F.lit(-1))
                .otherwise(F.col("_ri")).cast("int"))
-    return j.select("qname", "flag", "ref_name", ref_idx.alias("ref_idx"), "pos", "mapq",
-                    "cigar", "seq", "qual", "_corrupt")
+    return j.select(*["read_id"] * bool(rid), "qname", "flag", "ref_name",
+                    ref_idx.alias("ref_idx"), "pos", "mapq", "cigar", "seq", "qual", "_corrupt")
 
 
 def parse_dict(lines: DataFrame) -> DataFrame:

@@ -36,6 +36,22 @@ def test_fastq_ordinals_across_splits_and_files(spark, tmp_out):
     assert got == [(i, f"@r{i}/1", f"ACGTACGTAC{i % 10}") for i in range(1000)]
 
 
+def test_sam_file_gets_read_ids_at_ingestion(spark, tmp_out):
+    path = os.path.join(tmp_out, "x.sam")
+    with open(path, "w") as f:
+        f.write("@HD\tVN:1.6\n@SQ\tSN:chr1\tLN:1000\n")
+        for i in range(50):                     # both mates share the name
+            f.write(f"t{i // 2}\t{65 + 64 * (i % 2)}\tchr1\t{10 + i}\t60\t4M\t*\t0\t0\tACGT\tIIII\n")
+    sd = spark.createDataFrame([(0, "chr1", 1000)], "ref_idx int, ref_name string, ref_length int")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    try:
+        got = TF.parse_sam(FQ.read_indexed_lines(spark, path), sd).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.read_id, r.pos) for r in got) == [(i + 2, 10 + i) for i in range(50)]
+
+
 def test_chunk_files_are_exact_and_ordered(spark, tmp_out):
     d = os.path.join(tmp_out, "in")
     os.makedirs(d)
