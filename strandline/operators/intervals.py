@@ -230,21 +230,35 @@ def interval_restrict(reads: DataFrame, targets: DataFrame, key: str = "ref_idx"
                       bin_size: int = DEFAULT_JOIN_BIN) -> DataFrame:
     """J4 (``-L targets``): reads overlapping any target, each read once.
 
-    Each read goes to the one bin of its start.  Targets are exploded to every bin
-    from ``(start - longest read) div B`` to ``(end - 1) div B``, so every overlapping
-    read finds its target in its own start bin: a plain semi-join, no de-duplication.
-    The longest read length comes from the data (a scalar subquery), so no read is
-    ever missed."""
+    * Reads no longer than a bin (nearly all) go to the one bin of their start;
+      targets are exploded to every bin from ``(start - B) div B`` to ``(end - 1) div
+      B`` (one bin more than they cover), so every such read meets each target it
+      overlaps in its own start bin: a plain semi-join, no de-duplication.
+    * Longer reads are exploded to all their bins, semi-joined with the targets'
+      own bins, and de-duplicated on a row id - exact, and the targets never grow
+      with the longest read.
+    """
     rs, re_ = read_iv
     ts, te = target_iv
-    longest = reads.agg(F.coalesce(F.max(F.col(re_) - F.col(rs)), F.lit(0))).scalar()
-    tx = (targets.filter(F.col(te) > F.col(ts))
-          .select(F.col(key).alias("_tk"), F.col(ts).alias("_ts"), F.col(te).alias("_te"),
-                  F.explode(F.sequence(
-                      F.floor((F.col(ts) - longest) / F.lit(bin_size)).cast("long"),
-                      F.floor((F.col(te) - F.lit(1)) / F.lit(bin_size)).cast("long")))
-                  .alias("_tbin")))
-    rx = reads.withColumn("_bin", F.floor(F.col(rs) / F.lit(bin_size)).cast("long"))
-    cond = ((rx[key] == tx["_tk"]) & (rx["_bin"] == tx["_tbin"])
-            & (rx[rs] < tx["_te"]) & (tx["_ts"] < rx[re_]))
-    return rx.join(tx, cond, "left_semi").drop("_bin")
+    B = F.lit(bin_size)
+    tgt = targets.filter(F.col(te) > F.col(ts)).select(
+        F.col(key).alias("_tk"), F.col(ts).alias("_ts"), F.col(te).alias("_te"))
+    last = F.floor((F.col("_te") - 1) / B).cast("long")
+    t_wide = tgt.withColumn("_tbin", F.explode(F.sequence(
+        F.floor((F.col("_ts") - B) / B).cast("long"), last)))
+    t_own = tgt.withColumn("_tbin", F.explode(F.sequence(
+        F.floor(F.col("_ts") / B).cast("long"), last)))
+
+    def semi(rx, tx):
+        cond = ((rx[key] == tx["_tk"]) & (rx["_bin"] == tx["_tbin"])
+                & (rx[rs] < tx["_te"]) & (tx["_ts"] < rx[re_]))
+        return rx.join(tx, cond, "left_semi").drop("_bin")
+
+    short = F.col(re_) - F.col(rs) <= bin_size
+    rx = reads.filter(short).withColumn("_bin", F.floor(F.col(rs) / B).cast("long"))
+    long_ = (reads.filter(~short).withColumn("_rid", F.monotonically_increasing_id())
+             .withColumn("_bin", F.explode(F.sequence(
+                 F.floor(F.col(rs) / B).cast("long"),
+                 F.floor((F.col(re_) - 1) / B).cast("long")))))
+    long_hits = semi(long_, t_own).dropDuplicates(["_rid"]).drop("_rid")
+    return semi(rx, t_wide).unionByName(long_hits)

@@ -45,7 +45,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this is set by the deployment and is read here.  Only when it is
     unset (local tests, the bench) is a scratch folder created and registered."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:       # Spark Connect: no context; the folder must be configured
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise ValueError("spark.checkpoint.dir is not set")
+        return d
     d = sc.getCheckpointDir()
     if d:
         return d
@@ -104,8 +110,11 @@ def spread(df: DataFrame) -> DataFrame:
     the scan has fewer splits than the default parallelism, rows are spread round-robin
     over that many partitions; a scan with at least that many splits (any large table)
     is returned untouched, so at scale this adds no shuffle."""
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:       # no RDD view of the plan (a Spark Connect session): leave as is
+        return df
+    if splits < target:
         return df.repartition(target)
     return df

@@ -80,6 +80,16 @@ def test_restrict_keeps_each_read_once(spark):
     assert got == [1]
 
 
+def test_restrict_long_reads_exactly_once(spark):
+    # bin 8: reads 1, 2 are longer than a bin and overlap several targets in other bins
+    rd = spark.createDataFrame([(1, 1, 0, 100), (2, 1, 3, 30), (3, 1, 50, 55), (4, 1, 200, 300)],
+                               "read_id long, ref_idx int, start0 long, end0 long")
+    tg = spark.createDataFrame([(1, 20, 22), (1, 60, 70), (1, 95, 99), (1, 52, 53)],
+                               "ref_idx int, bstart long, bend long")
+    got = sorted(r.read_id for r in I.interval_restrict(rd, tg, bin_size=8).collect())
+    assert got == [1, 2, 3]
+
+
 def test_fewer_chromosomes_than_regions_and_ties(spark):
     counts = spark.createDataFrame([(7, 10), (3, 10), (5, 20)], "ref_idx int, n_reads long")
     got = sorted(tuple(r) for r in G.balance_regions(counts, 4).collect())
