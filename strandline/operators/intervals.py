@@ -254,9 +254,11 @@ def interval_restrict(reads: DataFrame, targets: DataFrame, key: str = "ref_idx"
                 & (rx[rs] < tx["_te"]) & (tx["_ts"] < rx[re_]))
         return rx.join(tx, cond, "left_semi").drop("_bin")
 
-    short = F.col(re_) - F.col(rs) <= bin_size
-    rx = reads.filter(short).withColumn("_bin", F.floor(F.col(rs) / B).cast("long"))
-    long_ = (reads.filter(~short).withColumn("_rid", F.monotonically_increasing_id())
+    length = F.col(re_) - F.col(rs)
+    # an empty interval covers no base and overlaps nothing
+    rx = reads.filter((length > 0) & (length <= bin_size)).withColumn(
+        "_bin", F.floor(F.col(rs) / B).cast("long"))
+    long_ = (reads.filter(length > bin_size).withColumn("_rid", F.monotonically_increasing_id())
              .withColumn("_bin", F.explode(F.sequence(
                  F.floor(F.col(rs) / B).cast("long"),
                  F.floor((F.col(re_) - 1) / B).cast("long")))))
