@@ -3,7 +3,11 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from strandline.operators import bases as B
+from strandline.operators import duplicates as D
 from strandline.operators import intervals as I
+from strandline.operators import reads as R
+from strandline.operators import regions as G
 
 SETTINGS = settings(max_examples=20, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -59,3 +63,84 @@ def test_intersect_and_restrict_match_brute_force(spark, left, right, bin_size):
     got_r = sorted(r.read_id for r in I.interval_restrict(reads, targets, bin_size=bin_size)
                    .collect())
     assert got_r == want_r
+
+
+reads_st = st.lists(st.tuples(st.integers(1, 2), st.sampled_from([0, 16]), st.integers(50, 70),
+                              st.sampled_from(["8M", "2S6M", "6M2S", "3M1D5M"]),
+                              st.text("#5I", min_size=8, max_size=8)),
+                    min_size=1, max_size=30)
+
+
+def _clip(cig, lead):
+    import re
+    m = re.match(r"^(\d+)S", cig) if lead else re.search(r"(\d+)S$", cig)
+    return int(m.group(1)) if m else 0
+
+
+@SETTINGS
+@given(reads_st)
+def test_duplicates_match_brute_force(spark, data):
+    rows = [(i, f"q{i:03d}", strand, c, pos, 60, cig, "A" * 8, qual)
+            for i, (c, strand, pos, cig, qual) in enumerate(data)]
+    df = R.with_alignment_end(spark.createDataFrame(
+        rows, "read_id long, qname string, flag int, ref_idx int, pos long, mapq int, "
+              "cigar string, seq string, qual string"))
+    ref_len = {"8M": 6 + 2, "2S6M": 6, "6M2S": 6, "3M1D5M": 9}
+    groups = {}
+    for i, q, strand, c, pos, _, cig, _, qual in rows:
+        end = pos + ref_len[cig] - 1
+        p5 = end + _clip(cig, False) if strand else pos - _clip(cig, True)
+        score = sum(ord(ch) - 33 for ch in qual if ord(ch) - 33 >= 15)
+        groups.setdefault((c, strand, p5), []).append((-score, q, i))
+    want = {}
+    for members in groups.values():
+        best = min(members)
+        for m in members:
+            want[m[2]] = 0 if m == best else 1
+    got = {r.read_id: r.dup for r in D.mark_duplicates(df).collect()}
+    assert got == want
+
+
+pile_st = st.lists(st.tuples(st.integers(1, 4), st.sampled_from("ACGT"), st.sampled_from("ACGTN"),
+                             st.integers(1, 9), st.integers(0, 90)), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(pile_st)
+def test_calls_match_brute_force(spark, data):
+    # one reference base per site; (site, base) unique
+    ref = {}
+    cells = {}
+    for pos, rb, b, depth, qsum in data:
+        rb = ref.setdefault(pos, rb)
+        cells[(pos, b)] = (rb, depth, qsum)
+    rows = [(1, pos, rb, b, d, q) for (pos, b), (rb, d, q) in cells.items()]
+    pile = spark.createDataFrame(rows, "ref_idx int, ref_pos long, ref_base string, base string, "
+                                       "depth long, qsum long")
+    want = []
+    for pos in sorted(ref):
+        site = [(b, d, q) for (p, b), (rb, d, q) in cells.items() if p == pos]
+        dp = sum(d for _, d, _ in site)
+        alts = sorted((-q, b, d) for b, d, q in site if b != ref[pos])
+        if not alts:
+            continue
+        nq, b, d = alts[0]
+        if -nq >= 30 and d * 5 >= dp:
+            want.append((1, pos, ref[pos], b, -nq, d, dp, "1/1" if d * 5 >= dp * 4 else "0/1"))
+    got = sorted(tuple(r) for r in B.call_variants(pile).collect())
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(1, 5), st.integers(1, 50)),
+                min_size=1, max_size=60), st.integers(1, 6))
+def test_rank_within_matches_sort(spark, data, parts):
+    rows = [(i, g, c, p, f"q{i:03d}") for i, (g, c, p) in enumerate(data)]
+    df = spark.createDataFrame(rows, "read_id long, region int, ref_idx int, pos long, qname string")
+    want = {}
+    for g in {r[1] for r in rows}:
+        for k, r in enumerate(sorted((r for r in rows if r[1] == g), key=lambda r: (r[2], r[3], r[4]))):
+            want[r[0]] = k + 1
+    got = {r.read_id: r.rank for r in G.rank_within(df, "region", ["ref_idx", "pos", "qname"],
+                                                     num_partitions=parts).collect()}
+    assert got == want
