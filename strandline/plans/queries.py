@@ -253,9 +253,11 @@ def pileup(spark, d):
 
 
 def _recal(spark, d):
-    b = _bases(spark, d)
-    sites_vcf = X.known_sites_lines(spark, d, X.known_sites_from_reads(X.dense(spark, d)))
-    return B.recal_table(b, TF.read_known_sites(sites_vcf, X.seq_dict(spark, d)))
+    dn = X.dense(spark, d)
+    sites_vcf = X.known_sites_lines(spark, d, X.known_sites_from_reads(dn))
+    sites = TF.read_known_sites(sites_vcf, X.seq_dict(spark, d))
+    # known sites leave while bases are fanned out per (read, bin): no base is shuffled
+    return B.recal_table(X.bases_with_ref(B.aligned_bases_off_sites(dn, sites)))
 
 
 def recal_table(spark, d):

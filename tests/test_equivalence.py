@@ -72,3 +72,14 @@ def test_rank_within_equals_row_number(spark):
     got = rows(G.rank_within(rr, "region", ["ref_idx", "pos", "qname"], num_partitions=7),
                ["read_id", "rank"])
     assert got == want
+
+
+@pytest.mark.parametrize("bin_size", [16, 1024])
+def test_binned_site_exclusion_equals_anti_join(spark, bin_size):
+    from strandline.operators import bases as B
+    dn = X.dense(spark, SF01)
+    sites = X.known_sites_from_reads(dn)
+    plain = B.aligned_bases(dn).join(sites, ["ref_idx", "ref_pos"], "left_anti")
+    got = B.aligned_bases_off_sites(dn, sites, bin_size=bin_size)
+    cols = ["read_id", "ref_idx", "ref_pos", "cyc", "base", "q"]
+    assert rows(got, cols) == rows(plain, cols)
