@@ -83,7 +83,9 @@ def call_variants_from_alignments(
                               ["ref_idx", "ref_pos"], "inner")
         return bases.withColumn("ref_base", ref_base(F.col("ref_pos"), F.col("ref_idx")))
 
-    table = B.recal_table(with_ref(B.aligned_bases(reads)), known_sites)
+    fanned = (B.aligned_bases(reads) if known_sites is None
+              else B.aligned_bases_off_sites(reads, known_sites))
+    table = B.recal_table(with_ref(fanned))
     recal = B.recal_apply(reads, table)
     calls = B.call_variants(B.pileup(with_ref(B.aligned_bases(recal))), min_qual)
     names = broadcast_checked(seq_dict.select("ref_idx", "ref_name"), 1_000_000, "seq_dict")
