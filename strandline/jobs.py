@@ -28,6 +28,7 @@ from .operators import reads as R
 from .operators import regions as G
 from .session import broadcast_checked, materialize
 from .sinks import write_chunks, write_vcf
+from .sources.fasta import chunks_by_index
 from .sources.fastq import read_fastq
 
 
@@ -55,7 +56,9 @@ def call_variants_from_alignments(
     reads on targets that intersect the covered ranges (A6); A11 + J5 recalibration
     table (known sites excluded) and J6 applied; A12 pileup; W5 calls; U1/A4/O4 merge.
     ``ref_base`` gives the reference base of a site: a column function
-    ``f(ref_pos, ref_idx)`` or a table ``ref_idx, ref_pos, ref_base``.  Returns the
+    ``f(ref_pos, ref_idx)``, or reference chunks from
+    :func:`strandline.sources.fasta.read_fasta_chunks` (default bin size), which reach
+    the reads by bin.  Returns the
     calls with ``region, chrom, line``."""
     kept = R.with_alignment_end(R.primary_mapped(aln))
     regions = G.balance_regions(G.reads_per_chrom(kept), n_regions)
@@ -75,19 +78,20 @@ def call_variants_from_alignments(
             on, "ref_idx", ("start0", "end0"), ("bstart", "bend")).drop("start0", "end0")
     reads = materialize(reads, "job_clean_reads")
 
-    def with_ref(bases: DataFrame) -> DataFrame:
-        if ref_base is None:
-            raise ValueError("ref_base is required to call variants")
+    if ref_base is None:
+        raise ValueError("ref_base is required to call variants")
+
+    def fan_out(r: DataFrame, sites: DataFrame | None) -> DataFrame:
+        # bases of r with ref_base; sites and reference chunks reach the reads by bin
         if isinstance(ref_base, DataFrame):
-            return bases.join(ref_base.select("ref_idx", "ref_pos", "ref_base"),
-                              ["ref_idx", "ref_pos"], "inner")
-        return bases.withColumn("ref_base", ref_base(F.col("ref_pos"), F.col("ref_idx")))
+            return B.aligned_bases_binned(r, sites=sites,
+                                          reference=chunks_by_index(ref_base, seq_dict))
+        b = B.aligned_bases(r) if sites is None else B.aligned_bases_binned(r, sites=sites)
+        return b.withColumn("ref_base", ref_base(F.col("ref_pos"), F.col("ref_idx")))
 
-    fanned = (B.aligned_bases(reads) if known_sites is None
-              else B.aligned_bases_off_sites(reads, known_sites))
-    table = B.recal_table(with_ref(fanned))
+    table = B.recal_table(fan_out(reads, known_sites))
     recal = B.recal_apply(reads, table)
-    calls = B.call_variants(B.pileup(with_ref(B.aligned_bases(recal))), min_qual)
+    calls = B.call_variants(B.pileup(fan_out(recal, None)), min_qual)
     names = broadcast_checked(seq_dict.select("ref_idx", "ref_name"), 1_000_000, "seq_dict")
     reg = broadcast_checked(regions.select("ref_idx", "region"), 1_000_000, "regions")
     calls = (calls.join(names, "ref_idx", "inner").join(reg, "ref_idx", "inner")

@@ -54,29 +54,60 @@ def aligned_bases(reads: DataFrame, keep=("read_id", "ref_idx")) -> DataFrame:
                      - F.lit(Q.PHRED_OFFSET)).cast("int").alias("q"))
 
 
-def aligned_bases_off_sites(reads: DataFrame, sites: DataFrame, keep=("read_id", "ref_idx"),
-                            bin_size: int = 1 << 10) -> DataFrame:
-    """J5 without shuffling bases: the aligned bases of ``reads`` that are not at a
-    site of ``sites`` (``ref_idx, ref_pos``).
-
-    Sites are grouped per ``(ref_idx, bin)`` into a position set (at most ``bin_size``
-    entries, so no group is unbounded); every read is paired with the bins it covers
-    (one or two for reads shorter than a bin) by an equi-join - the shuffled rows are
-    reads, not bases - and bases are fanned out per (read, bin) row, keeping those
-    inside the bin and not in its set, so each base is produced exactly once."""
+DEFAULT_BASE_BIN = 1 << 10
+
+
+def aligned_bases_binned(reads: DataFrame, sites: DataFrame | None = None,
+                         reference: DataFrame | None = None, keep=("read_id", "ref_idx"),
+                         bin_size: int = DEFAULT_BASE_BIN) -> DataFrame:
+    """Aligned bases with per-bin context, without shuffling a single base.
+
+    Every read is paired with the bins it covers (one or two for reads shorter than a
+    bin) and joined on ``(ref_idx, bin)`` with
+
+    * ``sites`` (``ref_idx, ref_pos``), grouped per bin into a position set of at most
+      ``bin_size`` entries: bases at those sites are dropped (J5);
+    * ``reference`` chunks (``ref_idx, bin, chunk_start, chunk``, e.g. from
+      :func:`strandline.sources.fasta.read_fasta_chunks` with the same ``bin_size``):
+      each base gets ``ref_base`` from its bin's chunk.
+
+    Both joins share one partitioning of the (read, bin) rows - the shuffled rows are
+    reads, ~20x fewer bytes than bases - and bases are fanned out per (read, bin) row,
+    keeping those inside the bin, so each base is produced exactly once."""
     B = F.lit(bin_size)
-    site_bins = (sites.select("ref_idx", "ref_pos").distinct()
-                 .groupBy("ref_idx", F.floor(F.col("ref_pos") / B).cast("long").alias("_bin"))
-                 .agg(F.collect_list("ref_pos").alias("_sites")))
     end = F.col("pos") + C.aligned_length("cigar") - 1
     rb = reads.withColumn("_bin", F.explode(F.sequence(
         F.floor(F.col("pos") / B).cast("long"), F.floor(F.greatest(end, F.col("pos")) / B)
         .cast("long"))))
-    j = rb.join(site_bins, ["ref_idx", "_bin"], "left")
-    bases = aligned_bases(j, keep=tuple(keep) + ("_bin", "_sites"))
-    inside = F.floor(F.col("ref_pos") / B).cast("long") == F.col("_bin")
-    known = F.coalesce(F.array_contains(F.col("_sites"), F.col("ref_pos")), F.lit(False))
-    return bases.filter(inside & ~known).drop("_bin", "_sites")
+    extra = ["_bin"]
+    if sites is not None:
+        site_bins = (sites.select("ref_idx", "ref_pos").distinct()
+                     .groupBy("ref_idx", F.floor(F.col("ref_pos") / B).cast("long").alias("_bin"))
+                     .agg(F.collect_list("ref_pos").alias("_sites")))
+        rb = rb.join(site_bins, ["ref_idx", "_bin"], "left")
+        extra.append("_sites")
+    if reference is not None:
+        chunks = reference.select("ref_idx", F.col("bin").cast("long").alias("_bin"),
+                                  F.col("chunk_start").alias("_cs"), F.col("chunk").alias("_chunk"))
+        rb = rb.join(chunks, ["ref_idx", "_bin"], "left")
+        extra += ["_cs", "_chunk"]
+    bases = aligned_bases(rb, keep=tuple(keep) + tuple(extra))
+    cond = F.floor(F.col("ref_pos") / B).cast("long") == F.col("_bin")
+    if sites is not None:
+        cond = cond & ~F.coalesce(F.array_contains(F.col("_sites"), F.col("ref_pos")),
+                                  F.lit(False))
+    bases = bases.filter(cond)
+    if reference is not None:
+        bases = bases.withColumn("ref_base", F.upper(F.col("_chunk").substr(
+            (F.col("ref_pos") - F.col("_cs") + 1).cast("int"), F.lit(1))))
+    return bases.drop(*extra)
+
+
+def aligned_bases_off_sites(reads: DataFrame, sites: DataFrame, keep=("read_id", "ref_idx"),
+                            bin_size: int = DEFAULT_BASE_BIN) -> DataFrame:
+    """J5 without shuffling bases: aligned bases not at a known site (see
+    :func:`aligned_bases_binned`)."""
+    return aligned_bases_binned(reads, sites=sites, keep=keep, bin_size=bin_size)
 
 
 def pileup(bases: DataFrame) -> DataFrame:

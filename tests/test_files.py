@@ -101,3 +101,32 @@ def test_write_by_region(spark, tmp_out):
     assert sorted(os.path.basename(p) for p in glob.glob(os.path.join(out, "region=*"))) == \
         ["region=0", "region=1"]
     assert spark.read.parquet(out).filter(F.col("region") == 1).count() == 2
+
+
+def test_fasta_chunks_exact_across_uneven_lines_and_splits(spark, tmp_out):
+    import random
+    from strandline.sources.fasta import read_fasta_chunks
+    rnd = random.Random(7)
+    path = os.path.join(tmp_out, "ref.fa")
+    contigs = {}
+    with open(path, "w") as f:
+        for name, n in [("chr1", 3000), ("chr2", 1), ("chrM", 777), ("chrX", 2048)]:
+            s = "".join(rnd.choice("ACGTN") for _ in range(n))
+            contigs[name] = s
+            f.write(f">{name} description\n")
+            i = 0
+            while i < n:
+                w = rnd.choice([60, 61, 17])
+                f.write(s[i:i + w] + "\n")
+                i += w
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        chunks = read_fasta_chunks(spark, path, bin_size=100).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for r in chunks:
+        assert r.chunk == contigs[r.ref_name][r.chunk_start - 1:r.chunk_start - 1 + len(r.chunk)]
+        assert r.bin == r.chunk_start // 100
+    for name, s in contigs.items():
+        assert sum(len(r.chunk) for r in chunks if r.ref_name == name) == len(s)

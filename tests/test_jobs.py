@@ -49,3 +49,24 @@ def test_variant_job_finds_planted_snps(spark, tmp_out):
     assert set(r.ref_pos for r in got) <= set(r.ref_pos for r in direct.collect()) | \
         set(r.ref_pos for r in got)
     assert calls.filter(F.col("region").isNull()).count() == 0
+
+
+def test_variant_job_with_fasta_reference(spark, tmp_out):
+    from strandline.sources.fasta import read_fasta_chunks
+    path = os.path.join(tmp_out, "genome.fa")
+    names = {i: f"chr{i}" for i in range(1, 23)} | {23: "chrX", 24: "chrY"}
+    with open(path, "w") as f:
+        for i, name in names.items():
+            f.write(f">{name}\n")
+            seq = "".join("ACGT"[((p * p + 3 * p + i) % 7 + p) % 4] for p in range(1, 3101))
+            for k in range(0, len(seq), 70):
+                f.write(seq[k:k + 70] + "\n")
+    dense = X.dense(spark, SF01)
+    sd, sites = X.seq_dict(spark, SF01), X.known_sites_from_reads(dense)
+    by_chunks = jobs.call_variants_from_alignments(
+        dense, sd, 4, ref_base=read_fasta_chunks(spark, path), known_sites=sites)
+    by_formula = jobs.call_variants_from_alignments(
+        dense, sd, 4, ref_base=X.genome_base, known_sites=sites)
+    cols = ["ref_idx", "ref_pos", "ref_base", "alt", "qual", "ad", "dp", "gt"]
+    a = sorted(tuple(r) for r in by_chunks.select(*cols).collect())
+    assert a and a == sorted(tuple(r) for r in by_formula.select(*cols).collect())
