@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.reads import primary_mapped
-from ..operators.regions import balance_regions, reads_per_chrom
+from ..operators.reads import primary_mapped, primary_mapped_condition
+from ..operators.regions import balance_regions, kept_per_chunk, reads_per_chrom
 from ..session import checkpoint_dir
 
 
@@ -35,6 +35,27 @@ def running_reads_per_chrom(stream: DataFrame) -> DataFrame:
     return reads_per_chrom(primary_mapped(stream))
 
 
+def running_kept_per_chunk(stream: DataFrame) -> DataFrame:
+    """A8 on a stream: reads in and reads kept (P2) per arriving chunk file."""
+    return kept_per_chunk(stream, primary_mapped_condition(), "chunk_file")
+
+
+def start_chunk_counts(stream: DataFrame, out: str, name: str = "chunk_counts",
+                       available_now: bool = True) -> StreamingQuery:
+    """Keep per-chunk counts in ``out`` (Parquet, rewritten from the streaming state at
+    every micro-batch; one row per chunk file)."""
+    spark = stream.sparkSession
+    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
+
+    def publish(counts: DataFrame, batch_id: int) -> None:
+        counts.write.mode("overwrite").parquet(out)
+
+    w = (running_kept_per_chunk(stream).writeStream.outputMode("complete")
+         .option("checkpointLocation", ckpt).foreachBatch(publish))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
+
+
 def start_region_table(stream: DataFrame, n: int, out: str, name: str = "regions",
                        available_now: bool = True) -> StreamingQuery:
     """Keep the W1 region table of the reads seen so far in ``out`` (Parquet,

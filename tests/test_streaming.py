@@ -24,3 +24,19 @@ def test_stream_of_chunks_gives_batch_regions(spark, tmp_out):
     want = sorted(tuple(r) for r in G.balance_regions(
         G.reads_per_chrom(X.kept(spark, SF001)), 4).collect())
     assert got == want
+
+
+def test_stream_chunk_counts(spark, tmp_out):
+    from strandline.streaming import start_chunk_counts
+    aln = X.aln(spark, SF001)
+    inbox = os.path.join(tmp_out, "aligned")
+    for c in range(3):
+        aln.filter(F.col("read_id") % 3 == c).coalesce(1).write.parquet(os.path.join(inbox, f"c{c}"))
+    out = os.path.join(tmp_out, "counts")
+    stream = read_alignment_stream(spark, os.path.join(inbox, "*"), aln.schema, max_files_per_trigger=1)
+    q = start_chunk_counts(stream, out, name=f"counts-{os.path.basename(tmp_out)}")
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    assert got.count() == 3
+    tot = got.agg(F.sum("n_reads"), F.sum("n_kept")).first()
+    assert tot[0] == aln.count() and tot[1] == X.kept(spark, SF001).count()
