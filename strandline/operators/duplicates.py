@@ -100,25 +100,32 @@ def mark_duplicates_paired(aln: DataFrame) -> DataFrame:
         F.explode(F.array("_r1", "_r2")).alias("read_id"),
         (F.col("qname") != F.col("_best")).cast("int").alias("_dup_t"))
 
-    # fragments: primary, mapped, not part of a complete template
+    # fragments: primary, mapped, not part of a complete template.  One aggregation per
+    # end sees both the paired ends (markers) and the fragments: "a pair has this end"
+    # and the best fragment come out of the same combinable aggregate
     frag = primary.filter(flag.bitwiseAND(4) == 0).join(
         flagged_t.select("read_id"), "read_id", "left_anti").select(
         "read_id", "qname", "score", end.alias("_end"))
-    paired_ends = tmpl.select(F.explode(F.array("_e1", "_e2")).alias("_end")).distinct()
-    frag_best = frag.groupBy("_end").agg(
-        F.min(F.struct((-F.col("score")).alias("s"), F.col("qname").alias("q"),
-                       F.col("read_id").alias("r")))["r"].alias("_bestf"))
-    frag_f = (frag.join(frag_best, "_end", "inner")
-              .join(paired_ends.withColumn("_hit", F.lit(1)), "_end", "left")
-              .select("read_id", F.when(F.col("_hit") == 1, 1)
-                      .when(F.col("read_id") != F.col("_bestf"), 1).otherwise(0)
-                      .alias("_dup_f")))
-
-    out = (x.join(flagged_t, "read_id", "left").join(frag_f, "read_id", "left")
-           .withColumn("dup", F.coalesce("_dup_t", "_dup_f", F.lit(0)).cast("int")))
+    marks = tmpl.select(F.explode(F.array("_e1", "_e2")).alias("_end"),
+                        F.lit(1).alias("_pair"), F.lit(None).cast("long").alias("score"),
+                        F.lit(None).cast("string").alias("qname"),
+                        F.lit(None).cast("long").alias("read_id"))
+    at_end = frag.select("_end", F.lit(0).alias("_pair"), "score", "qname", "read_id") \
+        .unionByName(marks).groupBy("_end").agg(
+            F.max("_pair").alias("_hit"),
+            F.min(F.when(F.col("_pair") == 0, F.struct(
+                (-F.col("score")).alias("s"), F.col("qname").alias("q"),
+                F.col("read_id").alias("r"))))["r"].alias("_bestf"))
+    frag_f = frag.join(at_end, "_end", "inner").select(
+        "read_id", F.when((F.col("_hit") == 1) | (F.col("read_id") != F.col("_bestf")), 1)
+        .otherwise(0).alias("_dup"))
+
+    flags = flagged_t.select("read_id", F.col("_dup_t").alias("_dup")).unionByName(frag_f)
+    out = (x.join(flags, "read_id", "left")
+           .withColumn("dup", F.coalesce("_dup", F.lit(0)).cast("int")))
     return (out.withColumn("flag", F.when(F.col("dup") == 1, flag.bitwiseOR(FLAG_DUPLICATE))
                            .otherwise(flag))
-            .drop("_p5", "_dup_t", "_dup_f"))
+            .drop("_p5", "_dup"))
 
 
 def duplicate_metrics(flagged: DataFrame, by=("library",)) -> DataFrame:
