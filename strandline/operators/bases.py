@@ -145,9 +145,13 @@ def recal_table(bases: DataFrame, known_sites: DataFrame | None = None,
                 by=("q", "cyc")) -> DataFrame:
     """A11 + J5: per covariate (reported quality, cycle) the observed bases, the
     mismatches against the reference, and the empirical quality
-    ``round(-10 * log10((mism + 1) / (obs + 2)))``; bases at known variant sites are
-    excluded first by an anti-join (AQE broadcasts the site table when it measures
-    small, else it is a shuffle anti-join)."""
+    ``round(-10 * log10((mism + 1) / (obs + 2)))``.  The aggregation is combined
+    map-side, so only (quality, cycle) partials are shuffled.
+
+    Known sites are best removed before, while bases are fanned out
+    (:func:`aligned_bases_off_sites`: reads, not bases, are shuffled).  ``known_sites``
+    here is the plain form - a base-level anti-join - for inputs that are already
+    base tables."""
     b = bases
     if known_sites is not None:
         b = b.join(known_sites.select("ref_idx", "ref_pos"), ["ref_idx", "ref_pos"], "left_anti")

@@ -42,7 +42,7 @@ def read_fasta_chunks(spark: SparkSession, path: str, bin_size: int = 1 << 10) -
     offs = broadcast_checked(splits.select(
         "_f", "_b", "_m0", "_c", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_loff"),
         F.coalesce(F.sum("_chars").over(wo), F.lit(0)).alias("_coff")), MAX_SPLITS, "fasta_splits")
-    n_lines = offs.agg(F.max(F.col("_loff") + F.col("_c"))).first()[0] or 0
+    n_lines = offs.agg(F.coalesce(F.max(F.col("_loff") + F.col("_c")), F.lit(0))).scalar()
     ws = Window.partitionBy("_f", "_b").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
     x = lines.join(offs, ["_f", "_b"], "inner").select(
         (F.col("_loff") + F.col("_mid") - F.col("_m0")).alias("_idx"), "value", "_len",
@@ -55,7 +55,7 @@ def read_fasta_chunks(spark: SparkSession, path: str, bin_size: int = 1 << 10) -
     # exploded over the line buckets it spans (a small table: contigs + lines / K), so a
     # line meets, by an equi-join on its bucket, only the contigs that touch the bucket
     wn = Window.orderBy("_hidx")
-    hdr = hdr.withColumn("_next", F.coalesce(F.lead("_hidx").over(wn), F.lit(n_lines)))
+    hdr = hdr.withColumn("_next", F.coalesce(F.lead("_hidx").over(wn), n_lines))
     K = F.lit(LINE_BUCKET)
     hb = hdr.withColumn("_bk", F.explode(F.sequence(
         F.floor(F.col("_hidx") / K).cast("long"), F.floor((F.col("_next") - 1) / K).cast("long"))))
