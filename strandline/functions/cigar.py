@@ -20,12 +20,18 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def named(**fields: Column) -> Column:
+    """A struct with explicit field names (``named_struct``); inside lambdas this keeps
+    the names where aliases on ``struct`` children can be lost during analysis."""
+    return F.named_struct(*[x for k, v in fields.items() for x in (F.lit(k), v)])
+
+
 def cigar_array(cigar) -> Column:
     """``array<struct<n: bigint, op: string>>`` in CIGAR order."""
     toks = F.regexp_extract_all(_c(cigar), F.lit(_TOKEN), 1)
-    return F.transform(toks, lambda t: F.struct(
-        t.substr(F.lit(1), F.length(t) - 1).cast("long").alias("n"),
-        t.substr(F.length(t), F.lit(1)).alias("op")))
+    return F.transform(toks, lambda t: named(
+        n=t.substr(F.lit(1), F.length(t) - 1).cast("long"),
+        op=t.substr(F.length(t), F.lit(1))))
 
 
 def _ref_len(o: Column) -> Column:
@@ -41,10 +47,10 @@ def cigar_with_offsets(cigar) -> Column:
     reference bases and read bases consumed by operations ``0..k-1``."""
     ops = cigar_array(cigar)
     zero = F.lit(0).cast("long")
-    return F.transform(ops, lambda o, i: F.struct(
-        i.alias("k"), o["op"].alias("op"), o["n"].alias("n"),
-        F.aggregate(F.slice(ops, 1, i), zero, lambda a, p: a + _ref_len(p)).alias("ref_off"),
-        F.aggregate(F.slice(ops, 1, i), zero, lambda a, p: a + _query_len(p)).alias("read_off")))
+    return F.transform(ops, lambda o, i: named(
+        k=i, op=o["op"], n=o["n"],
+        ref_off=F.aggregate(F.slice(ops, 1, i), zero, lambda a, p: a + _ref_len(p)),
+        read_off=F.aggregate(F.slice(ops, 1, i), zero, lambda a, p: a + _query_len(p))))
 
 
 def aligned_length(cigar) -> Column:

@@ -46,7 +46,7 @@ def call_variants_from_alignments(
         aln: DataFrame, seq_dict: DataFrame, n_regions: int, out: str | None = None,
         ref_base: Callable[[Column, Column], Column] | DataFrame | None = None,
         known_sites: DataFrame | None = None, targets: DataFrame | None = None,
-        min_qual: int = 30, single_file: bool = False,
+        min_qual: int = 30, single_file: bool = False, recal_per_region: bool = False,
         mode: str = "errorifexists") -> DataFrame:
     """Aligned reads (``read_id, qname, flag, ref_idx, pos, mapq, cigar, seq, qual``)
     -> variant calls, written as one ordered VCF body when ``out`` is given.
@@ -54,7 +54,8 @@ def call_variants_from_alignments(
     Steps: P2 filter; A2 + W1 + J2 regions (kept as a column for per-region output);
     J7 + P7 clean-up; W2 duplicates removed; P8 read group; optionally J3 + J4 - keep
     reads on targets that intersect the covered ranges (A6); A11 + J5 recalibration
-    table (known sites excluded) and J6 applied; A12 pileup; W5 calls; U1/A4/O4 merge.
+    table (known sites excluded; per region with ``recal_per_region``) and J6
+    applied; A12 pileup; W5 calls; U1/A4/O4 merge.
     ``ref_base`` gives the reference base of a site: a column function
     ``f(ref_pos, ref_idx)``, or reference chunks from
     :func:`strandline.sources.fasta.read_fasta_chunks` (default bin size), which reach
@@ -81,16 +82,21 @@ def call_variants_from_alignments(
     if ref_base is None:
         raise ValueError("ref_base is required to call variants")
 
+    keep = ("read_id", "ref_idx", "region")
+
     def fan_out(r: DataFrame, sites: DataFrame | None) -> DataFrame:
         # bases of r with ref_base; sites and reference chunks reach the reads by bin
         if isinstance(ref_base, DataFrame):
-            return B.aligned_bases_binned(r, sites=sites,
+            return B.aligned_bases_binned(r, sites=sites, keep=keep,
                                           reference=chunks_by_index(ref_base, seq_dict))
-        b = B.aligned_bases(r) if sites is None else B.aligned_bases_binned(r, sites=sites)
+        b = (B.aligned_bases(r, keep=keep) if sites is None
+             else B.aligned_bases_binned(r, sites=sites, keep=keep))
         return b.withColumn("ref_base", ref_base(F.col("ref_pos"), F.col("ref_idx")))
 
-    table = B.recal_table(fan_out(reads, known_sites))
-    recal = B.recal_apply(reads, table)
+    # one table for all regions, or one per region as the original builds them
+    by = ("region", "q", "cyc") if recal_per_region else ("q", "cyc")
+    table = B.recal_table(fan_out(reads, known_sites), by=by)
+    recal = B.recal_apply(reads, table, group="region" if recal_per_region else None)
     calls = B.call_variants(B.pileup(fan_out(recal, None)), min_qual)
     names = broadcast_checked(seq_dict.select("ref_idx", "ref_name"), 1_000_000, "seq_dict")
     reg = broadcast_checked(regions.select("ref_idx", "region"), 1_000_000, "regions")

@@ -159,24 +159,29 @@ def recal_table(bases: DataFrame, known_sites: DataFrame | None = None,
     g = b.groupBy(*by).agg(F.count(F.lit(1)).alias("obs"), mism.alias("mism"))
     emp = F.round(-10 * F.log10((F.col("mism") + 1) / (F.col("obs") + F.lit(2.0)))).cast("int")
     out = g.withColumn("emp_q", emp)
-    if list(by) == ["q", "cyc"]:
+    if "q" in by:
         out = out.withColumnRenamed("q", "reported_q")
     return out
 
 
-def recal_apply(reads: DataFrame, table: DataFrame) -> DataFrame:
+def recal_apply(reads: DataFrame, table: DataFrame, group: str | None = None) -> DataFrame:
     """Recalibrate base qualities.  Every aligned base (M, =, X) whose
-    ``(quality, cycle)`` is in the table gets the table's empirical quality; bases in
-    insertions and soft clips, and covariates missing from the table, keep theirs.
-
-    The table has one row per covariate - bounded by qualities x read length, not by
-    the data - and its size is checked before it is turned into a map literal; the
-    reads are then rewritten by a per-row expression: no explode, no shuffle, no
+    ``(quality, cycle)`` - or ``(group, quality, cycle)`` when the table was built per
+    ``group``, e.g. per region as the original does - is in the table gets the table's
+    empirical quality; bases in insertions and soft clips, and covariates missing from
+    the table, keep theirs.
+
+    The table has one row per covariate - bounded by groups x qualities x read length,
+    not by the data - and its size is checked before it is turned into a map literal;
+    the reads are then rewritten by a per-row expression: no explode, no shuffle, no
     regrouping of bases."""
-    rows = collect_checked(table.select("reported_q", "cyc", "emp_q"), MAX_RECAL_ROWS,
-                           "recalibration table")
-    keys = [int(r["cyc"]) * 128 + int(r["reported_q"]) for r in rows]
+    cols = ([group] if group else []) + ["reported_q", "cyc", "emp_q"]
+    rows = collect_checked(table.select(*cols), MAX_RECAL_ROWS, "recalibration table")
+    # composite key: group << 27 | cycle << 7 | quality (qualities < 128, cycles < 2^20)
+    keys = [(int(r[group]) << 27 if group else 0) + int(r["cyc"]) * 128 + int(r["reported_q"])
+            for r in rows]
     vals = [int(r["emp_q"]) for r in rows]
+    base_key = (F.col(group).cast("long") * (1 << 27)) if group else F.lit(0).cast("long")
     if keys:
         lookup = F.map_from_arrays(F.lit(keys).cast("array<bigint>"),
                                    F.lit(vals).cast("array<int>"))
@@ -186,7 +191,7 @@ def recal_apply(reads: DataFrame, table: DataFrame) -> DataFrame:
     scores = Q.phred("qual")
     new = F.transform(scores, lambda x, i: F.when(
         F.coalesce(F.get(aligned, i), F.lit(False)),
-        F.coalesce(F.element_at(lookup, i.cast("long") * 128 + x.cast("long")), x))
+        F.coalesce(F.element_at(lookup, base_key + i.cast("long") * 128 + x.cast("long")), x))
         .otherwise(x))
     return reads.withColumn("qual", F.when(scores.isNull(), F.col("qual"))
                             .otherwise(Q.phred_text(new)))

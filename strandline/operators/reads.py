@@ -113,9 +113,7 @@ def _clip_ops(cigar: Column, pos: Column, ref_length: Column) -> Column:
                 .when(o["op"] == "H", o["n"])
                 .when(o["ref_off"] < limit, o["n"]).otherwise(zero))
 
-    kept = F.transform(ops, lambda o: F.struct(o["k"].alias("k"), o["op"].alias("op"),
-                                               keep_n(o).alias("n"),
-                                               o["n"].alias("full")))
+    kept = F.transform(ops, lambda o: C.named(k=o["k"], op=o["op"], n=keep_n(o), full=o["n"]))
     clipped_q = F.aggregate(kept, zero, lambda a, o: a + F.when(
         o["op"].isin(C.QUERY_CONSUMING), o["full"] - o["n"]).otherwise(zero))
     nonzero = F.filter(kept, lambda o: o["n"] > 0)
@@ -126,10 +124,9 @@ def _clip_ops(cigar: Column, pos: Column, ref_length: Column) -> Column:
     trailing_s = F.filter(body, lambda o: (o["op"] == "S") & (o["k"] > last_q))
     body = F.filter(body, lambda o: ~((o["op"] == "S") & (o["k"] > last_q)))
     tail = F.aggregate(trailing_s, clipped_q, lambda a, o: a + o["n"])
-    out = F.transform(body, lambda o: F.struct(o["n"].alias("n"), o["op"].alias("op")))
-    return F.when(clipped_q > 0, F.concat(out, F.array(F.struct(
-        tail.alias("n"), F.lit("S").alias("op"))))).otherwise(
-        F.transform(ops, lambda o: F.struct(o["n"].alias("n"), o["op"].alias("op"))))
+    out = F.transform(body, lambda o: C.named(n=o["n"], op=o["op"]))
+    return F.when(clipped_q > 0, F.concat(out, F.array(C.named(n=tail, op=F.lit("S"))))) \
+        .otherwise(F.transform(ops, lambda o: C.named(n=o["n"], op=o["op"])))
 
 
 def clean_alignments(aln: DataFrame, ref_length: str = "ref_length") -> DataFrame:

@@ -83,3 +83,25 @@ def test_binned_site_exclusion_equals_anti_join(spark, bin_size):
     got = B.aligned_bases_off_sites(dn, sites, bin_size=bin_size)
     cols = ["read_id", "ref_idx", "ref_pos", "cyc", "base", "q"]
     assert rows(got, cols) == rows(plain, cols)
+
+
+def test_per_region_recal_apply_equals_explode_join(spark):
+    from strandline.functions import cigar as C
+    from strandline.operators import bases as B
+    dn = X.dense(spark, SF01)
+    reg = G.balance_regions(G.reads_per_chrom(dn), 4)
+    reads = G.assign_regions(dn, reg)
+    bases = X.bases_with_ref(B.aligned_bases(reads, keep=("read_id", "ref_idx", "region")))
+    table = B.recal_table(bases, by=("region", "q", "cyc"))
+    got = rows(B.recal_apply(reads, table, group="region"), ["read_id", "qual"])
+    # plain form: one row per read offset, join the table, rebuild the string in order
+    pos = reads.select("read_id", "region", "qual", C.aligned_offsets("cigar").alias("al"),
+                       F.posexplode(F.split("qual", "")).alias("i", "c"))
+    j = pos.join(table, (pos["region"] == table["region"]) & (pos["i"] == table["cyc"])
+                 & ((F.ascii("c") - 33) == table["reported_q"]), "left")
+    newq = F.when(F.get(F.col("al"), F.col("i")) & F.col("emp_q").isNotNull(),
+                  F.col("emp_q")).otherwise(F.ascii("c") - 33)
+    plain = j.groupBy("read_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("i", F.chr(newq + 33).alias("ch")))),
+        lambda s: s["ch"]), "").alias("qual"))
+    assert got == rows(plain, ["read_id", "qual"])
