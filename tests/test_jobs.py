@@ -70,3 +70,49 @@ def test_variant_job_with_fasta_reference(spark, tmp_out):
     cols = ["ref_idx", "ref_pos", "ref_base", "alt", "qual", "ad", "dp", "gt"]
     a = sorted(tuple(r) for r in by_chunks.select(*cols).collect())
     assert a and a == sorted(tuple(r) for r in by_formula.select(*cols).collect())
+
+
+def test_command_line_runs_both_jobs(spark, tmp_out):
+    from strandline.__main__ import main
+    from strandline.sources.alignments import write_alignments
+    d = os.path.join(tmp_out, "in")
+    os.makedirs(d)
+    for m in (1, 2):
+        with open(os.path.join(d, f"fastq{m}.fq"), "w") as f:
+            for i in range(10):
+                f.write(f"@r{i}/{m}\nACGT\n+\nIIII\n")
+    main(["chunk", "2", d, os.path.join(tmp_out, "chunks")])
+    assert len(glob.glob(os.path.join(tmp_out, "chunks", "*.gz"))) == 2
+
+    dense = X.dense(spark, SF01)
+    write_alignments(dense.drop("end_pos"), os.path.join(tmp_out, "aln"), num_partitions=4)
+    sd = sorted(tuple(r) for r in X.seq_dict(spark, SF01).collect())
+    with open(os.path.join(tmp_out, "ref.dict"), "w") as f:
+        f.write("@HD\tVN:1.6\n")
+        f.writelines(f"@SQ\tSN:{name}\tLN:{length}\n" for _, name, length in sd)
+    with open(os.path.join(tmp_out, "ref.fa"), "w") as f:
+        for i, name, _ in sd:
+            f.write(f">{name}\n")
+            seq = "".join("ACGT"[((p * p + 3 * p + i) % 7 + p) % 4] for p in range(1, 3101))
+            f.writelines(seq[k:k + 60] + "\n" for k in range(0, len(seq), 60))
+    names = {i: n for i, n, _ in sd}
+    sites = X.known_sites_from_reads(dense).collect()
+    with open(os.path.join(tmp_out, "sites.vcf"), "w") as f:
+        f.write("##fileformat=VCFv4.2\n")
+        f.writelines(f"{names[r.ref_idx]}\t{r.ref_pos}\t.\tN\t.\n" for r in sites)
+    with open(os.path.join(tmp_out, "targets.bed"), "w") as f:
+        f.write("track name=t\n")
+        f.writelines(f"{names[c]}\t0\t1500\n" for c in range(1, 25))
+    out = os.path.join(tmp_out, "vcf")
+    main(["call", "4", os.path.join(tmp_out, "aln"), os.path.join(tmp_out, "ref.dict"),
+          os.path.join(tmp_out, "ref.fa"), out, "--known-sites", os.path.join(tmp_out, "sites.vcf"),
+          "--targets", os.path.join(tmp_out, "targets.bed"), "--per-region", "--single-file"])
+    (f,) = glob.glob(os.path.join(out, "part-*"))
+    lines = open(f).read().splitlines()
+    assert lines and all(int(ln.split("\t")[1]) <= 1500 + 34 for ln in lines)
+    direct = jobs.call_variants_from_alignments(
+        dense, X.seq_dict(spark, SF01), 4, ref_base=X.genome_base,
+        known_sites=X.known_sites_from_reads(dense), recal_per_region=True,
+        targets=spark.createDataFrame([(c, 0, 1500) for c in range(1, 25)],
+                                      "ref_idx int, bstart long, bend long"))
+    assert sorted(lines) == sorted(r.line for r in direct.collect())
