@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cigar import named
 from ..functions.quality import shift_quality_text
 from ..operators import reads as R
 from ..session import spread
@@ -136,23 +137,25 @@ def paired(spark: SparkSession, d: str) -> DataFrame:
     lost = rid % 11 == 0
     mate_rev_1 = F.when(s2 == 16, 32).otherwise(0)
     mate_rev_2 = F.when(s1 == 16, 32).otherwise(0)
-    cols = ["read_id", "qname", "flag", "ref_idx", "pos", "mapq", "cigar", "ref_len", "seq",
-            "qual", "end_pos"]
-    e1 = k.withColumn("flag", (F.lit(1 + 64) + s1 + mate_rev_1 + F.when(lost, 8).otherwise(0))
-                      .cast("int")).select(*cols)
-    pos2 = F.col("pos") + 150 + (rid % 7) * 10
-    e2 = k.select((rid + MATE_ID_OFFSET).alias("read_id"), "qname",
-                  (F.lit(1 + 128) + s2 + mate_rev_2 + F.when(lost, 4).otherwise(0))
-                  .cast("int").alias("flag"),
-                  "ref_idx", pos2.alias("pos"), "mapq", F.lit("32M").alias("cigar"),
-                  F.lit(32).cast("long").alias("ref_len"), F.reverse("seq").alias("seq"),
-                  F.reverse("qual").alias("qual"), (pos2 + 31).alias("end_pos"))
-    sec = k.filter(rid % 13 == 0).select(
-        (rid + 2 * MATE_ID_OFFSET).alias("read_id"), "qname",
-        (F.lit(1 + 64 + 256) + s1 + mate_rev_1).cast("int").alias("flag"), "ref_idx",
-        (F.col("pos") + 5000).alias("pos"), "mapq", "cigar", "ref_len", "seq", "qual",
-        (F.col("end_pos") + 5000).alias("end_pos"))
-    return e1.unionByName(e2).unionByName(sec)
+    pos, cig, rl, seq, qual, end = (F.col(c) for c in
+                                    ("pos", "cigar", "ref_len", "seq", "qual", "end_pos"))
+    pos2 = pos + 150 + (rid % 7) * 10
+    # the records of one kept read: end 1, end 2 and (some reads) a secondary alignment
+    records = F.array(
+        named(read_id=rid, flag=(F.lit(1 + 64) + s1 + mate_rev_1
+                                 + F.when(lost, 8).otherwise(0)).cast("int"),
+              pos=pos, cigar=cig, ref_len=rl, seq=seq, qual=qual, end_pos=end),
+        named(read_id=rid + MATE_ID_OFFSET,
+              flag=(F.lit(1 + 128) + s2 + mate_rev_2 + F.when(lost, 4).otherwise(0)).cast("int"),
+              pos=pos2, cigar=F.lit("32M"), ref_len=F.lit(32).cast("long"), seq=F.reverse(seq),
+              qual=F.reverse(qual), end_pos=pos2 + 31),
+        named(read_id=rid + 2 * MATE_ID_OFFSET,
+              flag=(F.lit(1 + 64 + 256) + s1 + mate_rev_1).cast("int"),
+              pos=pos + 5000, cigar=cig, ref_len=rl, seq=seq, qual=qual, end_pos=end + 5000))
+    records = F.filter(records, lambda r: (r["flag"].bitwiseAND(256) == 0) | (rid % 13 == 0))
+    x = k.select("qname", "ref_idx", "mapq", F.explode(records).alias("_r"))
+    return x.select("_r.read_id", "qname", "_r.flag", "ref_idx", "_r.pos", "mapq", "_r.cigar",
+                    "_r.ref_len", "_r.seq", "_r.qual", "_r.end_pos")
 
 
 def genome_base(p: Column, ref_idx: Column) -> Column:
