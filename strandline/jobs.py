@@ -72,7 +72,7 @@ def call_variants_from_alignments(
         ranges = I.covered_ranges(reads).select(
             "ref_idx", (F.col("start_pos") - 1).alias("start0"), F.col("end_pos").alias("end0"))
         on = I.interval_intersect(targets, ranges, "ref_idx", ("bstart", "bend"),
-                                  ("start0", "end0")).select(
+                                  ("start0", "end0"), bin_size=None).select(
             "ref_idx", F.col("istart").alias("bstart"), F.col("iend").alias("bend"))
         reads = I.interval_restrict(
             reads.withColumn("start0", F.col("pos") - 1).withColumn("end0", F.col("end_pos")),

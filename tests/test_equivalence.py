@@ -105,3 +105,13 @@ def test_per_region_recal_apply_equals_explode_join(spark):
         F.array_sort(F.collect_list(F.struct("i", F.chr(newq + 33).alias("ch")))),
         lambda s: s["ch"]), "").alias("qual"))
     assert got == rows(plain, ["read_id", "qual"])
+
+
+def test_adaptive_join_bin(spark):
+    bed = X.bed(spark, SF01)
+    isl = I.covered_ranges(X.kept(spark, SF01)).select(
+        "ref_idx", (F.col("start_pos") - 1).alias("start0"), F.col("end_pos").alias("end0"))
+    b = I.choose_bin_size((bed, "bstart", "bend"), (isl, "start0", "end0"))
+    assert b & (b - 1) == 0 and 64 <= b <= 4096       # a power of two near the lengths
+    got = I.interval_intersect(bed, isl, bin_size=None)
+    assert got.count() == 2377
