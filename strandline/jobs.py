@@ -37,9 +37,10 @@ def chunk_fastq(spark: SparkSession, fastq1: str, fastq2: str, out: str, n: int,
     """Mates of ``fastq1`` / ``fastq2`` (same ordinal = same template) -> ``n`` gzip
     text files in ``out``, chunk ``i`` holding the ``i``-th run of pairs, mate 1 then
     mate 2 per pair.  Returns the chunk assignment (``chunk, record_id, value``)."""
-    r1 = P.group_records(read_fastq(spark, fastq1))
-    r2 = P.group_records(read_fastq(spark, fastq2))
-    return write_chunks(P.pair_mates(r1, r2), out, n, mode)
+    l1, l2 = read_fastq(spark, fastq1), read_fastq(spark, fastq2)
+    pairs = P.pair_mates(P.group_records(l1), P.group_records(l2))
+    # the pair count from line counts: the pairs are never written twice
+    return write_chunks(pairs, out, n, mode, total=P.pair_count(l1, l2))
 
 
 def call_variants_from_alignments(

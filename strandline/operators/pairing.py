@@ -44,11 +44,22 @@ def interleaved_text(pairs: DataFrame) -> Column:
     return F.concat_ws("\n", *[F.col(f"{f}{m}") for m in (1, 2) for f in FASTQ_FIELDS])
 
 
-def assign_chunks(pairs: DataFrame, n: int) -> DataFrame:
+def pair_count(lines1: DataFrame, lines2: DataFrame) -> Column:
+    """The number of mate pairs, from the two line sources alone (no join): record ids
+    are contiguous per file, so the inner join keeps ``min`` of the record counts,
+    each ``ceil(lines / 4)``.  A scalar subquery column."""
+    def records(lines: DataFrame) -> Column:
+        return lines.agg(((F.count(F.lit(1)) + 3) / 4).cast("long")).scalar()
+    return F.least(records(lines1), records(lines2))
+
+
+def assign_chunks(pairs: DataFrame, n: int, total: Column | None = None) -> DataFrame:
     """K1/O1 assignment: ``chunk = record_id * n div total`` over the pair count, so
-    ``n`` contiguous, equal (+-1) runs of the ordinal.  ``total`` is a scalar subquery,
+    ``n`` contiguous, equal (+-1) runs of the ordinal.  ``total`` is a scalar subquery
+    (by default the count of ``pairs``; :func:`pair_count` gets it from the inputs),
     planned with the query instead of collected by hand."""
-    total = pairs.agg(F.count(F.lit(1))).scalar()
+    if total is None:
+        total = pairs.agg(F.count(F.lit(1))).scalar()
     scaled = F.col("record_id") * F.lit(n)
     # integer division: (a - a mod total) / total is an exact multiple, so no rounding
     chunk = ((scaled - F.pmod(scaled, total)) / total).cast("long").cast("int")

@@ -95,7 +95,9 @@ def mate_pairs(spark, d):
 
 
 def fastq_chunks(spark, d):
-    return P.assign_chunks(_pairs(spark, d), NUM_CHUNKS)
+    # the pair count from the line sources (a count, no second join)
+    lines = [X.fastq_lines(X.mate_reads(spark, d, m), m) for m in (1, 2)]
+    return P.assign_chunks(_pairs(spark, d), NUM_CHUNKS, P.pair_count(*lines))
 
 
 def alignment_end(spark, d):

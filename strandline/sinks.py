@@ -3,23 +3,27 @@ The default save mode is ``errorifexists``; ``mode="overwrite"`` replaces a fold
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .operators.pairing import assign_chunks
 from .session import materialize
 
 
-def write_chunks(pairs: DataFrame, out: str, n: int, mode: str = "errorifexists") -> DataFrame:
+def write_chunks(pairs: DataFrame, out: str, n: int, mode: str = "errorifexists",
+                 total: Column | None = None) -> DataFrame:
     """K1: ``n`` gzip text files of interleaved pairs (mate 1 then mate 2, 8 lines per
     pair), chunk ``i`` holding the ``i``-th contiguous run of ordinals, ordered.
 
     ``repartitionById`` sends chunk ``i`` to partition ``i`` (one task, one file per
     non-empty chunk) and the sort inside it restores ordinal order: no global sort,
-    no sampling job.  Pairs are written once to the checkpoint folder first so the
+    no sampling job.  The pair count comes from ``total`` when the caller knows it
+    from the inputs (:func:`strandline.operators.pairing.pair_count`: a line count, no
+    join); otherwise the pairs are written once to the checkpoint folder so that the
     count and the write read the same materialised pairs.  Returns the assignment."""
-    p = materialize(pairs, "pairs")
-    a = assign_chunks(p, n)
+    if total is None:
+        pairs = materialize(pairs, "pairs")
+    a = assign_chunks(pairs, n, total)
     (a.repartitionById(n, F.col("chunk")).sortWithinPartitions("record_id")
      .select("value").write.mode(mode).option("compression", "gzip").text(out))
     return a

@@ -130,3 +130,17 @@ def test_fasta_chunks_exact_across_uneven_lines_and_splits(spark, tmp_out):
         assert r.bin == r.chunk_start // 100
     for name, s in contigs.items():
         assert sum(len(r.chunk) for r in chunks if r.ref_name == name) == len(s)
+
+
+def test_pair_count_from_lines_matches_join(spark, tmp_out):
+    d = os.path.join(tmp_out, "pc")
+    os.makedirs(d)
+    write_fastq(os.path.join(d, "a.fq"), range(37), 1)
+    write_fastq(os.path.join(d, "b.fq"), range(41), 2)
+    l1 = FQ.read_fastq(spark, os.path.join(d, "a.fq"))
+    l2 = FQ.read_fastq(spark, os.path.join(d, "b.fq"))
+    pairs = P.pair_mates(P.group_records(l1), P.group_records(l2))
+    assert pairs.select(P.pair_count(l1, l2)).first()[0] == pairs.count() == 37
+    a = P.assign_chunks(pairs, 4, P.pair_count(l1, l2))
+    b = P.assign_chunks(pairs, 4)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
