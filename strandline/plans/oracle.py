@@ -262,6 +262,12 @@ FROM (
 GROUP BY ref_idx, g""")
     q["pileup"] = W(["x_pileup"], "SELECT ref_idx, ref_pos, ref_base, base, depth, qsum FROM x_pileup")
     q["recal_table"] = W(["x_recal"], "SELECT reported_q, cyc, obs, mism, emp_q FROM x_recal")
+    q["recal_table_by_region"] = W(["bases", "known_sites", "x_regions"], """SELECT r.region, b.q AS reported_q, b.cyc, count(*) AS obs,
+ CAST(sum(CASE WHEN b.base <> b.ref_base THEN 1 ELSE 0 END) AS BIGINT) AS mism,
+ CAST(round(-10*log10((sum(CASE WHEN b.base <> b.ref_base THEN 1 ELSE 0 END)+1)/(count(*)+2e0))) AS INT) AS emp_q
+FROM bases b JOIN x_regions r USING (ref_idx)
+WHERE NOT EXISTS (SELECT 1 FROM known_sites k WHERE k.ref_idx = b.ref_idx AND k.ref_pos = b.ref_pos)
+GROUP BY r.region, b.q, b.cyc""")
     q["recal_apply"] = W(["dense", "bases", "x_recal"], """SELECT p.read_id,
  string_agg(chr(CAST(CASE WHEN b.read_id IS NOT NULL AND r.emp_q IS NOT NULL THEN r.emp_q
    ELSE ascii(substr(p.qual, p.i + 1, 1)) - 33 END + 33 AS INT)), '' ORDER BY p.i) AS qual

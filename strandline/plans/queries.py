@@ -262,6 +262,18 @@ def _recal(spark, d):
     return B.recal_table(X.bases_with_ref(B.aligned_bases_off_sites(dn, sites)))
 
 
+def recal_table_by_region(spark, d):
+    """A11 per region, as the original builds one table per region."""
+    dn = X.dense(spark, d)
+    reads = G.assign_regions(dn, _regions(spark, d))
+    sites = TF.read_known_sites(X.known_sites_lines(spark, d, X.known_sites_from_reads(dn)),
+                                X.seq_dict(spark, d))
+    bases = X.bases_with_ref(B.aligned_bases_off_sites(
+        reads, sites, keep=("read_id", "ref_idx", "region")))
+    return B.recal_table(bases, by=("region", "q", "cyc")).select(
+        "region", "reported_q", "cyc", "obs", "mism", "emp_q")
+
+
 def recal_table(spark, d):
     return _recal(spark, d).select("reported_q", "cyc", "obs", "mism", "emp_q")
 
@@ -321,7 +333,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     read_groups, kept_per_chunk, coordinate_sort,
     mark_duplicates, mark_duplicates_paired, duplicate_metrics,
     cigar_ops, clean_alignments, indel_targets, pileup,
-    recal_table, recal_apply, call_variants, merge_variants,
+    recal_table, recal_table_by_region, recal_apply, call_variants, merge_variants,
     map_chunks, map_regions,
 ]}
 
