@@ -133,6 +133,12 @@ _v("x_recal", ["bases", "known_sites"], """SELECT q AS reported_q, cyc, count(*)
  CAST(round(-10*log10((sum(CASE WHEN base<>ref_base THEN 1 ELSE 0 END)+1)/(count(*)+2e0))) AS INT) AS emp_q
 FROM bases b WHERE NOT EXISTS (SELECT 1 FROM known_sites k WHERE k.ref_idx=b.ref_idx AND k.ref_pos=b.ref_pos)
 GROUP BY q, cyc""")
+_v("x_recal_region", ["bases", "known_sites", "x_regions"], """SELECT r.region, b.q AS reported_q, b.cyc, count(*) AS obs,
+ CAST(sum(CASE WHEN b.base <> b.ref_base THEN 1 ELSE 0 END) AS BIGINT) AS mism,
+ CAST(round(-10*log10((sum(CASE WHEN b.base <> b.ref_base THEN 1 ELSE 0 END)+1)/(count(*)+2e0))) AS INT) AS emp_q
+FROM bases b JOIN x_regions r USING (ref_idx)
+WHERE NOT EXISTS (SELECT 1 FROM known_sites k WHERE k.ref_idx = b.ref_idx AND k.ref_pos = b.ref_pos)
+GROUP BY r.region, b.q, b.cyc""")
 _v("x_calls", ["x_pileup"], """SELECT ref_idx, ref_pos, ref_base, base AS alt, qsum AS qual, depth AS ad, dp, CASE WHEN depth*5 >= dp*4 THEN '1/1' ELSE '0/1' END AS gt
 FROM (SELECT *, CAST(sum(depth) OVER (PARTITION BY ref_idx, ref_pos) AS BIGINT) AS dp,
   row_number() OVER (PARTITION BY ref_idx, ref_pos ORDER BY CASE WHEN base=ref_base THEN 1 ELSE 0 END, qsum DESC, base) AS rk FROM x_pileup) t
@@ -262,12 +268,16 @@ FROM (
 GROUP BY ref_idx, g""")
     q["pileup"] = W(["x_pileup"], "SELECT ref_idx, ref_pos, ref_base, base, depth, qsum FROM x_pileup")
     q["recal_table"] = W(["x_recal"], "SELECT reported_q, cyc, obs, mism, emp_q FROM x_recal")
-    q["recal_table_by_region"] = W(["bases", "known_sites", "x_regions"], """SELECT r.region, b.q AS reported_q, b.cyc, count(*) AS obs,
- CAST(sum(CASE WHEN b.base <> b.ref_base THEN 1 ELSE 0 END) AS BIGINT) AS mism,
- CAST(round(-10*log10((sum(CASE WHEN b.base <> b.ref_base THEN 1 ELSE 0 END)+1)/(count(*)+2e0))) AS INT) AS emp_q
-FROM bases b JOIN x_regions r USING (ref_idx)
-WHERE NOT EXISTS (SELECT 1 FROM known_sites k WHERE k.ref_idx = b.ref_idx AND k.ref_pos = b.ref_pos)
-GROUP BY r.region, b.q, b.cyc""")
+    q["recal_table_by_region"] = W(["x_recal_region"],
+                                   "SELECT region, reported_q, cyc, obs, mism, emp_q FROM x_recal_region")
+    q["recal_apply_by_region"] = W(["dense", "bases", "x_recal_region", "x_regions"], """SELECT p.read_id,
+ string_agg(chr(CAST(CASE WHEN b.read_id IS NOT NULL AND r.emp_q IS NOT NULL THEN r.emp_q
+   ELSE ascii(substr(p.qual, p.i + 1, 1)) - 33 END + 33 AS INT)), '' ORDER BY p.i) AS qual
+FROM (SELECT d.read_id, d.qual, g.region, unnest(range(0, length(d.qual))) AS i
+      FROM dense d JOIN x_regions g USING (ref_idx)) p
+LEFT JOIN bases b ON b.read_id = p.read_id AND b.cyc = p.i
+LEFT JOIN x_recal_region r ON r.region = p.region AND r.reported_q = b.q AND r.cyc = b.cyc
+GROUP BY p.read_id""")
     q["recal_apply"] = W(["dense", "bases", "x_recal"], """SELECT p.read_id,
  string_agg(chr(CAST(CASE WHEN b.read_id IS NOT NULL AND r.emp_q IS NOT NULL THEN r.emp_q
    ELSE ascii(substr(p.qual, p.i + 1, 1)) - 33 END + 33 AS INT)), '' ORDER BY p.i) AS qual

@@ -274,6 +274,13 @@ def recal_table_by_region(spark, d):
         "region", "reported_q", "cyc", "obs", "mism", "emp_q")
 
 
+def recal_apply_by_region(spark, d):
+    """J6 with one table per region."""
+    reads = G.assign_regions(X.dense(spark, d), _regions(spark, d))
+    return B.recal_apply(reads, recal_table_by_region(spark, d), group="region").select(
+        "read_id", "qual")
+
+
 def recal_table(spark, d):
     return _recal(spark, d).select("reported_q", "cyc", "obs", "mism", "emp_q")
 
@@ -333,7 +340,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     read_groups, kept_per_chunk, coordinate_sort,
     mark_duplicates, mark_duplicates_paired, duplicate_metrics,
     cigar_ops, clean_alignments, indel_targets, pileup,
-    recal_table, recal_table_by_region, recal_apply, call_variants, merge_variants,
+    recal_table, recal_table_by_region, recal_apply, recal_apply_by_region,
+    call_variants, merge_variants,
     map_chunks, map_regions,
 ]}
 
