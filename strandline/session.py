@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows above which a "small" side is not broadcast and the join falls back to a
@@ -71,23 +71,32 @@ def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
 
     Cuts lineage (a lost executor re-reads files instead of recomputing the plan)
     and makes any non-deterministic column (partition ids) fixed data."""
+    return materialize_counted(df, tag)[0]
+
+
+def materialize_counted(df: DataFrame, tag: str = "t") -> tuple[DataFrame, int]:
+    """:func:`materialize`, also returning the row count - observed as a metric of the
+    write job itself (``Observation``), so no second job counts the table.  A stage
+    retried after a lost executor can only make the count larger, which makes a size
+    check stricter, never looser."""
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "strandline", f"{tag}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
+    obs = Observation(f"{tag}-rows")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     # the schema is known: reading back runs no footer-inference job
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       tag: str = "small") -> DataFrame:
     """Broadcast ``df`` only after checking its size.
 
-    ``df`` is materialised first (one job, result kept in the checkpoint folder), its
-    row count is read from the written table, and the broadcast hint is applied only
-    when the count is within ``max_rows``; otherwise the table is returned as is and
-    the planner shuffles (AQE may still broadcast it if it measures small)."""
-    m = materialize(df, tag)
-    if m.count() <= max_rows:
+    ``df`` is materialised first (one job, result kept in the checkpoint folder) and
+    its row count observed during that write; the broadcast hint is applied only when
+    the count is within ``max_rows``; otherwise the table is returned as is and the
+    planner shuffles (AQE may still broadcast it if it measures small)."""
+    m, n = materialize_counted(df, tag)
+    if n <= max_rows:
         return F.broadcast(m)
     return m
 
@@ -95,8 +104,7 @@ def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 def collect_checked(df: DataFrame, max_rows: int, what: str) -> list:
     """Collect a table whose size is bounded by construction, failing loudly if the
     bound is violated.  Used only for per-covariate tables (a few thousand rows)."""
-    m = materialize(df, "collect")
-    n = m.count()
+    m, n = materialize_counted(df, "collect")
     if n > max_rows:
         raise ValueError(f"{what}: {n} rows exceed the bound of {max_rows}; refusing to collect")
     return m.collect()
