@@ -16,12 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..functions import quality as Q
-from ..session import collect_checked
+from ..session import broadcast_checked, collect_checked
 from .intervals import merge_intervals
 
-# A recalibration table has one row per (reported quality, cycle).
-MAX_RECAL_ROWS = 2_000_000
-
 
 def explode_cigar(reads: DataFrame, keep=("read_id", "ref_idx", "pos")) -> DataFrame:
     """One row per CIGAR operation: ``k`` (0-based), ``op``, ``n``, its first
@@ -164,6 +161,30 @@ def recal_table(bases: DataFrame, known_sites: DataFrame | None = None,
     return out
 
 
+def recal_lookup(table: DataFrame, group: str | None = None) -> DataFrame:
+    """The recalibration table as dense lookup arrays: one row (per ``group``) with
+    ``_lut[cycle][quality] = emp_q`` (null where the table has no entry), so a base is
+    recalibrated by two O(1) array reads - a map literal would be a linear scan of
+    every covariate for every base.  Built distributedly: one 128-wide array per
+    (group, cycle), then one array of those per group."""
+    g = [group] if group else []
+    per_cyc = table.groupBy(*g, "cyc").agg(
+        F.map_from_entries(F.collect_list(F.struct("reported_q", "emp_q"))).alias("_m"))
+    per_cyc = per_cyc.select(*g, "cyc", F.transform(
+        F.sequence(F.lit(0), F.lit(127)), lambda q: F.try_element_at(F.col("_m"), q))
+        .alias("_qa"))
+    lut = per_cyc.groupBy(*g).agg(
+        F.max("cyc").alias("_maxc"),
+        F.map_from_entries(F.collect_list(F.struct("cyc", "_qa"))).alias("_cm"))
+    return lut.select(*g, F.transform(F.sequence(F.lit(0), F.col("_maxc")),
+                                      lambda c: F.try_element_at(F.col("_cm"), c))
+                      .alias("_lut"))
+
+
+LUT_TYPE = "array<array<int>>"
+MAX_RECAL_GROUPS = 1_000_000
+
+
 def recal_apply(reads: DataFrame, table: DataFrame, group: str | None = None) -> DataFrame:
     """Recalibrate base qualities.  Every aligned base (M, =, X) whose
     ``(quality, cycle)`` - or ``(group, quality, cycle)`` when the table was built per
@@ -171,30 +192,27 @@ def recal_apply(reads: DataFrame, table: DataFrame, group: str | None = None) ->
     empirical quality; bases in insertions and soft clips, and covariates missing from
     the table, keep theirs.
 
-    The table has one row per covariate - bounded by groups x qualities x read length,
-    not by the data - and its size is checked before it is turned into a map literal;
-    the reads are then rewritten by a per-row expression: no explode, no shuffle, no
-    regrouping of bases."""
-    cols = ([group] if group else []) + ["reported_q", "cyc", "emp_q"]
-    rows = collect_checked(table.select(*cols), MAX_RECAL_ROWS, "recalibration table")
-    # composite key: group << 27 | cycle << 7 | quality (qualities < 128, cycles < 2^20)
-    keys = [(int(r[group]) << 27 if group else 0) + int(r["cyc"]) * 128 + int(r["reported_q"])
-            for r in rows]
-    vals = [int(r["emp_q"]) for r in rows]
-    base_key = (F.col(group).cast("long") * (1 << 27)) if group else F.lit(0).cast("long")
-    if keys:
-        lookup = F.map_from_arrays(F.lit(keys).cast("array<bigint>"),
-                                   F.lit(vals).cast("array<int>"))
+    The table becomes dense lookup arrays (:func:`recal_lookup`; bounded by groups x
+    read length x 128).  Per group they reach the reads by a broadcast join on the
+    group after a size check; a global table is one row, size-checked and inlined as a
+    constant.  The reads are then rewritten by a per-row expression: no explode, no
+    shuffle of reads or bases, no regrouping."""
+    lut = recal_lookup(table, group)
+    if group:
+        x = reads.join(broadcast_checked(lut, MAX_RECAL_GROUPS, "recal_lut"), group, "left")
     else:
-        lookup = F.create_map().cast("map<bigint,int>")
+        rows = collect_checked(lut.select(F.to_json("_lut").alias("_j")), 1, "recalibration table")
+        arr = (F.from_json(F.lit(rows[0]["_j"]), LUT_TYPE) if rows
+               else F.lit(None).cast(LUT_TYPE))
+        x = reads.withColumn("_lut", arr)
     aligned = C.aligned_offsets("cigar")
     scores = Q.phred("qual")
-    new = F.transform(scores, lambda x, i: F.when(
+    new = F.transform(scores, lambda v, i: F.when(
         F.coalesce(F.get(aligned, i), F.lit(False)),
-        F.coalesce(F.element_at(lookup, base_key + i.cast("long") * 128 + x.cast("long")), x))
-        .otherwise(x))
-    return reads.withColumn("qual", F.when(scores.isNull(), F.col("qual"))
-                            .otherwise(Q.phred_text(new)))
+        F.coalesce(F.try_element_at(F.try_element_at(F.col("_lut"), i + 1), v + 1), v))
+        .otherwise(v))
+    return x.withColumn("qual", F.when(scores.isNull(), F.col("qual"))
+                        .otherwise(Q.phred_text(new))).drop("_lut")
 
 
 def call_variants(pile: DataFrame, min_qual: int = 30, min_share=(1, 5),
