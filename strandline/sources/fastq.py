@@ -11,9 +11,10 @@ from ..session import broadcast_checked
 MAX_SPLITS = 5_000_000
 
 
-def read_indexed_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Text lines as ``idx, value`` with the 0-based line ordinal over the file(s),
-    files taken in path order.
+def read_indexed_lines(spark: SparkSession, path: str, glob: str | None = None,
+                       with_file: bool = False) -> DataFrame:
+    """Text lines as ``idx, value`` (plus ``file_path`` with ``with_file``) with the
+    0-based line ordinal over the file(s), files taken in path order.
 
     A text scan packs file splits into partitions by size, so partition order is not
     file order.  Each row therefore records its split (``file_path``,
@@ -35,7 +36,8 @@ def read_indexed_lines(spark: SparkSession, path: str, glob: str | None = None)
                          F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
     offs = broadcast_checked(offs, MAX_SPLITS, "line_splits")
     return (lines.join(offs, ["_f", "_b"], "inner")
-            .select((F.col("_off") + F.col("_mid") - F.col("_m0")).alias("idx"), "value"))
+            .select((F.col("_off") + F.col("_mid") - F.col("_m0")).alias("idx"), "value",
+                    *([F.col("_f").alias("file_path")] if with_file else [])))
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
@@ -43,6 +45,23 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     return read_indexed_lines(spark, path).withColumnRenamed("value", "line")
 
 
+def read_chunk_pairs(spark: SparkSession, folder: str, glob: str = "*.gz") -> DataFrame:
+    """Chunk files written by :func:`strandline.sinks.write_chunks` back as one row per
+    mate pair: ``chunk_file, pair_id, name1, seq1, plus1, qual1, name2, seq2, plus2,
+    qual2`` - the input of an aligner plugged in with
+    :func:`strandline.operators.hooks.map_chunks`.  Every chunk holds whole pairs of 8
+    lines, so with ordinals over the files (in path order) ``idx div 8`` is the pair;
+    the 8 lines are folded order-independently (one partially aggregated shuffle)."""
+    lines = read_indexed_lines(spark, folder, glob, with_file=True)
+    x = lines.select((F.col("idx") / 8).cast("long").alias("pair_id"),
+                     (F.col("idx") % 8).cast("int").alias("_k"), "value",
+                     F.col("file_path").alias("_f"))
+    names = ["name1", "seq1", "plus1", "qual1", "name2", "seq2", "plus2", "qual2"]
+    return x.groupBy("pair_id").agg(
+        F.substring_index(F.max("_f"), "/", -1).alias("chunk_file"),
+        *[F.max(F.when(F.col("_k") == i, F.col("value"))).alias(n) for i, n in enumerate(names)])
+
+
 def read_chunks(spark: SparkSession, folder: str, glob: str = "*.fq.gz") -> DataFrame:
     """All chunk files of a folder (any Hadoop URI) matching ``glob``, as
     ``chunk_file, value``.  Gzip files are decompressed; each is one task."""

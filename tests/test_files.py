@@ -144,3 +144,21 @@ def test_pair_count_from_lines_matches_join(spark, tmp_out):
     a = P.assign_chunks(pairs, 4, P.pair_count(l1, l2))
     b = P.assign_chunks(pairs, 4)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_chunk_files_read_back_as_pairs(spark, tmp_out):
+    d = os.path.join(tmp_out, "rt")
+    os.makedirs(d)
+    write_fastq(os.path.join(d, "fastq1.fq"), range(50), 1)
+    write_fastq(os.path.join(d, "fastq2.fq"), range(50), 2)
+    r1 = P.group_records(FQ.read_fastq(spark, os.path.join(d, "fastq1.fq")))
+    r2 = P.group_records(FQ.read_fastq(spark, os.path.join(d, "fastq2.fq")))
+    pairs = P.pair_mates(r1, r2)
+    out = os.path.join(tmp_out, "chunks")
+    sinks.write_chunks(pairs, out, 3)
+    back = FQ.read_chunk_pairs(spark, out).collect()
+    assert len(back) == 50 and len({r.chunk_file for r in back}) == 3
+    got = sorted((r.pair_id, r.name1, r.seq1, r.qual1, r.name2, r.seq2, r.qual2) for r in back)
+    want = sorted((r.record_id, r.name1, r.seq1, r.qual1, r.name2, r.seq2, r.qual2)
+                  for r in pairs.collect())
+    assert got == want
