@@ -116,3 +116,34 @@ def test_command_line_runs_both_jobs(spark, tmp_out):
         targets=spark.createDataFrame([(c, 0, 1500) for c in range(1, 25)],
                                       "ref_idx int, bstart long, bend long"))
     assert sorted(lines) == sorted(r.line for r in direct.collect())
+
+
+def test_aligner_seam_from_chunk_files(spark, tmp_out):
+    import pandas as pd
+    from strandline.operators.hooks import map_chunks
+    from strandline.sources.fastq import read_chunk_pairs
+    d = os.path.join(tmp_out, "in")
+    os.makedirs(d)
+    for m in (1, 2):
+        with open(os.path.join(d, f"fastq{m}.fq"), "w") as f:
+            for i in range(30):
+                f.write(f"@r{i}/{m}\nACGTACGT\n+\nIIIIIIII\n")
+    jobs.chunk_fastq(spark, os.path.join(d, "fastq1.fq"), os.path.join(d, "fastq2.fq"),
+                     os.path.join(tmp_out, "chunks"), 3)
+
+    def toy_aligner(pdf: pd.DataFrame) -> pd.DataFrame:
+        # places mate 1 at 100 * i + 1 and mate 2 two hundred bases on, on chr1
+        out = []
+        for _, r in pdf.iterrows():
+            i = int(r["name1"][2:].split("/")[0])
+            q = r["name1"][1:].split("/")[0]
+            out.append(f"{q}\t99\tchr1\t{100 * i + 1}\t60\t8M\t=\t0\t0\t{r['seq1']}\t{r['qual1']}")
+            out.append(f"{q}\t147\tchr1\t{100 * i + 201}\t60\t8M\t=\t0\t0\t{r['seq2']}\t{r['qual2']}")
+        return pd.DataFrame({"value": out})
+
+    pairs = read_chunk_pairs(spark, os.path.join(tmp_out, "chunks"))
+    sam = map_chunks(pairs, toy_aligner, "value string")
+    sd = spark.createDataFrame([(1, "chr1", 10000)], "ref_idx int, ref_name string, ref_length int")
+    aln = TF.parse_sam(sam, sd).collect()
+    assert len(aln) == 60 and all(r._corrupt is None and r.ref_idx == 1 for r in aln)
+    assert sorted(r.pos for r in aln if r.flag == 99) == [100 * i + 1 for i in range(30)]
