@@ -44,7 +44,8 @@ def parse_sam(lines: DataFrame, seq_dict: DataFrame | None = None) -> DataFrame:
     records), so one is assigned at ingestion: when ``lines`` carries the line ordinal
     ``idx`` (:func:`strandline.sources.fastq.read_indexed_lines`), it becomes
     ``read_id``."""
-    rid = [F.col("idx").alias("read_id")] if "idx" in lines.columns else []
+    ids = ["read_id"] if "idx" in lines.columns else []
+    rid = [F.col("idx").alias("read_id")] if ids else []
     body = lines.filter(~F.col("value").startswith("@"))
     f = F.split(F.col("value"), "\t")
     parsed = body.select(
@@ -60,7 +61,7 @@ def parse_sam(lines: DataFrame, seq_dict: DataFrame | None = None) -> DataFrame:
         return F.when(ok, c)
 
     out = parsed.select(
-        *[F.col("read_id")] * bool(rid),
+        *ids,
         keep(F.col("_qname")).alias("qname"), keep(flag).alias("flag"),
         keep(F.col("_rname")).alias("ref_name"), keep(pos).alias("pos"),
         keep(mapq).alias("mapq"), keep(F.col("_cigar")).alias("cigar"),
@@ -74,7 +75,7 @@ def parse_sam(lines: DataFrame, seq_dict: DataFrame | None = None) -> DataFrame:
     j = out.join(d, out["ref_name"] == d["_rn"], "left")
     ref_idx = (F.when(F.col("ref_name") == "*", F.lit(-1))
                .otherwise(F.col("_ri")).cast("int"))
-    return j.select(*["read_id"] * bool(rid), "qname", "flag", "ref_name",
+    return j.select(*ids, "qname", "flag", "ref_name",
                     ref_idx.alias("ref_idx"), "pos", "mapq", "cigar", "seq", "qual", "_corrupt")
 
 
