@@ -1,6 +1,8 @@
 """Benchmark: every registered query on ``$BENCH_SF_DIR`` (default sf0.1) on
 ``local[$BENCH_CPUS]``; each query is run to completion with a ``noop`` write (the
-whole plan executes, nothing is collected).  Prints one JSON line."""
+whole plan executes, nothing is collected), twice, each time built from scratch.
+Prints one JSON line: ``value`` / ``queries`` are the second (warm) runs,
+``cold_value`` / ``cold_queries`` the first runs, which also pay JIT compilation."""
 
 from __future__ import annotations
 
