@@ -64,21 +64,21 @@ def call_variants_from_alignments(
     calls with ``region, chrom, line``."""
     kept = R.with_alignment_end(R.primary_mapped(aln))
     regions = G.balance_regions(G.reads_per_chrom(kept), n_regions)
-    # reads are scanned by several later steps: keep them once in the shared folder
-    reads = materialize(G.assign_regions(kept, regions), "job_reads")
+    reads = G.assign_regions(kept, regions)
     reads = R.clean_alignments(R.with_reference(reads, seq_dict))
     reads = D.mark_duplicates(reads).filter(F.col("dup") == 0).drop("dup", "score")
-    reads = R.with_read_group(reads)
+    # the cleaned, de-duplicated reads feed several later steps: written once
+    reads = materialize(R.with_read_group(reads), "job_clean_reads")
     if targets is not None:
         ranges = I.covered_ranges(reads).select(
             "ref_idx", (F.col("start_pos") - 1).alias("start0"), F.col("end_pos").alias("end0"))
         on = I.interval_intersect(targets, ranges, "ref_idx", ("bstart", "bend"),
                                   ("start0", "end0"), bin_size=None).select(
             "ref_idx", F.col("istart").alias("bstart"), F.col("iend").alias("bend"))
-        reads = I.interval_restrict(
+        reads = materialize(I.interval_restrict(
             reads.withColumn("start0", F.col("pos") - 1).withColumn("end0", F.col("end_pos")),
-            on, "ref_idx", ("start0", "end0"), ("bstart", "bend")).drop("start0", "end0")
-    reads = materialize(reads, "job_clean_reads")
+            on, "ref_idx", ("start0", "end0"), ("bstart", "bend")).drop("start0", "end0"),
+            "job_target_reads")
 
     if ref_base is None:
         raise ValueError("ref_base is required to call variants")
