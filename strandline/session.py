@@ -80,8 +80,9 @@ def materialize_counted(df: DataFrame, tag: str = "t") -> tuple[DataFrame, int]:
     retried after a lost executor can only make the count larger, which makes a size
     check stricter, never looser."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "strandline", f"{tag}-{uuid.uuid4().hex}")
-    obs = Observation(f"{tag}-rows")
+    name = f"{tag}-{uuid.uuid4().hex}"
+    path = os.path.join(checkpoint_dir(spark), "strandline", name)
+    obs = Observation(f"rows-{name}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     # the schema is known: reading back runs no footer-inference job
     return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
