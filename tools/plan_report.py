@@ -49,14 +49,25 @@ def main() -> None:
           "counted once.\n")
     print("| query | " + " | ".join(k for k, _ in KINDS) + " | scans (columns read) |")
     print("| --- | " + " | ".join("---" for _ in KINDS) + " | --- |")
+    plans = {}
     for name, fn in QUERIES.items():
-        plan = final_plan(fn(spark, sf_dir))
+        plan = plans[name] = final_plan(fn(spark, sf_dir))
         counts = [len(re.findall(p, plan)) for _, p in KINDS]
         scans = re.findall(r"FileScan parquet \S*\[([^\]]*)\]", plan)
         cols = sorted({len(s.split(",")) for s in scans})
         print(f"| `{name}` | " + " | ".join(str(c) for c in counts)
               + f" | {len(scans)} ({', '.join(map(str, cols))}) |")
     print()
+    print("## Selected final plans\n")
+    print("Operator trees (AQE final plans, expressions cut at 110 characters).\n")
+    for name in SELECTED:
+        print(f"### `{name}`\n\n```")
+        for ln in plans[name].splitlines():
+            print(ln[:110].rstrip())
+        print("```\n")
+
+
+SELECTED = ["covered_ranges", "interval_restrict", "mark_duplicates", "pileup", "recal_apply"]
 
 
 if __name__ == "__main__":
