@@ -65,14 +65,16 @@ def guess_encoding(aln: DataFrame, by: str | list[str] = "ref_idx") -> DataFrame
     coordinate order ``(ref_idx, pos, read_id)``: its maximum quality score <= 60 means
     Sanger, else Illumina-1.3.  Output ``by.., first_read_id, max_q, encoding``.
 
-    ``min_by`` is a plain aggregate, so it is combined map-side before the shuffle."""
+    ``min_by`` is a plain aggregate, so it is combined map-side before the shuffle; it
+    carries the first read's quality string, and only that one string per group is
+    scored (not every read's)."""
     by = [by] if isinstance(by, str) else list(by)
     first = (aln.groupBy(*by).agg(F.min_by(
-        F.struct(F.col("read_id").alias("first_read_id"),
-                 Q.max_quality("qual").alias("max_q")),
+        F.struct(F.col("read_id").alias("first_read_id"), F.col("qual").alias("q")),
         F.struct("ref_idx", "pos", "read_id")).alias("_f")))
-    return first.select(*by, "_f.first_read_id", "_f.max_q",
-                        F.when(F.col("_f.max_q") <= Q.SANGER_MAX, F.lit(Q.SANGER))
+    max_q = Q.max_quality(F.col("_f.q"))
+    return first.select(*by, "_f.first_read_id", max_q.alias("max_q"),
+                        F.when(max_q <= Q.SANGER_MAX, F.lit(Q.SANGER))
                         .otherwise(F.lit(Q.ILLUMINA)).alias("encoding"))
 
 
