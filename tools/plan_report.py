@@ -46,7 +46,8 @@ def main() -> None:
           "generated by `tools/plan_report.py`.  Counts are plan nodes of the query "
           "itself; tables written beforehand by `materialize` / `broadcast_checked` "
           "(size checks, phase-1 tables) appear as scans.  Reused exchanges are "
-          "counted once.\n")
+          "counted once, and a scan below a reused exchange is not listed again "
+          "(`fastq_chunks`: both mates and the pair-count subquery share one scan).\n")
     print("| query | " + " | ".join(k for k, _ in KINDS) + " | scans (columns read) |")
     print("| --- | " + " | ".join("---" for _ in KINDS) + " | --- |")
     plans = {}
