@@ -144,3 +144,55 @@ def test_rank_within_matches_sort(spark, data, parts):
     got = {r.read_id: r.rank for r in G.rank_within(df, "region", ["ref_idx", "pos", "qname"],
                                                      num_partitions=parts).collect()}
     assert got == want
+
+
+paired_st = st.lists(st.tuples(
+    st.sampled_from(["a", "b", "c", "d", "e", "f"]),
+    st.sampled_from([1 + 64 + 32, 1 + 128 + 16, 1 + 64 + 8, 1 + 128 + 4, 0, 16, 1 + 64 + 256]),
+    st.integers(1, 2), st.integers(50, 56), st.sampled_from(["8M", "2S6M", "6M2S"]),
+    st.text("#5I", min_size=8, max_size=8)), min_size=1, max_size=24)
+
+
+@SETTINGS
+@given(paired_st)
+def test_paired_duplicates_match_brute_force(spark, data):
+    ref_len = {"8M": 8, "2S6M": 6, "6M2S": 6}
+    rows, info = [], {}
+    for i, (q, flag, c, pos, cig, qual) in enumerate(data):
+        rows.append((i, q, flag, c, pos, 60, cig, "A" * 8, qual))
+        end = pos + ref_len[cig] - 1
+        p5 = end + _clip(cig, False) if flag & 16 else pos - _clip(cig, True)
+        score = sum(ord(ch) - 33 for ch in qual if ord(ch) - 33 >= 15)
+        info[i] = dict(q=q, flag=flag, end=(c, p5, flag & 16), score=score)
+    prim = {i for i, v in info.items() if v["flag"] & 0x900 == 0}
+    eligible = [i for i in prim if info[i]["flag"] & 1 and not info[i]["flag"] & 12]
+    by_name = {}
+    for i in eligible:
+        by_name.setdefault(info[i]["q"], []).append(i)
+    templates = {q: sorted(ids, key=lambda i: (info[i]["end"], i))
+                 for q, ids in by_name.items() if len(ids) == 2}
+    want = {i: 0 for i in info}
+    groups = {}
+    for q, (a, b) in templates.items():
+        key = (info[a]["end"], info[b]["end"])
+        groups.setdefault(key, []).append((-(info[a]["score"] + info[b]["score"]), q, a, b))
+    for members in groups.values():
+        best = min(members)
+        for m in members:
+            if m != best:
+                want[m[2]] = want[m[3]] = 1
+    in_tmpl = {i for ids in templates.values() for i in ids}
+    pair_ends = {info[i]["end"] for i in in_tmpl}
+    frags = [i for i in prim if not info[i]["flag"] & 4 and i not in in_tmpl]
+    fgroups = {}
+    for i in frags:
+        fgroups.setdefault(info[i]["end"], []).append((-info[i]["score"], info[i]["q"], i))
+    for end, members in fgroups.items():
+        best = min(members)
+        for m in members:
+            want[m[2]] = 1 if end in pair_ends or m != best else 0
+    df = R.with_alignment_end(spark.createDataFrame(
+        rows, "read_id long, qname string, flag int, ref_idx int, pos long, mapq int, "
+              "cigar string, seq string, qual string"))
+    got = {r.read_id: r.dup for r in D.mark_duplicates_paired(df).collect()}
+    assert got == want
