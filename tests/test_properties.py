@@ -196,3 +196,48 @@ def test_paired_duplicates_match_brute_force(spark, data):
               "cigar string, seq string, qual string"))
     got = {r.read_id: r.dup for r in D.mark_duplicates_paired(df).collect()}
     assert got == want
+
+
+def brute_clip(cigar, pos, length):
+    import re
+    ops = [(int(n), op) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
+    aligned = sum(n for n, op in ops if op in "MDN=X")
+    if not (pos + aligned - 1 > length and pos <= length):
+        return cigar, pos + aligned - 1
+    limit, ref_off, clipped, kept = length - pos + 1, 0, 0, []
+    for k, (n, op) in enumerate(ops):
+        if op in "MDN=X":
+            keep = max(0, min(n, limit - ref_off))
+        elif op == "H":
+            keep = n
+        else:
+            keep = n if ref_off < limit else 0
+        if op in "MIS=X":
+            clipped += n - keep
+        kept.append((k, op, keep))
+        if op in "MDN=X":
+            ref_off += n
+    if clipped == 0:
+        return cigar, pos + aligned - 1
+    nonzero = [x for x in kept if x[2] > 0]
+    last_q = max([k for k, op, n in nonzero if op in "M=XI"], default=-1)
+    tail = clipped + sum(n for k, op, n in nonzero if op == "S" and k > last_q)
+    body = [(k, op, n) for k, op, n in nonzero if not (op in "DNS" and k > last_q)]
+    new = "".join(f"{n}{op}" for _, op, n in body) + f"{tail}S"
+    return new, pos + sum(n for _, op, n in body if op in "MDN=X") - 1
+
+
+cigars = st.lists(st.tuples(st.integers(1, 6), st.sampled_from("MIDS")), min_size=1, max_size=5) \
+    .map(lambda ops: "".join(f"{n}{op}" for n, op in ops) + "3M")
+
+
+@SETTINGS
+@given(st.lists(st.tuples(cigars, st.integers(1, 60), st.integers(20, 60)), min_size=1, max_size=30))
+def test_clean_alignments_match_brute_force(spark, data):
+    from pyspark.sql import functions as F
+    rows = [(i, 0, pos, 60, cig, length) for i, (cig, pos, length) in enumerate(data)]
+    df = spark.createDataFrame(rows, "read_id long, flag int, pos long, mapq int, cigar string, "
+                                     "ref_length long")
+    got = {r.read_id: (r.cigar, r.end_pos) for r in R.clean_alignments(df).collect()}
+    want = {i: brute_clip(cig, pos, length) for i, (cig, pos, length) in enumerate(data)}
+    assert got == want
