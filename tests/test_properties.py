@@ -241,3 +241,26 @@ def test_clean_alignments_match_brute_force(spark, data):
     got = {r.read_id: (r.cigar, r.end_pos) for r in R.clean_alignments(df).collect()}
     want = {i: brute_clip(cig, pos, length) for i, (cig, pos, length) in enumerate(data)}
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.text("ACGT+@I", min_size=0, max_size=40), min_size=1, max_size=60),
+                min_size=1, max_size=3),
+       st.integers(64, 2048))
+def test_line_ordinals_across_files_and_splits(spark, files, split_bytes):
+    import os
+    import tempfile
+    from strandline.sources.fastq import read_indexed_lines
+    d = tempfile.mkdtemp(prefix="ord-")
+    expected = []
+    for k, lines in enumerate(files):
+        with open(os.path.join(d, f"f{k:02d}.txt"), "w") as f:
+            f.write("".join(ln + "\n" for ln in lines))
+        expected += lines
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        got = sorted((r.idx, r.value) for r in read_indexed_lines(spark, d).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(enumerate(expected))
