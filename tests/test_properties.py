@@ -264,3 +264,31 @@ def test_line_ordinals_across_files_and_splits(spark, files, split_bytes):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == list(enumerate(expected))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.text("ACGTN", min_size=1, max_size=400), st.integers(5, 80)),
+                min_size=1, max_size=4),
+       st.integers(128, 4096), st.sampled_from([16, 100, 1024]))
+def test_fasta_chunks_match_slicing(spark, contigs, split_bytes, bin_size):
+    import os
+    import tempfile
+    from strandline.sources.fasta import read_fasta_chunks
+    d = tempfile.mkdtemp(prefix="fa-")
+    path = os.path.join(d, "ref.fa")
+    seqs = {}
+    with open(path, "w") as f:
+        for k, (s, width) in enumerate(contigs):
+            seqs[f"c{k}"] = s
+            f.write(f">c{k} test\n" + "".join(s[i:i + width] + "\n" for i in range(0, len(s), width)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        chunks = read_fasta_chunks(spark, path, bin_size=bin_size).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    rebuilt = {}
+    for r in sorted(chunks, key=lambda r: (r.ref_name, r.chunk_start)):
+        assert r.bin == r.chunk_start // bin_size
+        rebuilt[r.ref_name] = rebuilt.get(r.ref_name, "") + r.chunk
+    assert rebuilt == seqs
