@@ -57,3 +57,18 @@ def test_hot_locus_pileup_aggregates_map_side(spark):
     top = p.orderBy(F.col("depth").desc()).first()
     assert top.depth >= k.count() // 3 - 2
     assert p.agg(F.sum("depth")).first()[0] == bases.count()
+
+
+def test_hot_locus_restrict(spark):
+    k = hot(spark).select("read_id", "ref_idx", (F.col("pos") - 1).alias("start0"),
+                          F.col("end_pos").alias("end0"))
+    bed = X.bed(spark, SF01).unionByName(
+        spark.range(1).select(F.lit(0).cast("long").alias("bed_id"), F.lit(1).alias("ref_idx"),
+                              F.lit(4990).cast("long").alias("bstart"),
+                              F.lit(5010).cast("long").alias("bend")))
+    plain = k.alias("k").join(bed.alias("b"), (F.col("k.ref_idx") == F.col("b.ref_idx"))
+                              & (F.col("b.bstart") < F.col("k.end0"))
+                              & (F.col("k.start0") < F.col("b.bend")), "left_semi")
+    got = I.interval_restrict(k, bed)
+    assert rows(got, ["read_id"]) == rows(plain, ["read_id"])
+    assert got.count() >= k.count() // 3
