@@ -7,6 +7,8 @@ the similarity asked for agrees in ``LEAST`` of ``COORDINATES`` values but for a
 of about 2e-5 at exactly 0.8 (less above), so the pair must also meet in the rarest
 COORDINATES - LEAST + 1 values of each (prefix); only those postings are joined, and a
 pair counts its collisions over all coordinates before it is verified on full sets.
+Shingles that only one posted class has cannot be common: classes and pairs whose other
+shingles are too few for the similarity are skipped (an exact bound).
 
 Pairs inside a group are never all emitted.  Pivot rounds come first: in each posting list
 every member meets one pivot, verified pairs are merged into components, and lists whose
@@ -164,13 +166,36 @@ def _posted(reps: DataFrame) -> DataFrame:
     return per.select("node", tokens.alias("shared"), F.slice(tokens, F.lit(1), keep).alias("prefix"))
 
 
+def _private(sets: DataFrame) -> DataFrame:
+    """(node, private): how many of a class's shingles no other posted class has."""
+    schema = pa.schema([("node", pa.int64()), ("shingle", pa.int64())])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                each = [np.frombuffer(x, np.int64) for x in part.column(1).to_pylist()]
+                node = np.repeat(part.column(0).to_numpy(), [len(x) for x in each])
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(np.concatenate(each), pa.int64())], schema=schema)
+
+    return (sets.select("node", "set").mapInArrow(run, "node long, shingle long")
+            .groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("hi")).where("node = hi")
+            .groupBy("node").agg(F.count("*").alias("private")))
+
+
+def _fits(na: Column, ua: Column, nb: Column, ub: Column, percent: int) -> Column:
+    """Whether sizes and private shingles allow the similarity: the common part is at most
+    what is not private, and the similarity asks for percent / (100 + percent) of both."""
+    return (100 + percent) * F.least(na - ua, nb - ub) >= percent * (na + nb)
+
+
 def _candidates(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that collide in LEAST coordinates and whose sizes allow the
-    similarity."""
-    side = nodes.select("node", "n", "shared")
-    j = (pairs.join(_as(side, node="a", n="na", shared="sa"), "a")
-         .join(_as(side, node="b", n="nb", shared="sb"), "b"))
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    """The pairs (a, b) that collide in LEAST coordinates and whose sizes and private
+    shingles allow the similarity."""
+    side = nodes.select("node", "n", "private", "shared")
+    j = (pairs.join(_as(side, node="a", n="na", private="ua", shared="sa"), "a")
+         .join(_as(side, node="b", n="nb", private="ub", shared="sb"), "b"))
+    fits = _fits(F.col("na"), F.col("ua"), F.col("nb"), F.col("ub"), percent)
     return j.where(fits & (F.size(F.array_intersect("sa", "sb")) >= LEAST)).select("a", "b")
 
 
@@ -190,8 +215,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = rows.join(classes, "set_hash").where("doc_id = node").select("node", "n", "sig")
     posted = _posted(first)
     sizes = first.groupBy("node").agg(F.max("n").alias("n"))
-    nodes = materialize(posted.join(sizes, "node"), "nd-nodes")
-    sets = materialize(_full_sets(src, nodes, shingle), "nd-sets")
+    able = materialize(posted.join(sizes, "node"), "nd-able")
+    sets = materialize(_full_sets(src, able, shingle), "nd-sets")
+    private = F.coalesce(F.col("private"), F.lit(0))
+    nodes = able.join(_private(sets), "node", "left").withColumn("private", private)
+    # with more private shingles than this no partner of any size is similar enough
+    nodes = materialize(nodes.where(100 * (F.col("n") - F.col("private")) >= percent * F.col("n")), "nd-nodes")
     post = nodes.select("node", F.explode("prefix").alias("token"))
     comp = materialize(nodes.select("node", F.col("node").alias("comp")), "nd-comp")
     pivots, r = True, 0
@@ -204,9 +233,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             pv = open_.join(_as(comp, node="pivot", comp="pcomp"), "pivot").where("comp != pcomp")
             pairs = pv.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         else:
-            rest = open_.select("token", "node", "comp").join(nodes.select("node", "prefix"), "node")
+            rest = open_.select("token", "node", "comp").join(nodes.select("node", "n", "private", "prefix"), "node")
             x, y = rest.alias("x"), rest.alias("y")
             pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
+                            & _fits(F.col("x.n"), F.col("x.private"), F.col("y.n"), F.col("y.private"), percent)
                             & (F.array_min(F.array_intersect("x.prefix", "y.prefix")) == F.col("x.token")))
                      .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
         ca, cb = _as(comp, node="a", comp="ca"), _as(comp, node="b", comp="cb")
