@@ -38,24 +38,26 @@ _VARIABLE = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9]*+[0-9])[^\x20\x09-\x0D
 
 
 def masked(line: Column) -> Column:
+    """The line's tokens with one space between them, fields with digits as ``<*>``."""
     trimmed = F.btrim(line, F.lit(_SPACES))
-    return F.when(trimmed.rlike("[0-9]"), F.regexp_replace(trimmed, _VARIABLE, "<*>")).otherwise(trimmed)
+    return (F.when(trimmed.rlike(r"[0-9\x09-\x0D]|  "), F.regexp_replace(F.regexp_replace(trimmed, _GAP, " "), _VARIABLE, "<*>"))
+            .otherwise(trimmed))
 
 
 def _hash(x: Column) -> Column:
     return F.unhex(F.md5(x))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(id, pos, tokens, n, h): worded lines with their masked tokens and line hash."""
-    return (docs.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-            .select("id", "pos", F.split(masked(F.col("line")), _GAP).alias("tokens"))
-            .select("id", "pos", "tokens", F.size("tokens").alias("n")).where(F.col("n") >= MIN_TOKENS)
-            .withColumn("h", _hash(F.array_join("tokens", " "))))
+def _lines(docs: DataFrame, *cols: str) -> DataFrame:
+    """(cols, pos, body, n, h): worded lines, masked, with token count and hash."""
+    return (docs.select(*cols, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+            .select(*cols, "pos", masked(F.col("line")).alias("body"))
+            .withColumn("n", F.octet_length("body") - F.octet_length(F.replace("body", F.lit(" "), F.lit(""))) + 1)
+            .where(F.col("n") >= MIN_TOKENS).withColumn("h", _hash(F.col("body"))))
 
 
 def _leaf(depth: int) -> Column:
-    return _hash(F.concat_ws(" ", F.col("n").cast("string"), F.array_join(F.slice("tokens", 1, depth), " ")))
+    return F.xxhash64("n", F.substring_index("body", " ", depth))
 
 
 def _earlier(lo: Column, hi: Column, nulls: Column) -> Column:
@@ -71,25 +73,22 @@ def _joined(lines: DataFrame, depth: int, similar: float) -> DataFrame:
                      F.lpad(F.hex(F.coalesce("lo", F.lit(0))), 16, "0"), F.hex("h"))
     first = at.groupBy("leaf").agg(F.min(order).alias("first"), F.count("*").alias("k")).where("k > 1")
     pivots = materialize(at.join(first, "leaf").where(order == F.col("first"))
-                         .select("leaf", F.col("h").alias("template"), F.col("tokens").alias("pivot")), "lines-pivots")
-    same = F.size(F.filter(F.zip_with("tokens", "pivot", lambda a, b: a == b), lambda x: x))
-    return at.join(pivots, "leaf").where(same >= similar * F.col("n")).select("h", "template")
+                         .select("leaf", F.col("h").alias("template"), F.col("body").alias("pivot")).distinct(), "lines-pivots")
+    same = F.size(F.filter(F.zip_with(F.split("body", " "), F.split("pivot", " "), lambda a, b: a == b), lambda x: x))
+    return at.join(pivots, "leaf").where(same >= similar * F.col("n")).select("h", "template").distinct()
 
 
-def recurring(docs: DataFrame, levels: tuple[int, ...] = LEVELS, similar: float = SIMILAR) -> DataFrame:
+def recurring(lines: DataFrame, occurrences: DataFrame, levels: tuple[int, ...] = LEVELS, similar: float = SIMILAR) -> DataFrame:
     """(h, lo): hashes of the lines whose template recurs, with the smallest id that has it.
-    ``docs``: id long, text string."""
-    lines = _lines(docs)
-    seen = materialize(lines.withColumn("leaf", _leaf(levels[0])).groupBy("h")
-                       .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("id").isNull()).alias("nulls"),
-                            F.min(F.hex("leaf")).alias("leaf")), "lines-seen")
+    ``occurrences``: id, h and leaf (at the first level) of ``lines``, written before."""
+    seen = materialize(occurrences.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
+                                                    F.max(F.col("id").isNull()).alias("nulls"), F.min("leaf").alias("leaf")), "lines-seen")
     # leaves with two different lines, in different documents
     shared = seen.groupBy("leaf").agg(F.count("*").alias("k"), F.min("lo").alias("a"), F.max("hi").alias("b"), F.max("nulls").alias("c"))
     several = materialize(shared.where((F.col("k") > 1) & _earlier(F.col("a"), F.col("b"), F.col("c"))).select("leaf"), "lines-leaves")
-    meet = materialize(seen.join(several, "leaf").select("h", "lo", "hi", "nulls"), "lines-meet")
-    # one occurrence of each such line, with its tokens
-    open_ = (lines.join(meet, "h").where(F.col("id").eqNullSafe(F.col("lo"))).select("h", "lo", "n", "tokens", "id", "pos")
-             .groupBy("h", "lo", "n").agg(F.min(F.struct("pos", "tokens")).alias("m")).select("h", "lo", "n", "m.tokens"))
+    meet = materialize(seen.join(several, "leaf").select("h", "lo"), "lines-meet")
+    # such lines with their text, from the first document that has them
+    open_ = lines.select("id", "h", "n", "body").join(meet, "h").where(F.col("id").eqNullSafe(F.col("lo"))).select("h", "lo", "n", "body")
     left, into = materialize(open_, "lines-open"), None
     for depth in levels:
         got = materialize(_joined(left, depth, similar), "lines-joined")
@@ -106,13 +105,11 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     """``docs`` with ``_dropped`` (positions of dropped lines, ascending) and ``_text`` (what
     is left); free names are taken if the caller has such columns."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    gone = materialize(recurring(src, **how), "lines-recurring")
     # rows are told apart by id and text; equal rows have equal decisions
-    keyed = src.withColumn("key", _hash(F.coalesce("text", F.lit(""))))
-    marks = (keyed.select("id", "key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-             .select("id", "key", "pos", F.split(masked(F.col("line")), _GAP).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
-             .select("id", "key", "pos", _hash(F.array_join("tokens", " ")).alias("h")))
-    drops = (marks.join(gone, "h").where(F.col("id").isNull() | (F.col("id") > F.col("lo")))
+    lines = _lines(src.withColumn("key", _hash(F.coalesce("text", F.lit("")))), "id", "key")
+    found = materialize(lines.select("id", "key", "pos", "h", _leaf(how.get("levels", LEVELS)[0]).alias("leaf")), "lines-found")
+    gone = materialize(recurring(_lines(src, "id"), found, **how), "lines-recurring")
+    drops = (found.select("id", "key", "pos", "h").join(gone, "h").where(F.col("id").isNull() | (F.col("id") > F.col("lo")))
              .groupBy("id", "key").agg(F.sort_array(F.collect_set("pos")).alias("pos")))
     drops = materialize(drops, "lines-drops")
     mark, rest = _free(docs, "_dropped"), _free(docs, "_text")
