@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm.common import docs_of, materialize, materialize_counted, per_row
 
-COORDINATES, LEAST = 64, 38
+COORDINATES, LEAST = 128, 84
 #: Pivot rounds go on while a round merges this share of the open members.
 GOES_ON = 0.02
 _RNG = np.random.default_rng(20240229)
