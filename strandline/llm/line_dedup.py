@@ -39,9 +39,9 @@ _VARIABLE = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9]*+[0-9])[^\x20\x09-\x0D
 
 def masked(line: Column) -> Column:
     """The line's tokens with one space between them, fields with digits as ``<*>``."""
-    trimmed = F.btrim(line, F.lit(_SPACES))
-    return (F.when(trimmed.rlike(r"[0-9\x09-\x0D]|  "), F.regexp_replace(F.regexp_replace(trimmed, _GAP, " "), _VARIABLE, "<*>"))
-            .otherwise(trimmed))
+    spaced = line.contains("  ") | line.startswith(" ") | line.endswith(" ") | line.rlike(r"[0-9\x09-\x0D]")
+    clean = F.regexp_replace(F.btrim(line, F.lit(_SPACES)), _GAP, " ")
+    return F.when(spaced, F.regexp_replace(clean, _VARIABLE, "<*>")).otherwise(line)
 
 
 def _hash(x: Column) -> Column:
@@ -50,9 +50,11 @@ def _hash(x: Column) -> Column:
 
 def _lines(docs: DataFrame, *cols: str) -> DataFrame:
     """(cols, pos, body, n, h): worded lines, masked, with token count and hash."""
-    return (docs.select(*cols, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-            .select(*cols, "pos", masked(F.col("line")).alias("body"))
-            .withColumn("n", F.octet_length("body") - F.octet_length(F.replace("body", F.lit(" "), F.lit(""))) + 1)
+    # masked and counted inside the array, so that each line is worked on once
+    lines = F.transform(F.split("text", "\n"), masked)
+    counted = F.transform(lines, lambda x: F.struct(x.alias("body"), (
+        F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n")))
+    return (docs.select(*cols, F.posexplode(counted).alias("pos", "line")).select(*cols, "pos", "line.body", "line.n")
             .where(F.col("n") >= MIN_TOKENS).withColumn("h", _hash(F.col("body"))))
 
 
@@ -112,14 +114,14 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     drops = (found.select("id", "key", "pos", "h").join(gone, "h").where(F.col("id").isNull() | (F.col("id") > F.col("lo")))
              .groupBy("id", "key").agg(F.sort_array(F.collect_set("pos")).alias("pos")))
     drops = materialize(drops, "lines-drops")
-    mark, rest = _free(docs, "_dropped"), _free(docs, "_text")
+    mark, rest, at, pos = (_free(docs, c) for c in ("_dropped", "_text", "_at", "_pos"))
     here = docs.withColumn(mark, F.struct(F.col(id_col).cast("long").alias("id"), _hash(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("key")))
-    there = drops.select(F.struct("id", "key").alias("_at"), "pos")
-    j = here.join(there, F.col(mark).eqNullSafe(F.col("_at")), "left")
+    there = drops.select(F.struct("id", "key").alias(at), F.col("pos").alias(pos))
+    j = here.join(there, F.col(mark).eqNullSafe(F.col(at)), "left")
     parts = F.split(F.col(text_col).cast("string"), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("pos"))
-    text = F.when(F.col("pos").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    return j.withColumn(rest, text).withColumn(mark, F.coalesce("pos", F.array().cast("array<int>"))).drop("_at", "pos")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(pos))
+    text = F.when(F.col(pos).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
+    return j.withColumn(rest, text).withColumn(mark, F.coalesce(pos, F.array().cast("array<int>"))).drop(at, pos)
 
 
 def _free(docs: DataFrame, name: str) -> str:

@@ -282,5 +282,6 @@ def _result(rows: DataFrame, classes: DataFrame, comp: DataFrame, id_col: str, k
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` whose document represents its component, columns as given."""
-    kept = (components(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias("_kept")).distinct())
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    out = components(docs, id_col, text_col, **how)
+    kept = out.where(out["kept"]).select(out[id_col].alias("id")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["id"]), "left_semi")
