@@ -1,0 +1 @@
+"""The text operators share the library's test session."""
