@@ -39,3 +39,9 @@ def shift_quality_text(qual, delta: int) -> Column:
     Illumina-1.3-encoded input)."""
     return F.array_join(F.transform(F.split(_c(qual), ""),
                                     lambda c: F.chr(F.ascii(c) + F.lit(delta))), "")
+
+
+def has_qualities(qual="qual") -> Column:
+    """Whether a read carries base qualities: neither null, empty nor the absent mark."""
+    c = F.col(qual) if isinstance(qual, str) else qual
+    return F.coalesce(~c.isin("", "*"), F.lit(False))

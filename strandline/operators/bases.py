@@ -31,6 +31,11 @@ def explode_cigar(reads: DataFrame, keep=("read_id", "ref_idx", "pos")) -> DataF
         F.col("_o.read_off").cast("long").alias("read_off"))
 
 
+def _with_bases(reads: DataFrame) -> DataFrame:
+    """Reads whose bases all have a quality (a read without qualities gives no base)."""
+    return reads.where(Q.has_qualities("qual") & (F.length("qual") == F.length("seq")))
+
+
 def aligned_bases(reads: DataFrame, keep=("read_id", "ref_idx")) -> DataFrame:
     """One row per read base aligned to the reference (inside M, = or X):
     ``ref_pos, cyc`` (0-based read offset), ``base`` and its quality ``q``.
@@ -39,7 +44,7 @@ def aligned_bases(reads: DataFrame, keep=("read_id", "ref_idx")) -> DataFrame:
     the bases of each operation; both are map-side and keep the base columns simple
     expressions inside generated code."""
     ops = F.filter(C.cigar_with_offsets("cigar"), lambda o: o["op"].isin(C.ALIGNED))
-    x = reads.select(*keep, "pos", "seq", "qual", F.explode(ops).alias("_o"))
+    x = _with_bases(reads).select(*keep, "pos", "seq", "qual", F.explode(ops).alias("_o"))
     x = x.select(*keep, "seq", "qual",
                  (F.col("pos") + F.col("_o.ref_off")).alias("_r0"),
                  F.col("_o.read_off").cast("int").alias("_q0"),
@@ -152,6 +157,8 @@ def recal_table(bases: DataFrame, known_sites: DataFrame | None = None,
     b = bases
     if known_sites is not None:
         b = b.join(known_sites.select("ref_idx", "ref_pos"), ["ref_idx", "ref_pos"], "left_anti")
+    # an N says nothing about a mismatch
+    b = b.where((F.col("base") != "N") & (F.col("ref_base") != "N"))
     mism = F.sum(F.when(F.col("base") != F.col("ref_base"), 1).otherwise(0)).cast("long")
     g = b.groupBy(*by).agg(F.count(F.lit(1)).alias("obs"), mism.alias("mism"))
     emp = F.round(-10 * F.log10((F.col("mism") + 1) / (F.col("obs") + F.lit(2.0)))).cast("int")
@@ -222,7 +229,8 @@ def call_variants(pile: DataFrame, min_qual: int = 30, min_share=(1, 5),
     site's depth >= ``min_share``; genotype ``1/1`` when the share >= ``hom_share``,
     else ``0/1``.  Shares are exact fractions ``(num, den)``.  One aggregation over the pileup (no window): ``dp`` is the summed
     depth and the best base is the ``max`` of a struct ordered by (qsum, -base)."""
-    nonref = F.col("base") != F.col("ref_base")
+    # an N is neither a variant nor a reference base to differ from
+    nonref = (F.col("base") != F.col("ref_base")) & (F.col("base") != "N") & (F.col("ref_base") != "N")
     cand = F.when(nonref, F.struct(F.col("qsum").alias("qsum"),
                                    (-F.ascii(F.col("base"))).alias("nb"),
                                    F.col("base").alias("base"),

@@ -26,10 +26,11 @@ MIN_SCORE_QUALITY = 15
 
 
 def duplicate_score(qual="qual") -> Column:
-    """Sum of base qualities >= 15."""
-    return F.aggregate(Q.phred(qual), F.lit(0).cast("long"),
-                       lambda a, x: a + F.when(x >= MIN_SCORE_QUALITY, x.cast("long"))
-                       .otherwise(F.lit(0).cast("long")))
+    """Sum of base qualities >= 15; 0 for a read without qualities."""
+    total = F.aggregate(Q.phred(qual), F.lit(0).cast("long"),
+                        lambda a, x: a + F.when(x >= MIN_SCORE_QUALITY, x.cast("long"))
+                        .otherwise(F.lit(0).cast("long")))
+    return F.when(Q.has_qualities(qual), F.coalesce(total, F.lit(0))).otherwise(F.lit(0)).cast("long")
 
 
 def unclipped_five_prime(pos="pos", end="end_pos", cigar="cigar", flag="flag") -> Column:

@@ -61,15 +61,15 @@ def with_read_group(aln: DataFrame, **rg: str) -> DataFrame:
 
 
 def guess_encoding(aln: DataFrame, by: str | list[str] = "ref_idx") -> DataFrame:
-    """P5: per group, the quality encoding guessed from the group's *first* read in
-    coordinate order ``(ref_idx, pos, read_id)``: its maximum quality score <= 60 means
+    """P5: per group, the quality encoding guessed from the group's *first* read that has
+    qualities, in coordinate order ``(ref_idx, pos, read_id)``: its maximum quality score <= 60 means
     Sanger, else Illumina-1.3.  Output ``by.., first_read_id, max_q, encoding``.
 
     ``min_by`` is a plain aggregate, so it is combined map-side before the shuffle; it
     carries the first read's quality string, and only that one string per group is
     scored (not every read's)."""
     by = [by] if isinstance(by, str) else list(by)
-    first = (aln.groupBy(*by).agg(F.min_by(
+    first = (aln.where(Q.has_qualities("qual")).groupBy(*by).agg(F.min_by(
         F.struct(F.col("read_id").alias("first_read_id"), F.col("qual").alias("q")),
         F.struct("ref_idx", "pos", "read_id")).alias("_f")))
     max_q = Q.max_quality(F.col("_f.q"))
@@ -91,7 +91,8 @@ def fix_qualities(aln: DataFrame, encodings: DataFrame | None = None,
     x = aln.join(enc, by, "left")
     fixed = F.transform(Q.phred("qual"), lambda v: v - F.lit(Q.ILLUMINA_SHIFT))
     bad = F.exists(fixed, lambda v: v < 0)
-    do_fix = F.col("encoding") == Q.ILLUMINA
+    # without a guess (no read of the group has qualities) or own qualities: unchanged
+    do_fix = F.coalesce(F.col("encoding") == Q.ILLUMINA, F.lit(False)) & Q.has_qualities("qual")
     err = F.when(do_fix, F.coalesce(bad, F.lit(False))).otherwise(F.lit(False))
     if raise_error:
         err = F.when(err, F.raise_error(F.lit("quality score below 0 after fixing"))) \

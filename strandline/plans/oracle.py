@@ -247,8 +247,8 @@ FROM kept k JOIN x_regions r USING (ref_idx)""")
 FROM x_dup d JOIN kept k USING (read_id) JOIN x_regions r USING (ref_idx) GROUP BY r.region""")
     q["cigar_ops"] = W(["ops"], "SELECT read_id, ref_idx, pos, k, op, n, ref_start, read_off FROM ops")
     q["clean_alignments"] = W(["ops", "dense"], """SELECT read_id, pos, mapq,
- CASE WHEN clipped > 0 THEN body || CAST(clipped AS VARCHAR) || 'S' ELSE cigar END AS cigar,
- CAST(CASE WHEN clipped > 0 THEN pos + body_ref - 1 ELSE end_pos END AS BIGINT) AS end_pos
+ CASE WHEN clipped > 0 AND pos <= 2990 THEN body || CAST(clipped AS VARCHAR) || 'S' ELSE cigar END AS cigar,
+ CAST(CASE WHEN clipped > 0 AND pos <= 2990 THEN pos + body_ref - 1 ELSE end_pos END AS BIGINT) AS end_pos
 FROM (
  SELECT c.read_id, d.pos, d.mapq, d.cigar, d.end_pos,
   sum(CASE WHEN op IN ('M','I','S','=','X') THEN n - kn ELSE 0 END) AS clipped,
@@ -258,7 +258,7 @@ FROM (
   SELECT *, max(CASE WHEN kn > 0 AND op IN ('M','=','X','I') THEN k END) OVER (PARTITION BY read_id) AS last_q FROM (
    SELECT o.*, CASE WHEN op IN ('M','D','N','=','X') THEN greatest(0, least(n, lim - (ref_start - pos)))
      WHEN op = 'H' THEN n WHEN ref_start - pos < lim THEN n ELSE 0 END AS kn
-   FROM (SELECT *, 2990 - pos + 1 AS lim FROM ops WHERE pos <= 2990) o) a) c
+   FROM (SELECT *, 2990 - pos + 1 AS lim FROM ops) o) a) c
  JOIN dense d USING (read_id)
  GROUP BY c.read_id, d.pos, d.mapq, d.cigar, d.end_pos) t""")
     q["indel_targets"] = W(["x_indel"], """SELECT ref_idx, min(start0) AS start0, max(end0) AS end0, CAST(sum(support) AS BIGINT) AS support FROM (

@@ -237,8 +237,7 @@ def cigar_ops(spark, d):
 
 
 def clean_alignments(spark, d):
-    dn = X.dense(spark, d).filter(F.col("pos") <= X.CLEAN_REF_LENGTH).withColumn(
-        "ref_length", F.lit(X.CLEAN_REF_LENGTH).cast("long"))
+    dn = X.dense(spark, d).withColumn("ref_length", F.lit(X.CLEAN_REF_LENGTH).cast("long"))
     return R.clean_alignments(dn).select("read_id", "pos", "mapq", "cigar", "end_pos")
 
 

@@ -44,10 +44,6 @@ def test_variant_job_finds_planted_snps(spark, tmp_out):
     parsed = TF.parse_vcf(spark.createDataFrame([(ln,) for ln in lines], "value string")).collect()
     keys = [(r.chrom, r.pos) for r in parsed]
     assert keys == sorted(keys)                      # ordered by chromosome, then position
-    # with every read kept and no recalibration effect the calls equal the direct plan
-    direct = B.call_variants(B.pileup(X.bases_with_ref(B.aligned_bases(dense))))
-    assert set(r.ref_pos for r in got) <= set(r.ref_pos for r in direct.collect()) | \
-        set(r.ref_pos for r in got)
     assert calls.filter(F.col("region").isNull()).count() == 0
 
 
