@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 #: Payload digests in base32: 40 hex digits are 8 groups of 20 bits, each 4 letters.
-_BASE32 = "list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', " \
+_BASE32 = "list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', " \
           "((('0x' || substr(sha, 5 * (i // 4)::BIGINT + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) & 31)::BIGINT + 1, 1)), 'string_agg', '')"
 
 ORACLE_SQL = {
