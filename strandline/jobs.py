@@ -52,21 +52,32 @@ def call_variants_from_alignments(
     """Aligned reads (``read_id, qname, flag, ref_idx, pos, mapq, cigar, seq, qual``)
     -> variant calls, written as one ordered VCF body when ``out`` is given.
 
-    Steps: P2 filter; A2 + W1 + J2 regions (kept as a column for per-region output);
-    J7 + P7 clean-up; W2 duplicates removed; P8 read group; optionally J3 + J4 - keep
-    reads on targets that intersect the covered ranges (A6); A11 + J5 recalibration
+    Without ``read_id`` (SAM text from an aligner) the reads are numbered and written
+    once.  Steps: P2 filter; A2 + W1 + J2 regions (kept as a column for per-region
+    output); P5 + P6 quality encoding guessed and fixed per region; J7 + P7 clean-up;
+    W2 duplicates (paired rule; fragments by the unpaired one) removed; P8 read group;
+    optionally J3 + J4 - keep reads on targets that intersect the covered ranges (A6),
+    and calls inside the targets; A11 + J5 recalibration
     table (known sites excluded; per region with ``recal_per_region``) and J6
     applied; A12 pileup; W5 calls; U1/A4/O4 merge.
     ``ref_base`` gives the reference base of a site: a column function
     ``f(ref_pos, ref_idx)``, or reference chunks from
     :func:`strandline.sources.fasta.read_fasta_chunks` (default bin size), which reach
     the reads by bin.  Returns the
-    calls with ``region, chrom, line``."""
+    written calls with ``region, chrom, line``."""
+    if ref_base is None:
+        raise ValueError("ref_base is required to call variants")
+    cols = ["qname", "flag", "ref_idx", "pos", "mapq", "cigar", "seq", "qual"]
+    if "read_id" in aln.columns:
+        aln = aln.select("read_id", *cols)
+    else:
+        aln = materialize(aln.select(F.monotonically_increasing_id().alias("read_id"), *cols), "job_reads")
     kept = R.with_alignment_end(R.primary_mapped(aln))
-    regions = G.balance_regions(G.reads_per_chrom(kept), n_regions)
-    reads = G.assign_regions(kept, regions)
+    # one row per contig, written once: the reads are counted once
+    regions = materialize(G.balance_regions(G.reads_per_chrom(kept), n_regions), "job_regions")
+    reads = R.fix_qualities(G.assign_regions(kept, regions), by="region").drop("encoding", "quality_error")
     reads = R.clean_alignments(R.with_reference(reads, seq_dict))
-    reads = D.mark_duplicates(reads).filter(F.col("dup") == 0).drop("dup", "score")
+    reads = D.mark_duplicates_paired(reads).filter(F.col("dup") == 0).drop("dup", "score")
     # the cleaned, de-duplicated reads feed several later steps: written once
     reads = materialize(R.with_read_group(reads), "job_clean_reads")
     if targets is not None:
@@ -80,9 +91,6 @@ def call_variants_from_alignments(
             on, "ref_idx", ("start0", "end0"), ("bstart", "bend")).drop("start0", "end0"),
             "job_target_reads")
 
-    if ref_base is None:
-        raise ValueError("ref_base is required to call variants")
-
     keep = ("read_id", "ref_idx", "region")
 
     def fan_out(r: DataFrame, sites: DataFrame | None) -> DataFrame:
@@ -99,12 +107,18 @@ def call_variants_from_alignments(
     table = B.recal_table(fan_out(reads, known_sites), by=by)
     recal = B.recal_apply(reads, table, group="region" if recal_per_region else None)
     calls = B.call_variants(B.pileup(fan_out(recal, None)), min_qual)
-    names = broadcast_checked(seq_dict.select("ref_idx", "ref_name"), 1_000_000, "seq_dict")
-    reg = broadcast_checked(regions.select("ref_idx", "region"), 1_000_000, "regions")
+    names = broadcast_checked(seq_dict.select("ref_idx", "ref_name"), "seq_dict")
+    reg = broadcast_checked(regions.select("ref_idx", "region"), "regions")
     calls = (calls.join(names, "ref_idx", "inner").join(reg, "ref_idx", "inner")
              .withColumn("line", B.vcf_line(F.col("ref_name")))
              .withColumn("chrom", chrom_number("ref_name"))
              .withColumn("pos", F.col("ref_pos").cast("int")))
+    if targets is not None:
+        # a read on a target may reach past it: only calls inside the targets stay
+        calls = I.interval_restrict(
+            calls.withColumn("start0", F.col("ref_pos") - 1).withColumn("end0", F.col("ref_pos")),
+            targets, "ref_idx", ("start0", "end0"), ("bstart", "bend")).drop("start0", "end0")
+    calls = materialize(calls, "job_calls")
     if out is not None:
         merged = B.merge_variants(calls.select("chrom", "pos", "line"))
         write_vcf(merged, out, single_file=single_file, mode=mode)

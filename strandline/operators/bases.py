@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..functions import quality as Q
-from ..session import broadcast_checked, collect_checked
+from ..session import broadcast_checked, collect_checked, materialize
 from .intervals import merge_intervals
 
 
@@ -86,6 +86,8 @@ def aligned_bases_binned(reads: DataFrame, sites: DataFrame | None = None,
         site_bins = (sites.select("ref_idx", "ref_pos").distinct()
                      .groupBy("ref_idx", F.floor(F.col("ref_pos") / B).cast("long").alias("_bin"))
                      .agg(F.collect_list("ref_pos").alias("_sites")))
+        # written, so that the join shuffles two plain tables and AQE can split a hot bin
+        site_bins = materialize(site_bins, "site_bins")
         rb = rb.join(site_bins, ["ref_idx", "_bin"], "left")
         extra.append("_sites")
     if reference is not None:
@@ -189,9 +191,6 @@ def recal_lookup(table: DataFrame, group: str | None = None) -> DataFrame:
 
 
 LUT_TYPE = "array<array<int>>"
-MAX_RECAL_GROUPS = 1_000_000
-
-
 def recal_apply(reads: DataFrame, table: DataFrame, group: str | None = None) -> DataFrame:
     """Recalibrate base qualities.  Every aligned base (M, =, X) whose
     ``(quality, cycle)`` - or ``(group, quality, cycle)`` when the table was built per
@@ -206,18 +205,21 @@ def recal_apply(reads: DataFrame, table: DataFrame, group: str | None = None) ->
     shuffle of reads or bases, no regrouping."""
     lut = recal_lookup(table, group)
     if group:
-        x = reads.join(broadcast_checked(lut, MAX_RECAL_GROUPS, "recal_lut"), group, "left")
+        x = reads.join(broadcast_checked(lut, "recal_lut"), group, "left")
     else:
-        rows = collect_checked(lut.select(F.to_json("_lut").alias("_j")), 1, "recalibration table")
+        rows = collect_checked(lut.select(F.to_json("_lut").alias("_j")), "recalibration table")
         arr = (F.from_json(F.lit(rows[0]["_j"]), LUT_TYPE) if rows
                else F.lit(None).cast(LUT_TYPE))
         x = reads.withColumn("_lut", arr)
-    aligned = C.aligned_offsets("cigar")
     scores = Q.phred("qual")
-    new = F.transform(scores, lambda v, i: F.when(
-        F.coalesce(F.get(aligned, i), F.lit(False)),
-        F.coalesce(F.try_element_at(F.try_element_at(F.col("_lut"), i + 1), v + 1), v))
-        .otherwise(v))
+    # scores and aligned flags are paired first, so each is built once per read and not
+    # once per base
+    flags = F.coalesce(C.aligned_offsets("cigar"), F.array().cast("array<boolean>"))
+    paired = F.filter(F.zip_with(scores, flags, lambda v, a: C.named(v=v, a=a)),
+                      lambda t: t["v"].isNotNull())
+    new = F.transform(paired, lambda t, i: F.when(
+        F.coalesce(t["a"], F.lit(False)),
+        F.coalesce(F.get(F.get(F.col("_lut"), i), t["v"]), t["v"])).otherwise(t["v"]))
     return x.withColumn("qual", F.when(scores.isNull(), F.col("qual"))
                         .otherwise(Q.phred_text(new))).drop("_lut")
 

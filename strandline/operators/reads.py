@@ -22,9 +22,6 @@ FLAG_DUPLICATE = 1024
 # Fixed value: reference indices 1..24 are chr1..22, X, Y (0 is chrM).
 PRIMARY_MAX_REF_IDX = 24
 
-MAX_CONTIGS = 1_000_000
-
-
 def primary_mapped_condition(max_ref_idx: int = PRIMARY_MAX_REF_IDX) -> Column:
     """The P2 predicate as a column."""
     return (((F.col("flag").bitwiseAND(FLAG_UNMAPPED)) == 0)
@@ -47,8 +44,7 @@ def with_alignment_end(aln: DataFrame) -> DataFrame:
 def with_reference(aln: DataFrame, seq_dict: DataFrame) -> DataFrame:
     """Attach ``ref_name, ref_length`` from the sequence dictionary.  The
     dictionary has one row per contig; it is broadcast after a size check."""
-    d = broadcast_checked(seq_dict.select("ref_idx", "ref_name", "ref_length"),
-                          MAX_CONTIGS, "seq_dict")
+    d = broadcast_checked(seq_dict.select("ref_idx", "ref_name", "ref_length"), "seq_dict")
     return aln.join(d, "ref_idx", "left")
 
 
@@ -87,7 +83,7 @@ def fix_qualities(aln: DataFrame, encodings: DataFrame | None = None,
     check."""
     by = [by] if isinstance(by, str) else list(by)
     enc = encodings if encodings is not None else guess_encoding(aln, by)
-    enc = broadcast_checked(enc.select(*by, "encoding"), 1_000_000, "encodings")
+    enc = broadcast_checked(enc.select(*by, "encoding"), "encodings")
     x = aln.join(enc, by, "left")
     fixed = F.transform(Q.phred("qual"), lambda v: v - F.lit(Q.ILLUMINA_SHIFT))
     bad = F.exists(fixed, lambda v: v < 0)

@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 from ..session import broadcast_checked, materialize
 
 # Contig tables have one row per reference sequence.
-MAX_CONTIGS = 1_000_000
-
-
 def reads_per_chrom(aln: DataFrame, key: str = "ref_idx") -> DataFrame:
     """A2: ``ref_idx, n_reads``."""
     return aln.groupBy(key).agg(F.count(F.lit(1)).alias("n_reads"))
@@ -38,7 +35,7 @@ def balance_regions(counts: DataFrame, n: int, key: str = "ref_idx") -> DataFram
 def assign_regions(aln: DataFrame, regions: DataFrame, key: str = "ref_idx") -> DataFrame:
     """Attach ``region`` to every read.  The region table (one row per contig) is
     broadcast after a size check, so the reads keep their partitioning."""
-    r = broadcast_checked(regions.select(key, "region"), MAX_CONTIGS, "regions")
+    r = broadcast_checked(regions.select(key, "region"), "regions")
     return aln.join(r, key, "inner")
 
 
@@ -75,7 +72,7 @@ def rank_within(df: DataFrame, group: str, order: list[str],
     w = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_pid", group, "_m0",
                          F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    offs = broadcast_checked(offs, 10 * MAX_CONTIGS, "rank_offsets")
+    offs = broadcast_checked(offs, "rank_offsets")
     out = laid.join(offs, ["_pid", group], "inner")
     return (out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0") + 1)
                            .cast("long"))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions.cigar import named
 from ..functions.quality import shift_quality_text
 from ..operators import reads as R
-from ..session import spread
 
 # Fixed values of the fixture definitions (FIXTURES.md part B).
 NUM_CONTIGS = 26
@@ -60,8 +59,8 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, d: str, name: str, *cols: str) -> DataFrame:
-    """Scan ``name`` (pruned to ``cols``) spread over all cores (see :func:`spread`)."""
-    return spread(table(spark, d, name).select(*cols))
+    """Scan ``name``, pruned to ``cols``."""
+    return table(spark, d, name).select(*cols)
 
 
 def _md5_text(salt: str, key: Column, letters: str) -> Column:

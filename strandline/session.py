@@ -7,12 +7,13 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows above which a "small" side is not broadcast and the join falls back to a
-# shuffle join.  Contig tables, region tables and recalibration tables sit far below.
-DEFAULT_BROADCAST_ROWS = 100_000
+# Measured bytes above which a "small" side is not broadcast and the join is left to a
+# shuffle.  Contig, region, split and recalibration tables sit far below.
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -79,51 +80,58 @@ def materialize_counted(df: DataFrame, tag: str = "t") -> tuple[DataFrame, int]:
     write job itself (``Observation``), so no second job counts the table.  A stage
     retried after a lost executor can only make the count larger, which makes a size
     check stricter, never looser."""
+    out, seen = _write(df, tag, rows=F.count(F.lit(1)))
+    return out, int(seen["rows"])
+
+
+def _write(df: DataFrame, tag: str, **metrics: Column) -> tuple[DataFrame, dict]:
     spark = df.sparkSession
     name = f"{tag}-{uuid.uuid4().hex}"
     path = os.path.join(checkpoint_dir(spark), "strandline", name)
-    obs = Observation(f"rows-{name}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    obs = Observation(f"metrics-{name}")
+    (df.observe(obs, *(c.alias(n) for n, c in metrics.items()))
+     .write.mode("errorifexists").parquet(path))
     # the schema is known: reading back runs no footer-inference job
-    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      tag: str = "small") -> DataFrame:
-    """Broadcast ``df`` only after checking its size.
-
-    ``df`` is materialised first (one job, result kept in the checkpoint folder) and
-    its row count observed during that write; the broadcast hint is applied only when
-    the count is within ``max_rows``; otherwise the table is returned as is and the
-    planner shuffles (AQE may still broadcast it if it measures small)."""
-    m, n = materialize_counted(df, tag)
-    if n <= max_rows:
-        return F.broadcast(m)
-    return m
-
-
-def collect_checked(df: DataFrame, max_rows: int, what: str) -> list:
-    """Collect a table whose size is bounded by construction, failing loudly if the
-    bound is violated.  Used only for per-covariate tables (a few thousand rows)."""
-    m, n = materialize_counted(df, "collect")
-    if n > max_rows:
-        raise ValueError(f"{what}: {n} rows exceed the bound of {max_rows}; refusing to collect")
+    return spark.read.schema(df.schema).parquet(path), obs.get
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row in bytes: 16 per fixed-width value, texts by their length, nested
+    values by the length of their JSON text."""
+    size = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + 16 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + 16 + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+        else:
+            size = size + 16
+    return size
+
+
+def _write_measured(df: DataFrame, tag: str) -> tuple[DataFrame, int]:
+    out, seen = _write(df, tag, size=F.sum(row_bytes(df)))
+    return out, int(seen["size"] or 0)
+
+
+def broadcast_checked(df: DataFrame, tag: str = "small",
+                      max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after measuring its bytes.
+
+    ``df`` is written first (one job, result kept in the checkpoint folder) and its
+    size observed during that write; the broadcast hint is applied only within
+    ``max_bytes``.  Beyond it the table is returned as is, and the planner shuffles
+    two written tables, which AQE can split at a hot key."""
+    m, size = _write_measured(df, tag)
+    return F.broadcast(m) if size <= max_bytes else m
+
+
+def collect_checked(df: DataFrame, what: str, max_bytes: int = BROADCAST_BYTES) -> list:
+    """Collect a table whose size is bounded by construction, failing loudly if its
+    measured bytes exceed the bound.  Used only for the global recalibration table
+    (read length x 128 qualities)."""
+    m, size = _write_measured(df, "collect")
+    if size > max_bytes:
+        raise ValueError(f"{what}: {size} bytes exceed the bound of {max_bytes}; refusing to collect")
     return m.collect()
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Make sure a scan feeds every core.
-
-    A table stored as one row group scans as one task, and every per-row stage after it
-    (fan-out of reads into bases, string rebuilding) would then run on one core.  When
-    the scan has fewer splits than the default parallelism, rows are spread round-robin
-    over that many partitions; a scan with at least that many splits (any large table)
-    is returned untouched, so at scale this adds no shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:       # no RDD view of the plan (a Spark Connect session): leave as is
-        return df
-    if splits < target:
-        return df.repartition(target)
-    return df

@@ -16,54 +16,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_checked
-
-MAX_SPLITS = 5_000_000
-MAX_CONTIGS = 10_000_000
-LINE_BUCKET = 1 << 20
+from ..session import broadcast_checked, materialize
 
 
 def read_fasta_chunks(spark: SparkSession, path: str, bin_size: int = 1 << 10) -> DataFrame:
     """FASTA -> reference chunks.  Bin ``b`` of a contig holds positions
     ``b*B .. b*B + B - 1`` (1-based; bin 0 starts at position 1)."""
     B = F.lit(bin_size)
-    raw = spark.read.text(path).select(
+    # written once with its ids: offsets and lines come from the same table, so a later
+    # job that cuts the files otherwise cannot part them
+    lines = materialize(spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"),
-        F.monotonically_increasing_id().alias("_mid"))
+        F.monotonically_increasing_id().alias("_mid")), "fasta_lines")
     is_hdr = F.col("value").startswith(">")
-    lines = raw.withColumn("_len", F.when(is_hdr, F.lit(0)).otherwise(F.length(F.trim("value")))
-                           .cast("long"))
-    # split offsets: lines before the split, and sequence characters before the split
-    splits = lines.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_c"),
-                                           F.sum("_len").alias("_chars"),
-                                           F.min("_mid").alias("_m0"))
+    lines = lines.select("*", is_hdr.cast("long").alias("_hdr"), F.when(is_hdr, F.lit(0)).otherwise(
+        F.length(F.trim("value"))).cast("long").alias("_len"))
+    # split offsets: headers and sequence characters before the split
+    splits = lines.groupBy("_f", "_b").agg(F.sum("_hdr").alias("_hdrs"), F.sum("_len").alias("_chars"))
     wo = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = broadcast_checked(splits.select(
-        "_f", "_b", "_m0", "_c", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_loff"),
-        F.coalesce(F.sum("_chars").over(wo), F.lit(0)).alias("_coff")), MAX_SPLITS, "fasta_splits")
-    n_lines = offs.agg(F.coalesce(F.max(F.col("_loff") + F.col("_c")), F.lit(0))).scalar()
-    ws = Window.partitionBy("_f", "_b").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+        "_f", "_b", F.coalesce(F.sum("_hdrs").over(wo), F.lit(0)).alias("_hoff"),
+        F.coalesce(F.sum("_chars").over(wo), F.lit(0)).alias("_coff")), "fasta_splits")
+    ws = Window.partitionBy("_f", "_b").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    # a line belongs to the contig of the last header up to it, counted over all files
     x = lines.join(offs, ["_f", "_b"], "inner").select(
-        (F.col("_loff") + F.col("_mid") - F.col("_m0")).alias("_idx"), "value", "_len",
-        (F.col("_coff") + F.coalesce(F.sum("_len").over(ws), F.lit(0))).alias("_cum"))
-    # contigs: header line ordinal and the sequence characters before it
-    hdr = x.filter(F.col("value").startswith(">")).select(
-        F.col("_idx").alias("_hidx"), F.col("_cum").alias("_hcum"),
-        F.split(F.substring(F.col("value"), 2, 1 << 30), r"\s+").getItem(0).alias("ref_name"))
-    # a contig owns the lines from its header to the next header; each contig is
-    # exploded over the line buckets it spans (a small table: contigs + lines / K), so a
-    # line meets, by an equi-join on its bucket, only the contigs that touch the bucket
-    wn = Window.orderBy("_hidx")
-    hdr = hdr.withColumn("_next", F.coalesce(F.lead("_hidx").over(wn), n_lines))
-    K = F.lit(LINE_BUCKET)
-    hb = hdr.withColumn("_bk", F.explode(F.sequence(
-        F.floor(F.col("_hidx") / K).cast("long"), F.floor((F.col("_next") - 1) / K).cast("long"))))
-    hb = broadcast_checked(hb, MAX_CONTIGS, "fasta_contigs")
-    seq = (x.filter(~F.col("value").startswith(">") & (F.col("_len") > 0))
-           .withColumn("_bk", F.floor(F.col("_idx") / K).cast("long")))
-    own = seq.join(hb, (seq["_bk"] == hb["_bk"]) & (seq["_idx"] > hb["_hidx"])
-                   & (seq["_idx"] < hb["_next"]), "inner")
+        "value", "_len", "_hdr", (F.col("_hoff") + F.sum("_hdr").over(ws)).alias("_contig"),
+        (F.col("_coff") + F.sum("_len").over(ws) - F.col("_len")).alias("_cum"))
+    hdr = broadcast_checked(x.filter("_hdr = 1").select(
+        "_contig", F.col("_cum").alias("_hcum"),
+        F.split(F.substring(F.col("value"), 2, 1 << 30), r"\s+").getItem(0).alias("ref_name")),
+        "fasta_contigs")
+    own = x.filter("_hdr = 0 and _len > 0").join(hdr, "_contig", "inner")
     p0 = F.col("_cum") - F.col("_hcum") + 1             # position of the line's first base
     pieces = own.select(
         "ref_name", p0.alias("_p0"), F.trim("value").alias("_s"),
@@ -83,5 +67,5 @@ def read_fasta_chunks(spark: SparkSession, path: str, bin_size: int = 1 << 10) -
 def chunks_by_index(chunks: DataFrame, seq_dict: DataFrame) -> DataFrame:
     """Reference chunks keyed by ``ref_idx`` (contig names through the dictionary,
     broadcast after a size check)."""
-    d = broadcast_checked(seq_dict.select("ref_name", "ref_idx"), MAX_CONTIGS, "seq_dict")
+    d = broadcast_checked(seq_dict.select("ref_name", "ref_idx"), "seq_dict")
     return chunks.join(d, "ref_name", "inner").select("ref_idx", "bin", "chunk_start", "chunk")

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_checked
-
-# A split table has one row per file split (~128 MB of text each).
-MAX_SPLITS = 5_000_000
+from ..session import broadcast_checked, materialize
 
 
 def read_indexed_lines(spark: SparkSession, path: str, glob: str | None = None,
@@ -21,20 +18,22 @@ def read_indexed_lines(spark: SparkSession, path: str, glob: str | None = None,
     ``file_block_start``) and a per-partition row id; rows of one split are contiguous
     in one partition, so ``id - min(id of split)`` is the line number inside the split.
     Per-split line counts (one row per split) give the offsets through a running sum,
-    and are joined back by broadcast after a size check.  All JVM-side; the scan is
-    deterministic, so re-running a lost task reproduces the same ids."""
+    and are joined back by broadcast after a size check.  All JVM-side.  The scan is
+    written once with its ids, and both the counts and the lines come from that table:
+    how a later job cuts the files into splits (that depends on the cores it finds)
+    cannot part them."""
     r = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    lines = r.text(path).select(
+    lines = materialize(r.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"),
-        F.monotonically_increasing_id().alias("_mid"))
+        F.monotonically_increasing_id().alias("_mid")), "lines")
     splits = lines.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_c"),
                                            F.min("_mid").alias("_m0"))
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = splits.select("_f", "_b", "_m0",
                          F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    offs = broadcast_checked(offs, MAX_SPLITS, "line_splits")
+    offs = broadcast_checked(offs, "line_splits")
     return (lines.join(offs, ["_f", "_b"], "inner")
             .select((F.col("_off") + F.col("_mid") - F.col("_m0")).alias("idx"), "value",
                     *([F.col("_f").alias("file_path")] if with_file else [])))

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from ..functions.chrom import chrom_number
 from ..session import broadcast_checked
 
-MAX_CONTIGS = 1_000_000
 
 # The 11 mandatory SAM columns, in order.
 SAM_FIELDS = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext",
@@ -70,8 +69,7 @@ def parse_sam(lines: DataFrame, seq_dict: DataFrame | None = None) -> DataFrame:
     if seq_dict is None:
         return out
     d = broadcast_checked(seq_dict.select(F.col("ref_name").alias("_rn"),
-                                          F.col("ref_idx").alias("_ri")),
-                          MAX_CONTIGS, "seq_dict")
+                                          F.col("ref_idx").alias("_ri")), "seq_dict")
     j = out.join(d, out["ref_name"] == d["_rn"], "left")
     ref_idx = (F.when(F.col("ref_name") == "*", F.lit(-1))
                .otherwise(F.col("_ri")).cast("int"))
@@ -114,8 +112,7 @@ def read_known_sites(lines: DataFrame, seq_dict: DataFrame) -> DataFrame:
     f = F.split(F.col("value"), "\t")
     sites = body.select(F.try_element_at(f, F.lit(1)).alias("_rn"),
                         F.try_element_at(f, F.lit(2)).try_cast("long").alias("ref_pos"))
-    d = broadcast_checked(seq_dict.select(F.col("ref_name").alias("_rn"), "ref_idx"),
-                          MAX_CONTIGS, "seq_dict")
+    d = broadcast_checked(seq_dict.select(F.col("ref_name").alias("_rn"), "ref_idx"), "seq_dict")
     return (sites.join(d, "_rn", "inner").filter(F.col("ref_pos").isNotNull())
             .select("ref_idx", "ref_pos").distinct())
 
@@ -145,6 +142,5 @@ def read_bed(spark: SparkSession, path: str) -> DataFrame:
 def bed_with_ref_idx(bed: DataFrame, seq_dict: DataFrame) -> DataFrame:
     """BED rows with the contig's ``ref_idx`` (names not in the dictionary dropped);
     the dictionary is broadcast after a size check."""
-    d = broadcast_checked(seq_dict.select(F.col("ref_name").alias("chrom"), "ref_idx"),
-                          MAX_CONTIGS, "seq_dict")
+    d = broadcast_checked(seq_dict.select(F.col("ref_name").alias("chrom"), "ref_idx"), "seq_dict")
     return bed.join(d, "chrom", "inner")
