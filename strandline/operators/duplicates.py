@@ -9,7 +9,8 @@ broken by read name; all others get flag bit 0x400 and ``dup = 1``.
 Scale: instead of a window over every duplicate group (one task for a hot group), the
 best read per group is an aggregate (``min`` of a struct), combined map-side, so a
 group holding a third of all reads leaves each map task as one row.  The flags come
-from joining that table back; AQE's skew-join handling splits a hot key there.
+from joining that table back.  It is written first: with a plain shuffle on both sides,
+AQE's skew-join handling splits a hot key (it does not above an aggregate).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..functions import quality as Q
+from ..session import materialize
 from .reads import FLAG_DUPLICATE, FLAG_REVERSE
 
 # Fixed value: only base qualities at or above this count towards a read's score.
@@ -50,7 +52,7 @@ def mark_duplicates(aln: DataFrame) -> DataFrame:
     best = x.groupBy(*key).agg(
         F.min(F.struct((-F.col("score")).alias("s"), F.col("qname").alias("q"),
                        F.col("read_id").alias("r")))["r"].alias("_best"))
-    j = x.join(best, key, "inner")
+    j = x.join(materialize(best, "best_reads"), key, "inner")
     dup = (F.col("read_id") != F.col("_best")).cast("int")
     return (j.withColumn("dup", dup)
             .withColumn("flag", F.when(F.col("dup") == 1,
@@ -91,13 +93,13 @@ def mark_duplicates_paired(aln: DataFrame) -> DataFrame:
         F.min(F.struct("_end", "read_id")).alias("_lo"),
         F.max(F.struct("_end", "read_id")).alias("_hi"),
         F.sum("score").alias("_score"), F.count(F.lit(1)).alias("_n"))
-    tmpl = tmpl.filter(F.col("_n") == 2).select(
+    tmpl = materialize(tmpl.filter(F.col("_n") == 2).select(
         "qname", "_score", F.col("_lo._end").alias("_e1"), F.col("_hi._end").alias("_e2"),
-        F.col("_lo.read_id").alias("_r1"), F.col("_hi.read_id").alias("_r2"))
+        F.col("_lo.read_id").alias("_r1"), F.col("_hi.read_id").alias("_r2")), "templates")
     best = tmpl.groupBy("_e1", "_e2").agg(
         F.min(F.struct((-F.col("_score")).alias("s"), F.col("qname").alias("q")))["q"]
         .alias("_best"))
-    flagged_t = tmpl.join(best, ["_e1", "_e2"], "inner").select(
+    flagged_t = tmpl.join(materialize(best, "best_templates"), ["_e1", "_e2"], "inner").select(
         F.explode(F.array("_r1", "_r2")).alias("read_id"),
         (F.col("qname") != F.col("_best")).cast("int").alias("_dup_t"))
 
@@ -117,7 +119,7 @@ def mark_duplicates_paired(aln: DataFrame) -> DataFrame:
             F.min(F.when(F.col("_pair") == 0, F.struct(
                 (-F.col("score")).alias("s"), F.col("qname").alias("q"),
                 F.col("read_id").alias("r"))))["r"].alias("_bestf"))
-    frag_f = frag.join(at_end, "_end", "inner").select(
+    frag_f = frag.join(materialize(at_end, "best_ends"), "_end", "inner").select(
         "read_id", F.when((F.col("_hit") == 1) | (F.col("read_id") != F.col("_bestf")), 1)
         .otherwise(0).alias("_dup"))
 
