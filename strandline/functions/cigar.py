@@ -45,12 +45,13 @@ def _query_len(o: Column) -> Column:
 def cigar_with_offsets(cigar) -> Column:
     """``array<struct<k, op, n, ref_off, read_off>>``: for operation ``k`` (0-based) the
     reference bases and read bases consumed by operations ``0..k-1``."""
-    ops = cigar_array(cigar)
-    zero = F.lit(0).cast("long")
-    return F.transform(ops, lambda o, i: named(
-        k=i, op=o["op"], n=o["n"],
-        ref_off=F.aggregate(F.slice(ops, 1, i), zero, lambda a, p: a + _ref_len(p)),
-        read_off=F.aggregate(F.slice(ops, 1, i), zero, lambda a, p: a + _query_len(p))))
+    # one pass that carries both sums and the operations seen so far
+    start = named(k=F.lit(0), r=F.lit(0).cast("long"), q=F.lit(0).cast("long"),
+                  out=F.array().cast("array<struct<k:int,op:string,n:bigint,ref_off:bigint,read_off:bigint>>"))
+    return F.aggregate(cigar_array(cigar), start, lambda a, o: named(
+        k=a["k"] + 1, r=a["r"] + _ref_len(o), q=a["q"] + _query_len(o),
+        out=F.concat(a["out"], F.array(named(k=a["k"], op=o["op"], n=o["n"], ref_off=a["r"], read_off=a["q"])))),
+        lambda a: a["out"])
 
 
 def aligned_length(cigar) -> Column:
