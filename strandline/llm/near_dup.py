@@ -12,10 +12,15 @@ shingles are too few for the similarity are skipped (an exact bound).
 
 Pairs inside a group are never all emitted.  Pivot rounds come first: in each posting list
 every member meets one pivot, verified pairs are merged into components, and lists whose
-members are all in one component are done.  The last round then joins what is left: pairs
-of members of different components, each emitted only at its first common value.  So every
-link between components is tested, while links inside a component, which cannot change
-the result, are not.
+members are all in one component are done.  The last round then takes what is left: pairs
+of members of different components.  Lists of up to ``DIRECT`` members are joined with
+themselves, each pair emitted only at its first common value.  In longer lists members are
+compared by how their full sets differ from the list's pivot: two sets that are similar
+enough, and not both linked to the pivot, have at least a known number of differences in
+common, so only pairs that meet in the rarest of their differences (prefix) are emitted.
+This is exact, and a large group of sets just below the similarity does not become all of
+its pairs.  So every link between components is tested, while links inside a component,
+which cannot change the result, are not.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked
 with nothing; fewer words than a shingle make one shingle of all; rows with a null id are
@@ -36,6 +41,8 @@ from strandline.llm.common import docs_of, materialize, materialize_counted, per
 COORDINATES, LEAST = 128, 84
 #: Pivot rounds go on while a round merges this share of the open members.
 GOES_ON = 0.02
+#: Lists of more open members are compared by differences from their pivot.
+DIRECT = 8
 _RNG = np.random.default_rng(20240229)
 _MULTIPLY = _RNG.integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _FLIP = _RNG.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
@@ -199,6 +206,64 @@ def _candidates(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return j.where(fits & (F.size(F.array_intersect("sa", "sb")) >= LEAST)).select("a", "b")
 
 
+def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(pivot, node, size, need, linked, elem) for the pairs (pivot, node): a row for each
+    shingle that only one of the two sets has; their number; what the node adds to the
+    differences that it must share with a similar node; whether the two sets are linked.
+
+    With M shingles of the pivot missing from a node and X others added, two nodes reach
+    the similarity if 2 * (100 + percent) * (differences in common) >= their needs
+    together.  Without a common difference, only nodes that are both linked to the pivot do."""
+    schema = pa.schema([("pivot", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("need", pa.int64()),
+                        ("linked", pa.bool_()), ("elem", pa.int64())])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for pivot, node, x, y in zip(*(c.to_pylist() for c in b.columns)):
+                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+                elem = np.setxor1d(x, y, assume_unique=True)
+                missing = (len(x) - len(y) + len(elem)) // 2
+                added = len(elem) - missing
+                need = 200 * missing + 2 * percent * added - (100 - percent) * len(x)
+                linked = (100 + percent) * (len(x) - missing) >= percent * (len(x) + len(y))
+                n = len(elem)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, v), t) for v, t in zip((pivot, node, n, need, linked), schema.types)]
+                                                 + [pa.array(elem, pa.int64())], schema=schema)
+
+    both = pairs.join(_as(sets, node="pivot", set="x"), "pivot").join(_as(sets, node="node", set="y"), "node")
+    return both.select("pivot", "node", "x", "y").mapInArrow(run, "pivot long, node long, size long, need long, linked boolean, elem long")
+
+
+def _share(needs: Column, percent: int) -> Column:
+    """Differences that two nodes must share, from their needs together."""
+    return F.greatest(F.lit(1).cast("long"), F.ceil(needs / (2 * (100 + percent))))
+
+
+def _meetings(delta: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes in different components that meet in the rarest of their
+    differences from one pivot."""
+    common = materialize(delta.groupBy("pivot", "elem").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("df"))
+                         .where("lo < hi").select("pivot", "elem", "df"), "nd-common")
+    low = delta.groupBy("pivot").agg(F.min("need").alias("low"))
+    per = (delta.join(common, ["pivot", "elem"]).groupBy("pivot", "node", "size", "need", "linked")
+           .agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "elem"))), lambda e: e["elem"]).alias("front")))
+    # differences that no other node has come first of all and are not kept
+    alone = F.col("size") - F.size("front")
+    length = F.col("size") - _share(F.col("need") + F.col("low"), percent) + 1 - alone
+    per = per.join(low, "pivot").select("pivot", "node", "size", "need", "linked", alone.alias("alone"),
+                                        F.slice("front", F.lit(1), F.greatest(length, F.lit(0)).cast("int")).alias("front"))
+    rows = materialize(per.join(comp, "node").join(nodes.select("node", "n", "private"), "node")
+                       .select("*", F.posexplode("front").alias("at", "elem")), "nd-front")
+    x, y = rows.alias("x"), rows.alias("y")
+    share = _share(F.col("x.need") + F.col("y.need"), percent)
+    within = lambda s: F.col(f"{s}.alone") + F.col(f"{s}.at") + share <= F.col(f"{s}.size")
+    return (x.join(y, (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.elem") == F.col("y.elem")) & (F.col("x.node") < F.col("y.node"))
+                   & (F.col("x.comp") != F.col("y.comp")) & ~(F.col("x.linked") & F.col("y.linked")) & within("x") & within("y")
+                   & _fits(F.col("x.n"), F.col("x.private"), F.col("y.n"), F.col("y.private"), percent)
+                   & (F.element_at(F.array_intersect("x.front", "y.front"), 1) == F.col("x.elem")))
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+
+
 def _relabel(comp: DataFrame, edges: DataFrame, tag: str) -> DataFrame:
     """Components after merging those that the edges (a, b) between components join."""
     new = _as(connected(edges, tag), node="comp", comp="up")
@@ -226,21 +291,27 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pivots, r = True, 0
     while True:
         here = post.join(comp, "node")
-        span = here.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), _pivot(r).alias("pivot"))
-        mixed = materialize(span.where("lo < hi").select("token", "pivot"), "nd-mixed")
+        span = here.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), _pivot(r).alias("pivot"), F.count("*").alias("members"))
+        mixed = materialize(span.where("lo < hi").select("token", "pivot", "members"), "nd-mixed")
         open_ = materialize(here.join(mixed, "token"), "nd-open")
         if pivots:
             pv = open_.join(_as(comp, node="pivot", comp="pcomp"), "pivot").where("comp != pcomp")
             pairs = pv.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         else:
-            rest = open_.select("token", "node", "comp").join(nodes.select("node", "n", "private", "prefix"), "node")
+            star = open_.where((F.col("members") > DIRECT) & (F.col("node") != F.col("pivot"))).select("pivot", "node").distinct()
+            delta = materialize(_differences(star, sets, percent), "nd-delta")
+            rest = open_.where(F.col("members") <= DIRECT).select("token", "node", "comp").join(nodes.select("node", "n", "private", "prefix"), "node")
             x, y = rest.alias("x"), rest.alias("y")
             pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
                             & _fits(F.col("x.n"), F.col("x.private"), F.col("y.n"), F.col("y.private"), percent)
                             & (F.array_min(F.array_intersect("x.prefix", "y.prefix")) == F.col("x.token")))
-                     .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+                     .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+                     .unionByName(_meetings(delta, comp, nodes, percent)).distinct())
         ca, cb = _as(comp, node="a", comp="ca"), _as(comp, node="b", comp="cb")
         links = _verified(_candidates(pairs, nodes, percent), sets, percent)
+        if not pivots:
+            # differences were counted on full sets, so these links are verified
+            links = links.unionByName(delta.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
         links, found = materialize_counted(links.join(ca, "a").join(cb, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), "nd-links")
         if found:
             comp = _relabel(comp, links, "nd-comp")

@@ -307,6 +307,42 @@ def test_near_duplicates_equal_brute_force(spark, texts):
     assert got == brute_components(rows, 4)
 
 
+def test_near_duplicates_in_a_group_around_the_threshold(spark):
+    rng = random.Random(31)
+    base, rows = [f"v{i}" for i in range(120)], []
+    for d in range(160):                    # copies that are close to the base, to few others, or to none
+        w = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            w[rng.randrange(len(w))] = rng.choice((f"n{d}", "shared", f"m{rng.randrange(20)}"))
+        rows.append((d, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.components(docs, shingle=4).collect()}
+    want = brute_components(rows, 4)
+    assert got == want and 20 < len({c for _, c, _ in want.values()}) < 140
+
+
+@pytest.mark.parametrize("percent", (60, 80))
+def test_similar_sets_share_differences_from_a_pivot(spark, percent):
+    rng = random.Random(percent)
+    pool = range(1, 61)
+    sets = {i: sorted(rng.sample(pool, 40)) if i % 2 else sorted({*range(1, 41)} - {*rng.sample(range(1, 41), i % 9)} | {*rng.sample(range(41, 61), i % 5)})
+            for i in range(70)}
+    packed = [(i, np.array(x, np.int64).tobytes()) for i, x in sets.items()]
+    table = spark.createDataFrame(packed, "node long, set binary")
+    stars = spark.createDataFrame([(0, i) for i in sets if i], "pivot long, node long")
+    delta = near_dup._differences(stars, table, percent)
+    comp = table.select("node", F.col("node").alias("comp"))
+    nodes = table.select("node", (F.length("set") / 8).cast("long").alias("n"), F.lit(0).cast("long").alias("private"))
+    met = {tuple(r) for r in near_dup._meetings(delta, comp, nodes, percent).collect()}
+    linked = {r.node for r in delta.where("linked").select("node").distinct().collect()}
+    near = lambda a, b: 100 * len({*sets[a]} & {*sets[b]}) >= percent * len({*sets[a]} | {*sets[b]})
+    assert {i for i in sets if i and near(0, i) and sets[i] != sets[0]} == linked
+    for a in range(1, 70):
+        for b in range(a + 1, 70):
+            if near(a, b) and sets[a] != sets[b] and sets[0] not in (sets[a], sets[b]):
+                assert (a, b) in met or {a, b} <= linked
+
+
 def test_near_duplicates_odd_rows(spark):
     docs = odd_docs(spark)
     got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dup.components(docs).collect())
