@@ -1,9 +1,12 @@
 """Line dedup by log templates, in DataFrame and SQL functions only.
 
-A line's fields that hold digits become ``<*>``.  The lines go down a tree of fixed depth:
+A line's fields that hold digits become ``<*>``, if enough constant words are left: at
+least ``WORDS`` fields with a letter, and a third of all fields.  Other lines (number tables,
+data rows) keep their digits and recur only where their whole text is equal.  The lines go
+down a tree of fixed depth:
 first by token count, then by their leading tokens.  In a leaf a line joins the template
-of the leaf's pivot (the line of the earliest document) if at least ``similar`` of its
-tokens stand at the same places; the places where they differ are the template's variable
+of the leaf's pivot (the line of the earliest document) if at least ``similar`` of the
+places that are constant in one of the two hold the same token; the places where they differ are the template's variable
 fields.  Lines that do not join go down to the next, deeper level (more leading tokens)
 and are compared there once more; a line that joins none is its own template.
 
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import materialize
 
 MIN_TOKENS = 3
+WORDS = 3
 LEVELS = (3, 8)
 SIMILAR = 0.8
 _SPACES = " \t\n\x0b\x0c\r"
@@ -37,11 +41,28 @@ _GAP = r"[\x20\x09-\x0D]+"
 _VARIABLE = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9]*+[0-9])[^\x20\x09-\x0D]++"
 
 
+# At least WORDS tokens with a letter; anchored, so that it is tried once.
+_WORDED = r"^[^\p{L}]*+\p{L}" + (WORDS - 1) * r"[^ ]*+ [^\p{L}]*+\p{L}"
+
+
+def spaced(line: Column) -> Column:
+    """The line's tokens with one space between them."""
+    wide = line.contains("  ") | line.startswith(" ") | line.endswith(" ") | line.rlike(r"[\x09-\x0D]")
+    return F.when(wide, F.regexp_replace(F.btrim(line, F.lit(_SPACES)), _GAP, " ")).otherwise(line)
+
+
 def masked(line: Column) -> Column:
-    """The line's tokens with one space between them, fields with digits as ``<*>``."""
-    spaced = line.contains("  ") | line.startswith(" ") | line.endswith(" ") | line.rlike(r"[0-9\x09-\x0D]")
-    clean = F.regexp_replace(F.btrim(line, F.lit(_SPACES)), _GAP, " ")
-    return F.when(spaced, F.regexp_replace(clean, _VARIABLE, "<*>")).otherwise(line)
+    """A spaced line with its fields that hold digits as ``<*>``."""
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, _VARIABLE, "<*>")).otherwise(line)
+
+
+def _count(x: Column, of: str) -> Column:
+    return ((F.octet_length(x) - F.octet_length(F.replace(x, F.lit(of), F.lit("")))) / len(of)).cast("int")
+
+
+def _constant(body: Column, n: Column) -> Column:
+    """Whether enough of a masked line is constant for a template."""
+    return body.rlike(_WORDED) & F.when(body.contains("<*>"), 3 * (n - _count(body, "<*>")) >= n).otherwise(True)
 
 
 def _hash(x: Column) -> Column:
@@ -49,12 +70,16 @@ def _hash(x: Column) -> Column:
 
 
 def _lines(docs: DataFrame, *cols: str) -> DataFrame:
-    """(cols, pos, body, n, h): worded lines, masked, with token count and hash."""
+    """(cols, pos, body, n, exact, h): worded lines with token count and hash; masked, or as
+    they are (exact) where too little is constant."""
     # masked and counted inside the array, so that each line is worked on once
-    lines = F.transform(F.split("text", "\n"), masked)
-    counted = F.transform(lines, lambda x: F.struct(x.alias("body"), (
-        F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n")))
-    return (docs.select(*cols, F.posexplode(counted).alias("pos", "line")).select(*cols, "pos", "line.body", "line.n")
+    lines = F.transform(F.transform(F.split("text", "\n"), spaced), lambda x: F.struct(
+        x.alias("plain"), masked(x).alias("body"), (_count(x, " ") + 1).alias("n")))
+    judged = F.transform(lines, lambda x: F.struct(x["plain"].alias("plain"), x["body"].alias("body"), x["n"].alias("n"),
+                                                   (~_constant(x["body"], x["n"])).alias("exact")))
+    return (docs.select(*cols, F.posexplode(judged).alias("pos", "line"))
+            .select(*cols, "pos", F.when(F.col("line.exact"), F.col("line.plain")).otherwise(F.col("line.body")).alias("body"),
+                    "line.n", "line.exact")
             .where(F.col("n") >= MIN_TOKENS).withColumn("h", _hash(F.col("body"))))
 
 
@@ -67,6 +92,13 @@ def _earlier(lo: Column, hi: Column, nulls: Column) -> Column:
     return (lo < hi) | (lo.isNotNull() & nulls)
 
 
+def _alike(a: Column, b: Column, similar: float) -> Column:
+    """Whether two masked lines agree in enough of the places where one is constant."""
+    # 1 where they agree, 0 where they differ, null where both are variable
+    places = F.filter(F.zip_with(a, b, lambda x, y: F.when(x != y, 0).when(x != "<*>", 1)), lambda x: x.isNotNull())
+    return F.size(F.filter(places, lambda x: x == 1)) >= similar * F.size(places)
+
+
 def _joined(lines: DataFrame, depth: int, similar: float) -> DataFrame:
     """(h, template) for the lines that join their leaf's pivot at this depth."""
     at = lines.withColumn("leaf", _leaf(depth))
@@ -76,8 +108,7 @@ def _joined(lines: DataFrame, depth: int, similar: float) -> DataFrame:
     first = at.groupBy("leaf").agg(F.min(order).alias("first"), F.count("*").alias("k")).where("k > 1")
     pivots = materialize(at.join(first, "leaf").where(order == F.col("first"))
                          .select("leaf", F.col("h").alias("template"), F.col("body").alias("pivot")).distinct(), "lines-pivots")
-    same = F.size(F.filter(F.zip_with(F.split("body", " "), F.split("pivot", " "), lambda a, b: a == b), lambda x: x))
-    return at.join(pivots, "leaf").where(same >= similar * F.col("n")).select("h", "template").distinct()
+    return at.join(pivots, "leaf").where(_alike(F.split("body", " "), F.split("pivot", " "), similar)).select("h", "template").distinct()
 
 
 def recurring(lines: DataFrame, occurrences: DataFrame, levels: tuple[int, ...] = LEVELS, similar: float = SIMILAR) -> DataFrame:
@@ -90,7 +121,7 @@ def recurring(lines: DataFrame, occurrences: DataFrame, levels: tuple[int, ...]
     several = materialize(shared.where((F.col("k") > 1) & _earlier(F.col("a"), F.col("b"), F.col("c"))).select("leaf"), "lines-leaves")
     meet = materialize(seen.join(several, "leaf").select("h", "lo"), "lines-meet")
     # such lines with their text, from the first document that has them
-    open_ = lines.select("id", "h", "n", "body").join(meet, "h").where(F.col("id").eqNullSafe(F.col("lo"))).select("h", "lo", "n", "body")
+    open_ = lines.where(~F.col("exact")).select("id", "h", "n", "body").join(meet, "h").where(F.col("id").eqNullSafe(F.col("lo"))).select("h", "lo", "n", "body")
     left, into = materialize(open_, "lines-open"), None
     for depth in levels:
         got = materialize(_joined(left, depth, similar), "lines-joined")
@@ -109,7 +140,8 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # rows are told apart by id and text; equal rows have equal decisions
     lines = _lines(src.withColumn("key", _hash(F.coalesce("text", F.lit("")))), "id", "key")
-    found = materialize(lines.select("id", "key", "pos", "h", _leaf(how.get("levels", LEVELS)[0]).alias("leaf")), "lines-found")
+    found = materialize(lines.select("id", "key", "pos", "h", F.when(F.col("exact"), F.xxhash64("body"))
+                                     .otherwise(_leaf(how.get("levels", LEVELS)[0])).alias("leaf")), "lines-found")
     gone = materialize(recurring(_lines(src, "id"), found, **how), "lines-recurring")
     drops = (found.select("id", "key", "pos", "h").join(gone, "h").where(F.col("id").isNull() | (F.col("id") > F.col("lo")))
              .groupBy("id", "key").agg(F.sort_array(F.collect_set("pos")).alias("pos")))

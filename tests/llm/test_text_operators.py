@@ -412,6 +412,16 @@ def test_line_dedup_equals_brute_force(spark, texts):
         assert got[i]._text == (t if not gone.get(i) else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[i]))
 
 
+def test_line_dedup_keeps_data_rows(spark):
+    rows = [(1, "12 34 56 78\n1 | 2 | 3 | 4\nrun 5 6 7 8 9\nUser 12 logged in from 1.2.3.4"), (2, "21 43 65 87\n8 | 7 | 6 | 5"),
+            (3, "12 34  56 78\nrun 9 8 7 6 5\nUser 99 logged in from 4.3.2.1"),
+            (4, "10 Ann went 20 30 to 40 50 60"), (5, "10 Bob went 20 30 to 40 50 60")]
+    got = {r.doc_id: list(r._dropped) for r in line_dedup.decide(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # different values stay; equal rows and a template with enough words recur
+    assert got == {1: [], 2: [], 3: [0, 2], 4: [], 5: []}
+    assert line_dedup.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).count() == 5
+
+
 def test_line_dedup_odd_rows(spark):
     docs = odd_docs(spark)
     out = line_dedup.drop_recurring(docs)
