@@ -3,12 +3,13 @@
 A line's fields that hold digits become ``<*>``, if enough constant words are left: at
 least ``WORDS`` fields with a letter, and a third of all fields.  Other lines (number tables,
 data rows) keep their digits and recur only where their whole text is equal.  The lines go
-down a tree of fixed depth:
-first by token count, then by their leading tokens.  In a leaf a line joins the template
-of the leaf's pivot (the line of the earliest document) if at least ``similar`` of the
-places that are constant in one of the two hold the same token; the places where they differ are the template's variable
-fields.  Lines that do not join go down to the next, deeper level (more leading tokens)
-and are compared there once more; a line that joins none is its own template.
+down a tree of fixed depth: first by token count, then by their leading tokens.  A leaf
+holds a list of templates, found in rounds: each round takes the earliest line of each of
+the leaf's ``PIVOTS`` buckets, and of these, in order, every one unlike those before it is
+a pivot; the leaf's lines join the first pivot with which they share at least ``similar``
+of the places that are constant in one of the two (the places where they differ are the
+template's variable fields).  Rounds go on with the lines that did not join, until no leaf
+has two of them, so no two templates of a leaf are alike.
 
 A template that occurs in two different documents recurs.  Its lines are dropped from all
 documents but the one with the smallest id, so one copy stays.  Lines of fewer than
@@ -29,11 +30,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import materialize
+from strandline.llm.common import materialize, materialize_counted
 
 MIN_TOKENS = 3
 WORDS = 3
-LEVELS = (3, 8)
+DEPTH = 3
+#: Pivots a leaf takes in a round, at most.
+PIVOTS = 32
 SIMILAR = 0.8
 _SPACES = " \t\n\x0b\x0c\r"
 _GAP = r"[\x20\x09-\x0D]+"
@@ -99,21 +102,31 @@ def _alike(a: Column, b: Column, similar: float) -> Column:
     return F.size(F.filter(places, lambda x: x == 1)) >= similar * F.size(places)
 
 
-def _joined(lines: DataFrame, depth: int, similar: float) -> DataFrame:
-    """(h, template) for the lines that join their leaf's pivot at this depth."""
+def _joined(lines: DataFrame, depth: int, similar: float) -> tuple[DataFrame, int]:
+    """(h, template) for the lines that join one of this round's pivots of their leaf, and
+    their number."""
     at = lines.withColumn("leaf", _leaf(depth))
-    # the earliest line of a leaf; ids and hashes are compared as one fixed-width text
+    # the earliest line of a bucket; ids and hashes are compared as one fixed-width text
     order = F.concat(F.when(F.col("lo").isNull(), "2").when(F.col("lo") < 0, "0").otherwise("1"),
                      F.lpad(F.hex(F.coalesce("lo", F.lit(0))), 16, "0"), F.hex("h"))
-    first = at.groupBy("leaf").agg(F.min(order).alias("first"), F.count("*").alias("k")).where("k > 1")
-    pivots = materialize(at.join(first, "leaf").where(order == F.col("first"))
-                         .select("leaf", F.col("h").alias("template"), F.col("body").alias("pivot")).distinct(), "lines-pivots")
-    return at.join(pivots, "leaf").where(_alike(F.split("body", " "), F.split("pivot", " "), similar)).select("h", "template").distinct()
-
-
-def recurring(lines: DataFrame, occurrences: DataFrame, levels: tuple[int, ...] = LEVELS, similar: float = SIMILAR) -> DataFrame:
+    first = (at.groupBy("leaf", F.pmod(F.xxhash64("h"), F.lit(PIVOTS)).alias("bucket"))
+             .agg(F.min(F.struct(order.alias("o"), "h", "body")).alias("p"), F.count("*").alias("k"))
+             .groupBy("leaf").agg(F.sort_array(F.collect_list("p")).alias("p"), F.sum("k").alias("k")).where("k > 1"))
+    line = F.transform("p", lambda p: F.struct(p["h"].alias("template"), F.split(p["body"], " ").alias("tokens")))
+    pivots = F.aggregate("line", F.slice("line", 1, 0), lambda got, p: F.when(
+        F.exists(got, lambda q: _alike(p["tokens"], q["tokens"], similar)), got).otherwise(F.concat(got, F.array(p))))
+    pivots = materialize(first.select("leaf", line.alias("line")).select("leaf", pivots.alias("pivots")), "lines-pivots")
+    # the first pivot that is alike; later ones are not compared
+    none = F.lit(None).cast("binary")
+    met = F.aggregate("pivots", none, lambda got, p: F.when(got.isNotNull(), got).when(
+        _alike(F.col("tokens"), p["tokens"], similar), p["template"]).otherwise(none))
+    j = at.select("leaf", "h", F.split("body", " ").alias("tokens")).join(pivots, "leaf")
+    return materialize_counted(j.select("h", met.alias("template")).where(F.col("template").isNotNull()).distinct(), "lines-joined")
+
+
+def recurring(lines: DataFrame, occurrences: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) -> DataFrame:
     """(h, lo): hashes of the lines whose template recurs, with the smallest id that has it.
-    ``occurrences``: id, h and leaf (at the first level) of ``lines``, written before."""
+    ``occurrences``: id, h and leaf of ``lines``, written before."""
     seen = materialize(occurrences.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
                                                     F.max(F.col("id").isNull()).alias("nulls"), F.min("leaf").alias("leaf")), "lines-seen")
     # leaves with two different lines, in different documents
@@ -122,11 +135,11 @@ def recurring(lines: DataFrame, occurrences: DataFrame, levels: tuple[int, ...]
     meet = materialize(seen.join(several, "leaf").select("h", "lo"), "lines-meet")
     # such lines with their text, from the first document that has them
     open_ = lines.where(~F.col("exact")).select("id", "h", "n", "body").join(meet, "h").where(F.col("id").eqNullSafe(F.col("lo"))).select("h", "lo", "n", "body")
-    left, into = materialize(open_, "lines-open"), None
-    for depth in levels:
-        got = materialize(_joined(left, depth, similar), "lines-joined")
-        into = got if into is None else into.unionByName(got)
-        left = left.join(got, "h", "left_anti")
+    open_ = materialize(open_, "lines-open")
+    into, n = _joined(open_, depth, similar)
+    while n:
+        got, n = _joined(open_.join(into, "h", "left_anti"), depth, similar)
+        into = into.unionByName(got)
     # the smallest and largest id of every template, told to each of its lines
     own = seen.select("h", "lo", "hi", "nulls").join(into, "h", "left").withColumn("t", F.coalesce("template", "h"))
     spans = own.groupBy("t").agg(F.min("lo").alias("first"), F.max("hi").alias("last"), F.max("nulls").alias("any"))
@@ -141,7 +154,7 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     # rows are told apart by id and text; equal rows have equal decisions
     lines = _lines(src.withColumn("key", _hash(F.coalesce("text", F.lit("")))), "id", "key")
     found = materialize(lines.select("id", "key", "pos", "h", F.when(F.col("exact"), F.xxhash64("body"))
-                                     .otherwise(_leaf(how.get("levels", LEVELS)[0])).alias("leaf")), "lines-found")
+                                     .otherwise(_leaf(how.get("depth", DEPTH))).alias("leaf")), "lines-found")
     gone = materialize(recurring(_lines(src, "id"), found, **how), "lines-recurring")
     drops = (found.select("id", "key", "pos", "h").join(gone, "h").where(F.col("id").isNull() | (F.col("id") > F.col("lo")))
              .groupBy("id", "key").agg(F.sort_array(F.collect_set("pos")).alias("pos")))

@@ -422,6 +422,18 @@ def test_line_dedup_keeps_data_rows(spark):
     assert line_dedup.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).count() == 5
 
 
+@pytest.mark.parametrize("pivots", (1, 32))
+def test_line_dedup_finds_all_templates_of_a_leaf(spark, monkeypatch, pivots):
+    monkeypatch.setattr(line_dedup, "PIVOTS", pivots)
+    kinds = ["disk of {} is full and all writes to it stop", "user {} has lost the right to read in here",
+             "job {} was sent to the far queue once more", "link to {} came back after a short time out"]
+    name = lambda d, k: "abcdefgh"[d] + "xyzw"[k]
+    # every line has the leaf "<*> <*> INFO"; the last kind differs within its first 8 tokens
+    rows = [(d, "\n".join(f"2024-01-0{d + 1} 10:00:0{k} INFO {x.format(name(d, k))}" for k, x in enumerate(kinds))) for d in range(6)]
+    got = {r.doc_id: list(r._dropped) for r in line_dedup.decide(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: [], **{d: [0, 1, 2, 3] for d in range(1, 6)}}
+
+
 def test_line_dedup_odd_rows(spark):
     docs = odd_docs(spark)
     out = line_dedup.drop_recurring(docs)
