@@ -33,10 +33,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = (decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct())
+    """Documents that hold no benchmark item.  Rows are told apart by their text, which alone
+    decides: neither a null nor a repeated id takes other rows along."""
+    key, leak = _free(docs, "_key"), _free(docs, "_leak")
+    keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    leaks = decontaminate.contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col=key).select(F.col(key).alias(leak)).distinct()
     leaks = materialize(leaks, "pipeline-leaks")
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    return keyed.join(leaks, F.col(key) == F.col(leak), "left_anti").select(*docs.columns)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = "_" + name
+    return name
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

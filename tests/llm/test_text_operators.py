@@ -482,3 +482,14 @@ def test_pipeline_stages(spark):
                 assert docs.exceptAll(before).count() == 0
     assert docs.where("not exact").count() == 0 and docs.count() > 0
     assert corpus_pipeline.run(spark, sf).count() == docs.count()
+def test_pipeline_decontaminates_rows_not_ids(spark, tmp_out):
+    import corpus_pipeline
+    item = "w1 w2 w3 w4 w5 w6. w7 w8"
+    spark.createDataFrame([(1, item, 0)], "item_id long, text string, doc_id long").write.parquet(f"{tmp_out}/benchmark.parquet")
+    rows = [(None, item), (None, "a clean text"), (None, None), (5, item), (5, "another clean text"), (6, "the third")]
+    docs = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, _key string")
+    out = corpus_pipeline.decontaminated(spark, docs, tmp_out)
+    assert out.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([rows[1], rows[2], rows[4], rows[5]])
+
+
