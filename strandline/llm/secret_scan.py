@@ -1,8 +1,11 @@
 """Secret scan: candidate strings judged by a random forest, in DataFrame and SQL functions
 and Spark's own estimators only.
 
-Candidates are runs of at least ``SHORTEST`` letters, digits and + / _ - with a digit in
-them.  Each finding is described by its length, its character classes and the transitions
+Candidates are the values behind a credential's name (``password = x``, ``"api_key": "x"``,
+``Bearer x``), whatever their length and alphabet, keys of public formats, and other runs of
+at least ``SHORTEST`` letters, digits and + / _ - with a digit in them.  Values in quotes
+end at the quote if they have no spaces or up to 128 characters; others end at a space, a
+quote or & and without closing punctuation.  Each finding is described by its length, its character classes and the transitions
 between them, the share of it that corpus words cover (dictionary), its path (the source)
 and its neighbouring words; a random forest trained on labelled findings removes the false
 positives.
@@ -33,7 +36,29 @@ WORD_BUCKETS = 32
 _BODY = "A-Za-z0-9+/_\\-"
 # Control characters that mark a candidate's two ends while a text is cut.
 _OPEN, _CLOSE = "\x01", "\x02"
-_CANDIDATE = (f"(?<![{_BODY}])(?=[A-Za-z+/_\\-]*+[0-9])([{_BODY}]{{{SHORTEST},}}+={{0,2}})")
+_NAMES = ("(?:pass(?:word|wd|phrase)|pwd|secret|token|credentials?|api[ _-]?key|"
+          "(?:access|secret|private|auth|account|signing|encryption)[_-]?key)")
+_GIVEN = "[\"']?[ \\t]{0,8}(?:=>|:=|={1,3}|:(?!//))"
+# What stands before a value: a name and its sign, or an authorization scheme.
+_NAMED = (f"(?i:{_NAMES}{_GIVEN}[ \\t]{{0,8}}(?:bearer[ \\t]{{1,8}})?|authorization{_GIVEN}[ \\t]{{0,8}}[\"']?(?:bearer|basic|token)[ \\t]{{1,8}}|"
+          "\\bbearer[ \\t]{1,8}(?=\\S{8})(?=[^\\s0-9]{0,200}[0-9]))")
+_VALUES = ("(?:(\")([^\"\\s]++|[^\"\n]{1,128}+)(?=\")|(')([^'\\s]++|[^'\n]{1,128}+)(?=')|([\"']?)"
+           "([^\\s\"'&][^\\s\"'&]*(?<![.,;:?)\\]}>])))")
+# Public formats of providers' keys.
+_FORMATS = ("(?:AKIA|ASIA)[A-Z0-9]{16}", "gh[pousr]_[A-Za-z0-9]{36}", "github_pat_[A-Za-z0-9_]{22,255}", "xox[abeprs]-[0-9A-Za-z-]{10,255}",
+            "(?:sk|rk)_(?:live|test)_[0-9A-Za-z]{16,255}", "whsec_[0-9A-Za-z+/]{24,255}={0,2}", "AIza[0-9A-Za-z_-]{35}",
+            "GOCSPX-[0-9A-Za-z_-]{28}", "ya29\\.[0-9A-Za-z_-]{20,1024}", "gl(?:pat|ptt|dt|rt)-[0-9A-Za-z_-]{20,255}", "npm_[A-Za-z0-9]{36}",
+            "hf_[A-Za-z0-9]{34}", "sk-[A-Za-z0-9_-]{20,255}", "dop_v1_[0-9a-f]{64}", "SG\\.[0-9A-Za-z_-]{22}\\.[0-9A-Za-z_-]{43}",
+            "eyJ[0-9A-Za-z_-]{10,4096}\\.eyJ[0-9A-Za-z_-]{10,8192}\\.[0-9A-Za-z_-]{10,4096}")
+_FORMAT = f"(?:{'|'.join(_FORMATS)})"
+# A run that ends in a credential's name is left to the value behind it.
+_RUN = f"(?=[A-Za-z+/_\\-]*+[0-9])[{_BODY}]{{{SHORTEST},}}+(?!(?<=(?i:{_NAMES})){_GIVEN})={{0,2}}"
+_CANDIDATE = f"({_NAMED}){_VALUES}|(?<![{_BODY}])({_FORMAT}(?![{_BODY}])|{_RUN})"
+_MARKED = f"$1$2$4$6{_OPEN}$3$5$7$8{_CLOSE}"
+_MAYBE = f"[0-9]|(?i:{_NAMES}|authorization)|AKIA|ASIA|gh[pousr]_|hf_|npm_|eyJ|AIza|sk-|[sr]k_|whsec_|xox|gl[a-z]{{2,3}}-|GOCSPX|SG\\."
+# Words and numbers joined by + / _ -, or numbers only: no key.
+_PLAIN_PART = "(?:[A-Z]?[a-z]{0,20}|[A-Z]{1,20})[0-9]{0,4}|[0-9]++"
+_PLAIN = f"^(?:{_PLAIN_PART})(?:[+/_\\-](?:{_PLAIN_PART}))*+=?$"
 _CLASSES = ("".join(map(chr, range(65, 91))) + "".join(map(chr, range(97, 123))) + "0123456789+/_-=",
             "U" * 26 + "l" * 26 + "d" * 10 + "p" * 5)
 NUMERIC = ("length", "digit_share", "upper_share", "lower_share", "punct_share", "transition_share", "hex_only", "digit_only",
@@ -45,8 +70,8 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     ``before`` and ``after`` are up to 60 characters beside the candidate."""
     text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _OPEN + _CLOSE, "  ")
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"), text.alias("t"))
-    cut = (src.where(F.col("t").rlike("[0-9]"))
-           .withColumn("parts", F.split(F.regexp_replace("t", _CANDIDATE, f"{_OPEN}$1{_CLOSE}"), _OPEN))
+    cut = (src.where(F.col("t").rlike(_MAYBE))
+           .withColumn("parts", F.split(F.regexp_replace("t", _CANDIDATE, _MARKED), _OPEN))
            .where(F.size("parts") > 1)
            .select("doc_id", "path", "parts", F.aggregate(
                F.slice("parts", F.lit(1), F.size("parts") - 1), F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends")),
@@ -98,10 +123,13 @@ def described(found: DataFrame, words: list[str]) -> DataFrame:
 
 def distant_label(before: Column, candidate: Column) -> Column:
     """1 where the text itself names a credential or the key has a provider's fixed format,
-    0 for bare numbers and other runs; fixed formats are public ones."""
-    named = before.rlike("(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\\s*[=:]\\s*[\"']?$")
-    keyed = candidate.rlike("^(AKIA|ASIA)[A-Z0-9]{16}$") | candidate.rlike("^gh[pousr]_[A-Za-z0-9]{36}$") | candidate.rlike("^xox[abprs]-[0-9A-Za-z-]{10,}$")
-    return F.when(named | keyed, 1.0).otherwise(0.0)
+    0 for bare numbers and words joined with numbers; null for what is neither (other runs,
+    and a plain word behind a name and a colon, which may be prose); fixed formats
+    are public ones."""
+    named = before.rlike(f"(?:{_NAMED}|(?i:{_NAMES})[\"']?\\s*[=:]\\s*)[\"']?$") | before.rlike("(?i)\\bbearer[ \\t]{1,8}$")
+    word = candidate.rlike("^[A-Z]?[a-z]{1,20}$") & before.rlike(":[ \\t]*$")
+    keyed = candidate.rlike(f"^{_FORMAT}$")
+    return F.when(keyed | (named & ~word), 1.0).when(~named & candidate.rlike(_PLAIN), 0.0)
 
 
 def measures() -> list[Column]:

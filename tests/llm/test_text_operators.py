@@ -488,6 +488,21 @@ def test_pipeline_decontaminates_rows_not_ids(spark, tmp_out):
     spark.createDataFrame([(1, item, 0)], "item_id long, text string, doc_id long").write.parquet(f"{tmp_out}/benchmark.parquet")
     rows = [(None, item), (None, "a clean text"), (None, None), (5, item), (5, "another clean text"), (6, "the third")]
     docs = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, _key string")
+def test_secret_values_of_any_alphabet(spark):
+    named = {1: ('password="hunter2"', "hunter2"), 2: ("db_password: p@ss!w#rd.x9 end", "p@ss!w#rd.x9"), 3: ('{"api_key": "abcdefgh"}', "abcdefgh"),
+             4: ("Authorization: Bearer abc.def~ghi", "abc.def~ghi"), 5: ("prod1_api_key=hunter2, next", "hunter2"), 6: ("'token': 'two words'", "two words"),
+             7: ("secret := Ab", "Ab"), 8: ("see Bearer a1b2c3d4.e5 here", "a1b2c3d4.e5")}
+    keys = {20: "sk_live_" + "aB3" * 8, 21: "AIza" + "Abcde" * 7, 22: "glpat-" + "xY_z" * 5, 23: "hf_" + "ab" * 17, 24: f"eyJ{'a' * 20}.eyJ{'b' * 20}.{'c' * 20}"}
+    other = {30: ("call 2020-10-11-555 now", "2020-10-11-555", 0.0), 31: ("covid-19-vaccine", "covid-19-vaccine", 0.0),
+             32: ("x 9aF3kQ7zLm2Xw8Rt", "9aF3kQ7zLm2Xw8Rt", None), 33: ("The token: unit of text", "unit", None)}
+    rows = {**named, **{i: (f"key {k} end", k) for i, k in keys.items()}, **{i: x[:2] for i, x in other.items()}}
+    docs = spark.createDataFrame([(i, t, "s") for i, (t, _) in rows.items()] + [(40, "the bearer of all secrets", "s"), (41, "password: ..)", "s")],
+                                 "doc_id long, text string, source string")
+    found = secret_scan.findings(docs).withColumn("label", secret_scan.distant_label(F.col("before"), F.col("candidate")))
+    got = sorted((r.doc_id, r.start, r.candidate, r.label) for r in found.collect())
+    assert got == [(i, t.index(c), c, other[i][2] if i in other else 1.0) for i, (t, c) in sorted(rows.items())]
+
+
     out = corpus_pipeline.decontaminated(spark, docs, tmp_out)
     assert out.columns == docs.columns
     assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([rows[1], rows[2], rows[4], rows[5]])
