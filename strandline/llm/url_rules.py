@@ -12,6 +12,7 @@ repeated rows are judged alike; among fixed rules that fit, the longest wins."""
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,9 +22,11 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import per_row
+from strandline.llm.common import materialize, per_row
+from strandline.session import collect_checked
 
-MAX_RULES = 5_000
+RULE_BYTES = 32 << 20
+MIN_PAGES = 50
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label=bad"
 
@@ -92,26 +95,45 @@ class MinedRules:
 
 
 def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_support: float = 0.002,
-         min_confidence: float = 0.6, min_lift: float = 1.5) -> MinedRules:
+         min_confidence: float = 0.6, min_lift: float = 1.5, min_pages: int = MIN_PAGES) -> MinedRules:
     """Mine rules from rows with a URL and a boolean label."""
     rows = (labelled.where(F.col(url_col).isNotNull() & F.col(bad_col).isNotNull())
             .select(tokens(F.col(url_col)).alias("t"), F.col(bad_col).alias("bad")))
     n = rows.agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")).first()
     if not n["bad"] or n["bad"] == n["n"]:
         return MinedRules()
-    base = n["bad"] / n["n"]
-    items = rows.select(F.when(F.col("bad"), F.concat("t", F.array(F.lit(BAD)))).otherwise(F.col("t")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=max(min_confidence, min_lift * base)).fit(items)
-    found = (model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
-             .orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), F.array_join(F.array_sort("antecedent"), " "))
-             .limit(MAX_RULES).collect())
-    out = MinedRules()
-    for r in sorted(found, key=lambda r: (len(r["antecedent"]), -r["confidence"], sorted(r["antecedent"]))):
-        s = frozenset(r["antecedent"])
-        # a smaller rule that is as sure already covers this one
-        if not any(k < s and c >= r["confidence"] for k, c in out.rules):
-            out.rules.append((s, r["confidence"]))
-    return out
+    base, pages = n["bad"] / n["n"], max(1, math.ceil(min(min_support * n["n"], min_pages)))
+    # a token on fewer bad pages is in no rule
+    often = (rows.where("bad").select(F.explode("t").alias("token")).groupBy("token").count().where(F.col("count") >= pages)
+             .agg(F.array_sort(F.collect_list("token")).alias("often")))
+    left = rows.crossJoin(F.broadcast(often)).select(F.array_intersect("t", "often").alias("t"), "bad")
+    items = left.select(F.when(F.col("bad"), F.concat("t", F.array(F.lit(BAD)))).otherwise(F.col("t")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=(pages - 0.5) / n["n"]).fit(items)
+    sets = materialize(model.freqItemsets.select(F.array_sort(F.array_remove("items", BAD)).alias("items"),
+                                                 F.array_contains("items", BAD).alias("bad"), "freq"), "url-sets")
+    both = sets.where("bad").select("items", F.col("freq").alias("hits"))
+    every = materialize(both.join(sets.where("not bad"), "items").select("items", (F.col("hits") / F.col("freq")).alias("confidence")), "url-rules")
+    kept = _smallest(every).where(F.col("confidence") >= max(min_confidence, min_lift * base))
+    found = collect_checked(kept, "mined URL rules", RULE_BYTES)
+    return MinedRules([(frozenset(r["items"]), r["confidence"]) for r in
+                       sorted(found, key=lambda r: (len(r["items"]), -r["confidence"], r["items"]))])
+
+
+def _smallest(rules: DataFrame) -> DataFrame:
+    """The rules (items, confidence) without those of which a smaller rule is as sure, by
+    size: a rule meets the best of all its subsets in those with one token less, which are
+    all there, as they are at least as frequent."""
+    sizes = rules.agg(F.max(F.size("items")).alias("n")).first()["n"] or 0
+    level = rules.where(F.size("items") == 1).withColumn("best", F.col("confidence"))
+    out = level
+    for k in range(2, sizes + 1):
+        here = rules.where(F.size("items") == k)
+        less = here.select("items", F.explode("items").alias("x")).select("items", F.array_remove("items", F.col("x")).alias("sub"))
+        under = (less.join(level.select(F.col("items").alias("sub"), "best"), "sub").groupBy("items").agg(F.max("best").alias("under")))
+        level = materialize(here.join(under, "items").select("items", "confidence", F.greatest("confidence", "under").alias("best"),
+                                                             (F.col("under") >= F.col("confidence")).alias("covered")), "url-level")
+        out = out.unionByName(level.where("not covered").drop("covered"))
+    return out.select("items", "confidence")
 
 
 def judge(pages: DataFrame, mined: MinedRules, rules: list[FixedRule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:

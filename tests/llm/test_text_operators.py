@@ -248,6 +248,36 @@ def test_url_rules_are_mined(spark):
     assert url_rules.mine(spark.createDataFrame([], "url string, bad boolean")).rules == []
 
 
+def test_url_rules_of_small_confidence_and_share_are_mined(spark):
+    # two templates of 12 tokens give 4095 rules of confidence 1 each, before pruning
+    paths = ["/".join(f"{s}{chr(97 + k)}" for k in range(10)) for s in "xy"]
+    urls = [(f"http://{s}.t{s}/{p}", True) for s, p in zip("xy", paths) for _ in range(60)]
+    urls += [("http://half.org/", i < 54) for i in range(60)] + [("http://few.net/", True)] * 50
+    urls += [("http://fine.com/", False)] * 30_000          # 50 pages are less than 0.2 %
+    mined = url_rules.mine(spark.createDataFrame(urls, "url string, bad boolean"))
+    rules = dict(mined.rules)
+    assert rules[frozenset({"h:half"})] == 0.9 and rules[frozenset({"h:few"})] == 1.0
+    assert sum(len(s) == 1 for s in rules) == len(rules) == 12 + 12 + 2 + 2
+
+
+def test_url_rules_equal_brute_force(spark):
+    rng = random.Random(4)
+    rows = [(rng.sample("abcdef", rng.randrange(1, 6)), rng.random() < 0.5) for _ in range(150)]
+    rows += [(["a", "b", "c"], True)] * 20 + [(["a", "d"], False)] * 20
+    urls = spark.createDataFrame([(f"http:///{'/'.join(t)}", bad) for t, bad in rows], "url string, bad boolean")
+    got = dict(url_rules.mine(urls, min_support=0.02, min_lift=1.0).rules)
+    sets = {}
+    for m in range(1, 64):
+        s = frozenset(x for i, x in enumerate("abcdef") if m >> i & 1)
+        hits = [bad for t, bad in rows if s <= set(t)]
+        if sum(hits) >= 0.02 * len(rows):
+            sets[s] = sum(hits) / len(hits)
+    base = sum(bad for _, bad in rows) / len(rows)
+    want = {frozenset("p:" + x for x in s): c for s, c in sets.items()
+            if c >= max(0.6, base) and not any(k < s and sets[k] >= c for k in sets)}
+    assert got == want and want
+
+
 def test_decontamination_equals_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
@@ -458,6 +488,21 @@ def test_secret_findings(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_secret_values_of_any_alphabet(spark):
+    named = {1: ('password="hunter2"', "hunter2"), 2: ("db_password: p@ss!w#rd.x9 end", "p@ss!w#rd.x9"), 3: ('{"api_key": "abcdefgh"}', "abcdefgh"),
+             4: ("Authorization: Bearer abc.def~ghi", "abc.def~ghi"), 5: ("prod1_api_key=hunter2, next", "hunter2"), 6: ("'token': 'two words'", "two words"),
+             7: ("secret := Ab", "Ab"), 8: ("see Bearer a1b2c3d4.e5 here", "a1b2c3d4.e5")}
+    keys = {20: "sk_live_" + "aB3" * 8, 21: "AIza" + "Abcde" * 7, 22: "glpat-" + "xY_z" * 5, 23: "hf_" + "ab" * 17, 24: f"eyJ{'a' * 20}.eyJ{'b' * 20}.{'c' * 20}"}
+    other = {30: ("call 2020-10-11-555 now", "2020-10-11-555", 0.0), 31: ("covid-19-vaccine", "covid-19-vaccine", 0.0),
+             32: ("x 9aF3kQ7zLm2Xw8Rt", "9aF3kQ7zLm2Xw8Rt", None), 33: ("The token: unit of text", "unit", None)}
+    rows = {**named, **{i: (f"key {k} end", k) for i, k in keys.items()}, **{i: x[:2] for i, x in other.items()}}
+    docs = spark.createDataFrame([(i, t, "s") for i, (t, _) in rows.items()] + [(40, "the bearer of all secrets", "s"), (41, "password: ..)", "s")],
+                                 "doc_id long, text string, source string")
+    found = secret_scan.findings(docs).withColumn("label", secret_scan.distant_label(F.col("before"), F.col("candidate")))
+    got = sorted((r.doc_id, r.start, r.candidate, r.label) for r in found.collect())
+    assert got == [(i, t.index(c), c, other[i][2] if i in other else 1.0) for i, (t, c) in sorted(rows.items())]
+
+
 def test_secret_forest_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -469,6 +514,17 @@ def test_secret_forest_held_out(spark):
     assert rows and sum((r.probability >= 0.5) == (r.label == 1) for r in rows) >= 0.97 * len(rows)
 
 
+def test_pipeline_decontaminates_rows_not_ids(spark, tmp_out):
+    import corpus_pipeline
+    item = "w1 w2 w3 w4 w5 w6. w7 w8"
+    spark.createDataFrame([(1, item, 0)], "item_id long, text string, doc_id long").write.parquet(f"{tmp_out}/benchmark.parquet")
+    rows = [(None, item), (None, "a clean text"), (None, None), (5, item), (5, "another clean text"), (6, "the third")]
+    docs = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, _key string")
+    out = corpus_pipeline.decontaminated(spark, docs, tmp_out)
+    assert out.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([rows[1], rows[2], rows[4], rows[5]])
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     sf = "/root/testdata/sf0.001"
@@ -482,29 +538,3 @@ def test_pipeline_stages(spark):
                 assert docs.exceptAll(before).count() == 0
     assert docs.where("not exact").count() == 0 and docs.count() > 0
     assert corpus_pipeline.run(spark, sf).count() == docs.count()
-def test_pipeline_decontaminates_rows_not_ids(spark, tmp_out):
-    import corpus_pipeline
-    item = "w1 w2 w3 w4 w5 w6. w7 w8"
-    spark.createDataFrame([(1, item, 0)], "item_id long, text string, doc_id long").write.parquet(f"{tmp_out}/benchmark.parquet")
-    rows = [(None, item), (None, "a clean text"), (None, None), (5, item), (5, "another clean text"), (6, "the third")]
-    docs = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, _key string")
-def test_secret_values_of_any_alphabet(spark):
-    named = {1: ('password="hunter2"', "hunter2"), 2: ("db_password: p@ss!w#rd.x9 end", "p@ss!w#rd.x9"), 3: ('{"api_key": "abcdefgh"}', "abcdefgh"),
-             4: ("Authorization: Bearer abc.def~ghi", "abc.def~ghi"), 5: ("prod1_api_key=hunter2, next", "hunter2"), 6: ("'token': 'two words'", "two words"),
-             7: ("secret := Ab", "Ab"), 8: ("see Bearer a1b2c3d4.e5 here", "a1b2c3d4.e5")}
-    keys = {20: "sk_live_" + "aB3" * 8, 21: "AIza" + "Abcde" * 7, 22: "glpat-" + "xY_z" * 5, 23: "hf_" + "ab" * 17, 24: f"eyJ{'a' * 20}.eyJ{'b' * 20}.{'c' * 20}"}
-    other = {30: ("call 2020-10-11-555 now", "2020-10-11-555", 0.0), 31: ("covid-19-vaccine", "covid-19-vaccine", 0.0),
-             32: ("x 9aF3kQ7zLm2Xw8Rt", "9aF3kQ7zLm2Xw8Rt", None), 33: ("The token: unit of text", "unit", None)}
-    rows = {**named, **{i: (f"key {k} end", k) for i, k in keys.items()}, **{i: x[:2] for i, x in other.items()}}
-    docs = spark.createDataFrame([(i, t, "s") for i, (t, _) in rows.items()] + [(40, "the bearer of all secrets", "s"), (41, "password: ..)", "s")],
-                                 "doc_id long, text string, source string")
-    found = secret_scan.findings(docs).withColumn("label", secret_scan.distant_label(F.col("before"), F.col("candidate")))
-    got = sorted((r.doc_id, r.start, r.candidate, r.label) for r in found.collect())
-    assert got == [(i, t.index(c), c, other[i][2] if i in other else 1.0) for i, (t, c) in sorted(rows.items())]
-
-
-    out = corpus_pipeline.decontaminated(spark, docs, tmp_out)
-    assert out.columns == docs.columns
-    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([rows[1], rows[2], rows[4], rows[5]])
-
-
