@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import docs_of, materialize, per_row
+from strandline.llm.common import docs_of, materialize, materialize_counted, per_row
 
 SAMPLE_ROWS = 20_000
 MAX_ENTRIES = 4_000
@@ -173,13 +173,19 @@ def _curve(weight: np.ndarray, words: np.ndarray, label: np.ndarray) -> tuple[fl
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           sample_rows: int = SAMPLE_ROWS, shortest: int = 4, longest: int = 8, min_docs: int = 5, min_share: float = 0.8,
           exceptions: frozenset[str] = frozenset()) -> Lexicon:
-    """Fit lexicon, exceptions and curve on at most ``sample_rows`` labelled rows."""
+    """Fit lexicon, exceptions and curve on at most ``sample_rows`` labelled rows; rows with
+    equal id and text count once."""
     some = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
             .select(F.col(id_col).alias("_id"), (F.col(label_col) > 0).cast("int").alias("label"))
             .orderBy(F.xxhash64("_id"), "_id", "label").limit(sample_rows))
     texts = docs_of(docs.withColumnsRenamed({id_col: "_id"}), "_id", text=text_col)
     # at most sample_rows ids and labels: bounded by the parameter
-    sample = materialize(texts.join(F.broadcast(some), "_id").select("label", "text"), "toxic")
+    sample, n = materialize_counted(texts.join(F.broadcast(some), "_id").select("_id", "label", "text").distinct(), "toxic")
+    if n > sample_rows:     # a sampled id may have many texts
+        keyed = sample.withColumn("_key", F.xxhash64("_id", "text"))
+        few = keyed.select("_key", "_id", "label").orderBy("_key", "_id", "label").limit(sample_rows)
+        sample = materialize(keyed.join(F.broadcast(few), ["_key", "_id", "label"], "left_semi"), "toxic-few")
+    sample = sample.select("label", "text")
     total = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     lex = Lexicon(exceptions=set(map(fold, exceptions)))
     if len(total) < 2:

@@ -139,6 +139,17 @@ def test_toxicity_folding_and_exceptions(spark):
     assert {r.score for r in toxicity.score(odd_docs(spark), none).collect()} == {0.0}
 
 
+def test_toxicity_fit_is_bounded_after_the_join(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "_curve", lambda weight, words, label: (seen.append(len(label)), (0.0, 0.0, 0.0))[1])
+    rows = [(1, f"some clean text {i}") for i in range(40)] + [(2, "an awful text")] * 40 + [(3, "a third text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, toxic int")
+    toxicity.learn(docs, labels)                            # 40 + 1 + 1 different rows
+    toxicity.learn(docs.where("doc_id > 1").union(docs.where("doc_id = 1").limit(30)), labels, sample_rows=31)
+    assert seen == [42, 31]
+
+
 def brute_base(rows):
     words = lambda t: (t or "").encode().lower().split() + [None]
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
