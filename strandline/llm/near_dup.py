@@ -4,7 +4,7 @@ A document's set holds its distinct word shingles.  Documents with equal sets fo
 class at once; a class is posted, under its smallest id, by each (coordinate, value) of
 its MinHash signature.  Values that only one class has are skipped.  A pair of sets at
 the similarity asked for agrees in ``LEAST`` of ``COORDINATES`` values but for a chance
-of about 2e-5 at exactly 0.8 (less above), so the pair must also meet in the rarest
+of about 4.6e-5 at exactly 0.8 (less above), so the pair must also meet in the rarest
 COORDINATES - LEAST + 1 values of each (prefix); only those postings are joined, and a
 pair counts its collisions over all coordinates before it is verified on full sets.
 Shingles that only one posted class has cannot be common: classes and pairs whose other
