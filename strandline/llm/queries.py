@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import byte_bpe, decontaminate, lattice_lm, line_dedup, near_dup, quality_rules, secret_scan, toxicity, url_rules, warc_zst
+from strandline.llm import (byte_bpe, decontaminate, importance_resampling, lattice_lm, line_dedup, near_dup, packing, quality_rules,
+                            secret_scan, source_divergence, toxicity, url_rules, warc_zst)
 from strandline.llm.common import checkpoint_dir, crc_rem, table
 
 
@@ -86,6 +87,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", F.length("candidate").alias("length"), "candidate", "path", "probability", "is_secret")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = packing.tokenizer(spark, public_tokenizers.path("word_bpe_49k.json"))
+    return (packing.pack(table(spark, sf_dir, "documents"), spec)
+            .select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -97,4 +113,7 @@ QUERIES = {
     "op8_near_dup": op8_near_dup,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_packing": op13_packing,
 }
