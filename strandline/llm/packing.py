@@ -301,7 +301,7 @@ def sequences(pieces: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataF
     put = F.sort_array(F.collect_list(F.struct("offset", "ids")))
     joined = F.aggregate(put, F.lit(b"").cast("binary"), lambda got, p: F.concat(got, p["ids"]))
     n = F.col("n_tokens")
-    short = F.when((n & (n - 1)) == 0, 0).otherwise(window - n)
+    short = F.when(n.bitwiseAND(n - 1) == 0, 0).otherwise(window - n)
     pad = F.unhex(F.repeat(F.lit(pad_id.to_bytes(4, "little").hex()), short.cast("int")))
     return (pieces.groupBy("sequence_id").agg(F.sum("length").alias("n_tokens"), joined.alias("ids"))
             .select("sequence_id", "n_tokens", short.cast("long").alias("padding"), F.concat("ids", pad).alias("ids")))

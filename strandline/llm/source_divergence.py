@@ -8,10 +8,10 @@ each joint cell (a, b), and a cell adds its number times f(p(a), q(b)).  Cells w
 come by complement: a level's terms that met no level of the other group, and the terms
 that are in neither.
 
-Term ids are positions in blocks of about ``BLOCK`` terms, dealt by hash, so a bitset never
+Term ids are positions in blocks of about ``Layout.block`` terms, dealt by hash, so a bitset never
 grows with the vocabulary.  A level with few terms of a block is held as a list of positions
 in place of a bitset, and an AND with it tests single bits.  Groups of a language go into
-tiles of ``TILE``; a task holds two tiles of one block, so neither many sources nor many
+tiles of ``Layout.tile``; a task holds two tiles of one block, so neither many sources nor many
 terms meet in one task, and a third of all documents in one source adds no more than that
 source's bitsets.  Texts are counted inside the tasks before anything is shuffled.
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +42,22 @@ TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 MIN_DOCS = 10
 SCALE = 1_000_000_000
 TOP = 10
-#: Terms of a block on average, and what a block's position may reach.
-BLOCK, BLOCK_BITS = 6_000, 1 << 13
-TILE = 32
-#: Distinct (lang, source, term) that a task counts before it passes them on.
-FLUSH = 250_000
-#: A level is held as a bitset from this many terms of a block on.
-DENSE = BLOCK_BITS // 16
 
 
-def count_terms(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
+@dataclass(frozen=True)
+class Layout:
+    """How the work is cut: terms of a block on average and what its positions may reach,
+    groups of a tile, terms of a block from which a level is held as a bitset, and distinct
+    (lang, source, term) that a task counts before it passes them on."""
+
+    block: int = 6_000
+    bits: int = 1 << 13
+    tile: int = 32
+    dense: int = 512
+    flush: int = 250_000
+
+
+def count_terms(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", layout: Layout = Layout()) -> DataFrame:
     """(lang, source, term, n, df): occurrences, and rows that hold the term; every
     occurring group also has a row with the term ''."""
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("df", pa.int64())])
@@ -73,7 +80,7 @@ def count_terms(docs: DataFrame, lang: str = "lang", source: str = "source", tex
             n.update(here)
             df.update(here.keys())
             held += len(n)
-            if held > FLUSH:
+            if held > layout.flush:
                 yield from flush()
                 held = 0
         yield from flush()
@@ -99,23 +106,23 @@ class Levels:
     """One group's terms of a block by count: bitsets of the dense levels, positions of the
     others, ordered by level."""
 
-    def __init__(self, rows: list[tuple[int, int, bytes]], total: int, v: int, words: int) -> None:
+    def __init__(self, rows: list[tuple[int, int, bytes]], total: int, v: int, layout: Layout) -> None:
         def p(n: int) -> int:
             return 1 + SCALE * (n + 2) // (total + 2 * v)
 
-        dense = [r for r in rows if r[1] >= DENSE]
-        sparse = [r for r in rows if 0 < r[1] < DENSE]
+        dense = [r for r in rows if r[1] >= layout.dense]
+        sparse = [r for r in rows if 0 < r[1] < layout.dense]
         self.n = np.array([r[1] for r in dense + sparse], np.int64)
         self.p = np.array([p(r[0]) for r in dense + sparse], np.int64)
         self.zero = p(0)
         self.dense = len(dense)
-        self.bits = np.zeros((len(dense), words), np.uint64)
+        self.bits = np.zeros((len(dense), layout.bits // 64), np.uint64)
         for row, (_, _, packed) in zip(self.bits, dense):
             row.view(np.uint8)[:len(packed)] = np.frombuffer(packed, np.uint8)
         self.positions = np.concatenate([np.frombuffer(r[2], "<u2") for r in sparse]) if sparse else np.zeros(0, "<u2")
         self.level = np.repeat(np.arange(self.dense, len(self.n)), self.n[self.dense:])
         # the sparse level at a position, -1: none
-        self.at = np.full(64 * words, -1, np.int32)
+        self.at = np.full(layout.bits, -1, np.int32)
         self.at[self.positions] = self.level
 
 
@@ -151,7 +158,7 @@ def pair_value(g: Levels, h: Levels, size: int) -> int:
                + (only_h * f(g.zero, h.p)).sum()) + neither * f(g.zero, h.zero)
 
 
-def level_bitsets(placed: DataFrame) -> DataFrame:
+def level_bitsets(placed: DataFrame, layout: Layout = Layout()) -> DataFrame:
     """(lang, block, idx, level, terms, bits) from (lang, block, idx, n, pos): the ids of the
     terms with one count in one group and block, as bitset or, if few, positions."""
     def build(frame: pa.Table) -> pa.Table:
@@ -162,8 +169,8 @@ def level_bitsets(placed: DataFrame) -> DataFrame:
         cuts = np.flatnonzero(np.diff(n)) + 1
         levels, packed, sizes = [], [], []
         for at in np.split(pos, cuts):
-            if len(at) >= DENSE:
-                bits = np.zeros(BLOCK_BITS, np.uint8)
+            if len(at) >= layout.dense:
+                bits = np.zeros(layout.bits, np.uint8)
                 bits[at] = 1
                 packed.append(np.packbits(bits, bitorder="little").tobytes())
             else:
@@ -177,15 +184,15 @@ def level_bitsets(placed: DataFrame) -> DataFrame:
     return placed.groupBy("lang", "block", "idx").applyInArrow(build, "lang string, block long, idx long, level long, terms long, bits binary")
 
 
-def pair_sums(levels: DataFrame, langs: DataFrame, groups: DataFrame, blocks: DataFrame) -> DataFrame:
+def pair_sums(levels: DataFrame, langs: DataFrame, groups: DataFrame, blocks: DataFrame, layout: Layout = Layout()) -> DataFrame:
     """(lang, g, h, value) for the pairs g < h of a language's groups."""
-    tiles = F.ceil(F.col("n_groups") / TILE).cast("long")
+    tiles = F.ceil(F.col("n_groups") / layout.tile).cast("long")
     # a row for each group of a block, with or without levels there
     frame = (blocks.join(groups, "lang").select("lang", "block", "idx", F.lit(0).cast("long").alias("level"), "size",
                                                 "total", F.lit(0).cast("long").alias("terms"), F.lit(None).cast("binary").alias("bits")))
     filled = levels.select("lang", "block", "idx", "level", F.lit(None).cast("long").alias("size"), F.lit(None).cast("long").alias("total"), "terms", "bits")
     rows = (frame.unionByName(filled).join(langs.select("lang", "v", "n_groups"), "lang")
-            .withColumn("mine", F.floor(F.col("idx") / TILE).cast("long")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
+            .withColumn("mine", F.floor(F.col("idx") / layout.tile).cast("long")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
             .select("lang", "block", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
                     "idx", "level", "size", "total", "terms", "bits", "v"))
 
@@ -200,9 +207,10 @@ def pair_sums(levels: DataFrame, langs: DataFrame, groups: DataFrame, blocks: Da
                 head[idx], size = total, of
             else:
                 held.setdefault(idx, []).append((level, terms, bits))
-        made = {i: Levels(sorted(held.get(i, [])), n, v, BLOCK_BITS // 64) for i, n in sorted(head.items())}
-        out = [(lang, g, h, pair_value(made[g], made[h], size)) for g in made for h in made
-               if g < h and g // TILE == lo and h // TILE == hi]
+        # a block without terms (a language that keeps none) adds nothing to its pairs
+        made = {i: Levels(sorted(held.get(i, [])), n, v, layout) if size else None for i, n in sorted(head.items())}
+        out = [(lang, g, h, pair_value(made[g], made[h], size) if size else 0) for g in made for h in made
+               if g < h and g // layout.tile == lo and h // layout.tile == hi]
         schema = pa.schema([("lang", pa.string()), ("g", pa.int64()), ("h", pa.int64()), ("value", pa.int64())])
         return pa.Table.from_pylist([dict(zip(schema.names, r)) for r in out], schema)
 
@@ -210,18 +218,19 @@ def pair_sums(levels: DataFrame, langs: DataFrame, groups: DataFrame, blocks: Da
     return parts.groupBy("lang", "g", "h").agg(F.sum("value").alias("value"))
 
 
-def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
+def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = MIN_DOCS, top: int = TOP,
+          layout: Layout = Layout()) -> DataFrame:
     """lang, source, part, item, value, rank.  Part ``pair``: every other source of the
     language with its divergence; part ``term``: the ``top`` terms that a group uses more
     than its language."""
-    counts = materialize(count_terms(docs, lang, source, text), "divergence-counts")
+    counts = materialize(count_terms(docs, lang, source, text, layout), "divergence-counts")
     words = counts.where("term != ''")
     of_lang = words.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("df").alias("df")).where(F.col("df") >= min_docs).drop("df")
     of_lang = materialize(of_lang, "divergence-kept")
     # a language: its terms and their count, its groups, and blocks enough for its terms
     langs = (counts.where("term = ''").groupBy("lang").agg(F.count("*").alias("n_groups"))
              .join(of_lang.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")), "lang", "left")
-             .na.fill(0, ["v", "lang_total"]).withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.col("v") / BLOCK)).cast("long")))
+             .na.fill(0, ["v", "lang_total"]).withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.col("v") / layout.block)).cast("long")))
     langs = broadcast_checked(langs, "divergence-langs")
     block = F.pmod(F.xxhash64("term"), F.col("n_blocks"))
     at = F.row_number().over(Window.partitionBy("lang", "block").orderBy("term")) - 1
@@ -233,7 +242,7 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     blocks = (langs.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block"))
               .join(kept.select("lang", "block", "pos").groupBy("lang", "block").agg((F.max("pos") + 1).alias("size")), ["lang", "block"], "left").na.fill(0, ["size"]))
     placed = kept.join(groups, ["lang", "source"])
-    sums = pair_sums(level_bitsets(placed.select("lang", "block", "idx", "n", "pos")), langs, groups, blocks)
+    sums = pair_sums(level_bitsets(placed.select("lang", "block", "idx", "n", "pos"), layout), langs, groups, blocks, layout)
     both = sums.select("lang", "value", F.explode(F.array(F.struct(F.col("g").alias("idx"), F.col("h").alias("there")),
                                                           F.struct(F.col("h").alias("idx"), F.col("g").alias("there")))).alias("d"))
     names = groups.select("lang", "idx", "source")
