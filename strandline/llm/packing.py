@@ -26,10 +26,10 @@ text are ordinary text."""
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,78 +46,76 @@ END_ID = 1
 MAX_OPEN = 4096
 MAX_TOKENIZER_BYTES = 32 << 20
 #: Cached chunks per generation and worker; two generations are held.
-CACHE_ENTRIES = 250_000
-#: Documents, and characters, that are looked up together.
-GROUP_DOCS, GROUP_CHARS = 64, 1 << 20
-JOINED = 512
+CACHE_ENTRIES = 400_000
 
 _ID_BYTES = 4
 # str.split also cuts at the four separators from \x1c, which are no white space here.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_SOLID = re.compile("[^\t-\r \x85\xa0  -     　]+")
-_PLAIN = re.compile("([A-Za-z]+)([.,;:!?]?)")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_SOLID = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+# Beyond Latin Extended-A, or a letter whose lower case is two characters.
+_WIDE = re.compile("[^\x00-\u012f\u0131-\u017f]")
+# A sign before a stop or comma, with which it makes one word.
+_SIGNS = re.compile(r"[.,][ \n](?:(?<=[^\w\s][.,][ \n])|(?<=_[.,][ \n]))")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 characters stand for themselves, the
+    other bytes, in order, for the characters from U+0100."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in own)
+    return {b: chr(0x100 + k) for k, b in enumerate(others)}
 
 
 class ChunkEncoder:
     """Ids of texts, packed as little-endian unsigned 32-bit integers, chunk by chunk.
 
-    For a tokenizer that drops white space and whose words never hold any, the ids of a
-    text are those of its chunks between white space, one after another.  Unknown chunks
-    are encoded together, joined by spaces, and told apart by their offsets."""
+    For a tokenizer that composes (NFC), lower-cases and drops white space, and whose words
+    never hold any, the ids of a text are those of its chunks between white space, one after
+    another.  Texts within Latin Extended-A are composed already and are lower-cased whole,
+    with stops and commas after words split off; a chunk of letters only is then one word,
+    which the tokenizer's merges take as it is.  All other chunks go through the whole
+    tokenizer.  Chunks are kept in a cache of two generations, so that frequent ones stay."""
 
     def __init__(self, spec: bytes) -> None:
         self.tokenizer = Tokenizer.from_buffer(spec)
         self.tokenizer.encode_special_tokens = True
+        self.merges = self.tokenizer.model
+        self.letters = _byte_letters()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        chunks = [_SOLID.findall(t) if _SEPARATORS.search(t) else t.split() for t in texts]
-        known = self._known(set().union(*chunks))
-        return [b"".join(map(known.__getitem__, c)) for c in chunks]
-
-    def _known(self, chunks: set[str]) -> dict[str, bytes]:
-        known, parts = {}, {}
-        for c in chunks:
-            got = self.young.get(c)
-            if got is None:
-                got = self.old.get(c)
+    def __call__(self, text: str) -> bytes:
+        if any(c in text for c in _SEPARATORS):
+            chunks, narrow = _SOLID.findall(text), False
+        else:
+            narrow = text.isascii() or not _WIDE.search(text)
+            if narrow:
+                text = text.lower()
+                if not _SIGNS.search(text):
+                    text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
+            chunks = text.split()
+        out = list(map(self.young.get, chunks))
+        if None in out:
+            for i, got in enumerate(out):
                 if got is None:
-                    # a letters-only word and its closing sign are words of their own
-                    m = _PLAIN.fullmatch(c)
-                    parts[c] = (m[1].lower(), m[2]) if m else (c, "")
-                    continue
-                self._keep(c, got)
-            known[c] = got
-        if parts:
-            pieces = {p for pair in parts.values() for p in pair if p}
-            ids = {p: got for p in pieces if (got := self.young.get(p) or self.old.get(p))}
-            ids |= self._encode([p for p in pieces if p not in ids])
-            ids[""] = b""
-            for c, (word, sign) in parts.items():
-                known[c] = ids[word] + ids[sign]
-                self._keep(c, known[c])
-        return known
-
-    def _encode(self, chunks: list[str]) -> dict[str, bytes]:
-        out = {}
-        for k in range(0, len(chunks), JOINED):
-            part = chunks[k:k + JOINED]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            starts = np.cumsum([0] + [len(c) + 1 for c in part[:-1]])
-            first = [o[0] for o in e.offsets]
-            at = np.searchsorted(first, starts).tolist() + [len(first)]
-            packed = np.array(e.ids, "<u4").tobytes()
-            for c, i, j in zip(part, at, at[1:]):
-                out[c] = packed[_ID_BYTES * i:_ID_BYTES * j]
-                self._keep(c, out[c])
-        return out
-
-    def _keep(self, chunk: str, ids: bytes) -> None:
+                    got = self.young.get(chunks[i])
+                    out[i] = self._miss(chunks[i], narrow) if got is None else got
+        return b"".join(out)
+
+    def _miss(self, chunk: str, narrow: bool) -> bytes:
+        got = self.old.get(chunk)
+        if got is None:
+            if narrow and chunk.isalpha():
+                word = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters)
+                ids = [t.id for t in self.merges.tokenize(word)]
+            else:
+                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            got = struct.pack(f"<{len(ids)}I", *ids)
         if len(chunk) <= 256:
             if len(self.young) >= CACHE_ENTRIES:
                 self.old, self.young = self.young, {}
-            self.young[chunk] = ids
+            self.young[chunk] = got
+        return got
 
 
 @lru_cache(1)
@@ -241,20 +239,6 @@ def _power(n: int) -> bool:
     return n > 0 and n & (n - 1) == 0
 
 
-def _groups(rows: Iterator[tuple]) -> Iterator[tuple[list, list[str]]]:
-    while part := list(islice(rows, GROUP_DOCS)):
-        keys, texts, size = [], [], 0
-        for key, text in part:
-            keys.append(key)
-            texts.append(text.decode("utf-8", "replace"))
-            size += len(texts[-1])
-            if size > GROUP_CHARS:
-                yield keys, texts
-                keys, texts, size = [], [], 0
-        if keys:
-            yield keys, texts
-
-
 def tokenizer(spark: SparkSession, path: str):
     """The tokenizer file at ``path`` (a path of the driver), broadcast."""
     with open(path, "rb") as f:
@@ -283,9 +267,9 @@ def pack(docs: DataFrame, spec, window: int = WINDOW, end_id: int = END_ID, max_
                     offset += len(p)
                 sequence += 1
 
-        for keys, texts in _groups(rows):
-            for key, ids in zip(keys, encode(texts)):
-                yield from out(packer.add(Piece(key, 0, ids + end, len(ids) // _ID_BYTES + 1)))
+        for key, text in rows:
+            ids = encode(text.decode("utf-8", "replace"))
+            yield from out(packer.add(Piece(key, 0, ids + end, len(ids) // _ID_BYTES + 1)))
         yield from out(packer.close())
 
     kind = docs.schema[id_col].dataType.simpleString()
