@@ -54,7 +54,7 @@ class Layout:
     bits: int = 1 << 13
     tile: int = 32
     dense: int = 512
-    flush: int = 250_000
+    flush: int = 300_000
 
 
 def count_terms(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", layout: Layout = Layout()) -> DataFrame:
@@ -62,24 +62,26 @@ def count_terms(docs: DataFrame, lang: str = "lang", source: str = "source", tex
     occurring group also has a row with the term ''."""
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("df", pa.int64())])
 
+    one = 1 << 40       # a row that holds a term; its occurrences are counted below this
+
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        groups: dict[tuple, tuple[Counter, Counter]] = {}
+        groups: dict[tuple, dict[str, int]] = {}
 
         def flush():
-            for (la, so), (n, df) in groups.items():
+            while groups:
+                (la, so), seen = groups.popitem()
                 yield la, so, "", 0, 0
-                for t, k in n.items():
-                    yield la, so, t, k, df[t]
-            groups.clear()
+                while seen:
+                    t, k = seen.popitem()
+                    yield la, so, t, k % one, k // one
 
         held = 0
         for la, so, body in rows:
-            n, df = groups.setdefault((la, so), (Counter(), Counter()))
-            here = Counter(TERM.findall(body.lower().decode("utf-8", "replace")))
-            held -= len(n)
-            n.update(here)
-            df.update(here.keys())
-            held += len(n)
+            seen = groups.setdefault((la, so), {})
+            get, held = seen.get, held - len(seen)
+            for t, k in Counter(TERM.findall(body.lower().decode("utf-8", "replace"))).items():
+                seen[t] = get(t, 0) + k + one
+            held += len(seen)
             if held > layout.flush:
                 yield from flush()
                 held = 0
@@ -87,7 +89,7 @@ def count_terms(docs: DataFrame, lang: str = "lang", source: str = "source", tex
 
     plain = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"), (text, "text"))]
     src = docs.select(*plain).withColumn("text", F.col("text").cast("binary"))
-    return (src.mapInArrow(per_row(run, schema, 16384), "lang string, source string, term string, n long, df long")
+    return (src.mapInArrow(per_row(run, schema, 8192), "lang string, source string, term string, n long, df long")
             .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")))
 
 
