@@ -2,23 +2,25 @@
 
 A line's fields that hold digits become ``<*>``, if enough constant words are left: at
 least ``WORDS`` fields with a letter, and a third of all fields.  Other lines (number tables,
-data rows) keep their digits and recur only where their whole text is equal.  The lines go
-down a tree of fixed depth: first by token count, then by their leading tokens.  A leaf
-holds a list of templates, found in rounds: each round takes the earliest line of each of
-the leaf's ``PIVOTS`` buckets, and of these, in order, every one unlike those before it is
-a pivot; the leaf's lines join the first pivot with which they share at least ``similar``
-of the places that are constant in one of the two (the places where they differ are the
-template's variable fields).  Rounds go on with the lines that did not join, until no leaf
-has two of them, so no two templates of a leaf are alike.
-
-A template that occurs in two different documents recurs.  Its lines are dropped from all
-documents but the one with the smallest id, so one copy stays.  Lines of fewer than
-``min_tokens`` tokens have no template and stay.
-
-Text is shuffled twice: once for the lines whose leaf holds several different lines, once
-to put the kept lines together.  All other exchanges move hashes and ids, aggregated
-before the shuffle; the tables that hot lines join are written first, so that both sides
-of those joins are plain shuffles, which Spark splits where they are skewed.
+data rows) keep their digits and recur only where their whole text is equal; so do lines of
+fewer than ``MIN_TOKENS`` tokens (a line in a script without spaces is one token), if they
+have ``MIN_CHARS`` characters, and shorter ones stay.  The lines go down a tree of fixed
+depth: first by token count, then by their leading tokens.
+
+A leaf's templates are its lines with further fields variable.  The places after the leading
+tokens are cut into ``GROUPS`` runs of near-equal length; a line has a template for each one
+or two runs that hold no more than a fifth (``percent``) of its constant places: the line
+without them, as the XOR of the other runs' hashes.  Two lines of a leaf share a template
+if, and only if, they are equal outside one or two such runs - up to thirteen tokens, wherever
+they differ in no more than a fifth.  So alike lines meet by grouping on equal templates,
+and no two lines are ever compared: the number of jobs is the same for a leaf of two lines
+and of a million, and a leaf's rows spread over all partitions.
+
+A line is dropped from a document if its text or one of its templates occurs in a document
+with a smaller id; the first document that has a template keeps its line.
+
+A line's text is looked at once, when it is masked and hashed; only ids and hashes of fixed
+width are shuffled, pre-aggregated, until the kept lines are put together.
 
 Defined results: null and empty texts have no lines to drop and stay as they are; a
 document all of whose worded lines were dropped is not kept (it repeats others); rows with
@@ -30,14 +32,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import materialize, materialize_counted
+from strandline.llm.common import materialize
 
 MIN_TOKENS = 3
+#: Characters from which a line of fewer tokens can recur.
+MIN_CHARS = 20
 WORDS = 3
 DEPTH = 3
-#: Pivots a leaf takes in a round, at most.
-PIVOTS = 32
-SIMILAR = 0.8
+GROUPS = 10
+PERCENT = 80
 _SPACES = " \t\n\x0b\x0c\r"
 _GAP = r"[\x20\x09-\x0D]+"
 # A word with a digit; each word is looked at once from its start.
@@ -72,22 +75,32 @@ def _hash(x: Column) -> Column:
     return F.unhex(F.md5(x))
 
 
-def _lines(docs: DataFrame, *cols: str) -> DataFrame:
-    """(cols, pos, body, n, exact, h): worded lines with token count and hash; masked, or as
-    they are (exact) where too little is constant."""
+def _runs(n: Column, depth: int) -> list[tuple[Column, Column]]:
+    """(start, length) of the runs into which the places after the leading tokens are cut."""
+    rest = F.greatest(n - depth, F.lit(0))
+    cut = [F.floor(rest * i / GROUPS).cast("int") for i in range(GROUPS + 1)]
+    return [(cut[i] + depth + 1, cut[i + 1] - cut[i]) for i in range(GROUPS)]
+
+
+def _lines(docs: DataFrame, *cols: str, depth: int = DEPTH) -> DataFrame:
+    """(cols, pos, h, leaf, n, stars, g0, g1, ...): lines with the hash of their masked text
+    (of their text, where too little is constant), their leaf, token and variable counts, and
+    a hash of each run of places; n is 0 for lines without further templates."""
     # masked and counted inside the array, so that each line is worked on once
     lines = F.transform(F.transform(F.split("text", "\n"), spaced), lambda x: F.struct(
         x.alias("plain"), masked(x).alias("body"), (_count(x, " ") + 1).alias("n")))
-    judged = F.transform(lines, lambda x: F.struct(x["plain"].alias("plain"), x["body"].alias("body"), x["n"].alias("n"),
-                                                   (~_constant(x["body"], x["n"])).alias("exact")))
-    return (docs.select(*cols, F.posexplode(judged).alias("pos", "line"))
-            .select(*cols, "pos", F.when(F.col("line.exact"), F.col("line.plain")).otherwise(F.col("line.body")).alias("body"),
-                    "line.n", "line.exact")
-            .where(F.col("n") >= MIN_TOKENS).withColumn("h", _hash(F.col("body"))))
-
-
-def _leaf(depth: int) -> Column:
-    return F.xxhash64("n", F.substring_index("body", " ", depth))
+    judged = F.transform(lines, lambda x: F.struct(
+        x["plain"].alias("plain"), x["body"].alias("body"), x["n"].alias("n"),
+        ((x["n"] < MIN_TOKENS) | ~_constant(x["body"], x["n"])).alias("exact")))
+    at = (docs.select(*cols, F.posexplode(judged).alias("pos", "line"))
+          .where((F.col("line.n") >= MIN_TOKENS) | (F.char_length("line.plain") >= MIN_CHARS))
+          .select(*cols, "pos", "line.exact", F.when(F.col("line.exact"), F.col("line.plain")).otherwise(F.col("line.body")).alias("body"),
+                  F.when(F.col("line.exact"), 0).otherwise(F.col("line.n")).alias("n")))
+    at = at.withColumn("h", _hash(F.col("body"))).withColumn("tokens", F.when(F.col("n") > 0, F.split("body", " ")))
+    leaf = F.when(F.col("n") > 0, F.xxhash64("n", F.substring_index("body", " ", depth))).otherwise(F.xxhash64("body"))
+    runs = [F.when(F.col("n") > 0, F.xxhash64(F.lit(i), F.slice("tokens", start, length))).otherwise(0).cast("long").alias(f"g{i}")
+            for i, (start, length) in enumerate(_runs(F.col("n"), depth))]
+    return at.select(*cols, "pos", "h", leaf.alias("leaf"), "n", _count(F.col("body"), "<*>").alias("stars"), *runs)
 
 
 def _earlier(lo: Column, hi: Column, nulls: Column) -> Column:
@@ -95,56 +108,49 @@ def _earlier(lo: Column, hi: Column, nulls: Column) -> Column:
     return (lo < hi) | (lo.isNotNull() & nulls)
 
 
-def _alike(a: Column, b: Column, similar: float) -> Column:
-    """Whether two masked lines agree in enough of the places where one is constant."""
-    # 1 where they agree, 0 where they differ, null where both are variable
-    places = F.filter(F.zip_with(a, b, lambda x, y: F.when(x != y, 0).when(x != "<*>", 1)), lambda x: x.isNotNull())
-    return F.size(F.filter(places, lambda x: x == 1)) >= similar * F.size(places)
-
-
-def _joined(lines: DataFrame, depth: int, similar: float) -> tuple[DataFrame, int]:
-    """(h, template) for the lines that join one of this round's pivots of their leaf, and
-    their number."""
-    at = lines.withColumn("leaf", _leaf(depth))
-    # the earliest line of a bucket; ids and hashes are compared as one fixed-width text
-    order = F.concat(F.when(F.col("lo").isNull(), "2").when(F.col("lo") < 0, "0").otherwise("1"),
-                     F.lpad(F.hex(F.coalesce("lo", F.lit(0))), 16, "0"), F.hex("h"))
-    first = (at.groupBy("leaf", F.pmod(F.xxhash64("h"), F.lit(PIVOTS)).alias("bucket"))
-             .agg(F.min(F.struct(order.alias("o"), "h", "body")).alias("p"), F.count("*").alias("k"))
-             .groupBy("leaf").agg(F.sort_array(F.collect_list("p")).alias("p"), F.sum("k").alias("k")).where("k > 1"))
-    line = F.transform("p", lambda p: F.struct(p["h"].alias("template"), F.split(p["body"], " ").alias("tokens")))
-    pivots = F.aggregate("line", F.slice("line", 1, 0), lambda got, p: F.when(
-        F.exists(got, lambda q: _alike(p["tokens"], q["tokens"], similar)), got).otherwise(F.concat(got, F.array(p))))
-    pivots = materialize(first.select("leaf", line.alias("line")).select("leaf", pivots.alias("pivots")), "lines-pivots")
-    # the first pivot that is alike; later ones are not compared
-    none = F.lit(None).cast("binary")
-    met = F.aggregate("pivots", none, lambda got, p: F.when(got.isNotNull(), got).when(
-        _alike(F.col("tokens"), p["tokens"], similar), p["template"]).otherwise(none))
-    j = at.select("leaf", "h", F.split("body", " ").alias("tokens")).join(pivots, "leaf")
-    return materialize_counted(j.select("h", met.alias("template")).where(F.col("template").isNotNull()).distinct(), "lines-joined")
-
-
-def recurring(lines: DataFrame, occurrences: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) -> DataFrame:
-    """(h, lo): hashes of the lines whose template recurs, with the smallest id that has it.
-    ``occurrences``: id, h and leaf of ``lines``, written before."""
-    seen = materialize(occurrences.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
-                                                    F.max(F.col("id").isNull()).alias("nulls"), F.min("leaf").alias("leaf")), "lines-seen")
+def _templates(depth: int, percent: int) -> Column:
+    """A line's templates: which runs are variable, and the XOR of the others' hashes."""
+    sizes = F.array(*(length for _, length in _runs(F.col("n"), depth)))
+    hashes = F.array(*(F.col(f"g{i}") for i in range(GROUPS)))
+    whole = F.lit(0).cast("long")
+    for i in range(GROUPS):
+        whole = whole.bitwiseXOR(F.col(f"g{i}"))
+    pairs = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(GROUPS) for j in range(i, GROUPS)))
+
+    def held(p: Column) -> Column:
+        a, b = F.get(sizes, p["i"]), F.get(sizes, p["j"])
+        m = a + F.when(p["i"] == p["j"], 0).otherwise(b)
+        return (a > 0) & (b > 0) & (100 * m <= (100 - percent) * (F.col("n") - F.col("stars")))
+
+    def key(p: Column) -> Column:
+        other = F.when(p["i"] == p["j"], F.lit(0).cast("long")).otherwise(F.get(hashes, p["j"]))
+        return F.struct((p["i"] * GROUPS + p["j"]).alias("runs"), whole.bitwiseXOR(F.get(hashes, p["i"])).bitwiseXOR(other).alias("rest"))
+    return F.transform(F.filter(pairs, held), key)
+
+
+def recurring(found: DataFrame, depth: int = DEPTH, percent: int = PERCENT) -> DataFrame:
+    """(h, lo): hashes of the lines whose text or a template of which recurs, with the
+    smallest id that has it.  ``found``: :func:`_lines` with ``id``, written before."""
+    ids = (F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("id").isNull()).alias("nulls"))
+    runs = [f"g{i}" for i in range(GROUPS)]
+    seen = materialize(found.groupBy("leaf", "h").agg(*ids, F.min("n").alias("n"), F.min("stars").alias("stars"),
+                                                      *(F.min(g).alias(g) for g in runs)), "lines-seen")
+    spans = (F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("nulls").alias("nulls"))
+    recurs = _earlier(F.col("lo"), F.col("hi"), F.col("nulls"))
     # leaves with two different lines, in different documents
-    shared = seen.groupBy("leaf").agg(F.count("*").alias("k"), F.min("lo").alias("a"), F.max("hi").alias("b"), F.max("nulls").alias("c"))
-    several = materialize(shared.where((F.col("k") > 1) & _earlier(F.col("a"), F.col("b"), F.col("c"))).select("leaf"), "lines-leaves")
-    meet = materialize(seen.join(several, "leaf").select("h", "lo"), "lines-meet")
-    # such lines with their text, from the first document that has them
-    open_ = lines.where(~F.col("exact")).select("id", "h", "n", "body").join(meet, "h").where(F.col("id").eqNullSafe(F.col("lo"))).select("h", "lo", "n", "body")
-    open_ = materialize(open_, "lines-open")
-    into, n = _joined(open_, depth, similar)
-    while n:
-        got, n = _joined(open_.join(into, "h", "left_anti"), depth, similar)
-        into = into.unionByName(got)
-    # the smallest and largest id of every template, told to each of its lines
-    own = seen.select("h", "lo", "hi", "nulls").join(into, "h", "left").withColumn("t", F.coalesce("template", "h"))
-    spans = own.groupBy("t").agg(F.min("lo").alias("first"), F.max("hi").alias("last"), F.max("nulls").alias("any"))
-    spans = materialize(spans.where(_earlier(F.col("first"), F.col("last"), F.col("any"))).select("t", "first"), "lines-spans")
-    return own.join(spans, "t").select("h", F.col("first").alias("lo"))
+    open_ = (seen.where("n > 0").groupBy("leaf").agg(*spans, F.min("h").alias("one"), F.max("h").alias("two"))
+             .where((F.col("one") != F.col("two")) & recurs).select("leaf"))
+    # written, so that the joins below are plain shuffles, which Spark splits at a hot leaf
+    open_ = materialize(open_, "lines-leaves")
+    keys = (seen.where("n > 0").join(open_, "leaf").select("leaf", "h", "lo", "hi", "nulls", F.explode(_templates(depth, percent)).alias("t"))
+            .select("leaf", "t.runs", "t.rest", "h", "lo", "hi", "nulls"))
+    keys = materialize(keys, "lines-templates")
+    shared = (keys.groupBy("leaf", "runs", "rest").agg(*spans, F.count("*").alias("k")).where((F.col("k") > 1) & recurs)
+              .select("leaf", "runs", "rest", F.col("lo").alias("first")))
+    shared = materialize(shared, "lines-shared")
+    told = keys.join(shared, ["leaf", "runs", "rest"]).select("h", F.col("first").alias("lo"))
+    own = seen.where(recurs).select("h", "lo")
+    return told.unionByName(own).groupBy("h").agg(F.min("lo").alias("lo"))
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -152,10 +158,9 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     is left); free names are taken if the caller has such columns."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # rows are told apart by id and text; equal rows have equal decisions
-    lines = _lines(src.withColumn("key", _hash(F.coalesce("text", F.lit("")))), "id", "key")
-    found = materialize(lines.select("id", "key", "pos", "h", F.when(F.col("exact"), F.xxhash64("body"))
-                                     .otherwise(_leaf(how.get("depth", DEPTH))).alias("leaf")), "lines-found")
-    gone = materialize(recurring(_lines(src, "id"), found, **how), "lines-recurring")
+    lines = _lines(src.withColumn("key", _hash(F.coalesce("text", F.lit("")))), "id", "key", depth=how.get("depth", DEPTH))
+    found = materialize(lines, "lines-found")
+    gone = materialize(recurring(found, **how), "lines-recurring")
     drops = (found.select("id", "key", "pos", "h").join(gone, "h").where(F.col("id").isNull() | (F.col("id") > F.col("lo")))
              .groupBy("id", "key").agg(F.sort_array(F.collect_set("pos")).alias("pos")))
     drops = materialize(drops, "lines-drops")
