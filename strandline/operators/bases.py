@@ -11,12 +11,17 @@ the 30x larger base table is never shuffled unaggregated nor cached.
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..functions import quality as Q
-from ..session import broadcast_checked, collect_checked, materialize
+from ..session import BROADCAST_BYTES, materialize, materialize_measured
 from .intervals import merge_intervals
 
 
@@ -31,24 +36,22 @@ def explode_cigar(reads: DataFrame, keep=("read_id", "ref_idx", "pos")) -> DataF
         F.col("_o.read_off").cast("long").alias("read_off"))
 
 
-def _with_bases(reads: DataFrame) -> DataFrame:
-    """Reads whose bases all have a quality (a read without qualities gives no base)."""
-    return reads.where(Q.has_qualities("qual") & (F.length("qual") == F.length("seq")))
-
-
 def aligned_bases(reads: DataFrame, keep=("read_id", "ref_idx")) -> DataFrame:
     """One row per read base aligned to the reference (inside M, = or X):
-    ``ref_pos, cyc`` (0-based read offset), ``base`` and its quality ``q``.
+    ``ref_pos, cyc`` (0-based read offset), ``base`` and its quality ``q``.  A read
+    without qualities, or with more or fewer than bases, gives no base.
 
     Two generator steps: the aligned operations of a read (with their offsets), then
     the bases of each operation; both are map-side and keep the base columns simple
-    expressions inside generated code."""
+    expressions inside generated code.  The lengths are compared in the second step: a
+    filter on them would be pushed below whatever computes ``seq`` and plan it twice."""
     ops = F.filter(C.cigar_with_offsets("cigar"), lambda o: o["op"].isin(C.ALIGNED))
-    x = _with_bases(reads).select(*keep, "pos", "seq", "qual", F.explode(ops).alias("_o"))
+    x = reads.where(Q.has_qualities("qual")).select(*keep, "pos", "seq", "qual", F.explode(ops).alias("_o"))
+    whole = F.length("qual") == F.length("seq")
     x = x.select(*keep, "seq", "qual",
                  (F.col("pos") + F.col("_o.ref_off")).alias("_r0"),
                  F.col("_o.read_off").cast("int").alias("_q0"),
-                 F.explode(F.sequence(F.lit(0), F.col("_o.n").cast("int") - 1)).alias("_j"))
+                 F.explode(F.when(whole, F.sequence(F.lit(0), F.col("_o.n").cast("int") - 1))).alias("_j"))
     cyc = F.col("_q0") + F.col("_j")
     return x.select(*keep, (F.col("_r0") + F.col("_j")).alias("ref_pos"), cyc.alias("cyc"),
                     F.col("seq").substr(cyc + 1, F.lit(1)).alias("base"),
@@ -67,8 +70,8 @@ def aligned_bases_binned(reads: DataFrame, sites: DataFrame | None = None,
     Every read is paired with the bins it covers (one or two for reads shorter than a
     bin) and joined on ``(ref_idx, bin)`` with
 
-    * ``sites`` (``ref_idx, ref_pos``), grouped per bin into a position set of at most
-      ``bin_size`` entries: bases at those sites are dropped (J5);
+    * ``sites`` (``ref_idx, ref_pos``), a bitmap of ``bin_size`` bits per bin
+      (:func:`site_bitmaps`): a base is dropped (J5) by one bit test;
     * ``reference`` chunks (``ref_idx, bin, chunk_start, chunk``, e.g. from
       :func:`strandline.sources.fasta.read_fasta_chunks` with the same ``bin_size``):
       each base gets ``ref_base`` from its bin's chunk.
@@ -83,11 +86,8 @@ def aligned_bases_binned(reads: DataFrame, sites: DataFrame | None = None,
         .cast("long"))))
     extra = ["_bin"]
     if sites is not None:
-        site_bins = (sites.select("ref_idx", "ref_pos").distinct()
-                     .groupBy("ref_idx", F.floor(F.col("ref_pos") / B).cast("long").alias("_bin"))
-                     .agg(F.collect_list("ref_pos").alias("_sites")))
         # written, so that the join shuffles two plain tables and AQE can split a hot bin
-        site_bins = materialize(site_bins, "site_bins")
+        site_bins = materialize(site_bitmaps(sites, bin_size), "site_bins")
         rb = rb.join(site_bins, ["ref_idx", "_bin"], "left")
         extra.append("_sites")
     if reference is not None:
@@ -98,8 +98,9 @@ def aligned_bases_binned(reads: DataFrame, sites: DataFrame | None = None,
     bases = aligned_bases(rb, keep=tuple(keep) + tuple(extra))
     cond = F.floor(F.col("ref_pos") / B).cast("long") == F.col("_bin")
     if sites is not None:
-        cond = cond & ~F.coalesce(F.array_contains(F.col("_sites"), F.col("ref_pos")),
-                                  F.lit(False))
+        at = F.pmod(F.col("ref_pos"), B)
+        word = F.get(F.col("_sites"), F.shiftright(at, 6).cast("int"))
+        cond = cond & (F.coalesce(F.getbit(word, at.bitwiseAND(63).cast("int")), F.lit(0)) == 0)
     bases = bases.filter(cond)
     if reference is not None:
         bases = bases.withColumn("ref_base", F.upper(F.col("_chunk").substr(
@@ -107,6 +108,22 @@ def aligned_bases_binned(reads: DataFrame, sites: DataFrame | None = None,
     return bases.drop(*extra)
 
 
+def site_bitmaps(sites: DataFrame, bin_size: int = DEFAULT_BASE_BIN) -> DataFrame:
+    """Positions (``ref_idx, ref_pos``) as one bitmap per ``(ref_idx, _bin)``: ``_sites``,
+    an array of 64-bit words.  A word is the OR of its positions' bits, combined
+    map-side, so repeated sites cost nothing and no list of positions is ever held; a
+    bin is ``bin_size / 8`` bytes however many sites it has."""
+    at = F.pmod(F.col("ref_pos"), F.lit(bin_size))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))
+    words = (sites.groupBy("ref_idx", F.floor(F.col("ref_pos") / bin_size).cast("long").alias("_bin"),
+                           F.shiftright(at, 6).cast("int").alias("_w"))
+             .agg(F.bit_or(bit).alias("_bits")))
+    held = F.map_from_entries(F.collect_list(F.struct("_w", "_bits")))      # bin_size / 64 entries at most
+    return words.groupBy("ref_idx", "_bin").agg(F.transform(
+        F.sequence(F.lit(0), F.lit((bin_size - 1) // 64)),
+        lambda w: F.coalesce(F.try_element_at(held, w), F.lit(0).cast("long"))).alias("_sites"))
+
+
 def aligned_bases_off_sites(reads: DataFrame, sites: DataFrame, keep=("read_id", "ref_idx"),
                             bin_size: int = DEFAULT_BASE_BIN) -> DataFrame:
     """J5 without shuffling bases: aligned bases not at a known site (see
@@ -170,58 +187,118 @@ def recal_table(bases: DataFrame, known_sites: DataFrame | None = None,
     return out
 
 
-def recal_lookup(table: DataFrame, group: str | None = None) -> DataFrame:
-    """The recalibration table as dense lookup arrays: one row (per ``group``) with
+def recal_lookup(table: DataFrame, *by: str) -> DataFrame:
+    """The recalibration table as dense lookup arrays: one row per ``by`` with
     ``_lut[cycle][quality] = emp_q`` (null where the table has no entry), so a base is
-    recalibrated by two O(1) array reads - a map literal would be a linear scan of
-    every covariate for every base.  Built distributedly: one 128-wide array per
+    recalibrated by two O(1) array reads.  Built distributedly: one 128-wide array per
     (group, cycle), then one array of those per group."""
-    g = [group] if group else []
-    per_cyc = table.groupBy(*g, "cyc").agg(
+    per_cyc = table.groupBy(*by, "cyc").agg(
         F.map_from_entries(F.collect_list(F.struct("reported_q", "emp_q"))).alias("_m"))
-    per_cyc = per_cyc.select(*g, "cyc", F.transform(
+    per_cyc = per_cyc.select(*by, "cyc", F.transform(
         F.sequence(F.lit(0), F.lit(127)), lambda q: F.try_element_at(F.col("_m"), q))
         .alias("_qa"))
-    lut = per_cyc.groupBy(*g).agg(
+    lut = per_cyc.groupBy(*by).agg(
         F.max("cyc").alias("_maxc"),
         F.map_from_entries(F.collect_list(F.struct("cyc", "_qa"))).alias("_cm"))
-    return lut.select(*g, F.transform(F.sequence(F.lit(0), F.col("_maxc")),
-                                      lambda c: F.try_element_at(F.col("_cm"), c))
+    return lut.select(*by, F.transform(F.sequence(F.lit(0), F.col("_maxc")),
+                                       lambda c: F.try_element_at(F.col("_cm"), c))
                       .alias("_lut"))
 
 
-LUT_TYPE = "array<array<int>>"
-def recal_apply(reads: DataFrame, table: DataFrame, group: str | None = None) -> DataFrame:
+#: Cycles of a read segment in the shuffle form of :func:`recal_apply`.
+RECAL_SEGMENT = 32
+
+
+def recal_apply(reads: DataFrame, table: DataFrame, group: str | None = None,
+                key: str = "read_id", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Recalibrate base qualities.  Every aligned base (M, =, X) whose
     ``(quality, cycle)`` - or ``(group, quality, cycle)`` when the table was built per
     ``group``, e.g. per region as the original does - is in the table gets the table's
     empirical quality; bases in insertions and soft clips, and covariates missing from
     the table, keep theirs.
 
-    The table becomes dense lookup arrays (:func:`recal_lookup`; bounded by groups x
-    read length x 128).  Per group they reach the reads by a broadcast join on the
-    group after a size check; a global table is one row, size-checked and inlined as a
-    constant.  The reads are then rewritten by a per-row expression: no explode, no
-    shuffle of reads or bases, no regrouping."""
-    lut = recal_lookup(table, group)
-    if group:
-        x = reads.join(broadcast_checked(lut, "recal_lut"), group, "left")
-    else:
-        rows = collect_checked(lut.select(F.to_json("_lut").alias("_j")), "recalibration table")
-        arr = (F.from_json(F.lit(rows[0]["_j"]), LUT_TYPE) if rows
-               else F.lit(None).cast(LUT_TYPE))
-        x = reads.withColumn("_lut", arr)
-    scores = Q.phred("qual")
-    # scores and aligned flags are paired first, so each is built once per read and not
-    # once per base
+    The table is written and measured.  Within ``max_bytes`` it is broadcast and whole
+    Arrow batches of quality texts are rewritten at once, without a shuffle.  Beyond it
+    nothing is broadcast: reads are cut into segments of ``RECAL_SEGMENT`` cycles, which
+    meet the table's rows of their (group, segment) by an equi-join, and are put together
+    again by ``key`` (unique per read).  Neither form moves single bases."""
+    table, size = materialize_measured(table, "recal_table")
+    if size > max_bytes:
+        return _recal_by_segments(reads, table, group, key)
+    luts: dict[str, list] = {}
+    name = F.col(group).cast("string") if group else F.lit("all")
+    for k, *entry in table.select(name, "cyc", "reported_q", "emp_q").where(name.isNotNull()).collect():
+        luts.setdefault(k, []).append(entry)
+    held = reads.sparkSession.sparkContext.broadcast({k: quality_lookup(v) for k, v in luts.items()})
+
+    @F.pandas_udf("string")
+    def rewrite(qual: pd.Series, cigar: pd.Series, by: pd.Series) -> pd.Series:
+        out = qual.copy()
+        for k in by.unique():
+            lut = held.value.get(k)
+            if lut is not None:
+                rows = (by == k).to_numpy()
+                out[rows] = rewrite_qualities(qual[rows].tolist(), cigar[rows].tolist(), lut)
+        return out
+
+    # groups are told apart by their text; a read without one keeps its qualities
+    by = F.coalesce(F.col(group).cast("string"), F.lit("")) if group else F.lit("all")
+    return reads.withColumn("qual", rewrite("qual", "cigar", by))
+
+
+def quality_lookup(entries: list[tuple[int, int, int]]) -> np.ndarray:
+    """(cycle, quality, new quality) as ``lut[cycle, quality]``, -1 where there is none."""
+    lut = np.full((1 + max(c for c, _, _ in entries), 128), -1, np.int16)
+    for c, q, new in entries:
+        if 0 <= q < 128:
+            lut[c, q] = new
+    return lut
+
+
+@lru_cache(1 << 14)
+def _aligned_mask(cigar: str) -> np.ndarray:
+    ops = [(int(n), op) for n, op in re.findall(r"([0-9]+)([MIDNSHP=X])", cigar) if op in C.QUERY_CONSUMING]
+    return np.repeat([op in C.ALIGNED for _, op in ops], [n for n, _ in ops]).astype(bool)
+
+
+def rewrite_qualities(quals: list, cigars: list, lut: np.ndarray) -> list:
+    """Quality texts with the aligned bases' scores replaced from ``lut``; absent ones stay."""
+    at = [i for i, q in enumerate(quals) if q and q != "*" and q.isascii()]
+    if not at:
+        return quals
+    lens = np.array([len(quals[i]) for i in at])
+    ends = lens.cumsum()
+    q = np.frombuffer("".join(quals[i] for i in at).encode("ascii"), np.uint8).astype(np.int16) - Q.PHRED_OFFSET
+    cyc = np.arange(len(q)) - np.repeat(ends - lens, lens)
+    aligned = np.zeros(len(q), bool)
+    for i, n, end in zip(at, lens.tolist(), ends.tolist()):
+        mask = _aligned_mask(cigars[i] or "")[:n]
+        aligned[end - n:end - n + len(mask)] = mask
+    new = lut[np.minimum(cyc, len(lut) - 1), np.maximum(q, 0)]
+    q = np.where(aligned & (new >= 0) & (q >= 0) & (cyc < len(lut)), new, q) + Q.PHRED_OFFSET
+    text = q.astype(np.uint8).tobytes().decode("latin-1")
+    out = list(quals)
+    for i, n, end in zip(at, lens.tolist(), ends.tolist()):
+        out[i] = text[end - n:end]
+    return out
+
+
+def _recal_by_segments(reads: DataFrame, table: DataFrame, group: str | None, key: str) -> DataFrame:
+    n = F.lit(RECAL_SEGMENT)
+    by = ([group] if group else []) + ["_seg"]
+    lut = recal_lookup(table.withColumn("_seg", F.floor(F.col("cyc") / n).cast("int")).withColumn("cyc", (F.col("cyc") % n).cast("int")), *by)
     flags = F.coalesce(C.aligned_offsets("cigar"), F.array().cast("array<boolean>"))
-    paired = F.filter(F.zip_with(scores, flags, lambda v, a: C.named(v=v, a=a)),
+    paired = F.filter(F.zip_with(Q.phred("qual"), flags, lambda v, a: C.named(v=v, a=F.coalesce(a, F.lit(False)))),
                       lambda t: t["v"].isNotNull())
-    new = F.transform(paired, lambda t, i: F.when(
-        F.coalesce(t["a"], F.lit(False)),
-        F.coalesce(F.get(F.get(F.col("_lut"), i), t["v"]), t["v"])).otherwise(t["v"]))
-    return x.withColumn("qual", F.when(scores.isNull(), F.col("qual"))
-                        .otherwise(Q.phred_text(new))).drop("_lut")
+    cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size("_p") - 1) / n).cast("int")), lambda s: F.slice("_p", s * n + 1, n))
+    segments = (reads.where(Q.has_qualities("qual")).select(key, *by[:-1], paired.alias("_p"))
+                .select(key, *by[:-1], F.posexplode(cuts).alias("_seg", "_part")))
+    # both sides written or scanned, so that AQE can split a hot group's segments
+    met = segments.join(materialize(lut, "recal_lut"), by, "left")
+    new = F.transform("_part", lambda t, i: F.when(t["a"], F.coalesce(F.get(F.get(F.col("_lut"), i), t["v"]), t["v"])).otherwise(t["v"]))
+    texts = (met.select(key, F.struct("_seg", Q.phred_text(new).alias("t")).alias("_s")).groupBy(key)
+             .agg(F.array_join(F.transform(F.sort_array(F.collect_list("_s")), lambda s: s["t"]), "").alias("_new")))
+    return reads.join(texts, key, "left").withColumn("qual", F.coalesce("_new", "qual")).select(*reads.columns)
 
 
 def call_variants(pile: DataFrame, min_qual: int = 30, min_share=(1, 5),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.cigar import named
 from ..functions.quality import shift_quality_text
 from ..operators import reads as R
+from ..session import materialize
 
 # Fixed values of the fixture definitions (FIXTURES.md part B).
 NUM_CONTIGS = 26
@@ -49,6 +50,30 @@ def _memoized(fn):
     return wrapper
 
 
+def stored(spark: SparkSession, key: tuple, build, *order: str) -> DataFrame:
+    """A derived input that several queries read: built once per session and folder, range
+    partitioned and sorted by ``order``, written, and read back from its files - as
+    alignments are stored in a pipeline (``sources.alignments.write_alignments``).  The
+    driver's tables have one row group, which a scan can't split; the stored form has a
+    file per range at any size."""
+    def write() -> DataFrame:
+        df = build()
+        if order:
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        return materialize(df, f"fixture-{key[0]}")
+    return _memo(spark, ("stored", *key), write)
+
+
+def _stored_by(*order: str):
+    def wrap(fn):
+        def wrapper(spark: SparkSession, d: str, **kw) -> DataFrame:
+            return stored(spark, (fn.__name__, d, *sorted(kw.items())), lambda: fn(spark, d, **kw), *order)
+        wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+        return wrapper
+    return wrap
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A driver table.  Its schema is inferred once per path and then given to the
     reader, so repeated reads of the same table run no footer-inference job."""
@@ -67,7 +92,7 @@ def _md5_text(salt: str, key: Column, letters: str) -> Column:
     return F.translate(F.md5(F.concat(F.lit(salt), key.cast("string"))), SEQ_DIGITS, letters)
 
 
-@_memoized
+@_stored_by("ref_idx", "pos")
 def aln(spark: SparkSession, d: str, seq_salt: str = "s", qual_salt: str = "q") -> DataFrame:
     """All reads: ``read_id, qname, flag, ref_idx, pos, mapq, cigar, ref_len, seq, qual``."""
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
@@ -97,7 +122,7 @@ def kept(spark: SparkSession, d: str) -> DataFrame:
         "end_pos", F.col("pos") + F.col("ref_len") - 1)
 
 
-@_memoized
+@_stored_by()
 def seq_dict(spark: SparkSession, d: str) -> DataFrame:
     """``ref_idx, ref_name, ref_length``: one row per contig seen in ``orders``."""
     i = (F.col("o_custkey") % NUM_CONTIGS).cast("int")
@@ -122,7 +147,7 @@ def bed(spark: SparkSession, d: str) -> DataFrame:
 MATE_ID_OFFSET = 1_000_000_000
 
 
-@_memoized
+@_stored_by("ref_idx", "pos")
 def paired(spark: SparkSession, d: str) -> DataFrame:
     """Paired-end alignments: every kept read is end 1 of a template (same name);
     end 2 is ``32M`` on the other strand, ``150 + (read_id % 7) * 10`` bases further,
@@ -163,7 +188,7 @@ def genome_base(p: Column, ref_idx: Column) -> Column:
                     (1 + ((p * p + 3 * p + ref_idx) % 7 + p) % 4).cast("int"), F.lit(1))
 
 
-@_memoized
+@_stored_by("ref_idx", "pos")
 def dense(spark: SparkSession, d: str) -> DataFrame:
     """Kept reads moved onto 3,000 positions; ``seq`` follows the synthetic genome
     along the CIGAR, with planted errors and SNPs (``ref_pos % 100 = 17``, carried by

@@ -289,6 +289,11 @@ GROUP BY p.read_id""")
     q["merge_variants"] = W(["calls_vcf"], "SELECT CAST(ref_idx AS INT) AS chrom, CAST(ref_pos AS INT) AS pos, line FROM calls_vcf")
     q["map_chunks"] = W(["kept"], """SELECT CAST(read_id % 4 AS INT) AS chunk, ref_idx, count(*) AS n_reads
 FROM kept GROUP BY 1, 2""")
+    q["map_chunk_streams"] = W(["kept"], """SELECT chunk, count(*) AS n_reads, count(*) FILTER (was <> ref_idx) AS n_changes FROM (
+ SELECT CAST(read_id % 4 AS INT) AS chunk, ref_idx, lag(ref_idx) OVER (PARTITION BY read_id % 4 ORDER BY read_id) AS was FROM kept) x
+GROUP BY chunk""")
+    q["map_regions_halo"] = W(["kept"], """SELECT read_id, ref_idx, pos, count(*) OVER (PARTITION BY ref_idx ORDER BY pos
+ RANGE BETWEEN 100 PRECEDING AND 100 FOLLOWING) - 1 AS n_near FROM kept""")
     q["map_regions"] = W(["kept", "x_regions"], """SELECT r.region, k.ref_idx, count(*) AS n_reads, min(k.pos) AS first_pos,
  max(k.pos) AS last_pos FROM kept k JOIN x_regions r USING (ref_idx) GROUP BY r.region, k.ref_idx""")
     return q

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,6 @@ from ..operators import intervals as I
 from ..operators import pairing as P
 from ..operators import reads as R
 from ..operators import regions as G
-from ..session import materialize
 from ..sinks import to_bed, to_region_strings
 from ..sources import text_formats as TF
 from . import fixtures as X
@@ -54,6 +54,11 @@ def _calls(spark, d) -> DataFrame:
 
 
 def _calls_vcf(spark, d) -> DataFrame:
+    """The caller's output lines, stored once: the input of the VCF parsers and the merge."""
+    return X.stored(spark, ("calls_vcf", d), lambda: _called_lines(spark, d))
+
+
+def _called_lines(spark, d) -> DataFrame:
     names = F.broadcast(X.seq_dict(spark, d).select("ref_idx", "ref_name"))  # <= 26 rows
     c = _calls(spark, d).join(names, "ref_idx", "inner")
     return c.select("ref_idx", "ref_pos", B.vcf_line(F.col("ref_name")).alias("value"))
@@ -294,7 +299,7 @@ def call_variants(spark, d):
 
 def merge_variants(spark, d):
     # per-region outputs are written once (the original writes one VCF per region)
-    v = materialize(_calls_vcf(spark, d), "region_vcf")
+    v = _calls_vcf(spark, d)
     dup = v.filter(F.col("ref_pos") % 2 == 0)        # a second region emitting half again
     return B.merge_variants(TF.parse_vcf(v.select("value")), TF.parse_vcf(dup.select("value")))
 
@@ -329,6 +334,41 @@ def map_regions(spark, d):
         F.max("last_pos").alias("last_pos"))
 
 
+def _contig_changes(chunk, batches):
+    """Per chunk, in read order: reads, and how often the contig changes from one read to
+    the next - which needs the last read of the batch before."""
+    n = changes = 0
+    last = None
+    for pdf in batches:
+        contigs = pdf["ref_idx"].tolist()
+        changes += sum(a != b for a, b in zip([last] + contigs if last is not None else contigs, contigs if last is not None else contigs[1:]))
+        n, last = n + len(contigs), contigs[-1]
+    yield pd.DataFrame({"chunk": [chunk], "n_reads": [n], "n_changes": [changes]}).astype({"chunk": "int32"})
+
+
+def map_chunk_streams(spark, d):
+    """F1 with a function that keeps state over a chunk."""
+    k = X.kept(spark, d).select((F.col("read_id") % NUM_CHUNKS).cast("int").alias("chunk"), "read_id", "ref_idx")
+    return H.map_chunk_streams(k, _contig_changes, "chunk int, n_reads long, n_changes long", ["read_id"])
+
+
+NEIGHBOUR = 100
+
+
+def _neighbours(pdf: pd.DataFrame, region: tuple) -> pd.DataFrame:
+    """Reads that start within NEIGHBOUR bases of each read's start."""
+    at = pdf["pos"].to_numpy()
+    n = np.searchsorted(at, at + NEIGHBOUR, "right") - np.searchsorted(at, at - NEIGHBOUR, "left") - 1
+    return pdf[["read_id", "ref_idx", "pos"]].assign(n_near=n)
+
+
+def map_regions_halo(spark, d):
+    """F2 with context: a function whose result needs the reads across the region's border."""
+    k = X.kept(spark, d).select("read_id", "ref_idx", "pos", "end_pos")
+    return H.map_regions_halo(k, _neighbours, "read_id long, ref_idx int, pos long, n_near long", "pos",
+                              bin_size=1 << 12, halo=NEIGHBOUR, max_rows=2000, levels=6)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     primary_mapped, reads_per_chrom, balance_regions, region_reads,
     fastq_records, mate_pairs, fastq_chunks,
@@ -341,7 +381,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     cigar_ops, clean_alignments, indel_targets, pileup,
     recal_table, recal_table_by_region, recal_apply, recal_apply_by_region,
     call_variants, merge_variants,
-    map_chunks, map_regions,
+    map_chunks, map_regions, map_chunk_streams, map_regions_halo,
 ]}
 
 

@@ -110,7 +110,8 @@ def row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def _write_measured(df: DataFrame, tag: str) -> tuple[DataFrame, int]:
+def materialize_measured(df: DataFrame, tag: str = "t") -> tuple[DataFrame, int]:
+    """:func:`materialize`, also returning the table's size in bytes (:func:`row_bytes`)."""
     out, seen = _write(df, tag, size=F.sum(row_bytes(df)))
     return out, int(seen["size"] or 0)
 
@@ -123,7 +124,7 @@ def broadcast_checked(df: DataFrame, tag: str = "small",
     size observed during that write; the broadcast hint is applied only within
     ``max_bytes``.  Beyond it the table is returned as is, and the planner shuffles
     two written tables, which AQE can split at a hot key."""
-    m, size = _write_measured(df, tag)
+    m, size = materialize_measured(df, tag)
     return F.broadcast(m) if size <= max_bytes else m
 
 
@@ -131,7 +132,7 @@ def collect_checked(df: DataFrame, what: str, max_bytes: int = BROADCAST_BYTES)
     """Collect a table whose size is bounded by construction, failing loudly if its
     measured bytes exceed the bound.  Used only for the global recalibration table
     (read length x 128 qualities)."""
-    m, size = _write_measured(df, "collect")
+    m, size = materialize_measured(df, "collect")
     if size > max_bytes:
         raise ValueError(f"{what}: {size} bytes exceed the bound of {max_bytes}; refusing to collect")
     return m.collect()

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF01
+from strandline.operators import bases as B
 from strandline.operators import intervals as I
 from strandline.operators import regions as G
 from strandline.plans import fixtures as X
@@ -115,3 +116,25 @@ def test_adaptive_join_bin(spark):
     assert b & (b - 1) == 0 and 64 <= b <= 4096       # a power of two near the lengths
     got = I.interval_intersect(bed, isl, bin_size=None)
     assert got.count() == 2377
+
+
+@pytest.mark.parametrize("group", [None, "region"])
+def test_recal_apply_beyond_the_broadcast(spark, group):
+    """A table too large to broadcast reaches the reads by segments: same rows."""
+    dn = X.dense(spark, SF01).withColumn("region", (F.col("ref_idx") % 3).cast("int"))
+    dn = dn.withColumn("qual", F.when(F.col("read_id") % 10 == 0, "*").otherwise(F.col("qual")))
+    bases = X.bases_with_ref(B.aligned_bases(dn, keep=("read_id", "ref_idx", "region")))
+    by = (("region",) if group else ()) + ("q", "cyc")
+    table = B.recal_table(bases, by=by).where("cyc < 30 and obs > 3")
+    small = rows(B.recal_apply(dn, table, group=group), ["read_id", "qual"])
+    large = rows(B.recal_apply(dn, table, group=group, max_bytes=1), ["read_id", "qual"])
+    assert small == large and small != rows(dn, ["read_id", "qual"])
+
+
+def test_site_bitmaps_hold_exactly_the_sites(spark):
+    at = [0, 1, 63, 64, 1023, 1024, 1025, 5000, 2047, 2048, 1023]
+    sites = spark.createDataFrame([(1, p) for p in at] + [(2, 7)], "ref_idx int, ref_pos long")
+    for size in (64, 100, 1024):
+        got = {(r.ref_idx, r._bin * size + 64 * w + b) for r in B.site_bitmaps(sites, size).collect()
+               for w, bits in enumerate(r._sites) for b in range(64) if bits >> b & 1}
+        assert got == {(1, p) for p in at} | {(2, 7)}
