@@ -14,7 +14,7 @@ sent to a single task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +26,8 @@ from .operators import intervals as I
 from .operators import pairing as P
 from .operators import reads as R
 from .operators import regions as G
-from .session import broadcast_checked, materialize
-from .sinks import write_chunks, write_vcf
+from .session import broadcast_checked, materialize, scratch
+from .sinks import to_bed, write_by_region, write_chunks, write_text_by_region, write_vcf
 from .sources.fasta import chunks_by_index
 from .sources.fastq import read_fastq
 
@@ -48,7 +48,7 @@ def call_variants_from_alignments(
         ref_base: Callable[[Column, Column], Column] | DataFrame | None = None,
         known_sites: DataFrame | None = None, targets: DataFrame | None = None,
         min_qual: int = 30, single_file: bool = False, recal_per_region: bool = False,
-        mode: str = "errorifexists") -> DataFrame:
+        mode: str = "errorifexists", region_out: str | None = None, header: Sequence[str] = ()) -> DataFrame:
     """Aligned reads (``read_id, qname, flag, ref_idx, pos, mapq, cigar, seq, qual``)
     -> variant calls, written as one ordered VCF body when ``out`` is given.
 
@@ -63,10 +63,26 @@ def call_variants_from_alignments(
     ``ref_base`` gives the reference base of a site: a column function
     ``f(ref_pos, ref_idx)``, or reference chunks from
     :func:`strandline.sources.fasta.read_fasta_chunks` (default bin size), which reach
-    the reads by bin.  Returns the
-    written calls with ``region, chrom, line``."""
+    the reads by bin.  With ``region_out`` the outputs that the original leaves per region
+    are written there too, a folder per region in each: ``metrics`` (A9), ``ranges`` (A6 as
+    BED lines, K2), ``targets`` (A13) and ``vcf`` (the region's calls in order, K4 + K5).
+
+    Intermediates are deleted when the outputs are written, also after a failure; the calls
+    are returned as a written table (``region, chrom, pos, line, ...``), which the caller's
+    own :func:`strandline.session.scratch` scope deletes, if there is one."""
     if ref_base is None:
         raise ValueError("ref_base is required to call variants")
+    with scratch(aln.sparkSession) as held:
+        calls = _call_variants(aln, seq_dict, n_regions, ref_base, known_sites, targets, min_qual,
+                               recal_per_region, mode, region_out)
+        if out is not None:
+            merged = B.merge_variants(calls.select("chrom", "pos", "line"))
+            write_vcf(merged, out, single_file=single_file, mode=mode, header=header)
+        return held.keep(calls)
+
+
+def _call_variants(aln: DataFrame, seq_dict: DataFrame, n_regions: int, ref_base, known_sites, targets, min_qual: int,
+                   recal_per_region: bool, mode: str, region_out: str | None) -> DataFrame:
     cols = ["qname", "flag", "ref_idx", "pos", "mapq", "cigar", "seq", "qual"]
     if "read_id" in aln.columns:
         aln = aln.select("read_id", *cols)
@@ -77,9 +93,11 @@ def call_variants_from_alignments(
     regions = materialize(G.balance_regions(G.reads_per_chrom(kept), n_regions), "job_regions")
     reads = R.fix_qualities(G.assign_regions(kept, regions), by="region").drop("encoding", "quality_error")
     reads = R.clean_alignments(R.with_reference(reads, seq_dict))
-    reads = D.mark_duplicates_paired(reads).filter(F.col("dup") == 0).drop("dup", "score")
-    # the cleaned, de-duplicated reads feed several later steps: written once
-    reads = materialize(R.with_read_group(reads), "job_clean_reads")
+    # the cleaned, marked reads feed several later steps: written once
+    marked = materialize(R.with_read_group(D.mark_duplicates_paired(reads)), "job_clean_reads")
+    reads = marked.filter(F.col("dup") == 0).drop("dup", "score")
+    if region_out is not None:
+        _write_region_tables(marked, reads, seq_dict, regions, region_out, mode)
     if targets is not None:
         ranges = I.covered_ranges(reads).select(
             "ref_idx", (F.col("start_pos") - 1).alias("start0"), F.col("end_pos").alias("end0"))
@@ -119,7 +137,22 @@ def call_variants_from_alignments(
             calls.withColumn("start0", F.col("ref_pos") - 1).withColumn("end0", F.col("ref_pos")),
             targets, "ref_idx", ("start0", "end0"), ("bstart", "bend")).drop("start0", "end0")
     calls = materialize(calls, "job_calls")
-    if out is not None:
-        merged = B.merge_variants(calls.select("chrom", "pos", "line"))
-        write_vcf(merged, out, single_file=single_file, mode=mode)
+    if region_out is not None:
+        write_text_by_region(calls.select("region", "chrom", "pos", F.col("line").alias("value")),
+                             f"{region_out}/vcf", "region", ["chrom", "pos", "value"], mode)
     return calls
+
+
+def _write_region_tables(marked: DataFrame, reads: DataFrame, seq_dict: DataFrame, regions: DataFrame, out: str, mode: str) -> None:
+    """Duplicate metrics of all marked reads; covered ranges and realignment targets of those kept."""
+    write_by_region(D.duplicate_metrics(marked, ("region", "rg_library")), f"{out}/metrics", mode=mode)
+    names = broadcast_checked(seq_dict.select("ref_idx", "ref_name").join(regions.select("ref_idx", "region"), "ref_idx"), "job_names")
+
+    def lines(ranges: DataFrame, folder: str) -> None:
+        x = ranges.join(names, "ref_idx").select("region", "ref_idx", "bed_start", F.concat_ws(
+            "\t", F.col("ref_name"), F.col("bed_start").cast("string"), F.col("bed_end").cast("string")).alias("value"))
+        write_text_by_region(x, f"{out}/{folder}", "region", ["ref_idx", "bed_start", "value"], mode)
+
+    lines(to_bed(I.covered_ranges(reads), "ref_idx").withColumnRenamed("chrom", "ref_idx"), "ranges")
+    targets = B.indel_targets(reads)
+    lines(targets.select("ref_idx", F.col("start0").alias("bed_start"), F.col("end0").alias("bed_end")), "targets")

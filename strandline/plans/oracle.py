@@ -294,6 +294,17 @@ FROM kept GROUP BY 1, 2""")
 GROUP BY chunk""")
     q["map_regions_halo"] = W(["kept"], """SELECT read_id, ref_idx, pos, count(*) OVER (PARTITION BY ref_idx ORDER BY pos
  RANGE BETWEEN 100 PRECEDING AND 100 FOLLOWING) - 1 AS n_near FROM kept""")
+    q["fastq_file_records"] = W(["aln"], """SELECT concat('@r', CAST(read_id AS VARCHAR), '/1') AS name,
+ seq, '+' AS plus, qual FROM aln""")
+    q["chunk_files"] = W(["aln", "aln2"], """SELECT CAST(a.read_id * 4 // (SELECT count(*) FROM aln) AS INT) AS chunk,
+ concat('@r', CAST(a.read_id AS VARCHAR), '/1') AS name1, a.seq AS seq1, a.qual AS qual1,
+ concat('@r', CAST(b.read_id AS VARCHAR), '/2') AS name2, b.seq AS seq2, b.qual AS qual2
+FROM aln a JOIN aln2 b ON a.read_id = b.read_id""")
+    q["vcf_ordered"] = W(["calls_vcf"], """SELECT CAST(0 AS BIGINT) AS idx, '##fileformat=VCFv4.2' AS line
+UNION ALL
+SELECT row_number() OVER (ORDER BY CAST(ref_idx AS INT), CAST(ref_pos AS INT), line) AS idx, line FROM calls_vcf""")
+    q["by_region"] = q["region_reads"]
+    q["overwrite_published"] = q["covered_ranges"]
     q["map_regions"] = W(["kept", "x_regions"], """SELECT r.region, k.ref_idx, count(*) AS n_reads, min(k.pos) AS first_pos,
  max(k.pos) AS last_pos FROM kept k JOIN x_regions r USING (ref_idx) GROUP BY r.region, k.ref_idx""")
     return q

@@ -6,6 +6,8 @@ Column names and types match :mod:`.oracle` one for one.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -20,7 +22,9 @@ from ..operators import intervals as I
 from ..operators import pairing as P
 from ..operators import reads as R
 from ..operators import regions as G
-from ..sinks import to_bed, to_region_strings
+from ..session import checkpoint_dir
+from ..sinks import publish, read_published, to_bed, to_region_strings, write_by_region, write_chunks, write_vcf
+from ..sources import fastq as FQ
 from ..sources import text_formats as TF
 from . import fixtures as X
 
@@ -369,6 +373,56 @@ def map_regions_halo(spark, d):
                               bin_size=1 << 12, halo=NEIGHBOUR, max_rows=2000, levels=6)
 
 
+# ---- through files -----------------------------------------------------------------
+
+def _folder(spark, name: str) -> str:
+    return os.path.join(checkpoint_dir(spark), "strandline", f"{name}-{uuid.uuid4().hex}")
+
+
+def fastq_file_records(spark, d):
+    """FASTQ text written to files in order, read back with file ordinals, grouped."""
+    out = _folder(spark, "fastq")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (X.fastq_lines(X.mate_reads(spark, d, 1), 1).repartitionByRange(n, "idx").sortWithinPartitions("idx")
+     .select(F.col("line").alias("value")).write.text(out))
+    # orders have gaps in their keys, lines have none: names, not ordinals, are compared
+    return P.group_records(FQ.read_fastq(spark, out)).select("name", "seq", "plus", "qual")
+
+
+def chunk_files(spark, d):
+    """K1 + S2: the ordered gzip chunks of mate pairs, read back as pairs."""
+    out = _folder(spark, "chunks")
+    lines = [X.fastq_lines(X.mate_reads(spark, d, m), m) for m in (1, 2)]
+    write_chunks(_pairs(spark, d), out, NUM_CHUNKS, total=P.pair_count(*lines))
+    pairs = FQ.read_chunk_pairs(spark, out)
+    # a chunk's file is named after its partition, which is the chunk
+    chunk = F.regexp_extract("chunk_file", r"part-([0-9]+)", 1).cast("int")
+    return pairs.select(chunk.alias("chunk"), "name1", "seq1", "qual1", "name2", "seq2", "qual2")
+
+
+def vcf_ordered(spark, d):
+    """K4: the merged calls as one ordered file, header first, read back by line number."""
+    out = _folder(spark, "vcf")
+    write_vcf(TF.parse_vcf(_calls_vcf(spark, d).select("value")), out, single_file=True, header=["##fileformat=VCFv4.2"])
+    return FQ.read_indexed_lines(spark, out).select("idx", F.col("value").alias("line"))
+
+
+def by_region(spark, d):
+    """K5: reads written to one folder per region; the region comes back from the folder."""
+    out = _folder(spark, "regions")
+    write_by_region(region_reads(spark, d), out)
+    return spark.read.parquet(out).select("read_id", "ref_idx", "pos", "region")
+
+
+def overwrite_published(spark, d):
+    """K6: a stale result replaced at one moment; readers see the new one."""
+    out = _folder(spark, "published")
+    ranges = covered_ranges(spark, d)
+    publish(ranges.limit(1), out)       # what an earlier run left
+    publish(ranges, out)
+    return read_published(spark, out)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     primary_mapped, reads_per_chrom, balance_regions, region_reads,
     fastq_records, mate_pairs, fastq_chunks,
@@ -382,6 +436,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     recal_table, recal_table_by_region, recal_apply, recal_apply_by_region,
     call_variants, merge_variants,
     map_chunks, map_regions, map_chunk_streams, map_regions_halo,
+    fastq_file_records, chunk_files, vcf_ordered, by_region, overwrite_published,
 ]}
 
 

@@ -6,6 +6,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +70,51 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` (whatever its scheme) and the path in it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+class Scratch:
+    """The folders written by :func:`materialize` since the scope began."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Leave the written table ``df`` to the enclosing scope, or for good."""
+        path = getattr(df, "_written", None)
+        if path not in self.paths:
+            raise ValueError("only a table written in this scope can be kept")
+        self.paths.remove(path)
+        outer = _SCOPES.get()
+        if outer[:-1]:
+            outer[-2].paths.append(path)
+        return df
+
+
+_SCOPES: ContextVar[tuple[Scratch, ...]] = ContextVar("strandline_scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """A scope for written intermediates: every folder that :func:`materialize` wrote in it
+    is deleted when it ends, also after a failure, but for those handed to ``keep``.
+    Results that still read such folders must be written (or collected) inside.  Scopes
+    nest; without one, folders stay as long as the checkpoint folder does."""
+    scope = Scratch()
+    token = _SCOPES.set((*_SCOPES.get(), scope))
+    try:
+        yield scope
+    finally:
+        _SCOPES.reset(token)
+        paths, scope.paths = scope.paths, []
+        for path in paths:
+            fs, p = filesystem(spark, path)
+            fs.delete(p, True)
+
+
 def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
@@ -88,11 +136,16 @@ def _write(df: DataFrame, tag: str, **metrics: Column) -> tuple[DataFrame, dict]
     spark = df.sparkSession
     name = f"{tag}-{uuid.uuid4().hex}"
     path = os.path.join(checkpoint_dir(spark), "strandline", name)
+    if _SCOPES.get():
+        # before the write: what a failed job leaves is deleted too
+        _SCOPES.get()[-1].paths.append(path)
     obs = Observation(f"metrics-{name}")
     (df.observe(obs, *(c.alias(n) for n, c in metrics.items()))
      .write.mode("errorifexists").parquet(path))
     # the schema is known: reading back runs no footer-inference job
-    return spark.read.schema(df.schema).parquet(path), obs.get
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out, obs.get
 
 
 def row_bytes(df: DataFrame) -> Column:

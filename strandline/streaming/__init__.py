@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import sinks
 from ..operators.reads import primary_mapped, primary_mapped_condition
 from ..operators.regions import balance_regions, kept_per_chunk, reads_per_chrom
 from ..session import checkpoint_dir
@@ -42,13 +43,13 @@ def running_kept_per_chunk(stream: DataFrame) -> DataFrame:
 
 def start_chunk_counts(stream: DataFrame, out: str, name: str = "chunk_counts",
                        available_now: bool = True) -> StreamingQuery:
-    """Keep per-chunk counts in ``out`` (Parquet, rewritten from the streaming state at
-    every micro-batch; one row per chunk file)."""
+    """Keep per-chunk counts in ``out`` (published from the streaming state at every
+    micro-batch, see :func:`strandline.sinks.read_published`; one row per chunk file)."""
     spark = stream.sparkSession
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
 
     def publish(counts: DataFrame, batch_id: int) -> None:
-        counts.write.mode("overwrite").parquet(out)
+        sinks.publish(counts, out)
 
     w = (running_kept_per_chunk(stream).writeStream.outputMode("complete")
          .option("checkpointLocation", ckpt).foreachBatch(publish))
@@ -58,14 +59,14 @@ def start_chunk_counts(stream: DataFrame, out: str, name: str = "chunk_counts",
 
 def start_region_table(stream: DataFrame, n: int, out: str, name: str = "regions",
                        available_now: bool = True) -> StreamingQuery:
-    """Keep the W1 region table of the reads seen so far in ``out`` (Parquet,
-    replaced at every micro-batch).  Counts are streaming state (complete mode: one
+    """Keep the W1 region table of the reads seen so far in ``out`` (published
+    at every micro-batch, so readers never see an empty or mixed table).  Counts are streaming state (complete mode: one
     row per chromosome); the ranking runs on that small table in ``foreachBatch``."""
     spark = stream.sparkSession
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
 
     def publish(counts: DataFrame, batch_id: int) -> None:
-        balance_regions(counts, n).write.mode("overwrite").parquet(out)
+        sinks.publish(balance_regions(counts, n), out)
 
     w = (running_reads_per_chrom(stream).writeStream.outputMode("complete")
          .option("checkpointLocation", ckpt).foreachBatch(publish))
