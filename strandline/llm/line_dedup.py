@@ -75,11 +75,13 @@ def _hash(x: Column) -> Column:
     return F.unhex(F.md5(x))
 
 
-def _runs(n: Column, depth: int) -> list[tuple[Column, Column]]:
-    """(start, length) of the runs into which the places after the leading tokens are cut."""
-    rest = F.greatest(n - depth, F.lit(0))
-    cut = [F.floor(rest * i / GROUPS).cast("int") for i in range(GROUPS + 1)]
-    return [(cut[i] + depth + 1, cut[i + 1] - cut[i]) for i in range(GROUPS)]
+def _cut(n: Column, i: Column, depth: int) -> Column:
+    """The first place, after the leading tokens, of run ``i``."""
+    return F.call_function("div", F.greatest(n - depth, F.lit(0)) * i, F.lit(GROUPS)).cast("int")
+
+
+def _size(n: Column, i: Column, depth: int) -> Column:
+    return _cut(n, i + 1, depth) - _cut(n, i, depth)
 
 
 def _lines(docs: DataFrame, *cols: str, depth: int = DEPTH) -> DataFrame:
@@ -96,11 +98,15 @@ def _lines(docs: DataFrame, *cols: str, depth: int = DEPTH) -> DataFrame:
           .where((F.col("line.n") >= MIN_TOKENS) | (F.char_length("line.plain") >= MIN_CHARS))
           .select(*cols, "pos", "line.exact", F.when(F.col("line.exact"), F.col("line.plain")).otherwise(F.col("line.body")).alias("body"),
                   F.when(F.col("line.exact"), 0).otherwise(F.col("line.n")).alias("n")))
-    at = at.withColumn("h", _hash(F.col("body"))).withColumn("tokens", F.when(F.col("n") > 0, F.split("body", " ")))
     leaf = F.when(F.col("n") > 0, F.xxhash64("n", F.substring_index("body", " ", depth))).otherwise(F.xxhash64("body"))
-    runs = [F.when(F.col("n") > 0, F.xxhash64(F.lit(i), F.slice("tokens", start, length))).otherwise(0).cast("long").alias(f"g{i}")
-            for i, (start, length) in enumerate(_runs(F.col("n"), depth))]
-    return at.select(*cols, "pos", "h", leaf.alias("leaf"), "n", _count(F.col("body"), "<*>").alias("stars"), *runs)
+    # the tokens are bound once, as an argument, and not split again for every run
+    n = F.col("n")
+    runs = F.get(F.transform(F.array(F.split("body", " ")), lambda t: F.transform(F.sequence(F.lit(0), F.lit(GROUPS - 1)), lambda i: F.xxhash64(
+        i, F.slice(t, _cut(n, i, depth) + depth + 1, _size(n, i, depth))))), 0)
+    at = at.select(*cols, "pos", _hash(F.col("body")).alias("h"), leaf.alias("leaf"), "n", _count(F.col("body"), "<*>").alias("stars"),
+                   F.when(n > 0, runs).alias("runs"))
+    return at.select(*cols, "pos", "h", "leaf", "n", "stars",
+                     *(F.coalesce(F.get("runs", i), F.lit(0).cast("long")).alias(f"g{i}") for i in range(GROUPS)))
 
 
 def _earlier(lo: Column, hi: Column, nulls: Column) -> Column:
@@ -108,24 +114,22 @@ def _earlier(lo: Column, hi: Column, nulls: Column) -> Column:
     return (lo < hi) | (lo.isNotNull() & nulls)
 
 
-def _templates(depth: int, percent: int) -> Column:
-    """A line's templates: which runs are variable, and the XOR of the others' hashes."""
-    sizes = F.array(*(length for _, length in _runs(F.col("n"), depth)))
-    hashes = F.array(*(F.col(f"g{i}") for i in range(GROUPS)))
-    whole = F.lit(0).cast("long")
-    for i in range(GROUPS):
+def _templates(lines: DataFrame, depth: int, percent: int) -> DataFrame:
+    """The lines' templates: which runs are variable, and the XOR of the others' hashes."""
+    whole = F.col("g0")
+    for i in range(1, GROUPS):
         whole = whole.bitwiseXOR(F.col(f"g{i}"))
-    pairs = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(GROUPS) for j in range(i, GROUPS)))
-
-    def held(p: Column) -> Column:
-        a, b = F.get(sizes, p["i"]), F.get(sizes, p["j"])
-        m = a + F.when(p["i"] == p["j"], 0).otherwise(b)
-        return (a > 0) & (b > 0) & (100 * m <= (100 - percent) * (F.col("n") - F.col("stars")))
-
-    def key(p: Column) -> Column:
-        other = F.when(p["i"] == p["j"], F.lit(0).cast("long")).otherwise(F.get(hashes, p["j"]))
-        return F.struct((p["i"] * GROUPS + p["j"]).alias("runs"), whole.bitwiseXOR(F.get(hashes, p["i"])).bitwiseXOR(other).alias("rest"))
-    return F.transform(F.filter(pairs, held), key)
+    cols = [F.col(c) for c in ("leaf", "h", "lo", "hi", "nulls", "n", "stars")]
+    hashes = F.array(*(f"g{i}" for i in range(GROUPS)))
+    one = (lines.select(*cols, whole.alias("whole"), hashes.alias("gs"), F.posexplode(hashes).alias("i", "gi"))
+           .withColumn("si", _size(F.col("n"), F.col("i"), depth)).where("si > 0"))
+    two = (one.select(*cols, "whole", "i", "gi", "si", F.posexplode("gs").alias("j", "gj")).where("j >= i")
+           .withColumn("sj", _size(F.col("n"), F.col("j"), depth)).where("sj > 0"))
+    single = F.col("i") == F.col("j")
+    m = F.col("si") + F.when(single, 0).otherwise(F.col("sj"))
+    rest = F.col("whole").bitwiseXOR(F.col("gi")).bitwiseXOR(F.when(single, F.lit(0).cast("long")).otherwise(F.col("gj")))
+    return (two.where(100 * m <= (100 - percent) * (F.col("n") - F.col("stars")))
+            .select("leaf", (F.col("i") * GROUPS + F.col("j")).alias("runs"), rest.alias("rest"), "h", "lo", "hi", "nulls"))
 
 
 def recurring(found: DataFrame, depth: int = DEPTH, percent: int = PERCENT) -> DataFrame:
@@ -142,9 +146,7 @@ def recurring(found: DataFrame, depth: int = DEPTH, percent: int = PERCENT) -> D
              .where((F.col("one") != F.col("two")) & recurs).select("leaf"))
     # written, so that the joins below are plain shuffles, which Spark splits at a hot leaf
     open_ = materialize(open_, "lines-leaves")
-    keys = (seen.where("n > 0").join(open_, "leaf").select("leaf", "h", "lo", "hi", "nulls", F.explode(_templates(depth, percent)).alias("t"))
-            .select("leaf", "t.runs", "t.rest", "h", "lo", "hi", "nulls"))
-    keys = materialize(keys, "lines-templates")
+    keys = materialize(_templates(seen.where("n > 0").join(open_, "leaf"), depth, percent), "lines-templates")
     shared = (keys.groupBy("leaf", "runs", "rest").agg(*spans, F.count("*").alias("k")).where((F.col("k") > 1) & recurs)
               .select("leaf", "runs", "rest", F.col("lo").alias("first")))
     shared = materialize(shared, "lines-shared")
