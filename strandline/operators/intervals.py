@@ -24,9 +24,9 @@ Merging is a set operation (islands are the connected parts of the union of the
 intervals ``[start, end + gap]``), so merging pieces first and the pieces' islands
 afterwards gives the same result as one pass in order.
 
-*Joins* explode intervals to fixed bins and join on ``(key, bin)`` with the overlap as
-the residual predicate, instead of an equi-join on the chromosome alone (24 keys and a
-quadratic scan in each).
+*Joins* bin intervals by length and start and join on ``(key, level, bin)`` with the
+overlap as the residual predicate, instead of an equi-join on the chromosome alone (24
+keys and a quadratic scan in each).
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -194,10 +194,41 @@ def to_inclusive(start, end):
     return (F.col(start) + 1), F.col(end)
 
 
-def _bins(s, e, bin_size: int):
-    """Bins of the half-open interval [s, e): ``s div B .. (e-1) div B``."""
-    return F.sequence(F.floor(s / F.lit(bin_size)).cast("long"),
-                      F.floor((e - F.lit(1)) / F.lit(bin_size)).cast("long"))
+# ---- binned joins ------------------------------------------------------------------
+
+#: Width of the finest bins; each level's bins are 2**LEVEL_SHIFT times as wide.
+LEVEL_SHIFT, MAX_LEVEL = 3, 16
+#: Positions lie below this power of two (a genome laid end to end has 2**32).
+POSITION_BITS = 34
+
+
+def _level(length: Column, bin_size: int) -> Column:
+    """The finest level whose bins are at least as wide as an interval."""
+    bits = F.ceil(F.log2(F.greatest(length, F.lit(1)) / F.lit(bin_size)) / LEVEL_SHIFT)
+    return F.greatest(F.lit(0), F.least(bits, F.lit(MAX_LEVEL))).cast("int")
+
+
+def _width(level: Column, bin_size: int) -> Column:
+    return F.call_function("shiftleft", F.lit(bin_size).cast("long"), level * LEVEL_SHIFT)
+
+
+def _bin(at: Column, level: Column, bin_size: int) -> Column:
+    return F.floor(at / _width(level, bin_size)).cast("long")
+
+
+def _levels_of(df: DataFrame) -> list[int]:
+    """The levels in use, ``MAX_LEVEL + 1`` at most."""
+    return sorted(r["_level"] for r in df.select("_level").distinct().collect())
+
+
+def _probes(df: DataFrame, start: str, end: str, levels: list[int], bin_size: int, above: bool) -> DataFrame:
+    """``df`` with a row for every bin (``_at, _bin``) in which an interval that overlaps
+    may begin, at each level in ``levels`` no finer than (``above``: coarser than) its own:
+    three bins a level at most, as neither interval is longer than a bin there."""
+    at = F.filter(F.array(*(F.lit(k) for k in levels)), lambda k: (k > F.col("_level")) if above else (k >= F.col("_level")))
+    x = df.withColumn("_at", F.explode(at))
+    return x.withColumn("_bin", F.explode(F.sequence(
+        _bin(F.col(start) - _width(F.col("_at"), bin_size) + 1, F.col("_at"), bin_size), _bin(F.col(end) - 1, F.col("_at"), bin_size))))
 
 
 MIN_JOIN_BIN, MAX_JOIN_BIN = 1 << 6, 1 << 20
@@ -224,26 +255,41 @@ def interval_intersect(left: DataFrame, right: DataFrame, key: str = "ref_idx",
     """One row per overlapping (left, right) pair, clipped to the overlap
     (``istart, iend``, 0-based half-open), with the left columns kept.
 
-    Both sides are exploded to fixed bins and joined on ``(key, bin)``; a pair is kept
-    only in the bin holding the first base of its overlap, so no ``distinct`` is needed.
-    Empty intervals never overlap anything and are dropped.  ``bin_size=None`` picks
-    the bin from the data (:func:`choose_bin_size`)."""
+    Bins come in levels, each eight times as wide as the one below.  An interval lies in
+    one bin: that of its start, at the finest level whose bins it fits into.  The shorter
+    interval of a pair looks the longer one up, at the longer one's level, where it needs
+    three bins at most: left intervals probe right ones of their own level and above, right
+    intervals probe left ones of the levels above.  So each pair is found once, and an
+    interval costs a bounded number of rows however long it is - a whole contig as a few
+    hundred bases.  Empty intervals never overlap anything and are dropped.
+    ``bin_size`` is the width of the finest bins; ``None`` takes it from the data
+    (:func:`choose_bin_size`).  The right intervals, three columns of them, are written
+    once; the left ones are read once more for the levels in use."""
     ls, le = left_iv
     rs, re_ = right_iv
     if bin_size is None:
         bin_size = choose_bin_size((left, ls, le), (right, rs, re_))
-    lx = (left.filter(F.col(le) > F.col(ls))
-          .withColumn("_bin", F.explode(_bins(F.col(ls), F.col(le), bin_size))))
+    lx = left.filter(F.col(le) > F.col(ls)).withColumn("_level", _level(F.col(le) - F.col(ls), bin_size))
     rx = (right.filter(F.col(re_) > F.col(rs))
           .select(F.col(key).alias("_rk"), F.col(rs).alias("_rs"), F.col(re_).alias("_re"),
-                  F.explode(_bins(F.col(rs), F.col(re_), bin_size)).alias("_rbin")))
-    cond = ((lx[key] == rx["_rk"]) & (lx["_bin"] == rx["_rbin"])
-            & (lx[ls] < rx["_re"]) & (rx["_rs"] < lx[le]))
-    j = lx.join(rx, cond, "inner")
+                  _level(F.col(re_) - F.col(rs), bin_size).alias("_level")))
+    rx = materialize(rx, "intersect_right")
+    l_levels, r_levels = _levels_of(lx), _levels_of(rx)
+    found = [_met(_probes(lx, ls, le, r_levels, bin_size, False), rx.withColumn("_b", _bin(F.col("_rs"), F.col("_level"), bin_size))
+                  .withColumnRenamed("_level", "_l"), key, ls, le)] if r_levels else []
+    if l_levels and r_levels and max(l_levels) > min(r_levels):
+        own = lx.withColumn("_b", _bin(F.col(ls), F.col("_level"), bin_size)).withColumnRenamed("_level", "_l")
+        found.append(_met(_probes(rx, "_rs", "_re", l_levels, bin_size, True), own, key, ls, le))
     first = F.greatest(F.col(ls), F.col("_rs"))
-    j = j.filter(F.col("_bin") == F.floor(first / F.lit(bin_size)))
-    return j.select(*[c for c in left.columns], first.alias("istart"),
-                    F.least(F.col(le), F.col("_re")).alias("iend"))
+    out = [j.select(*left.columns, first.alias("istart"), F.least(F.col(le), F.col("_re")).alias("iend")) for j in found]
+    if not out:
+        return left.limit(0).withColumn("istart", F.col(ls)).withColumn("iend", F.col(le))
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+
+
+def _met(probe: DataFrame, own: DataFrame, key: str, ls: str, le: str) -> DataFrame:
+    return probe.join(own, (F.col(key) == F.col("_rk")) & (F.col("_at") == F.col("_l")) & (F.col("_bin") == F.col("_b"))
+                      & (F.col(ls) < F.col("_re")) & (F.col("_rs") < F.col(le)), "inner")
 
 
 def interval_restrict(reads: DataFrame, targets: DataFrame, key: str = "ref_idx",
@@ -251,37 +297,30 @@ def interval_restrict(reads: DataFrame, targets: DataFrame, key: str = "ref_idx"
                       bin_size: int = DEFAULT_JOIN_BIN) -> DataFrame:
     """J4 (``-L targets``): reads overlapping any target, each read once.
 
-    * Reads no longer than a bin (nearly all) go to the one bin of their start;
-      targets are exploded to every bin from ``(start - B) div B`` to ``(end - 1) div
-      B`` (one bin more than they cover), so every such read meets each target it
-      overlaps in its own start bin: a plain semi-join, no de-duplication.
-    * Longer reads are exploded to all their bins, semi-joined with the targets'
-      own bins, and de-duplicated on a row id - exact, and the targets never grow
-      with the longest read.
-    """
+    The levels of :func:`interval_intersect`, as a semi-join on the bin of the read's
+    start: at the coarser level of the two, a target is told to the bins in which an
+    overlapping read may begin: three a level at most, up to the level of a whole genome.
+    A read is looked up once per level that targets have at or above its own, and at its
+    own if some are finer.  If all targets are of one level, that is one row per read and
+    the semi-join is the whole plan; else reads are numbered, and of those found at several
+    levels one row stays.  A target over a whole contig is a few rows, as any
+    other.  An empty interval covers no base and overlaps nothing."""
     rs, re_ = read_iv
     ts, te = target_iv
-    B = F.lit(bin_size)
-    tgt = targets.filter(F.col(te) > F.col(ts)).select(
-        F.col(key).alias("_tk"), F.col(ts).alias("_ts"), F.col(te).alias("_te"))
-    last = F.floor((F.col("_te") - 1) / B).cast("long")
-    t_wide = tgt.withColumn("_tbin", F.explode(F.sequence(
-        F.floor((F.col("_ts") - B) / B).cast("long"), last)))
-    t_own = tgt.withColumn("_tbin", F.explode(F.sequence(
-        F.floor(F.col("_ts") / B).cast("long"), last)))
-
-    def semi(rx, tx):
-        cond = ((rx[key] == tx["_tk"]) & (rx["_bin"] == tx["_tbin"])
-                & (rx[rs] < tx["_te"]) & (tx["_ts"] < rx[re_]))
-        return rx.join(tx, cond, "left_semi").drop("_bin")
-
-    length = F.col(re_) - F.col(rs)
-    # an empty interval covers no base and overlaps nothing
-    rx = reads.filter((length > 0) & (length <= bin_size)).withColumn(
-        "_bin", F.floor(F.col(rs) / B).cast("long"))
-    long_ = (reads.filter(length > bin_size).withColumn("_rid", F.monotonically_increasing_id())
-             .withColumn("_bin", F.explode(F.sequence(
-                 F.floor(F.col(rs) / B).cast("long"),
-                 F.floor((F.col(re_) - 1) / B).cast("long")))))
-    long_hits = semi(long_, t_own).dropDuplicates(["_rid"]).drop("_rid")
-    return semi(rx, t_wide).unionByName(long_hits)
+    rx = reads.filter(F.col(re_) > F.col(rs)).withColumn("_level", _level(F.col(re_) - F.col(rs), bin_size))
+    tx = targets.filter(F.col(te) > F.col(ts)).select(F.col(key).alias("_tk"), F.col(ts).alias("_ts"), F.col(te).alias("_te"),
+                                                      _level(F.col(te) - F.col(ts), bin_size).alias("_level"))
+    tx = materialize(tx, "restrict_targets")
+    used = _levels_of(tx)
+    if not used:
+        return reads.limit(0)
+    top = max(0, -(-(POSITION_BITS - bin_size.bit_length() + 1) // LEVEL_SHIFT))
+    told = _probes(tx, "_ts", "_te", list(range(top + 1)), bin_size, False).select("_tk", "_ts", "_te", "_at", "_bin")
+    own = F.when(F.col("_level") > min(used), F.array("_level")).otherwise(F.array().cast("array<int>"))
+    at = F.array_union(F.filter(F.array(*(F.lit(k) for k in used)), lambda k: k >= F.col("_level")), own)
+    numbered = (rx.withColumn("_rid", F.monotonically_increasing_id()) if len(used) > 1 else rx).withColumn("_l", F.explode(at))
+    looked = numbered.withColumn("_b", _bin(F.col(rs), F.col("_l"), bin_size))
+    hit = ((F.col(key) == F.col("_tk")) & (F.col("_l") == F.col("_at")) & (F.col("_b") == F.col("_bin"))
+           & (F.col(rs) < F.col("_te")) & (F.col("_ts") < F.col(re_)))
+    found = looked.join(told, hit, "left_semi")
+    return (found.dropDuplicates(["_rid"]) if len(used) > 1 else found).select(*reads.columns)

@@ -261,3 +261,24 @@ def test_variant_call_rules(spark):
         "ref_idx int, ref_pos long, ref_base string, base string, depth long, qsum long")
     got = sorted(tuple(r) for r in B.call_variants(pile).collect())
     assert got == [(1, 10, "A", "G", 60, 2, 9, "0/1"), (1, 20, "C", "T", 300, 9, 10, "1/1")]
+
+
+def test_contig_long_intervals_cost_a_bounded_number_of_rows(spark):
+    """One interval over a whole 250 Mb contig among many short ones."""
+    from pyspark.sql import functions as F
+    n = 20_000
+    short = spark.range(n).select(F.col("id"), F.lit(1).alias("ref_idx"), (F.col("id") * 12_345 % 249_999_000).alias("bstart")).withColumn(
+        "bend", F.col("bstart") + 1 + F.col("id") % 900)
+    whole = spark.createDataFrame([(1, 0, 250_000_000), (1, 5_000, 5_100), (2, 0, 10)], "ref_idx int, start0 long, end0 long")
+    rows = I._probes(short.unionByName(whole.selectExpr("0 id", "ref_idx", "start0 bstart", "end0 bend"))
+                     .withColumn("_level", I._level(F.col("bend") - F.col("bstart"), 1024)), "bstart", "bend", list(range(9)), 1024, False)
+    assert rows.groupBy("ref_idx", "bstart", "bend").count().agg(F.max("count")).first()[0] <= 3 * 9
+    data = [(r.id, r.bstart, r.bend) for r in short.collect()]
+    for left, right, iv in ((short, whole, False), (whole, short, True)):
+        j = I.interval_intersect(left, right, "ref_idx", *((("bstart", "bend"), ("start0", "end0")) if not iv else (("start0", "end0"), ("bstart", "bend"))))
+        got = sorted((r.istart, r.iend) for r in j.collect())
+        assert got == sorted((max(s, a), min(e, b)) for _, s, e in data for a, b in ((0, 250_000_000), (5_000, 5_100)) if s < b and a < e)
+    assert I.interval_restrict(short.withColumnsRenamed({"bstart": "start0", "bend": "end0"}),
+                               whole.withColumnsRenamed({"start0": "bstart", "end0": "bend"})).count() == n
+    back = I.interval_restrict(whole, short)
+    assert sorted((r.start0, r.end0) for r in back.collect()) == sorted({(a, b) for a, b in ((0, 250_000_000), (5_000, 5_100)) if any(s < b and a < e for _, s, e in data)})
