@@ -39,6 +39,52 @@ def assign_regions(aln: DataFrame, regions: DataFrame, key: str = "ref_idx") ->
     return aln.join(r, key, "inner")
 
 
+# ---- regions below the contig ------------------------------------------------------
+
+CELL = 1 << 12
+#: A cell with more than this share of a region's mean load is cut into its positions.
+HEAVY = 0.05
+
+
+def balance_loci(reads: DataFrame, n: int, cell: int = CELL, heavy: float = HEAVY, key: str = "ref_idx", pos: str = "pos") -> DataFrame:
+    """Cut the genome into ``n`` contiguous regions of near-equal load: a row per cell,
+    ``key, cell, at (a position, or null for the whole cell), n_reads, region``.
+
+    Whole contigs give no more units than there are contigs, the largest of them of any
+    size.  Here the reads that start in each cell of ``cell`` bases are counted; cells with
+    more than ``heavy`` of a region's mean are counted by position instead (so a region is
+    over or under the mean by one light cell or one position at most).  Running sums in
+    genome order then place each cell by the middle of its load.  The sums are windows over
+    the counts of one contig, started from a table with a row per contig: neither reads nor
+    the genome's cells meet in one task.  An empty input has no regions."""
+    if n < 1:
+        raise ValueError("at least one region")
+    spots = reads.select(key, F.col(pos).cast("long").alias("at"), F.floor((F.col(pos) - 1) / cell).cast("long").alias("cell"))
+    cells = materialize(spots.groupBy(key, "cell").agg(F.count(F.lit(1)).alias("n_reads")), "loci_cells")
+    total = cells.agg(F.sum("n_reads").alias("t")).first()["t"] or 0
+    deep = F.col("n_reads") > heavy * total / n
+    by_pos = (spots.join(broadcast_checked(cells.where(deep).select(key, "cell"), "loci_deep"), [key, "cell"], "left_semi")
+              .groupBy(key, "cell", "at").agg(F.count(F.lit(1)).alias("n_reads")))
+    loads = materialize(cells.where(~deep).withColumn("at", F.lit(None).cast("long")).unionByName(by_pos), "loci_loads")
+    contigs = loads.groupBy(key).agg(F.sum("n_reads").alias("load"))
+    # one row per contig: bounded by the dictionary, not by the reads
+    before = contigs.select(key, (F.sum("load").over(Window.orderBy(key)) - F.col("load")).alias("before"))
+    upto = F.sum("n_reads").over(Window.partitionBy(key).orderBy("cell", "at"))
+    placed = loads.withColumn("upto", upto).join(broadcast_checked(before, "loci_before"), key)
+    middle = F.col("before") + F.col("upto") - F.col("n_reads") / 2
+    return placed.select(key, "cell", "at", "n_reads", F.least(F.floor(middle * n / max(1, total)), F.lit(n - 1)).cast("int").alias("region"))
+
+
+def assign_loci(reads: DataFrame, loci: DataFrame, cell: int = CELL, key: str = "ref_idx", pos: str = "pos") -> DataFrame:
+    """Attach the ``region`` of :func:`balance_loci` to every read: by its cell, or by its
+    position where the cell was cut.  Both tables are broadcast within measured bytes."""
+    at, cell_of = F.col(pos).cast("long"), F.floor((F.col(pos) - 1) / cell).cast("long")
+    whole = broadcast_checked(loci.where("at is null").select(key, F.col("cell").alias("_cell"), F.col("region").alias("_r1")), "loci_whole")
+    cut = broadcast_checked(loci.where("at is not null").select(key, F.col("at").alias("_at"), F.col("region").alias("_r2")), "loci_cut")
+    x = reads.withColumn("_cell", cell_of).withColumn("_at", at).join(whole, [key, "_cell"], "left").join(cut, [key, "_at"], "left")
+    return x.select(*(reads[c] for c in reads.columns), F.coalesce("_r1", "_r2").alias("region"))
+
+
 def coordinate_sort(aln: DataFrame, num_partitions: int | None = None,
                     order=("region", "ref_idx", "pos", "qname")) -> DataFrame:
     """A3/O3: lay reads out by region, then coordinate.

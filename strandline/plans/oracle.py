@@ -294,6 +294,13 @@ FROM kept GROUP BY 1, 2""")
 GROUP BY chunk""")
     q["map_regions_halo"] = W(["kept"], """SELECT read_id, ref_idx, pos, count(*) OVER (PARTITION BY ref_idx ORDER BY pos
  RANGE BETWEEN 100 PRECEDING AND 100 FOLLOWING) - 1 AS n_near FROM kept""")
+    q["balance_loci"] = W(["kept"], """SELECT region, count(*) AS n_reads, min(ref_idx) AS first_ref, min_by(pos, ref_idx * 10000000000 + pos) AS first_pos,
+ max(ref_idx) AS last_ref, max_by(pos, ref_idx * 10000000000 + pos) AS last_pos FROM (
+ SELECT ref_idx, pos, CAST(least(floor((upto - load / 2.0) * 40 / t), 39) AS INT) AS region FROM (
+  SELECT *, count(*) OVER (ORDER BY ref_idx, cell, spot) AS upto, count(*) OVER (PARTITION BY ref_idx, cell, spot) AS load FROM (
+   SELECT *, CASE WHEN count(*) OVER (PARTITION BY ref_idx, cell) > 0.2 * t / 40 THEN pos END AS spot FROM (
+    SELECT ref_idx, pos, (pos - 1) // 4096 AS cell, count(*) OVER () AS t FROM kept) a) b) c) d
+GROUP BY region""")
     q["fastq_file_records"] = W(["aln"], """SELECT concat('@r', CAST(read_id AS VARCHAR), '/1') AS name,
  seq, '+' AS plus, qual FROM aln""")
     q["chunk_files"] = W(["aln", "aln2"], """SELECT CAST(a.read_id * 4 // (SELECT count(*) FROM aln) AS INT) AS chunk,

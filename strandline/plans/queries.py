@@ -22,7 +22,7 @@ from ..operators import intervals as I
 from ..operators import pairing as P
 from ..operators import reads as R
 from ..operators import regions as G
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from ..sinks import publish, read_published, to_bed, to_region_strings, write_by_region, write_chunks, write_vcf
 from ..sources import fastq as FQ
 from ..sources import text_formats as TF
@@ -30,6 +30,7 @@ from . import fixtures as X
 
 NUM_REGIONS = 4
 NUM_CHUNKS = 4
+NUM_LOCI, LOCUS_SHARE = 40, 0.2
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -373,6 +374,16 @@ def map_regions_halo(spark, d):
                               bin_size=1 << 12, halo=NEIGHBOUR, max_rows=2000, levels=6)
 
 
+def balance_loci(spark, d):
+    """W1 below the contig: the load of each contiguous region."""
+    k = X.kept(spark, d).select("ref_idx", "pos", "end_pos")
+    loci = materialize(G.balance_loci(k, NUM_LOCI, heavy=LOCUS_SHARE), "loci")
+    return (G.assign_loci(k, loci).groupBy("region")
+            .agg(F.count(F.lit(1)).alias("n_reads"), F.min(F.struct("ref_idx", "pos")).alias("a"), F.max(F.struct("ref_idx", "pos")).alias("b"))
+            .select("region", "n_reads", F.col("a.ref_idx").alias("first_ref"), F.col("a.pos").alias("first_pos"),
+                    F.col("b.ref_idx").alias("last_ref"), F.col("b.pos").alias("last_pos")))
+
+
 # ---- through files -----------------------------------------------------------------
 
 def _folder(spark, name: str) -> str:
@@ -436,7 +447,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     recal_table, recal_table_by_region, recal_apply, recal_apply_by_region,
     call_variants, merge_variants,
     map_chunks, map_regions, map_chunk_streams, map_regions_halo,
-    fastq_file_records, chunk_files, vcf_ordered, by_region, overwrite_published,
+    balance_loci, fastq_file_records, chunk_files, vcf_ordered, by_region, overwrite_published,
 ]}
 
 

@@ -72,3 +72,18 @@ def test_hot_locus_restrict(spark):
     got = I.interval_restrict(k, bed)
     assert rows(got, ["read_id"]) == rows(plain, ["read_id"])
     assert got.count() >= k.count() // 3
+
+
+def test_regions_below_the_contig_are_balanced(spark):
+    """A third of all reads on one locus of one contig: no region is far from the mean."""
+    from strandline.operators import regions as G
+    pos = (F.when(F.col("id") % 3 == 0, 70_000 + F.col("id") * 7919 % 300).otherwise(1 + F.col("id") * 104_729 % 240_000)).cast("long")
+    reads = spark.range(60_000).select(F.col("id").alias("read_id"), (F.when(F.col("id") % 3 == 0, 5).otherwise(1 + F.col("id") % 24)).cast("int").alias("ref_idx"), pos.alias("pos"))
+    loci = G.balance_loci(reads, 20)
+    out = G.assign_loci(reads, loci)
+    got = {r.region: (r.n, r.a, r.b) for r in out.groupBy("region").agg(F.count("*").alias("n"), F.min(F.struct("ref_idx", "pos")).alias("a"), F.max(F.struct("ref_idx", "pos")).alias("b")).collect()}
+    assert set(got) == set(range(20)) and sum(n for n, _, _ in got.values()) == 60_000
+    assert max(n for n, _, _ in got.values()) <= 1.2 * 3000
+    assert all(got[k][2] < got[k + 1][1] for k in range(19))       # contiguous, in genome order
+    none = reads.limit(0)
+    assert G.assign_loci(none, G.balance_loci(none, 3)).count() == 0
