@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import byte_bpe, decontaminate, line_dedup, near_dup, quality_rules
 from strandline.llm.common import materialize, table
+from strandline.session import broadcast_checked
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     key, leak = _free(docs, "_key"), _free(docs, "_leak")
     keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
     leaks = decontaminate.contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col=key).select(F.col(key).alias(leak)).distinct()
-    leaks = materialize(leaks, "pipeline-leaks")
+    # a broadcast within measured bytes: only beyond them is all text shuffled
+    leaks = broadcast_checked(leaks, "pipeline-leaks")
     return keyed.join(leaks, F.col(key) == F.col(leak), "left_anti").select(*docs.columns)
 
 
