@@ -5,8 +5,10 @@ word is one initial piece (those that begin a word), any number of inner pieces
 stop; its probability is the sum over all segmentations, taken by the forward recursion in
 log space.  Every piece starts from the tokenizer's own score (its rank gives the prior
 mass) and is weighted by how often the tokenizer's segmentation of all training words uses
-it.  A token is a word or the end of a text, so a text's probability is the product over
-its words and one end.
+it.  A word seen in training also has a path of its own, as a whole: its count less an
+absolute discount.  What the discounts leave is shared out by the lattice, so any word has
+a probability and all of them sum to one.  A token is a word or the end of a text, so a
+text's probability is the product over its words and one end.
 
 Corpus counts cover all training texts and are kept as a table with a row for each
 distinct word; words are scored once each in that table.  Texts meet it by a join: only
@@ -172,18 +174,33 @@ def build_lattice(model: sentencepiece.SentencePieceProcessor, uses: dict[int, i
                    _with_beginnings({k: math.log(v / b) for k, v in inner.items()}), math.log(stop / b))
 
 
-def score_words(words: DataFrame, lattice) -> DataFrame:
-    """(word, c, lp): log10 probability of each distinct word among words."""
+def score_words(words: DataFrame, lattice, n_words: int, kinds: int, discount: float) -> DataFrame:
+    """(word, c, lp): log10 probability of each distinct word among words: its own discounted
+    count, plus the mass that the discounts leave times its probability in the lattice."""
     schema = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("lp", pa.float64())])
+    left = discount * kinds / n_words if n_words else 1.0
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         word = lattice.value.word
         for w, c in rows:
-            yield w, c, word(w) / LN10
+            yield w, c, mixed(c, word(w), n_words, left, discount) / LN10
 
     return words.select("word", "c").mapInArrow(per_row(run, schema, 16384), "word binary, c long, lp double")
 
 
+def mixed(c: int, lattice: float, n_words: int, left: float, discount: float) -> float:
+    """Natural log of a word's probability, from its count and its log probability in the
+    lattice; both ways together are a distribution over all words."""
+    if not c:
+        return lattice + math.log(left)
+    return math.log((c - discount) / n_words + left * exp(lattice))
+
+
+def discount_of(once: int, twice: int) -> float:
+    """Absolute discount from the numbers of words seen once and twice."""
+    return once / (once + 2 * twice) if once and twice else 0.5
+
+
 def score(docs: DataFrame, model_path: str, train: str = "train", id_col: str = "doc_id", text_col: str = "text",
           head_words: int = HEAD_WORDS) -> DataFrame:
     """Per row of ``docs`` (with a boolean column ``train``): id, train, n_tokens, n_known,
@@ -195,16 +212,25 @@ def score(docs: DataFrame, model_path: str, train: str = "train", id_col: str =
     src = docs_of(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(train), F.lit(False)).alias("train"),
                               F.col(text_col).alias("body")), "id", "train", text="body")
     words = materialize(count_words(src), "lm-words")
-    seen = words.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    seen = words.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.count_if(F.col("c") == 1).alias("once"),
+                     F.count_if(F.col("c") == 2).alias("twice")).first()
     ends = src.where("train").count()
     n_words = seen["n"] or 0
     n, v = n_words + ends, seen["v"] + (1 if ends else 0)
     uses = {r["piece"]: r["n"] for r in count_pieces(words, model).collect()}   # a row for each piece at most
     grid = build_lattice(sentencepiece.SentencePieceProcessor(model_proto=raw), uses, n_words)
     lattice = broadcast_bytes(spark, "lattice", grid, 100 * (len(grid.initial) + len(grid.inner)), MAX_MODEL_BYTES)
-    known = materialize(score_words(words, lattice), "lm-scored")
-    # the head: at most head_words rows of words no longer than 64 bytes
-    top = (known.where("c > 0 and octet_length(word) <= 64").orderBy(F.desc("c"), "word").limit(head_words).collect())
+    known = materialize(score_words(words, lattice, n_words, seen["v"], discount_of(seen["once"], seen["twice"])), "lm-scored")
+    # the head: the most frequent words no longer than 64 bytes, at most head_words of them;
+    # how frequent is read from a histogram (eight steps for each doubling of the count)
+    short = known.where("c > 0 and octet_length(word) <= 64").withColumn("step", F.floor(8 * F.log2("c")))
+    least, room = math.inf, head_words
+    for r in short.groupBy("step").agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("step")).collect():
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["c"]
+    top = short.where(F.col("c") >= least).select("word", "c", "lp").collect() if least < math.inf else []
     head = broadcast_bytes(spark, "head words", {bytes(r["word"]): (math.log10(r["c"] + 1), r["lp"]) for r in top},
                            200 * len(top), 200 * head_words)
     end_share = (ends + 1) / (n + 2)

@@ -4,7 +4,7 @@ A document's set holds its distinct word shingles.  Documents with equal sets fo
 class at once; a class is posted, under its smallest id, by each (coordinate, value) of
 its MinHash signature.  Values that only one class has are skipped.  A pair of sets at
 the similarity asked for agrees in ``LEAST`` of ``COORDINATES`` values but for a chance
-of about 4.6e-5 at exactly 0.8 (less above), so the pair must also meet in the rarest
+of about 3e-9 at exactly 0.8 (less above), so the pair must also meet in the rarest
 COORDINATES - LEAST + 1 values of each (prefix); only those postings are joined, and a
 pair counts its collisions over all coordinates before it is verified on full sets.
 Shingles that only one posted class has cannot be common: classes and pairs whose other
@@ -24,7 +24,8 @@ which cannot change the result, are not.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked
 with nothing; fewer words than a shingle make one shingle of all; rows with a null id are
-returned as their own component; repeated rows belong to one document."""
+returned as their own component; repeated rows belong to one document, so ``keep_one``
+keeps all rows of an id that it keeps, equal ones too."""
 
 from __future__ import annotations
 
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm.common import docs_of, materialize, materialize_counted, per_row
 
-COORDINATES, LEAST = 128, 84
+COORDINATES, LEAST = 128, 74
 #: Pivot rounds go on while a round merges this share of the open members.
 GOES_ON = 0.02
 #: Lists of more open members are compared by differences from their pivot.

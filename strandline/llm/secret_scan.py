@@ -4,7 +4,7 @@ and Spark's own estimators only.
 Candidates are the values behind a credential's name (``password = x``, ``"api_key": "x"``,
 ``Bearer x``), whatever their length and alphabet, keys of public formats, and other runs of
 at least ``SHORTEST`` letters, digits and + / _ - with a digit in them.  Values in quotes
-end at the quote if they have no spaces or up to 128 characters; others end at a space, a
+end at the quote, if there is one on their line; others end at a space, a
 quote or & and without closing punctuation.  Each finding is described by its length, its character classes and the transitions
 between them, the share of it that corpus words cover (dictionary), its path (the source)
 and its neighbouring words; a random forest trained on labelled findings removes the false
@@ -42,14 +42,14 @@ _GIVEN = "[\"']?[ \\t]{0,8}(?:=>|:=|={1,3}|:(?!//))"
 # What stands before a value: a name and its sign, or an authorization scheme.
 _NAMED = (f"(?i:{_NAMES}{_GIVEN}[ \\t]{{0,8}}(?:bearer[ \\t]{{1,8}})?|authorization{_GIVEN}[ \\t]{{0,8}}[\"']?(?:bearer|basic|token)[ \\t]{{1,8}}|"
           "\\bbearer[ \\t]{1,8}(?=\\S{8})(?=[^\\s0-9]{0,200}[0-9]))")
-_VALUES = ("(?:(\")([^\"\\s]++|[^\"\n]{1,128}+)(?=\")|(')([^'\\s]++|[^'\n]{1,128}+)(?=')|([\"']?)"
+_VALUES = ("(?:(\")([^\"\\s]++|[^\"\n]++)(?=\")|(')([^'\\s]++|[^'\n]++)(?=')|([\"']?)"
            "([^\\s\"'&][^\\s\"'&]*(?<![.,;:?)\\]}>])))")
 # Public formats of providers' keys.
-_FORMATS = ("(?:AKIA|ASIA)[A-Z0-9]{16}", "gh[pousr]_[A-Za-z0-9]{36}", "github_pat_[A-Za-z0-9_]{22,255}", "xox[abeprs]-[0-9A-Za-z-]{10,255}",
-            "(?:sk|rk)_(?:live|test)_[0-9A-Za-z]{16,255}", "whsec_[0-9A-Za-z+/]{24,255}={0,2}", "AIza[0-9A-Za-z_-]{35}",
-            "GOCSPX-[0-9A-Za-z_-]{28}", "ya29\\.[0-9A-Za-z_-]{20,1024}", "gl(?:pat|ptt|dt|rt)-[0-9A-Za-z_-]{20,255}", "npm_[A-Za-z0-9]{36}",
-            "hf_[A-Za-z0-9]{34}", "sk-[A-Za-z0-9_-]{20,255}", "dop_v1_[0-9a-f]{64}", "SG\\.[0-9A-Za-z_-]{22}\\.[0-9A-Za-z_-]{43}",
-            "eyJ[0-9A-Za-z_-]{10,4096}\\.eyJ[0-9A-Za-z_-]{10,8192}\\.[0-9A-Za-z_-]{10,4096}")
+_FORMATS = ("(?:AKIA|ASIA)[A-Z0-9]{16}", "gh[pousr]_[A-Za-z0-9]{36}", "github_pat_[A-Za-z0-9_]{22,}+", "xox[abeprs]-[0-9A-Za-z-]{10,}+",
+            "(?:sk|rk)_(?:live|test)_[0-9A-Za-z]{16,}+", "whsec_[0-9A-Za-z+/]{24,}+={0,2}", "AIza[0-9A-Za-z_-]{35}",
+            "GOCSPX-[0-9A-Za-z_-]{28}", "ya29\\.[0-9A-Za-z_-]{20,}+", "gl(?:pat|ptt|dt|rt)-[0-9A-Za-z_-]{20,}+", "npm_[A-Za-z0-9]{36}",
+            "hf_[A-Za-z0-9]{34}", "sk-[A-Za-z0-9_-]{20,}+", "dop_v1_[0-9a-f]{64}", "SG\\.[0-9A-Za-z_-]{22}\\.[0-9A-Za-z_-]{43}",
+            "eyJ[0-9A-Za-z_-]{10,}+\\.eyJ[0-9A-Za-z_-]{10,}+\\.[0-9A-Za-z_-]{10,}+")
 _FORMAT = f"(?:{'|'.join(_FORMATS)})"
 # A run that ends in a credential's name is left to the value behind it.
 _RUN = f"(?=[A-Za-z+/_\\-]*+[0-9])[{_BODY}]{{{SHORTEST},}}+(?!(?<=(?i:{_NAMES})){_GIVEN})={{0,2}}"

@@ -33,8 +33,11 @@ from pyspark.sql import functions as F
 from strandline.llm.common import docs_of, materialize, materialize_counted, per_row
 
 SAMPLE_ROWS = 20_000
+#: What the fit keeps, at most: lexicon entries and exception phrases, the strongest ones.
 MAX_ENTRIES = 4_000
 MAX_EXCEPTIONS = 2_000
+#: Words and phrases of more characters are no entries and no exceptions.
+LONGEST_WORD, LONGEST_PHRASE = 40, 80
 
 # Letters of other scripts that look like Latin ones, and digits and signs
 # used in place of letters.
@@ -121,7 +124,7 @@ def _entry_counts(sample: DataFrame, shortest: int, longest: int) -> DataFrame:
 
         for label, text in rows:
             words = set(_WORDS.findall(fold(text.decode("utf-8", "replace"))))
-            got = {"=" + w for w in words if len(w) <= 40}
+            got = {"=" + w for w in words if len(w) <= LONGEST_WORD}
             for n in range(shortest, longest + 1):
                 got |= {"^" + w[:n] for w in words if len(w) > n}
             by[1 if label else 0].update(got)
@@ -151,7 +154,7 @@ def _hits(sample: DataFrame, lex: Lexicon):
                     for a, b in ((at - 1, at), (at, at + 1)):
                         if a >= 0 and b < len(around):
                             phrases.add(text[around[a].start():around[b].end()])
-            yield label, weight, words, sorted(x for x in phrases if len(x) <= 80)
+            yield label, weight, words, sorted(x for x in phrases if len(x) <= LONGEST_PHRASE)
 
     return sample.select("label", "text").mapInArrow(per_row(run, schema, 512), "label int, weight double, words long, phrases array<string>")
 
@@ -174,11 +177,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           sample_rows: int = SAMPLE_ROWS, shortest: int = 4, longest: int = 8, min_docs: int = 5, min_share: float = 0.8,
           exceptions: frozenset[str] = frozenset()) -> Lexicon:
     """Fit lexicon, exceptions and curve on at most ``sample_rows`` labelled rows; rows with
-    equal id and text count once."""
+    equal id and text count once.  The lexicon has the ``MAX_ENTRIES`` strongest words and
+    word beginnings of that sample, words up to ``LONGEST_WORD`` characters, and the
+    ``MAX_EXCEPTIONS`` most frequent harmless phrases up to ``LONGEST_PHRASE``."""
     some = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
             .select(F.col(id_col).alias("_id"), (F.col(label_col) > 0).cast("int").alias("label"))
             .orderBy(F.xxhash64("_id"), "_id", "label").limit(sample_rows))
-    texts = docs_of(docs.withColumnsRenamed({id_col: "_id"}), "_id", text=text_col)
+    texts = docs_of(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body")), "_id", text="_body")
     # at most sample_rows ids and labels: bounded by the parameter
     sample, n = materialize_counted(texts.join(F.broadcast(some), "_id").select("_id", "label", "text").distinct(), "toxic")
     if n > sample_rows:     # a sampled id may have many texts

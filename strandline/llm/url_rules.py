@@ -2,9 +2,10 @@
 
 URLs become sets of tokens (host labels, path segments, file ending, query keys).  Spark's
 FP-growth mines token combinations over the labelled URLs; rules that lead to the bad
-label are kept if they reach support and confidence and no smaller rule is as sure.  The
-kept rules form an inverted index from token to rules; a URL meets only the rules of its
-own tokens, and a rule fires when all its tokens were met.
+label are kept if they reach support and confidence, no smaller rule is as sure, and labels
+dealt at random would not give them.  The kept rules form an inverted index from token to
+rules; a URL meets only the rules of its own tokens, and a rule fires when all its tokens
+were met.  The index is broadcast within ``RULE_BYTES`` and a joined table beyond.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, no tokens
 and the default verdict (allow); without labelled URLs of both kinds no rule is mined;
@@ -23,10 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.common import materialize, per_row
-from strandline.session import collect_checked
+from strandline.session import materialize_measured
 
 RULE_BYTES = 32 << 20
-MIN_PAGES = 50
+MIN_PAGES = 20
+#: The probability that labels dealt at random give any rule.
+CHANCE = 0.01
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label=bad"
 
@@ -85,6 +88,8 @@ class MinedRules:
     """Token sets that block, as an inverted index."""
 
     rules: list[tuple[frozenset[str], float]] = field(default_factory=list)
+    #: The rules (items, confidence) as a written table, if they are too large to broadcast.
+    table: DataFrame | None = None
 
     def index(self) -> tuple[dict[str, list[int]], list[int]]:
         by: dict[str, list[int]] = defaultdict(list)
@@ -94,29 +99,48 @@ class MinedRules:
         return dict(by), [len(items) for items, _ in self.rules]
 
 
-def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_support: float = 0.002,
-         min_confidence: float = 0.6, min_lift: float = 1.5, min_pages: int = MIN_PAGES) -> MinedRules:
-    """Mine rules from rows with a URL and a boolean label."""
+def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_confidence: float = 0.6, min_lift: float = 1.5,
+         min_pages: int = MIN_PAGES, chance: float = CHANCE, rule_bytes: int = RULE_BYTES) -> MinedRules:
+    """Mine rules from rows with a URL and a boolean label.  A rule rests on at least
+    ``min_pages`` bad pages, however many pages there are, and is kept only if labels dealt
+    at random would give any of the mined combinations such a share of bad pages with a
+    probability under ``chance`` (Chernoff's bound on the binomial tail, times the number
+    of combinations)."""
     rows = (labelled.where(F.col(url_col).isNotNull() & F.col(bad_col).isNotNull())
             .select(tokens(F.col(url_col)).alias("t"), F.col(bad_col).alias("bad")))
+    # written with a row number, which joins a page's tokens again
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "url-rows")
     n = rows.agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")).first()
     if not n["bad"] or n["bad"] == n["n"]:
         return MinedRules()
-    base, pages = n["bad"] / n["n"], max(1, math.ceil(min(min_support * n["n"], min_pages)))
+    base = n["bad"] / n["n"]
     # a token on fewer bad pages is in no rule
-    often = (rows.where("bad").select(F.explode("t").alias("token")).groupBy("token").count().where(F.col("count") >= pages)
-             .agg(F.array_sort(F.collect_list("token")).alias("often")))
-    left = rows.crossJoin(F.broadcast(often)).select(F.array_intersect("t", "often").alias("t"), "bad")
+    often = rows.where("bad").select(F.explode("t").alias("token")).groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") >= min_pages).select("token")
+    left = (rows.select("row", "bad", F.explode("t").alias("token")).join(materialize(often, "url-tokens"), "token")
+            .groupBy("row", "bad").agg(F.collect_list("token").alias("t")))
     items = left.select(F.when(F.col("bad"), F.concat("t", F.array(F.lit(BAD)))).otherwise(F.col("t")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=(pages - 0.5) / n["n"]).fit(items)
+    seen = left.count()
+    if not seen:
+        return MinedRules()
+    model = FPGrowth(itemsCol="items", minSupport=(min_pages - 0.5) / seen).fit(items)
     sets = materialize(model.freqItemsets.select(F.array_sort(F.array_remove("items", BAD)).alias("items"),
                                                  F.array_contains("items", BAD).alias("bad"), "freq"), "url-sets")
-    both = sets.where("bad").select("items", F.col("freq").alias("hits"))
-    every = materialize(both.join(sets.where("not bad"), "items").select("items", (F.col("hits") / F.col("freq")).alias("confidence")), "url-rules")
-    kept = _smallest(every).where(F.col("confidence") >= max(min_confidence, min_lift * base))
-    found = collect_checked(kept, "mined URL rules", RULE_BYTES)
+    both = sets.where("bad and size(items) > 0").select("items", F.col("freq").alias("hits"))
+    every = materialize(both.join(sets.where("not bad"), "items").select("items", (F.col("hits") / F.col("freq")).alias("confidence"), F.col("freq").alias("pages")), "url-rules")
+    sure = every.where(F.col("confidence") >= max(min_confidence, min_lift * base)).where(_beyond_chance(base, every.count(), chance))
+    kept = _smallest(every.select("items", "confidence")).join(sure.select("items"), "items", "left_semi")
+    kept, size = materialize_measured(kept, "url-kept")
+    if size > rule_bytes:
+        return MinedRules(table=kept)
     return MinedRules([(frozenset(r["items"]), r["confidence"]) for r in
-                       sorted(found, key=lambda r: (len(r["items"]), -r["confidence"], r["items"]))])
+                       sorted(kept.collect(), key=lambda r: (len(r["items"]), -r["confidence"], r["items"]))])
+
+
+def _beyond_chance(base: float, tried: int, chance: float) -> Column:
+    """pages * KL(confidence || base) >= ln(tried / chance)."""
+    c = F.col("confidence")
+    rest = F.when(c < 1, (1 - c) * F.log((1 - c) / (1 - base))).otherwise(0.0)
+    return F.col("pages") * (c * F.log(c / base) + rest) >= math.log(max(1, tried) / chance)
 
 
 def _smallest(rules: DataFrame) -> DataFrame:
@@ -157,8 +181,25 @@ def judge(pages: DataFrame, mined: MinedRules, rules: list[FixedRule], id_col: s
     u = F.col(url_col)
     h, p = host(u), path(u)
     rule, verdict = fixed(rules, h, p)
+    if mined.table is not None:
+        return _judge_by_join(pages, mined.table, h, p, rule, verdict, id_col, url_col)
     kind = pages.schema[id_col].dataType.simpleString()
     src = pages.select(F.col(id_col).cast("string").alias("id"), h.alias("host"), p.alias("path"), rule.alias("rule"),
                        verdict.alias("verdict"), tokens(u).alias("t"))
     return (src.mapInArrow(per_row(run, schema), "id string, host string, path string, rule string, verdict string, sure double")
             .select(F.col("id").cast(kind).alias(id_col), "host", "path", "rule", "verdict", "sure"))
+
+
+def _judge_by_join(pages: DataFrame, rules: DataFrame, h: Column, p: Column, rule: Column, verdict: Column, id_col: str, url_col: str) -> DataFrame:
+    """:func:`judge` with the inverted index as a table: a page's tokens meet the rules'
+    tokens by an equi-join, and a rule fires where it was met as often as it has tokens."""
+    index = rules.select(F.xxhash64("items").alias("k"), F.concat_ws(" ", "items").alias("name"), F.size("items").alias("size"),
+                         "confidence", F.explode("items").alias("token"))
+    src = materialize(pages.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), h.alias("host"), p.alias("path"),
+                                   rule.alias("rule"), verdict.alias("verdict"), tokens(F.col(url_col)).alias("t")), "url-pages")
+    met = (src.select("row", F.explode("t").alias("token")).join(materialize(index, "url-index"), "token")
+           .groupBy("row", "k", "name", "size", "confidence").agg(F.count("*").alias("n")).where("n = size"))
+    best = met.groupBy("row").agg(F.max("confidence").alias("sure"))
+    return (src.join(best, "row", "left")
+            .select(F.col("id").alias(id_col), "host", "path", "rule",
+                    F.coalesce("verdict", F.when(F.col("sure").isNull(), "allow").otherwise("block")).alias("verdict"), "sure"))

@@ -49,10 +49,14 @@ class WarcError(ValueError):
 
 
 def train(pages: DataFrame, payload: str) -> bytes:
-    """A dictionary from the beginnings of at most SAMPLE_ROWS payloads; b'' if there is
-    too little to train on."""
-    rows = (pages.where(F.length(payload) > 0).select(F.col(payload).alias("p"))
-            .orderBy(F.xxhash64("p")).limit(SAMPLE_ROWS).select(F.substring(F.col("p").cast("binary"), 1, SAMPLE_BYTES).alias("p")).collect())
+    """A dictionary from the beginnings of at most SAMPLE_ROWS different payloads, those with
+    the smallest hashes; b'' if there is too little to train on."""
+    some = pages.where(F.length(payload) > 0).select(F.xxhash64(payload).alias("h"), F.substring(F.col(payload).cast("binary"), 1, SAMPLE_BYTES).alias("p"))
+    # of so many payloads, about 4 * SAMPLE_ROWS different ones have a hash below the bound:
+    # only those, cut and one for each hash, meet to be ordered
+    n = some.select(F.approx_count_distinct("h")).first()[0]
+    bound = (1 << 63) - 1 if n <= 4 * SAMPLE_ROWS else -(1 << 63) + (1 << 64) * 4 * SAMPLE_ROWS // n
+    rows = some.where(F.col("h") <= bound).groupBy("h").agg(F.min("p").alias("p")).orderBy("h").limit(SAMPLE_ROWS).select("p").collect()
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [bytes(r["p"]) for r in rows], level=3).as_bytes()
     except zstandard.ZstdError:

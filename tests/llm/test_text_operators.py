@@ -139,6 +139,15 @@ def test_toxicity_folding_and_exceptions(spark):
     assert {r.score for r in toxicity.score(odd_docs(spark), none).collect()} == {0.0}
 
 
+def test_toxicity_clashing_columns_and_odd_rows(spark):
+    docs = odd_docs(spark).withColumn("_id", F.lit(3)).withColumn("label", F.lit("x")).withColumn("_body", F.lit("b"))
+    labels = spark.createDataFrame([(5, 1), (6, 0), (6, 0), (None, 1), (1, None), (2, 0)], "doc_id long, toxic int").withColumn("_id", F.lit(9))
+    lex = toxicity.learn(docs, labels)
+    out = toxicity.score(docs, lex).collect()
+    assert len(out) == docs.count() and all(0 <= r.score <= 1 for r in out)
+    assert toxicity.score(empty_docs(spark), toxicity.learn(empty_docs(spark), labels)).count() == 0
+
+
 def test_toxicity_fit_is_bounded_after_the_join(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(toxicity, "_curve", lambda weight, words, label: (seen.append(len(label)), (0.0, 0.0, 0.0))[1])
@@ -190,6 +199,44 @@ def test_lattice_sums_all_segmentations():
         assert math.isclose(lat.word(x.encode()), math.log(brute(x.encode(), 0, True)) + lat.stop)
 
 
+def test_lm_words_are_a_distribution():
+    """Known words by their discounted counts, all words by the lattice: one in all."""
+    rng = random.Random(8)
+    counts = {w: rng.randint(1, 9) for w in ("a", "ab", "abba", "b", "bb")}
+    n, d = sum(counts.values()), lattice_lm.discount_of(3, 2)
+    left = d * len(counts) / n
+    # a lattice over a and b: every word but the empty one
+    end = 0.4
+    lat = lattice_lm.Lattice(lattice_lm._with_beginnings({b"a": math.log(0.5), b"b": math.log(0.3), b"ab": math.log(0.2)}),
+                             lattice_lm._with_beginnings({b"a": math.log(0.35), b"b": math.log(0.25)}), math.log(end))
+    words = [b""]
+    total = 0.0
+    for _ in range(14):
+        words = [w + x for w in words for x in (b"a", b"b")]
+        total += sum(math.exp(lattice_lm.mixed(counts.get(w.decode(), 0), lat.word(w), n, left, d)) for w in words)
+    assert 0.99 < total <= 1 + 1e-9
+    assert lattice_lm.mixed(0, -3.0, 0, 1.0, 0.5) == -3.0
+
+
+def test_lm_beats_the_base_on_words_that_both_know(spark):
+    """Held-out words weighted by how often they occur, the model trained on the others."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("train", queries.crc_rem("doc_id", 7) != 2)
+    raw = [(r.train, r.text) for r in docs.select("train", "text").collect()]
+    split = lambda t: (t or "").encode().lower().split()
+    c, held = Counter(), Counter()
+    for train, t in raw:
+        (c if train else held).update(split(t))
+    n, ends = sum(c.values()), sum(train for train, _ in raw)
+    known = [w for w in held if w in c]
+    d = lattice_lm.discount_of(sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values()))
+    left = d * len(c) / n
+    # the lattice only adds to a known word's own path; the base gives words that it does not
+    # know next to nothing of its mass, so both are taken given that the word is known
+    own = sum(held[w] * math.log10((c[w] - d) / n / (1 - left)) for w in known)
+    base = sum(held[w] * math.log10((c[w] + 1) / (n + ends + len(c) + 2)) for w in known)
+    assert own > base and 0 < left < 1
+
+
 def test_lm_odd_rows(spark):
     docs = odd_docs(spark).withColumn("train", queries.crc_rem("doc_id", 7) != 2)
     out = lattice_lm.score(docs, pt.path("piece_bpe_32k.model")).collect()
@@ -276,12 +323,12 @@ def test_url_rules_equal_brute_force(spark):
     rows = [(rng.sample("abcdef", rng.randrange(1, 6)), rng.random() < 0.5) for _ in range(150)]
     rows += [(["a", "b", "c"], True)] * 20 + [(["a", "d"], False)] * 20
     urls = spark.createDataFrame([(f"http:///{'/'.join(t)}", bad) for t, bad in rows], "url string, bad boolean")
-    got = dict(url_rules.mine(urls, min_support=0.02, min_lift=1.0).rules)
+    got = dict(url_rules.mine(urls, min_pages=4, min_lift=1.0, chance=1e9).rules)       # any deviation counts
     sets = {}
     for m in range(1, 64):
         s = frozenset(x for i, x in enumerate("abcdef") if m >> i & 1)
         hits = [bad for t, bad in rows if s <= set(t)]
-        if sum(hits) >= 0.02 * len(rows):
+        if sum(hits) >= 4:
             sets[s] = sum(hits) / len(hits)
     base = sum(bad for _, bad in rows) / len(rows)
     want = {frozenset("p:" + x for x in s): c for s, c in sets.items()
@@ -289,6 +336,27 @@ def test_url_rules_equal_brute_force(spark):
     assert got == want and want
 
 
+def test_url_rules_beyond_the_broadcast_and_odd_rows(spark):
+    urls = [(f"http://spam.org/buy/{i}", True) for i in range(40)] + [(f"http://good.org/buy/{i}", False) for i in range(60)]
+    urls += [(f"http://mixed.net/a/b{k}", k % 2 == 0) for k in range(2) for _ in range(30)]
+    labelled = spark.createDataFrame([*urls, (None, True), ("http://x.org", None), ("", False)], "url string, bad boolean").withColumn("row", F.lit(1))
+    small, large = url_rules.mine(labelled), url_rules.mine(labelled, rule_bytes=0)
+    assert small.rules and large.table.count() == len(small.rules)
+    rows = [u for u, _ in urls] + [None, "", "mailto:x", "http://spam.org/", "http://spam.org/"]
+    pages = spark.createDataFrame([(i % 90, u, "t") for i, u in enumerate(rows)], "page_id long, url string, t string").withColumn("sure", F.lit(1))
+    both = [sorted((tuple(r) for r in url_rules.judge(pages, m, queries.URL_RULES).collect()), key=repr) for m in (small, large)]
+    assert both[0] == both[1] and len(both[0]) == len(rows) and {r[4] for r in both[0]} == {"allow", "block"}
+    for m in (small, large):
+        assert url_rules.judge(pages.limit(0), m, queries.URL_RULES).count() == 0
+
+
+def test_url_rules_of_labels_dealt_at_random(spark):
+    rng = random.Random(9)
+    for rate in (0.1, 0.4):
+        urls = [(f"http://{rng.choice('abcdefgh')}.org/{rng.choice('klmnop')}/{rng.choice('stuvw')}.html", rng.random() < rate) for _ in range(1500)]
+        assert url_rules.mine(spark.createDataFrame(urls, "url string, bad boolean"), min_pages=3, min_confidence=0.0, min_lift=1.0).rules == []
+
+
 def test_decontamination_equals_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
@@ -384,6 +452,21 @@ def test_similar_sets_share_differences_from_a_pivot(spark, percent):
                 assert (a, b) in met or {a, b} <= linked
 
 
+def test_signatures_of_pairs_at_the_threshold_reach_the_least_collisions():
+    """Pairs at exactly 0.8, in small and larger sets: as many collisions as are asked for."""
+    rng = np.random.default_rng(5)
+    low = near_dup.COORDINATES
+    for n, pairs in ((5, 40_000), (10, 20_000), (45, 4_000)):
+        both, one = 8 * n // 10, n // 5       # 4 common shingles for each that one side adds
+        x = rng.integers(0, 1 << 32, (pairs, n), dtype=np.uint32)
+        assert both + one == n
+        for at in range(0, pairs, 2_000):
+            h = (x[at:at + 2_000, None, :] ^ near_dup._FLIP[None, :, None]) * near_dup._MULTIPLY[None, :, None]
+            a, b = h[:, :, :both].min(2), h.min(2)
+            low = min(low, int((a == b).sum(1).min()))
+    assert low >= near_dup.LEAST
+
+
 def test_near_duplicates_odd_rows(spark):
     docs = odd_docs(spark)
     got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dup.components(docs).collect())
@@ -558,6 +641,16 @@ def test_secret_values_of_any_alphabet(spark):
     assert got == [(i, t.index(c), c, other[i][2] if i in other else 1.0) for i, (t, c) in sorted(rows.items())]
 
 
+def test_secret_values_of_any_length(spark):
+    value = "ab cd!x9 " * 30
+    long = "Ab1" * 200
+    rows = [(1, f'password = "{value}"'), (2, f"token: sk-{long}"), (3, f"secret = '{value}' and more"), (3, f"secret = '{value}' and more"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "p", 1.0) for i, t in rows], "doc_id long, text string, source string, probability double")
+    got = [(r.doc_id, r.candidate) for r in secret_scan.findings(docs).collect()]
+    assert sorted(got) == [(1, value), (2, f"sk-{long}"), (3, value), (3, value)]
+    assert len(secret_scan.scan(docs).collect()) == 4 and secret_scan.scan(empty_docs(spark)).count() == 0
+
+
 def test_secret_forest_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
