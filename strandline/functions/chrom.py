@@ -19,3 +19,8 @@ def chrom_number(name) -> Column:
     return (F.when(n.startswith("chrX"), F.lit(CHR_X_NUMBER))
             .when(n.startswith("chrY"), F.lit(CHR_Y_NUMBER))
             .when(n.startswith("chr"), after.try_cast("int")))
+
+
+def name_key(name) -> Column:
+    """What two chromosome names must share to be the same one: spelling but for case."""
+    return F.lower(F.col(name) if isinstance(name, str) else name)

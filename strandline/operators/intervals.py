@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.chrom import name_key
 from ..session import materialize
 
 DEFAULT_MERGE_BIN = 1 << 16
@@ -170,6 +171,18 @@ def padded_ranges(ranges: DataFrame, overlap: int, bin_size: int = DEFAULT_MERGE
                     .cast("long").alias("start_pos"), "end_pos")
 
 
+def padded_ranges_by_name(ranges: DataFrame, overlap: int, name: str = "ref_name", bin_size: int = DEFAULT_MERGE_BIN) -> DataFrame:
+    """A7 over ranges that carry chromosome names (``name, start_pos, end_pos``), as BED text
+    does: names that differ in case only are one chromosome.  A merged range has the
+    spelling of its first range (of ranges that begin together, the smallest spelling).
+    Ranges without a name are left out."""
+    keyed = ranges.where(F.col(name).isNotNull()).select(name_key(name).alias("_key"), F.col(name).alias("_name"), "start_pos", "end_pos")
+    m = merge_intervals(keyed, ("_key",), "start_pos", "end_pos", overlap - 1, bin_size=bin_size)
+    first = keyed.groupBy("_key", F.col("start_pos").cast("long").alias("start_pos")).agg(F.min("_name").alias("_name"))
+    return m.join(first, ["_key", "start_pos"]).select(
+        F.col("_name").alias(name), F.greatest(F.col("start_pos") - F.lit(overlap), F.lit(1)).cast("long").alias("start_pos"), "end_pos")
+
+
 def range_span(ranges: DataFrame, by: str = "ref_idx", name: str | None = None) -> DataFrame:
     """A5: per group, the first start, the end of the *last* range (the range with the
     largest start), the number of ranges, and the label ``<n>regions_<name>-<start>``."""

@@ -9,6 +9,8 @@ for string rebuilding.
 
 from __future__ import annotations
 
+import re
+
 # name -> (dependencies, body)
 VIEWS: dict[str, tuple[list[str], str]] = {}
 
@@ -154,6 +156,30 @@ _v("x_encoding", ["squal"], """SELECT ref_idx, read_id AS first_read_id, max_q,
   row_number() OVER (PARTITION BY ref_idx ORDER BY pos, read_id) AS rk FROM squal) t WHERE rk = 1""")
 
 
+def _on(view: str, **names: str) -> tuple[list[str], str]:
+    """A view's definition over other inputs: each name replaced as a whole word."""
+    deps, sql = VIEWS[view]
+    for old, new in names.items():
+        sql = re.sub(rf"\b{old}\b", new, sql)
+    return [names.get(d, d) for d in deps], sql
+
+
+# the whole variant job over ``dense``: duplicates leave before bases are counted, and the
+# pileup sees recalibrated qualities
+_v("j_scored", *_on("scored", kept="dense"))
+_v("j_dup", *_on("x_dup", scored="j_scored"))
+_v("j_dense", ["dense", "j_dup"], "SELECT d.* FROM dense d JOIN j_dup USING (read_id) WHERE dup = 0")
+_v("j_cigtok", *_on("cigtok", dense="j_dense"))
+_v("j_ops", *_on("ops", cigtok="j_cigtok"))
+_v("j_opx", *_on("opx", ops="j_ops"))
+_v("j_bases", *_on("bases", opx="j_opx", dense="j_dense"))
+_v("j_recal", *_on("x_recal", bases="j_bases"))
+_v("j_pileup", ["j_bases", "j_recal"], """SELECT ref_idx, ref_pos, ref_base, base, count(*) AS depth, CAST(sum(coalesce(r.emp_q, b.q)) AS BIGINT) AS qsum
+FROM j_bases b LEFT JOIN j_recal r ON r.reported_q = b.q AND r.cyc = b.cyc GROUP BY ref_idx, ref_pos, ref_base, base""")
+_v("j_calls", *_on("x_calls", x_pileup="j_pileup"))
+_v("j_vcf", *_on("calls_vcf", x_calls="j_calls"))
+
+
 def with_views(names: list[str], body: str) -> str:
     """``WITH`` the named views and their dependencies (dependency order), then ``body``."""
     order: list[str] = []
@@ -301,6 +327,15 @@ GROUP BY chunk""")
    SELECT *, CASE WHEN count(*) OVER (PARTITION BY ref_idx, cell) > 0.2 * t / 40 THEN pos END AS spot FROM (
     SELECT ref_idx, pos, (pos - 1) // 4096 AS cell, count(*) OVER () AS t FROM kept) a) b) c) d
 GROUP BY region""")
+    q["padded_ranges_by_name"] = W(["isl", "seq_dict"], """SELECT CASE WHEN first_pos % 2 = 1 THEN upper(ref_name) ELSE ref_name END AS ref_name,
+ CAST(greatest(first_pos - 100, 1) AS BIGINT) AS start_pos, end_pos FROM (
+ SELECT ref_idx, min(start_pos) AS first_pos, max(end_pos) AS end_pos FROM (
+  SELECT *, sum(brk) OVER (PARTITION BY ref_idx ORDER BY start_pos, end_pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM (
+   SELECT *, CASE WHEN start_pos - 100 < max(end_pos) OVER (PARTITION BY ref_idx ORDER BY start_pos, end_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS brk
+   FROM isl) x) y
+ GROUP BY ref_idx, g) z JOIN seq_dict USING (ref_idx)""")
+    q["variant_job"] = W(["j_vcf", "x_regions"], """SELECT r.region, CAST(v.ref_idx AS INT) AS chrom, CAST(v.ref_pos AS INT) AS pos, v.line
+FROM j_vcf v JOIN x_regions r USING (ref_idx)""")
     q["fastq_file_records"] = W(["aln"], """SELECT concat('@r', CAST(read_id AS VARCHAR), '/1') AS name,
  seq, '+' AS plus, qual FROM aln""")
     q["chunk_files"] = W(["aln", "aln2"], """SELECT CAST(a.read_id * 4 // (SELECT count(*) FROM aln) AS INT) AS chunk,

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import jobs
 from ..operators import bases as B
 from ..operators import duplicates as D
 from ..operators import hooks as H
@@ -123,6 +124,13 @@ def padded_ranges(spark, d):
     return I.padded_ranges(_ranges(spark, d), 100)
 
 
+def padded_ranges_by_name(spark, d):
+    """A7 over named ranges, every second one spelled in capitals."""
+    r = _named_ranges(spark, d)
+    r = r.withColumn("ref_name", F.when(F.col("start_pos") % 2 == 1, F.upper("ref_name")).otherwise(F.col("ref_name")))
+    return I.padded_ranges_by_name(r, 100)
+
+
 def range_span(spark, d):
     return I.range_span(_named_ranges(spark, d), "ref_idx", "ref_name")
 
@@ -384,6 +392,14 @@ def balance_loci(spark, d):
                     F.col("b.ref_idx").alias("last_ref"), F.col("b.pos").alias("last_pos")))
 
 
+def variant_job(spark, d):
+    """The analyser as a whole: aligned reads to the merged calls of all regions."""
+    dn = X.dense(spark, d)
+    calls = jobs.call_variants_from_alignments(dn, X.seq_dict(spark, d), NUM_REGIONS, ref_base=X.genome_base,
+                                               known_sites=X.known_sites_from_reads(dn))
+    return calls.select("region", "chrom", "pos", "line")
+
+
 # ---- through files -----------------------------------------------------------------
 
 def _folder(spark, name: str) -> str:
@@ -447,7 +463,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     recal_table, recal_table_by_region, recal_apply, recal_apply_by_region,
     call_variants, merge_variants,
     map_chunks, map_regions, map_chunk_streams, map_regions_halo,
-    balance_loci, fastq_file_records, chunk_files, vcf_ordered, by_region, overwrite_published,
+    padded_ranges_by_name, balance_loci, variant_job, fastq_file_records, chunk_files, vcf_ordered, by_region, overwrite_published,
 ]}
 
 
