@@ -242,7 +242,7 @@ def _share(needs: Column, percent: int) -> Column:
 
 def _meetings(delta: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes in different components that meet in the rarest of their
-    differences from one pivot."""
+    differences from the smallest pivot that they have in common."""
     common = materialize(delta.groupBy("pivot", "elem").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("df"))
                          .where("lo < hi").select("pivot", "elem", "df"), "nd-common")
     low = delta.groupBy("pivot").agg(F.min("need").alias("low"))
@@ -253,7 +253,10 @@ def _meetings(delta: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int)
     length = F.col("size") - _share(F.col("need") + F.col("low"), percent) + 1 - alone
     per = per.join(low, "pivot").select("pivot", "node", "size", "need", "linked", alone.alias("alone"),
                                         F.slice("front", F.lit(1), F.greatest(length, F.lit(0)).cast("int")).alias("front"))
-    rows = materialize(per.join(comp, "node").join(nodes.select("node", "n", "private"), "node")
+    # a node's pivots, one for each value of its prefix at most: any of those that a pair has
+    # in common tells all about it, so it meets at the smallest only
+    stars = delta.groupBy("node").agg(F.collect_set("pivot").alias("pivots"))
+    rows = materialize(per.join(comp, "node").join(nodes.select("node", "n", "private"), "node").join(stars, "node")
                        .select("*", F.posexplode("front").alias("at", "elem")), "nd-front")
     x, y = rows.alias("x"), rows.alias("y")
     share = _share(F.col("x.need") + F.col("y.need"), percent)
@@ -261,6 +264,7 @@ def _meetings(delta: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int)
     return (x.join(y, (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.elem") == F.col("y.elem")) & (F.col("x.node") < F.col("y.node"))
                    & (F.col("x.comp") != F.col("y.comp")) & ~(F.col("x.linked") & F.col("y.linked")) & within("x") & within("y")
                    & _fits(F.col("x.n"), F.col("x.private"), F.col("y.n"), F.col("y.private"), percent)
+                   & (F.array_min(F.array_intersect("x.pivots", "y.pivots")) == F.col("x.pivot"))
                    & (F.element_at(F.array_intersect("x.front", "y.front"), 1) == F.col("x.elem")))
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
