@@ -1,12 +1,15 @@
 """MinHash near-duplicates by an inverted join of signature coordinates.
 
 A document's set holds its distinct word shingles.  Documents with equal sets form one
-class at once; a class is posted, under its smallest id, by each (coordinate, value) of
-its MinHash signature.  Values that only one class has are skipped.  A pair of sets at
-the similarity asked for agrees in ``LEAST`` of ``COORDINATES`` values but for a chance
-of about 3e-9 at exactly 0.8 (less above), so the pair must also meet in the rarest
-COORDINATES - LEAST + 1 values of each (prefix); only those postings are joined, and a
-pair counts its collisions over all coordinates before it is verified on full sets.
+class at once; a class is posted, under its smallest id, by its bands: ``BAND`` neighbouring
+coordinates of its MinHash signature with their values.  Bands that only one class has are
+skipped.  A pair of sets at the similarity asked for agrees in ``LEAST`` of ``COORDINATES``
+values and in ``LEAST_BANDS`` of ``BANDS`` bands but for a chance of about 3e-9 and 1.3e-9 at
+exactly 0.8 (less above), so the pair must also meet in the rarest BANDS - LEAST_BANDS + 1
+bands of each (prefix); only those postings are joined, and a pair counts its collisions
+over all coordinates before it is verified on full sets.  A single value is shared by all
+documents with some text in common, so its list grows with the table; a band's list holds
+few that are not alike.
 Shingles that only one posted class has cannot be common: classes and pairs whose other
 shingles are too few for the similarity are skipped (an exact bound).
 
@@ -40,6 +43,8 @@ from pyspark.sql import functions as F
 from strandline.llm.common import docs_of, materialize, materialize_counted, per_row
 
 COORDINATES, LEAST = 128, 74
+BAND = 3
+BANDS, LEAST_BANDS = COORDINATES // BAND, 4
 #: Pivot rounds go on while a round merges this share of the open members.
 GOES_ON = 0.02
 #: Lists of more open members are compared by differences from their pivot.
@@ -160,18 +165,21 @@ def connected(edges: DataFrame, tag: str = "cc") -> DataFrame:
 
 
 def _posted(reps: DataFrame) -> DataFrame:
-    """(node, n, shared, prefix): each class's values that another class has too, rarest
-    first, and those of them that lie in its prefix; classes that cannot reach LEAST
-    collisions are left out."""
-    token = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    post = reps.select("node", F.posexplode("sig").alias("pos", "v")).select("node", token.alias("token"))
+    """(node, prefix): each class's rarest bands that another class has too; classes that
+    cannot reach LEAST_BANDS of them are left out."""
+    bands = F.array(*(F.xxhash64(F.lit(i), *(F.get("sig", BAND * i + j) for j in range(BAND))) for i in range(BANDS)))
+    post = reps.select("node", F.explode(bands).alias("token"))
     shared = materialize(post.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
                          .where("lo < hi").select("token", F.col("n").alias("df")), "nd-tokens")
     per = (post.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("s"))
-           .where(F.size("s") >= LEAST))
-    keep = F.lit(COORDINATES - LEAST + 1) - (F.lit(COORDINATES) - F.size("s"))
-    tokens = F.transform("s", lambda x: x["token"])
-    return per.select("node", tokens.alias("shared"), F.slice(tokens, F.lit(1), keep).alias("prefix"))
+           .where(F.size("s") >= LEAST_BANDS))
+    return per.select("node", F.slice(F.transform("s", lambda x: x["token"]), F.lit(1), F.size("s") - LEAST_BANDS + 1).alias("prefix"))
+
+
+def _coordinates(reps: DataFrame) -> DataFrame:
+    """(node, n, coords): a node's largest set size and all (coordinate, value) that it has."""
+    coords = F.transform("sig", lambda v, i: F.shiftleft(i.cast("long"), 32).bitwiseOR(v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+    return reps.groupBy("node").agg(F.max("n").alias("n"), F.array_distinct(F.flatten(F.collect_list(coords))).alias("coords"))
 
 
 def _private(sets: DataFrame) -> DataFrame:
@@ -200,9 +208,9 @@ def _fits(na: Column, ua: Column, nb: Column, ub: Column, percent: int) -> Colum
 def _candidates(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that collide in LEAST coordinates and whose sizes and private
     shingles allow the similarity."""
-    side = nodes.select("node", "n", "private", "shared")
-    j = (pairs.join(_as(side, node="a", n="na", private="ua", shared="sa"), "a")
-         .join(_as(side, node="b", n="nb", private="ub", shared="sb"), "b"))
+    side = nodes.select("node", "n", "private", "coords")
+    j = (pairs.join(_as(side, node="a", n="na", private="ua", coords="sa"), "a")
+         .join(_as(side, node="b", n="nb", private="ub", coords="sb"), "b"))
     fits = _fits(F.col("na"), F.col("ua"), F.col("nb"), F.col("ub"), percent)
     return j.where(fits & (F.size(F.array_intersect("sa", "sb")) >= LEAST)).select("a", "b")
 
@@ -283,9 +291,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           .agg(F.min("doc_id").alias("node")), "nd-classes")
     # a document may have several rows with different sets: its classes then share its id
     first = rows.join(classes, "set_hash").where("doc_id = node").select("node", "n", "sig")
-    posted = _posted(first)
-    sizes = first.groupBy("node").agg(F.max("n").alias("n"))
-    able = materialize(posted.join(sizes, "node"), "nd-able")
+    posted = materialize(_posted(first), "nd-posted")
+    able = materialize(posted.join(_coordinates(first.join(posted.select("node"), "node")), "node"), "nd-able")
     sets = materialize(_full_sets(src, able, shingle), "nd-sets")
     private = F.coalesce(F.col("private"), F.lit(0))
     nodes = able.join(_private(sets), "node", "left").withColumn("private", private)

@@ -467,6 +467,34 @@ def test_signatures_of_pairs_at_the_threshold_reach_the_least_collisions():
     assert low >= near_dup.LEAST
 
 
+def test_bands_of_pairs_at_the_threshold_meet_and_others_seldom_do():
+    """Pairs at 0.8 agree in as many bands as are asked for; sets that share two thirds (text that
+    recurs) meet in under a third of their bands."""
+    rng = np.random.default_rng(6)
+    low = near_dup.BANDS
+    for both, one, pairs in ((8, 1, 20_000), (36, 9, 2_000)):
+        for at in range(0, pairs, 2_000):
+            x = rng.integers(0, 1 << 32, (2_000, both + 2 * one), dtype=np.uint32)
+            h = (x[:, None, :] ^ near_dup._FLIP[None, :, None]) * near_dup._MULTIPLY[None, :, None]
+            alike = h[:, :, :both + one].min(2) == h[:, :, list(range(both)) + list(range(both + one, both + 2 * one))].min(2)
+            bands = alike[:, :near_dup.BAND * near_dup.BANDS].reshape(len(x), near_dup.BANDS, near_dup.BAND).all(2).sum(1)
+            if 10 * both >= 8 * (both + 2 * one):
+                low = min(low, int(bands.min()))
+            elif both == 36:
+                assert bands.mean() < near_dup.BANDS / 3.0
+    assert low >= near_dup.LEAST_BANDS
+
+
+def test_postings_of_a_text_that_recurs_do_not_gather_everyone(spark):
+    """Documents that share half of their text: the lists of a class hold few of them."""
+    rng = np.random.default_rng(7)
+    common = rng.integers(0, 1 << 63, 160, dtype=np.uint64)
+    sigs = [(i, near_dup.signature(np.concatenate((common, rng.integers(0, 1 << 63, 70, dtype=np.uint64)))).tolist()) for i in range(80)]
+    posted = near_dup._posted(spark.createDataFrame(sigs, "node long, sig array<int>"))
+    rows = posted.select(F.explode("prefix").alias("token")).count()
+    assert rows <= 80 * (near_dup.BANDS - near_dup.LEAST_BANDS + 1) // 2
+
+
 def test_near_duplicates_odd_rows(spark):
     docs = odd_docs(spark)
     got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dup.components(docs).collect())
