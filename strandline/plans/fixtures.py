@@ -50,25 +50,29 @@ def _memoized(fn):
     return wrapper
 
 
-def stored(spark: SparkSession, key: tuple, build, *order: str) -> DataFrame:
+def stored(spark: SparkSession, key: tuple, build, *order: str, finish=None) -> DataFrame:
     """A derived input that several queries read: built once per session and folder, range
     partitioned and sorted by ``order``, written, and read back from its files - as
     alignments are stored in a pipeline (``sources.alignments.write_alignments``).  The
     driver's tables have one row group, which a scan can't split; the stored form has a
-    file per range at any size."""
+    file per range at any size.  ``finish`` adds wide columns after the rows have been
+    ordered: they are worked out once, in all tasks, and are not shuffled."""
     def write() -> DataFrame:
         df = build()
         if order:
             n = int(spark.conf.get("spark.sql.shuffle.partitions"))
             df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        if finish:
+            df = finish(df)
         return materialize(df, f"fixture-{key[0]}")
     return _memo(spark, ("stored", *key), write)
 
 
-def _stored_by(*order: str):
+def _stored_by(*order: str, finish=None):
     def wrap(fn):
         def wrapper(spark: SparkSession, d: str, **kw) -> DataFrame:
-            return stored(spark, (fn.__name__, d, *sorted(kw.items())), lambda: fn(spark, d, **kw), *order)
+            late = finish and (lambda df: finish(df, **kw))
+            return stored(spark, (fn.__name__, d, *sorted(kw.items())), lambda: fn(spark, d, **kw), *order, finish=late)
         wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
         return wrapper
     return wrap
@@ -92,27 +96,39 @@ def _md5_text(salt: str, key: Column, letters: str) -> Column:
     return F.translate(F.md5(F.concat(F.lit(salt), key.cast("string"))), SEQ_DIGITS, letters)
 
 
-@_stored_by("ref_idx", "pos")
+def _aln_columns(placed: DataFrame, seq_salt: str = "s", qual_salt: str = "q") -> DataFrame:
+    """What follows from a read's key, once the reads are in order."""
+    k = F.col("read_id")
+    m8 = k % 8
+    return placed.select(
+        "read_id", F.concat(F.lit("r"), k.cast("string")).alias("qname"), "flag", "ref_idx", "pos",
+        (k % 61).cast("int").alias("mapq"),
+        F.when(m8 == 5, "10M2I20M").when(m8 == 6, "10M2D22M").when(m8 == 7, "4S28M")
+        .otherwise("32M").alias("cigar"),
+        F.when(m8 == 5, 30).when(m8 == 6, 34).when(m8 == 7, 28).otherwise(32)
+        .cast("long").alias("ref_len"),
+        _md5_text(seq_salt, k, SEQ_LETTERS).alias("seq"),
+        _md5_text(qual_salt, k, QUAL_LETTERS).alias("qual"))
+
+
+@_stored_by("ref_idx", "pos", finish=_aln_columns)
 def aln(spark: SparkSession, d: str, seq_salt: str = "s", qual_salt: str = "q") -> DataFrame:
     """All reads: ``read_id, qname, flag, ref_idx, pos, mapq, cigar, ref_len, seq, qual``."""
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    m8 = k % 8
     return o.select(
         k.cast("long").alias("read_id"),
-        F.concat(F.lit("r"), k.cast("string")).alias("qname"),
         F.when((F.col("o_orderstatus") == "P") & (k % 5 == 0), 4)
         .when(k % 2 == 0, 16).otherwise(0).cast("int").alias("flag"),
         (c % NUM_CONTIGS).cast("int").alias("ref_idx"),
         (1 + (c * 7919 + (k % 97) * 613) % (200000 + (c % NUM_CONTIGS) * 1000 - 40))
-        .cast("long").alias("pos"),
-        (k % 61).cast("int").alias("mapq"),
-        F.when(m8 == 5, "10M2I20M").when(m8 == 6, "10M2D22M").when(m8 == 7, "4S28M")
-        .otherwise("32M").alias("cigar"),
-        F.when(m8 == 5, 30).when(m8 == 6, 34).when(m8 == 7, 28).otherwise(32)
-        .cast("long").alias("ref_len"),
-        _md5_text(seq_salt, k, SEQ_LETTERS).alias("seq"),
-        _md5_text(qual_salt, k, QUAL_LETTERS).alias("qual"))
+        .cast("long").alias("pos"))
+
+
+@_stored_by("read_id")
+def read_keys(spark: SparkSession, d: str) -> DataFrame:
+    """``read_id`` of all reads."""
+    return read_table(spark, d, "orders", "o_orderkey").select(F.col("o_orderkey").cast("long").alias("read_id"))
 
 
 @_memoized
@@ -188,23 +204,27 @@ def genome_base(p: Column, ref_idx: Column) -> Column:
                     (1 + ((p * p + 3 * p + ref_idx) % 7 + p) % 4).cast("int"), F.lit(1))
 
 
-@_stored_by("ref_idx", "pos")
-def dense(spark: SparkSession, d: str) -> DataFrame:
-    """Kept reads moved onto 3,000 positions; ``seq`` follows the synthetic genome
-    along the CIGAR, with planted errors and SNPs (``ref_pos % 100 = 17``, carried by
-    even read ids)."""
-    a = R.primary_mapped(aln(spark, d))
-    p = (1 + (F.col("read_id") * 37) % DENSE_SPAN).cast("long")
-    d0 = a.select("read_id", "qname", "flag", "ref_idx", p.alias("pos"), "mapq", "cigar",
-                  "ref_len", "qual", (p + F.col("ref_len") - 1).alias("end_pos"))
+def _dense_seq(placed: DataFrame) -> DataFrame:
+    """The bases of the placed reads."""
     # the CIGAR class once, then the 32 aligned positions, then the bases: each step a
     # separate projection, so no position expression is re-evaluated per use
     cls = (F.when(F.col("cigar") == "10M2I20M", 1).when(F.col("cigar") == "10M2D22M", 2)
            .when(F.col("cigar") == "4S28M", 3).otherwise(0))
-    d1 = d0.withColumn("_c", cls)
+    d1 = placed.withColumn("_c", cls)
     d2 = d1.select("*", *[_dense_pos(i).alias(f"_p{i}") for i in range(32)])
     seq = F.concat(*[_dense_base(i, F.col(f"_p{i}")) for i in range(32)])
-    return d2.select(*d0.columns, seq.alias("seq"))
+    return d2.select(*placed.columns, seq.alias("seq"))
+
+
+@_stored_by("ref_idx", "pos", finish=_dense_seq)
+def dense(spark: SparkSession, d: str) -> DataFrame:
+    """Kept reads moved onto 3,000 positions; ``seq`` follows the synthetic genome
+    along the CIGAR, with planted errors and SNPs (``ref_pos % 100 = 17``, carried by
+    even read ids)."""
+    a = R.primary_mapped(aln(spark, d))
+    p = (1 + (F.col("read_id") * 37) % DENSE_SPAN).cast("long")
+    return a.select("read_id", "qname", "flag", "ref_idx", p.alias("pos"), "mapq", "cigar",
+                    "ref_len", "qual", (p + F.col("ref_len") - 1).alias("end_pos"))
 
 
 def _dense_pos(i: int) -> Column:
@@ -264,7 +284,12 @@ def fastq_lines(reads: DataFrame, mate: int) -> DataFrame:
 
 
 def mate_reads(spark: SparkSession, d: str, mate: int) -> DataFrame:
-    return aln(spark, d) if mate == 1 else aln(spark, d, seq_salt="t", qual_salt="u")
+    """``read_id, seq, qual`` of one mate, worked out from the stored keys wherever they are
+    read: the texts are neither shuffled nor stored before they are lines."""
+    seq_salt, qual_salt = ("s", "q") if mate == 1 else ("t", "u")
+    k = F.col("read_id")
+    return read_keys(spark, d).select("read_id", _md5_text(seq_salt, k, SEQ_LETTERS).alias("seq"),
+                                      _md5_text(qual_salt, k, QUAL_LETTERS).alias("qual"))
 
 
 def sam_lines(spark: SparkSession, d: str) -> DataFrame:

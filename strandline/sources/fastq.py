@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,18 +53,70 @@ def read_chunk_pairs(spark: SparkSession, folder: str, glob: str = "*.gz") -> Da
     mate pair: ``chunk_file, pair_id, name1, seq1, plus1, qual1, name2, seq2, plus2,
     qual2`` - the input of an aligner plugged in with
     :func:`strandline.operators.hooks.map_chunks`.  Every chunk holds whole pairs of 8
-    lines, so with ordinals over the files (in path order) ``idx div 8`` is the pair;
-    the 8 lines are folded order-independently (one partially aggregated shuffle)."""
+    lines, so with ordinals over the files (in path order) ``idx div 8`` is the pair.  A
+    gzip file is read by one task from its first line on, which folds 8 lines at a time
+    (:func:`_gzip_pairs`: no line is written or shuffled); other files can be split, and
+    their lines are folded order-independently (one partially aggregated shuffle)."""
+    if glob.endswith(".gz"):
+        return _gzip_pairs(spark, folder, glob)
     lines = read_indexed_lines(spark, folder, glob, with_file=True)
     x = lines.select((F.col("idx") / 8).cast("long").alias("pair_id"),
                      (F.col("idx") % 8).cast("int").alias("_k"), "value",
                      F.col("file_path").alias("_f"))
-    names = ["name1", "seq1", "plus1", "qual1", "name2", "seq2", "plus2", "qual2"]
+    names = _PAIR_FIELDS
     return x.groupBy("pair_id").agg(
         F.substring_index(F.max("_f"), "/", -1).alias("chunk_file"),
         *[F.max(F.when(F.col("_k") == i, F.col("value"))).alias(n) for i, n in enumerate(names)])
 
 
+_PAIR_FIELDS = ["name1", "seq1", "plus1", "qual1", "name2", "seq2", "plus2", "qual2"]
+
+
+def _gzip_pairs(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    lines = (spark.read.option("pathGlobFilter", glob).text(folder)
+             .select(F.col("_metadata.file_path").alias("_f"), "value"))
+    # one row per file: its first line's ordinal over all files
+    w = Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy("_f").agg(F.count(F.lit(1)).alias("_c"))
+    offs = broadcast_checked(counts.select("_f", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off")), "chunk_files")
+    folded = lines.mapInArrow(_fold_pairs, "_f string, _k long, " + ", ".join(f"{c} string" for c in _PAIR_FIELDS))
+    return folded.join(offs, "_f").select(F.substring_index("_f", "/", -1).alias("chunk_file"),
+                                          ((F.col("_off") / 8).cast("long") + F.col("_k")).alias("pair_id"), *_PAIR_FIELDS)
+
+
+def _fold_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, number of the pair in it, 8 lines) from (file, line) in order; the lines of a
+    batch that end within a pair wait for the next batch of the same file."""
+    names = ["_f", "_k", *_PAIR_FIELDS]
+    file, k, wait = None, 0, pa.array([], pa.string())
+
+    def pairs(lines: pa.Array, n: int) -> pa.RecordBatch:
+        at = np.arange(n) * 8
+        # a file's last pair may lack lines: null
+        cols = [lines.take(pa.array(at + i, pa.int64(), mask=at + i >= len(lines))) for i in range(8)]
+        return pa.RecordBatch.from_arrays([pa.array([file] * n, pa.string()), pa.array(np.arange(k, k + n), pa.int64()), *cols], names)
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        runs = b.column(0).dictionary_encode()
+        code = runs.indices.to_numpy()
+        edge = [0, *(np.flatnonzero(np.diff(code)) + 1).tolist(), len(code)]
+        for lo, hi in zip(edge, edge[1:]):
+            here = runs.dictionary[int(code[lo])].as_py()
+            if here != file:
+                if len(wait):
+                    yield pairs(wait, 1)
+                file, k, wait = here, 0, pa.array([], pa.string())
+            lines = pa.concat_arrays([wait, b.column(1).slice(lo, hi - lo).cast(pa.string())])
+            n = len(lines) // 8
+            if n:
+                yield pairs(lines, n)
+            k, wait = k + n, lines.slice(8 * n)
+    if len(wait):
+        yield pairs(wait, 1)
+
+
 def read_chunks(spark: SparkSession, folder: str, glob: str = "*.fq.gz") -> DataFrame:
     """All chunk files of a folder (any Hadoop URI) matching ``glob``, as
     ``chunk_file, value``.  Gzip files are decompressed; each is one task."""

@@ -162,3 +162,21 @@ def test_chunk_files_read_back_as_pairs(spark, tmp_out):
     want = sorted((r.record_id, r.name1, r.seq1, r.qual1, r.name2, r.seq2, r.qual2)
                   for r in pairs.collect())
     assert got == want
+
+
+def test_gzip_chunks_are_folded_without_writing_or_shuffling_lines(spark, tmp_out):
+    out = os.path.join(tmp_out, "chunks")
+    rows = [(c, i, "\n".join(f"{c}.{i}.{j}" for j in range(8))) for c in range(3) for i in range(7)]
+    (spark.createDataFrame(rows, "chunk int, i int, value string").repartition(3, "chunk").sortWithinPartitions("chunk", "i")
+     .select("value").write.option("compression", "gzip").text(out))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")     # pairs of 8 lines go across batches
+    try:
+        pairs = FQ.read_chunk_pairs(spark, out)
+        got = [tuple(r) for r in pairs.select("pair_id", *FQ._PAIR_FIELDS).orderBy("pair_id").collect()]
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [r[0] for r in got] == list(range(21))
+    assert all(r[1:] == tuple(f"{r[1][:-2]}.{j}" for j in range(8)) for r in got) and len({r[1] for r in got}) == 21
+    assert "hashpartitioning" not in plan
