@@ -73,7 +73,7 @@ def _stored_by(*order: str, finish=None):
         def wrapper(spark: SparkSession, d: str, **kw) -> DataFrame:
             late = finish and (lambda df: finish(df, **kw))
             return stored(spark, (fn.__name__, d, *sorted(kw.items())), lambda: fn(spark, d, **kw), *order, finish=late)
-        wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+        wrapper.__name__, wrapper.__doc__, wrapper.__wrapped__ = fn.__name__, fn.__doc__, fn
         return wrapper
     return wrap
 

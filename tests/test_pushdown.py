@@ -31,3 +31,18 @@ def test_contig_filter_prunes_folders_and_projection_prunes_columns(spark, tmp_o
     assert "PushedFilters: [IsNotNull(pos), GreaterThanOrEqual(pos,1000), LessThanOrEqual(pos,2000)]" in scan
     want = X.aln(spark, SF001).filter((F.col("ref_idx") == 3) & F.col("pos").between(1000, 2000))
     assert w.count() == want.count()
+
+
+def test_wide_columns_of_stored_reads_follow_the_shuffle(spark):
+    from strandline.plans import fixtures
+
+    seen = []
+
+    def late(df):
+        seen.append(df.columns)
+        return df.withColumn("wide", F.repeat(F.lit("x"), 50))
+
+    keys = spark.range(1000).select(F.col("id").alias("k"))
+    out = fixtures.stored(spark, ("late_columns",), lambda: keys, "k", finish=late)
+    assert seen == [["k"]] and out.columns == ["k", "wide"] and out.count() == 1000
+    assert {"seq", "qual"} & {*fixtures.aln.__wrapped__(spark, SF001).columns} == set()
