@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import materialize
+from strandline.llm.common import materialize, materialize_counted
 
 MIN_TOKENS = 3
 #: Characters from which a line of fewer tokens can recur.
@@ -41,6 +41,9 @@ WORDS = 3
 DEPTH = 3
 GROUPS = 10
 PERCENT = 80
+#: Bits per leaf of the bitmap that tells lines of open leaves, and its largest size (16 MB).
+BITS = 16
+MAX_BITS = 1 << 27
 _SPACES = " \t\n\x0b\x0c\r"
 _GAP = r"[\x20\x09-\x0D]+"
 # A word with a digit; each word is looked at once from its start.
@@ -132,21 +135,38 @@ def _templates(lines: DataFrame, depth: int, percent: int) -> DataFrame:
             .select("leaf", (F.col("i") * GROUPS + F.col("j")).alias("runs"), rest.alias("rest"), "h", "lo", "hi", "nulls"))
 
 
+def _maybe_in(lines: DataFrame, leaves: DataFrame, count: int) -> DataFrame:
+    """``lines`` without most of those whose leaf is not among the ``count`` ``leaves``: one bit
+    test each, in a broadcast bitmap of at most ``MAX_BITS`` bits.  No line of the leaves is
+    lost; how many others stay (one in ``BITS``, more beyond the bound) changes no result, as
+    a join with the leaves follows."""
+    bits = 1024
+    while bits < min(BITS * count, MAX_BITS):
+        bits *= 2
+    at = F.pmod("leaf", F.lit(bits))
+    word = F.shiftright(at, 6).bitwiseAND(15).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))
+    maps = leaves.groupBy(F.shiftright(at, 10).alias("_bin")).agg(
+        F.array(*(F.coalesce(F.bit_or(F.when(word == i, bit)), F.lit(0).cast("long")) for i in range(16))).alias("_words"))
+    near = lines.withColumn("_bin", F.shiftright(at, 10)).join(F.broadcast(maps), "_bin")
+    return near.where(F.getbit(F.get("_words", word), at.bitwiseAND(63).cast("int")) == 1).drop("_bin", "_words")
+
+
 def recurring(found: DataFrame, depth: int = DEPTH, percent: int = PERCENT) -> DataFrame:
     """(h, lo): hashes of the lines whose text or a template of which recurs, with the
     smallest id that has it.  ``found``: :func:`_lines` with ``id``, written before."""
     ids = (F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("id").isNull()).alias("nulls"))
-    runs = [f"g{i}" for i in range(GROUPS)]
-    seen = materialize(found.groupBy("leaf", "h").agg(*ids, F.min("n").alias("n"), F.min("stars").alias("stars"),
-                                                      *(F.min(g).alias(g) for g in runs)), "lines-seen")
+    seen = materialize(found.groupBy("leaf", "h").agg(*ids, F.min("n").alias("n")), "lines-seen")
     spans = (F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("nulls").alias("nulls"))
     recurs = _earlier(F.col("lo"), F.col("hi"), F.col("nulls"))
     # leaves with two different lines, in different documents
-    open_ = (seen.where("n > 0").groupBy("leaf").agg(*spans, F.min("h").alias("one"), F.max("h").alias("two"))
-             .where((F.col("one") != F.col("two")) & recurs).select("leaf"))
+    open_ = seen.where("n > 0").groupBy("leaf").agg(*spans, F.count("*").alias("k")).where((F.col("k") > 1) & recurs).select("leaf")
     # written, so that the joins below are plain shuffles, which Spark splits at a hot leaf
-    open_ = materialize(open_, "lines-leaves")
-    keys = materialize(_templates(seen.where("n > 0").join(open_, "leaf"), depth, percent), "lines-templates")
+    open_, leaves = materialize_counted(open_, "lines-leaves")
+    # the hashes of runs are shuffled for few lines beside those of open leaves
+    wide = (_maybe_in(found.where("n > 0"), open_, leaves).groupBy("leaf", "h")
+            .agg(*ids, *(F.min(c).alias(c) for c in ("n", "stars", *(f"g{i}" for i in range(GROUPS))))))
+    keys = materialize(_templates(wide.join(open_, "leaf"), depth, percent), "lines-templates")
     shared = (keys.groupBy("leaf", "runs", "rest").agg(*spans, F.count("*").alias("k")).where((F.col("k") > 1) & recurs)
               .select("leaf", "runs", "rest", F.col("lo").alias("first")))
     shared = materialize(shared, "lines-shared")

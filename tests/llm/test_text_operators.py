@@ -622,6 +622,34 @@ def test_line_dedup_of_a_leaf_with_many_unlike_lines(spark):
     assert many <= few + 3      # adaptive plans may differ by a broadcast
 
 
+def test_line_dedup_shuffles_runs_for_lines_of_open_leaves(spark, monkeypatch):
+    """Only few lines whose leaf holds no second line are shuffled with their runs' hashes."""
+    made, real = {}, line_dedup.materialize
+
+    def kept(df, tag):
+        made[tag] = real(df, tag)
+        return made[tag]
+
+    monkeypatch.setattr(line_dedup, "materialize", kept)
+    word = lambda of: F.translate(F.substring(F.md5(of.cast("string")), 1, 10), "0123456789", "ghijklmnop")
+    # a leaf for every line, but one of ten lines, of which two are alike
+    lone = spark.range(4_000).select(F.col("id").alias("doc_id"), F.concat(word(F.col("id")), F.lit(" is one line that nobody else ever wrote down here")).alias("text"))
+    near = [(30_000 + i, f"one two three {c} five {c} seven {d} nine ten") for i, (c, d) in enumerate(zip("aabcdefghi", "bcdefghijk"))]
+    docs = lone.unionByName(spark.createDataFrame(near, "doc_id long, text string"))
+    drops = lambda: [(r.doc_id, list(r._dropped)) for r in line_dedup.decide(docs).where(F.size("_dropped") > 0).collect()]
+    assert drops() == [(30_001, [0])]
+    assert {"leaf", "h", "lo"} <= {*made["lines-seen"].columns} and "g0" not in made["lines-seen"].columns
+    lines = made["lines-found"]
+    leaves = lines.groupBy("leaf").count().where("count > 1").select("leaf")
+    held = line_dedup._maybe_in(lines, leaves, leaves.count())
+    assert held.join(leaves, "leaf").count() == 10 and held.count() < 10 + 4_000 / 8
+    # many leaves in a full bitmap: all lines stay, the result is the same
+    monkeypatch.setattr(line_dedup, "MAX_BITS", 1024)
+    every = lines.select("leaf").distinct()
+    assert line_dedup._maybe_in(lines, every, every.count()).count() == 4_010
+    assert drops() == [(30_001, [0])]
+
+
 def test_line_dedup_of_short_token_lines(spark):
     rows = [(1, "這是一個沒有空格但是很長的句子它出現在兩個文件裡面\nshort one\nhttps://example.org/a/long/address 77"),
             (2, "這是一個沒有空格但是很長的句子它出現在兩個文件裡面\nshort one\nhttps://example.org/a/long/address 78"),
