@@ -41,7 +41,8 @@ WORDS = 3
 DEPTH = 3
 GROUPS = 10
 PERCENT = 80
-#: Bits per leaf of the bitmap that tells lines of open leaves, and its largest size (16 MB).
+#: Bits per leaf of the bitmap that tells lines of open leaves, and its largest size (16 MB,
+#: 35 MB as it is broadcast).
 BITS = 16
 MAX_BITS = 1 << 27
 _SPACES = " \t\n\x0b\x0c\r"
